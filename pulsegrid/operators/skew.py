@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark prunes `row_number() <= n` before the shuffle only up to this n
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-PRUNED_LIMIT = 1000
+# Up to this n, the rows of a hot key that are left after the map-side limit (n per map
+# task) fit one task; beyond it, a first round over slices of the key cuts them down.
+ONE_ROUND_LIMIT = 32
+SLICES = 4096
 
 # A key is hot above this share of all rows, so at most 1 / HOT_SHARE keys are hot:
 # that bound is what makes the broadcast of the hot keys safe at any data size.
@@ -23,16 +24,15 @@ def top_n_per_key(
     order: Sequence[Column],
     n: int,
     rank: str = "rn",
-    spread: int = 64,
 ) -> DataFrame:
     """The first ``n`` rows of every key in ``order``, numbered from 1 in column ``rank``.
 
-    Up to PRUNED_LIMIT every map task keeps n rows per key before the shuffle. Beyond,
-    a first round over (key, slice of the row hash) does that reduction, so that no
-    task ever holds all rows of a hot key; the top n of the slices contain the top n.
+    Spark keeps only n rows per key in every map task before the shuffle. For a larger
+    n, a first round ranks within (key, slice of the row hash), so that no task ever
+    holds all rows of a hot key; the top n of the slices contain the top n of the key.
     """
-    if n > PRUNED_LIMIT:
-        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    if n > ONE_ROUND_LIMIT:
+        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
         first = Window.partitionBy(*keys, "_slice").orderBy(*order)
         df = sliced.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= n).drop("_rn", "_slice")
     window = Window.partitionBy(*keys).orderBy(*order)
