@@ -119,11 +119,11 @@ def _(spark, sf):
 
 
 @query("abnormal_summary", with_both("").rstrip() + "," + _abnormal() + """
-SELECT patient_id, name, age, conditions, heart_rate, systolic, diastolic, "timestamp",
+SELECT patient_id, name, age, conditions, heart_rate, systolic, diastolic, temperature, "timestamp",
        (SELECT count(*) FROM found) AS found, greatest((SELECT count(*) FROM found) - 10, 0) AS more
 FROM found ORDER BY patient_id LIMIT 10""")
 def _(spark, sf):
-    return ops.abnormal_summary(ops.abnormal_patients(star_readings(spark, sf), known_profiles(spark, sf)))
+    return conditions_text(ops.abnormal_summary(star_readings(spark, sf), known_profiles(spark, sf)))
 
 
 @query("alerts", with_readings(f"""

@@ -10,4 +10,9 @@ def rounded_mean(col: Column, digits: int) -> Column:
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """``100 * part / whole`` rounded; null when the whole is 0."""
-    return F.round(100.0 * part / F.nullif(whole, F.lit(0)), digits)
+    return F.round(F.try_divide(100.0 * part, whole), digits)
+
+
+def mean_of(total: Column, n: Column, digits: int) -> Column:
+    """Rounded mean from a sum and a count; null for a count of 0."""
+    return F.round(F.try_divide(total, n), digits)

@@ -29,6 +29,7 @@ from .readings import (  # noqa: F401
     flatten_readings,
     hourly_trend,
     latest_readings,
+    newest_abnormal,
     patients_monitored,
     running_totals,
     within_minutes,

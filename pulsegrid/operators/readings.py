@@ -72,9 +72,6 @@ def patients_monitored(readings: DataFrame, approx: bool = False) -> DataFrame:
     return readings.agg(count("patient_id").alias("patients"))
 
 
-PROFILE_FIELDS = ("name", "age", "conditions")
-
-
 def enrich(readings: DataFrame, profiles: DataFrame) -> DataFrame:
     """Name, age and conditions of the patient beside each reading; batch or streaming.
 
@@ -97,29 +94,22 @@ def enrich(readings: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
-def abnormal_patients(
-    readings: DataFrame,
-    profiles: DataFrame,
-    n: int = 5,
-    window_minutes: int | None = None,
-    as_of=None,
+def newest_abnormal(
+    readings: DataFrame, n: int = 5, window_minutes: int | None = None, as_of=None
 ) -> DataFrame:
-    """Per patient the newest ABNORMAL reading among the newest n, with the profile.
+    """Per patient the newest ABNORMAL reading among the newest n: at most one row each.
 
     ``window_minutes`` also asks that it is not older than that; as time order decides
     the newest n, it may be applied at the scan.
     """
     if window_minutes is not None:
         readings = within_minutes(readings, window_minutes, as_of)
-    wanted = [c for c in ("patient_id", "event_id", "timestamp", "heart_rate", "blood_pressure", "temperature", "status") if c in readings.columns]
-    newest = latest_readings(readings.select(*wanted), n)
-    abnormal = top_n_per_key(abnormal_only(newest), ["patient_id"], [F.col("rn")], 1, rank="first")
+    used = ("patient_id", "event_id", "timestamp", "heart_rate", "blood_pressure", "temperature", "status")
+    newest = latest_readings(readings.select(*[c for c in used if c in readings.columns]), n)
+    first = top_n_per_key(abnormal_only(newest), ["patient_id"], [F.col("rn")], 1, rank="first")
     temperature = F.col("temperature") if "temperature" in readings.columns else F.lit(None).cast("double")
-    return enrich(abnormal, profiles).select(
+    return first.select(
         "patient_id",
-        "name",
-        "age",
-        "conditions",
         "heart_rate",
         _pressure("systolic").alias("systolic"),
         _pressure("diastolic").alias("diastolic"),
@@ -128,21 +118,39 @@ def abnormal_patients(
     )
 
 
-def abnormal_summary(found: DataFrame, k: int = 10) -> DataFrame:
-    """The first k abnormal patients by id, with ``found`` in all and ``more`` not shown."""
+ABNORMAL_COLUMNS = (
+    "patient_id", "name", "age", "conditions", "heart_rate", "systolic", "diastolic", "temperature", "timestamp",
+)
+
+
+def abnormal_patients(
+    readings: DataFrame,
+    profiles: DataFrame,
+    n: int = 5,
+    window_minutes: int | None = None,
+    as_of=None,
+) -> DataFrame:
+    """``newest_abnormal`` with the patients' profiles."""
+    return enrich(newest_abnormal(readings, n, window_minutes, as_of), profiles).select(*ABNORMAL_COLUMNS)
+
+
+def abnormal_summary(
+    readings: DataFrame,
+    profiles: DataFrame,
+    k: int = 10,
+    n: int = 5,
+    window_minutes: int | None = None,
+    as_of=None,
+) -> DataFrame:
+    """The first k abnormal patients by id, with how many were ``found`` and how many ``more`` there are.
+
+    Only these k are joined with their profiles.
+    """
+    found = newest_abnormal(readings, n, window_minutes, as_of)
     total = found.select(F.count("*")).scalar()
-    first = found.orderBy("patient_id").limit(k)
-    return first.select(
-        "patient_id",
-        "name",
-        "age",
-        F.when(F.size("conditions") > 0, F.array_join("conditions", ", ")).otherwise("None").alias("conditions"),
-        "heart_rate",
-        "systolic",
-        "diastolic",
-        "timestamp",
-        total.alias("found"),
-        F.greatest(total - k, F.lit(0)).alias("more"),
+    shown = enrich(found.orderBy("patient_id").limit(k), profiles)
+    return shown.select(
+        *ABNORMAL_COLUMNS, total.alias("found"), F.greatest(total - k, F.lit(0)).alias("more")
     )
 
 

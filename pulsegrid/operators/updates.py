@@ -66,7 +66,8 @@ def apply_risk_updates(
         F.coalesce("carried", "stored").alias("start"),
     )
     previous = F.when(F.col("found"), F.coalesce("in_part.score", "start.score"))
-    rows = value_before_row(parted, key, order, write, "in_part").join(starts, ["patient_id", "part"])
+    rows = value_before_row(parted, key, order, write, "in_part").join(starts, ["patient_id", "part"], "left")
+    rows = rows.withColumn("found", F.coalesce("found", F.lit(False)))
     delta = F.col("score") - F.col("previous_score")
     audit = rows.withColumn("previous_score", previous).select(
         "patient_id",
@@ -178,7 +179,8 @@ def apply_profile_patches(
         F.col("known").isNotNull().alias("found"),
         F.coalesce("carried", F.struct(at_path.alias("new"))).alias("start"),
     )
-    rows = value_before_row(parted, key, order, F.col("write"), "in_part").join(starts, ["patient_id", "path", "part"])
+    rows = value_before_row(parted, key, order, F.col("write"), "in_part").join(starts, ["patient_id", "path", "part"], "left")
+    rows = rows.withColumn("found", F.coalesce("found", F.lit(False)))
     old = F.when(F.col("found"), F.coalesce("in_part", "start")["new"])
     audit = rows.withColumn("old", old).select(
         "patient_id",

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.profiles import dimension, top_conditions
 from ..functions.bands import risk_band
+from ..functions.numbers import mean_of
+from ..operators.profiles import dimension, top_conditions
 from ..params import DEFAULTS, Params
 from ..sources.sinks import write_result
 
@@ -14,20 +17,22 @@ CUBE_DIMENSIONS = ("age_band", "gender", "city", "blood_type", "risk_score", "nu
 ALL_PATIENTS = "all"
 
 
-def profile_cube(profiles: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def profile_cube(
+    profiles: DataFrame, params: Params = DEFAULTS, dimensions: Sequence[str] = CUBE_DIMENSIONS
+) -> DataFrame:
     """Counts and sums of all patients and of every value of each dimension, in one scan.
 
     One row per (``dimension``, ``label``); ``label`` is text, null for a missing value.
     """
     levels = dict(zip(("low", "medium", "high"), params.risk_labels))
     facts = profiles.select(
-        *[dimension(d, params) for d in CUBE_DIMENSIONS],
+        *[dimension(d, params) for d in dimensions],
         F.col("age").alias("age_value"),
         F.col("risk_score").alias("risk_value"),
-        risk_band(F.col("risk_score"), params).alias("level"),
     )
-    sets = [[F.col(d)] for d in CUBE_DIMENSIONS] + [[]]
-    cube = facts.groupingSets(sets, *CUBE_DIMENSIONS).agg(
+    level = risk_band(F.col("risk_value"), params)
+    sets = [[F.col(d)] for d in dimensions] + [[]]
+    cube = facts.groupingSets(sets, *dimensions).agg(
         F.grouping_id().alias("gid"),
         F.count("*").alias("count"),
         F.count("age_value").alias("ages"),
@@ -36,30 +41,26 @@ def profile_cube(profiles: DataFrame, params: Params = DEFAULTS) -> DataFrame:
         F.max("age_value").alias("max_age"),
         F.count("risk_value").alias("risks"),
         F.sum("risk_value").alias("risk_sum"),
-        *[F.count_if(F.col("level") == label).alias(name) for name, label in levels.items()],
+        *[F.count_if(level == label).alias(name) for name, label in levels.items()],
     )
     # Bit i of the grouping id, from the left, is 0 for the dimension that is grouped by.
-    everything = 2 ** len(CUBE_DIMENSIONS) - 1
+    everything = 2 ** len(dimensions) - 1
     name, label = F.lit(ALL_PATIENTS), F.lit(None).cast("string")
-    for i, d in enumerate(CUBE_DIMENSIONS):
-        grouped = F.col("gid") == everything - 2 ** (len(CUBE_DIMENSIONS) - 1 - i)
+    for i, d in enumerate(dimensions):
+        grouped = F.col("gid") == everything - 2 ** (len(dimensions) - 1 - i)
         name = F.when(grouped, d).otherwise(name)
         label = F.when(grouped, F.col(d).cast("string")).otherwise(label)
     measures = ["count", "ages", "age_sum", "min_age", "max_age", "risks", "risk_sum", *levels]
     return cube.select(name.alias("dimension"), label.alias("label"), *measures)
 
 
-def _mean(total: str, n: str, digits: int) -> Column:
-    return F.round(F.col(total) / F.nullif(F.col(n), F.lit(0)), digits)
-
-
 def _slice(cube: DataFrame, name: str, key: str | None = None, dtype: str = "string") -> DataFrame:
     part = cube.filter(F.col("dimension") == name)
     return part.withColumn(key, F.col("label").cast(dtype)) if key else part
 
 
 def _risk_columns(part: DataFrame, key: str) -> DataFrame:
-    return part.select(key, _mean("risk_sum", "risks", 2).alias("avg_risk"), "count")
+    return part.select(key, mean_of(F.col("risk_sum"), F.col("risks"), 2).alias("avg_risk"), "count")
 
 
 def analyses_of(cube: DataFrame, conditions: DataFrame, as_of=None) -> dict[str, DataFrame]:
@@ -72,7 +73,7 @@ def analyses_of(cube: DataFrame, conditions: DataFrame, as_of=None) -> dict[str,
     return {
         "demographics": everyone.select(
             F.col("count").alias("total_patients"),
-            _mean("age_sum", "ages", 1).alias("avg_age"),
+            mean_of(F.col("age_sum"), F.col("ages"), 1).alias("avg_age"),
             "min_age",
             "max_age",
             moment.alias("as_of"),
@@ -80,7 +81,7 @@ def analyses_of(cube: DataFrame, conditions: DataFrame, as_of=None) -> dict[str,
         "age_groups": age.select("age_band", "count").orderBy("age_band"),
         "gender_distribution": _slice(cube, "gender", "gender").select("gender", "count").orderBy("gender"),
         "risk_summary": everyone.select(
-            _mean("risk_sum", "risks", 2).alias("avg_risk"), "high", "medium", "low"
+            mean_of(F.col("risk_sum"), F.col("risks"), 2).alias("avg_risk"), "high", "medium", "low"
         ),
         "risk_by_age": _risk_columns(age, "age_band").orderBy("age_band"),
         "top_conditions": conditions,
@@ -107,9 +108,17 @@ ANALYSES = (
 )
 
 
-def run_batch(profiles: DataFrame, as_of=None, k: int = 10, params: Params = DEFAULTS) -> dict[str, DataFrame]:
-    """Every batch analysis as a lazy DataFrame over one cube."""
-    return analyses_of(profile_cube(profiles, params), top_conditions(profiles, k, params), as_of)
+def run_batch(
+    profiles: DataFrame, as_of=None, k: int = 10, params: Params = DEFAULTS, cube: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Every batch analysis as a lazy DataFrame over one cube.
+
+    The cube, one row per label, is cached with the first analysis that runs; give your
+    own ``profile_cube`` to choose where it is kept and when it is freed.
+    """
+    if cube is None:
+        cube = profile_cube(profiles, params).persist()
+    return analyses_of(cube, top_conditions(profiles, k, params), as_of)
 
 
 def save_batch(profiles: DataFrame, path: str, as_of=None, k: int = 10, params: Params = DEFAULTS) -> dict[str, str]:

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bands import gender_label
-from ..functions.numbers import percent
+from ..functions.numbers import mean_of, percent
 from ..operators.profiles import condition_counts, total
 from ..params import DEFAULTS, Params
 from .batch import ALL_PATIENTS, profile_cube
 
+REPORTED = ("gender", "city", "blood_type")
 BARRED = ("gender", "city")
 
 
@@ -25,7 +26,7 @@ def daily_report(profiles: DataFrame, k: int = 7, params: Params = DEFAULTS) ->
     kept. ``rank`` counts down the section by falling count; ``bar`` has one block
     for every two percent.
     """
-    counted = F.col("section").isin("gender", "city", "blood_type", "conditions")
+    counted = F.col("section").isin(*REPORTED, "conditions")
     order = [F.col("count").desc(), F.col("label").asc_nulls_last()]
     rank = F.row_number().over(Window.partitionBy("section").orderBy(*order))
     everyone = total(profiles)
@@ -36,7 +37,7 @@ def daily_report(profiles: DataFrame, k: int = 7, params: Params = DEFAULTS) ->
     )
     blocks = F.floor(F.col("count") * 50 / everyone).cast("int")
     return (
-        _cube_rows(profile_cube(profiles, params))
+        _cube_rows(profile_cube(profiles, params, REPORTED))
         .unionByName(
             conditions.select(
                 F.lit("conditions").alias("section"),
@@ -68,15 +69,12 @@ def _cube_rows(cube: DataFrame) -> DataFrame:
             (F.lit(None) if value is None else value).cast("double").alias("value"),
         )
 
-    def mean(of, n, digits):
-        return F.round(F.col(of) / F.nullif(F.col(n), F.lit(0)), digits)
-
     overall = F.array(
         row("patients", "total", "count"),
-        row("age", "average", value=mean("age_sum", "ages", 1)),
+        row("age", "average", value=mean_of(F.col("age_sum"), F.col("ages"), 1)),
         row("age", "min", value=F.col("min_age")),
         row("age", "max", value=F.col("max_age")),
-        row("risk", "average", value=mean("risk_sum", "risks", 2)),
+        row("risk", "average", value=mean_of(F.col("risk_sum"), F.col("risks"), 2)),
         row("risk", "HIGH", "high"),
         row("risk", "MEDIUM", "medium"),
         row("risk", "LOW", "low"),
@@ -90,6 +88,5 @@ def _cube_rows(cube: DataFrame) -> DataFrame:
             F.lit(None).cast("double").alias("value"),
         )
     )
-    reported = cube.filter(F.col("dimension").isin(ALL_PATIENTS, "gender", "city", "blood_type"))
     rows = F.when(F.col("dimension") == ALL_PATIENTS, overall).otherwise(single)
-    return reported.select(F.inline(rows))
+    return cube.select(F.inline(rows))

@@ -26,7 +26,8 @@ def star_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (
+    # Plain columns first, structs over them second: that lets Catalyst see through the structs.
+    flat = (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(orders, "c_custkey", "left")
         .select(
@@ -34,21 +35,26 @@ def star_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_name").alias("name"),
             (20 + F.col("c_custkey") % 66).cast("int").alias("age"),
             F.when(F.col("c_custkey") % 2 == 0, "M").otherwise("F").alias("gender"),
-            F.struct(
-                F.concat(F.lit("0"), F.col("c_custkey").cast("string")).alias("phone"),
-                F.lit(None).cast("string").alias("email"),
-                F.col("n_name").alias("city"),
-            ).alias("contact"),
-            F.struct(
-                F.col("conditions"),
-                F.array().cast("array<string>").alias("allergies"),
-                F.col("c_mktsegment").alias("blood_type"),
-            ).alias("medical_history"),
+            F.concat(F.lit("0"), F.col("c_custkey").cast("string")).alias("phone"),
+            F.col("n_name").alias("city"),
+            F.col("conditions"),
+            F.col("c_mktsegment").alias("blood_type"),
             (F.floor((F.col("c_acctbal") + 1000) / 1100).cast("int") + 1).alias("risk_score"),
             F.col("admission_date"),
-            F.lit(None).cast("string").alias("notes"),
         )
     )
+    none = F.lit(None).cast("string")
+    return flat.select(
+        "patient_id",
+        "name",
+        "age",
+        "gender",
+        F.struct("phone", none.alias("email"), "city").alias("contact"),
+        F.struct("conditions", F.array().cast("array<string>").alias("allergies"), "blood_type").alias("medical_history"),
+        "risk_score",
+        "admission_date",
+        none.alias("notes"),
+    )
 
 
 def reading_columns(events: DataFrame) -> DataFrame:
