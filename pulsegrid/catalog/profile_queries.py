@@ -8,7 +8,7 @@ from ..operators.cards import patient_card
 from ..params import Params
 from ..plans.batch import run_batch
 from ..plans.report import daily_report
-from ..sources.star import STAR_SENTINELS, star_profiles
+from ..sources.star import STAR_SENTINELS, star_profiles, table
 from .registry import AGE_BAND, CONDITIONS_TEXT, RISK_LEVEL, query, ratio, share, with_profiles
 
 PARAMS = Params(sentinels=STAR_SENTINELS)
@@ -182,7 +182,7 @@ def _(spark, sf):
 @query("profile_lookup", with_profiles("""
 SELECT patient_id, name, age FROM profiles WHERE patient_id IN (SELECT user_id FROM events)"""))
 def _(spark, sf):
-    monitored = spark.read.parquet(f"{sf}/events.parquet").select(F.col("user_id").alias("patient_id"))
+    monitored = table(spark, sf, "events").select(F.col("user_id").alias("patient_id"))
     return ops.lookup(star_profiles(spark, sf), monitored).select("patient_id", "name", "age")
 
 

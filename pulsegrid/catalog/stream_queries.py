@@ -13,7 +13,7 @@ from ..operators.readings import dedup_readings, flatten_readings
 from ..session import scratch_path
 from ..sources.files import stream_readings
 from ..sources.sinks import publish_profiles, read_current_profiles
-from ..sources.star import reading_columns, risk_update_columns
+from ..sources.star import TABLES, reading_columns, risk_update_columns
 from ..streaming import feeds, sinks
 from .reading_queries import FLAT, NEWEST, _cycles, _dedup, _latest, conditions_text, known_profiles
 from .registry import CONDITIONS_TEXT, query, with_both, with_readings
@@ -23,8 +23,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def _events(spark, sf):
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    return stream_readings(spark, f"{sf}/events*.parquet", fmt="parquet", schema=schema)
+    return stream_readings(spark, f"{sf}/events*.parquet", fmt="parquet", schema=TABLES["events"])
 
 
 def _paths(spark, name):

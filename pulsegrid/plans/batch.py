@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,8 +125,14 @@ def run_batch(
 
 def save_batch(profiles: DataFrame, path: str, as_of=None, k: int = 10, params: Params = DEFAULTS) -> dict[str, str]:
     """Write every analysis below ``path``. The cube is written first and the analyses
-    read it back, so the profiles are scanned once for all of them."""
+    read it back, so the profiles are scanned once for all of them; the small writes
+    run side by side."""
     spark = profiles.sparkSession
     cube = spark.read.parquet(write_result(profile_cube(profiles, params), path, "cube"))
     results = analyses_of(cube, top_conditions(profiles, k, params), as_of)
-    return {name: write_result(df, path, name) for name, df in results.items()}
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        writes = {
+            name: pool.submit(inheritable_thread_target(spark)(write_result), df, path, name)
+            for name, df in results.items()
+        }
+        return {name: write.result() for name, write in writes.items()}

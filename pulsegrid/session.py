@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, name: str = "pulseg
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call site per column
         .getOrCreate()
     )
 

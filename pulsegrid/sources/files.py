@@ -43,7 +43,7 @@ def stream_readings(
     path: str,
     max_files: int = 64,
     fmt: str = "json",
-    schema: T.StructType = READING_SCHEMA,
+    schema: T.StructType | str = READING_SCHEMA,
 ) -> DataFrame:
     """Live readings: files that arrive in ``path``, at most ``max_files`` per micro-batch."""
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(path)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import nlargest
+from itertools import chain
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -62,7 +64,6 @@ READING_STATE = T.StructType([
     T.StructField("heart_rate", T.DoubleType()),
     T.StructField("status", T.StringType()),
 ])
-_NEWEST = ["timestamp", "event_id"]
 
 
 class _LatestN(StatefulProcessor):
@@ -75,16 +76,12 @@ class _LatestN(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.newest = handle.getListState("newest", READING_STATE, self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = READING_STATE.names
-        kept = pd.DataFrame(list(self.newest.get()), columns=names)
-        for batch in rows:
-            both = batch[names] if kept.empty else pd.concat([kept, batch[names]], ignore_index=True)
-            kept = both.sort_values(_NEWEST, ascending=False).head(self.n).reset_index(drop=True)
-        self.newest.put(list(kept.itertuples(index=False, name=None)))
-        kept.insert(0, "rn", range(1, len(kept) + 1))
-        kept.insert(0, "patient_id", key[0])
-        yield kept
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        arrived = ((r.timestamp, r.event_id, r.heart_rate, r.status) for r in rows)
+        kept = nlargest(self.n, chain(self.newest.get(), arrived), key=lambda r: (r[0], r[1]))
+        self.newest.put([tuple(r) for r in kept])
+        for rn, r in enumerate(kept, 1):
+            yield Row(patient_id=key[0], rn=rn, timestamp=r[0], event_id=r[1], heart_rate=r[2], status=r[3])
 
     def close(self) -> None:
         pass
@@ -94,23 +91,27 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
     """The newest n readings of every patient that changed, numbered ``rn`` from 1 (update mode).
 
     Every Arrow batch first drops what is not among its own newest n of a patient, so
-    a hot patient reaches its state as at most n rows per batch. Needs the RocksDB
-    state store.
+    a hot patient reaches its state as at most n rows per batch. Readings without a
+    time have no place in the order and are left out. Needs the RocksDB state store.
     """
-    patient = readings.schema["patient_id"].dataType
-    rows = readings.select("patient_id", *[F.col(f.name).cast(f.dataType) for f in READING_STATE.fields])
+    if "event_id" not in readings.columns:
+        readings = readings.withColumn("event_id", F.xxhash64(*readings.columns))
+    rows = readings.filter("timestamp IS NOT NULL").select(
+        "patient_id", *[F.col(f.name).cast(f.dataType) for f in READING_STATE.fields]
+    )
 
     def newest_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.sort_values(_NEWEST, ascending=False).groupby("patient_id", sort=False).head(n)
+            newest = batch.sort_values(["timestamp", "event_id"], ascending=False)
+            yield newest.groupby("patient_id", sort=False, dropna=False).head(n)
 
     out = T.StructType([
-        T.StructField("patient_id", patient),
+        T.StructField("patient_id", readings.schema["patient_id"].dataType),
         T.StructField("rn", T.IntegerType()),
         *READING_STATE.fields,
     ])
     return (
         rows.mapInPandas(newest_of_batch, rows.schema)
         .groupBy("patient_id")
-        .transformWithStateInPandas(_LatestN(n, ttl_ms), out, "Update", "ProcessingTime" if ttl_ms else "None")
+        .transformWithState(_LatestN(n, ttl_ms), out, "Update", "ProcessingTime" if ttl_ms else "None")
     )
