@@ -72,6 +72,10 @@ def analyses_of(cube: DataFrame, conditions: DataFrame, as_of=None) -> dict[str,
     blood = _slice(cube, "blood_type", "blood_type")
     by_count = F.col("count").desc()
     moment = F.localtimestamp() if as_of is None else F.lit(as_of)
+
+    def by_label(key):
+        return F.col(key).asc_nulls_last()
+
     return {
         "demographics": everyone.select(
             F.col("count").alias("total_patients"),
@@ -80,19 +84,19 @@ def analyses_of(cube: DataFrame, conditions: DataFrame, as_of=None) -> dict[str,
             "max_age",
             moment.alias("as_of"),
         ),
-        "age_groups": age.select("age_band", "count").orderBy("age_band"),
-        "gender_distribution": _slice(cube, "gender", "gender").select("gender", "count").orderBy("gender"),
+        "age_groups": age.select("age_band", "count").orderBy(by_label("age_band")),
+        "gender_distribution": _slice(cube, "gender", "gender").select("gender", "count").orderBy(by_label("gender")),
         "risk_summary": everyone.select(
             mean_of(F.col("risk_sum"), F.col("risks"), 2).alias("avg_risk"), "high", "medium", "low"
         ),
-        "risk_by_age": _risk_columns(age, "age_band").orderBy("age_band"),
+        "risk_by_age": _risk_columns(age, "age_band").orderBy(by_label("age_band")),
         "top_conditions": conditions,
         "multi_condition": _slice(cube, "num_conditions", "num_conditions", "int")
         .select("num_conditions", "count")
-        .orderBy("num_conditions"),
-        "city_distribution": _risk_columns(city, "city").orderBy(by_count, "city"),
-        "blood_type_distribution": blood.select("blood_type", "count").orderBy(by_count, "blood_type"),
-        "blood_type_risk": _risk_columns(blood, "blood_type").orderBy(F.col("avg_risk").desc(), "blood_type"),
+        .orderBy(by_label("num_conditions")),
+        "city_distribution": _risk_columns(city, "city").orderBy(by_count, by_label("city")),
+        "blood_type_distribution": blood.select("blood_type", "count").orderBy(by_count, by_label("blood_type")),
+        "blood_type_risk": _risk_columns(blood, "blood_type").orderBy(F.col("avg_risk").desc_nulls_last(), by_label("blood_type")),
     }
 
 
