@@ -58,8 +58,9 @@ def stream_latest(readings: DataFrame) -> DataFrame:
     return readings.groupBy("patient_id").agg(newest.alias("r")).select("patient_id", "r.*")
 
 
+# Times are kept as microseconds: Python gets the same number from rows and from state.
 READING_STATE = T.StructType([
-    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("micros", T.LongType()),
     T.StructField("event_id", T.LongType()),
     T.StructField("heart_rate", T.DoubleType()),
     T.StructField("status", T.StringType()),
@@ -77,11 +78,11 @@ class _LatestN(StatefulProcessor):
         self.newest = handle.getListState("newest", READING_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        arrived = ((r.timestamp, r.event_id, r.heart_rate, r.status) for r in rows)
+        arrived = ((r.micros, r.event_id, r.heart_rate, r.status) for r in rows)
         kept = nlargest(self.n, chain(self.newest.get(), arrived), key=lambda r: (r[0], r[1]))
         self.newest.put([tuple(r) for r in kept])
         for rn, r in enumerate(kept, 1):
-            yield Row(patient_id=key[0], rn=rn, timestamp=r[0], event_id=r[1], heart_rate=r[2], status=r[3])
+            yield Row(patient_id=key[0], rn=rn, micros=r[0], event_id=r[1], heart_rate=r[2], status=r[3])
 
     def close(self) -> None:
         pass
@@ -97,12 +98,16 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
     if "event_id" not in readings.columns:
         readings = readings.withColumn("event_id", F.xxhash64(*readings.columns))
     rows = readings.filter("timestamp IS NOT NULL").select(
-        "patient_id", *[F.col(f.name).cast(f.dataType) for f in READING_STATE.fields]
+        "patient_id",
+        F.unix_micros(F.col("timestamp").cast("timestamp")).alias("micros"),
+        F.col("event_id").cast("long"),
+        F.col("heart_rate").cast("double"),
+        "status",
     )
 
     def newest_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            newest = batch.sort_values(["timestamp", "event_id"], ascending=False)
+            newest = batch.sort_values(["micros", "event_id"], ascending=False)
             yield newest.groupby("patient_id", sort=False, dropna=False).head(n)
 
     out = T.StructType([
@@ -114,4 +119,5 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
         rows.mapInPandas(newest_of_batch, rows.schema)
         .groupBy("patient_id")
         .transformWithState(_LatestN(n, ttl_ms), out, "Update", "ProcessingTime" if ttl_ms else "None")
+        .select("patient_id", "rn", F.timestamp_micros("micros").alias("timestamp"), "event_id", "heart_rate", "status")
     )
