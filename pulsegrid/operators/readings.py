@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bands import heart_rate_severity
-from ..functions.keys import newest_first, reading_key
+from ..functions.keys import epoch, newest_first, reading_key
 from ..functions.numbers import percent
 from ..params import VITAL_RANGES
 from .skew import top_n_per_key
@@ -50,14 +50,16 @@ def dedup_readings(readings: DataFrame, unit: str = "second", keep: str = "last"
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
-    keyed = readings.withColumn("key", reading_key(F.col("patient_id"), F.col("timestamp"), unit))
+    patient, ts = F.col("patient_id"), F.col("timestamp")
     written = [F.col("ingested_at")] if "ingested_at" in readings.columns else []
     if "event_id" in readings.columns:
         written.append(F.col("event_id"))
     else:
         written += [F.col("timestamp"), F.xxhash64(*readings.columns)]
     order = [c.desc_nulls_last() if keep == "last" else c.asc_nulls_first() for c in written]
-    return top_n_per_key(keyed, ["key"], order, 1).drop("rn")
+    # The number first: it tells most rows apart when they are sorted.
+    one = top_n_per_key(readings.withColumn("_epoch", epoch(ts, unit)), ["_epoch", "patient_id"], order, 1)
+    return one.drop("rn", "_epoch").withColumn("key", reading_key(patient, ts, unit))
 
 
 def latest_readings(readings: DataFrame, n: int = 20, patient_id=None) -> DataFrame:

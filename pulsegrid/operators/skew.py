@@ -16,6 +16,7 @@ SLICES = 4096
 # that bound is what makes the broadcast of the hot keys safe at any data size.
 HOT_SHARE = 1e-4
 HOT_ROWS = 1_000_000
+NOT_SPLIT = -(2**63)
 
 
 def top_n_per_key(
@@ -40,40 +41,49 @@ def top_n_per_key(
 
 
 def with_parts(
-    df: DataFrame,
-    keys: Sequence[str],
-    part: Column,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+    df: DataFrame, key: str, part: Column, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add ``part``: 0 for ordinary keys, the long ``part`` expression for hot ones.
+    """Add ``part``: NOT_SPLIT for ordinary keys, the long ``part`` expression for hot ones.
 
-    Key sizes come from a pre-aggregated count over the key columns alone.
+    Key sizes come from a pre-aggregated count over the key column alone.
     """
     limit = F.greatest(df.select(F.count("*") * share).scalar(), F.lit(float(min_rows)))
     hot = (
-        df.groupBy(*keys).agg(F.count("*").alias("_n"))
+        df.groupBy(key).agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > limit)
-        .select(*keys, F.lit(True).alias("_hot"))
+        .select(key, F.lit(True).alias("_hot"))
     )
     return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("part", F.when(F.col("_hot"), part).otherwise(F.lit(0)).cast("long"))
+        df.join(F.broadcast(hot), key, "left")
+        .withColumn("part", F.when(F.col("_hot"), part).otherwise(F.lit(NOT_SPLIT)).cast("long"))
         .drop("_hot")
     )
 
 
-def part_ends(parted: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column) -> DataFrame:
-    """Per (keys, part): the last non-null ``value`` in ``order``, as ``end_value``."""
-    return parted.groupBy(*keys, "part").agg(
-        F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias("end_value")
-    )
+def last_in_order(value: Column, *order: str) -> Column:
+    """Aggregate: the last non-null ``value`` in ``order``."""
+    return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
 
 
-def value_before_part(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``carried``: the last non-null ``end_value`` of the key's earlier parts."""
-    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return ends.withColumn("carried", F.last("end_value", ignorenulls=True).over(earlier))
+def values_before_parts(
+    parted: DataFrame, stored: DataFrame, key: str, writes: dict[str, Column], order: list[str]
+) -> DataFrame:
+    """Per (key, part): the values in force when the part begins, one column for each of ``writes``.
+
+    They are the ``stored`` ones (a row per key, columns named like the writes) for keys
+    that are not split, and for later parts of hot keys the last non-null writes of the
+    earlier parts. Keys that are not stored have no row.
+    """
+    names = list(writes)
+    earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (
+        parted.filter(F.col("part") != NOT_SPLIT)
+        .groupBy(key, "part")
+        .agg(*[last_in_order(write, *order).alias(name) for name, write in writes.items()])
+    )
+    carried = ends.select(key, "part", *[F.last(n, ignorenulls=True).over(earlier).alias(f"_{n}") for n in names])
+    split = carried.join(stored, key).select(key, "part", *[F.coalesce(f"_{n}", n).alias(n) for n in names])
+    return stored.select(key, F.lit(NOT_SPLIT).alias("part"), *names).unionByName(split)
 
 
 def value_before_row(parted: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:

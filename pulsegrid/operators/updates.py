@@ -3,7 +3,7 @@
 Requests of one patient apply in order, so each one's previous value is that of the
 request before it, or the stored one for the first. Hot patients are cut into parts
 (see ``skew``): previous values are found within a part, and the value carried into
-each part comes from the small table of the parts' last values.
+each part comes from the small table of the hot patients' last values per part.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.bands import risk_band
 from ..params import DEFAULTS, Params
 from .cards import split_history
-from .skew import HOT_ROWS, HOT_SHARE, part_ends, value_before_part, value_before_row, with_parts
+from .skew import HOT_ROWS, HOT_SHARE, last_in_order, value_before_row, values_before_parts, with_parts
 
 NOT_IN_PROFILE = ("patient_id", "risk_score_history")
 PATCHES_PER_PART = 100_000
@@ -46,30 +46,17 @@ def apply_risk_updates(
     history row), ``not_found`` or ``invalid`` (null score). A missing stored score is 0.
     History is a table: rows embedded in the given profiles are moved to it.
     """
-    key, order = ["patient_id"], ["ts", "seq"]
-    write = F.when(F.col("score").isNotNull(), F.struct("score", "ts"))
-    parted = with_parts(
-        updates.select("patient_id", "score", "ts", "seq"),
-        key,
-        F.unix_seconds(F.col("ts").cast("timestamp")) / 60,
-        hot_share,
-        hot_rows,
-    )
-    stored = profiles.select(
-        "patient_id", F.struct(F.coalesce("risk_score", F.lit(0)).alias("score"), F.lit(None).cast("timestamp_ntz").alias("ts")).alias("stored")
-    )
-    ends = part_ends(parted, key, order, write)
-    starts = value_before_part(ends, key).join(stored, key, "left").select(
-        "patient_id",
-        "part",
-        F.col("stored").isNotNull().alias("found"),
-        F.coalesce("carried", "stored").alias("start"),
-    )
-    previous = F.when(F.col("found"), F.coalesce("in_part.score", "start.score"))
-    rows = value_before_row(parted, key, order, write, "in_part").join(starts, ["patient_id", "part"], "left")
-    rows = rows.withColumn("found", F.coalesce("found", F.lit(False)))
+    order = ["ts", "seq"]
+    asked = updates.select("patient_id", "score", "ts", "seq")
+    write = F.when(F.col("score").isNotNull(), F.struct("score"))
+    minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
+    parted = with_parts(asked, "patient_id", minute, hot_share, hot_rows)
+    stored = profiles.select("patient_id", F.struct(F.coalesce("risk_score", F.lit(0)).alias("score")).alias("start"))
+    starts = values_before_parts(parted, stored, "patient_id", {"start": write}, order)
+    rows = value_before_row(parted, ["patient_id"], order, write, "in_part").join(starts, ["patient_id", "part"], "left")
+    found = F.col("start").isNotNull()
     delta = F.col("score") - F.col("previous_score")
-    audit = rows.withColumn("previous_score", previous).select(
+    audit = rows.withColumn("previous_score", F.when(found, F.coalesce("in_part", "start")["score"])).select(
         "patient_id",
         "seq",
         "ts",
@@ -79,21 +66,18 @@ def apply_risk_updates(
         F.when(delta > 0, "INCREASED").when(delta < 0, "DECREASED").when(delta == 0, "No change").alias("direction"),
         risk_band(F.col("previous_score"), params).alias("old_level"),
         risk_band(F.col("score"), params).alias("new_level"),
-        F.when(~F.col("found"), "not_found")
+        F.when(~found, "not_found")
         .when(F.col("score").isNull(), "invalid")
         .when(F.lit(skip_unchanged) & (delta == 0), "unchanged")
         .otherwise("updated")
         .alias("status"),
     )
     applied = audit.filter(F.col("status") == "updated")
-    if skip_unchanged:
-        newest = applied.groupBy("patient_id").agg(
-            F.max_by(F.struct("score", "ts"), F.struct("ts", "seq")).alias("new")
-        )
-    else:
-        newest = ends.groupBy("patient_id").agg(
-            F.max_by("end_value", F.when(F.col("end_value").isNotNull(), F.col("part"))).alias("new")
-        )
+    newest = (
+        (applied if skip_unchanged else asked.filter(F.col("score").isNotNull()))
+        .groupBy("patient_id")
+        .agg(F.max_by(F.struct("score", "ts"), F.struct(*order)).alias("new"))
+    )
     embedded = None
     if "risk_score_history" in profiles.columns:
         profiles, embedded = split_history(profiles)
@@ -159,54 +143,59 @@ def apply_profile_patches(
     such field, or text that does not fit it). Replaying patches changes nothing.
     """
     paths = _leaf_paths(profiles.schema)
-    key, order = ["patient_id", "path"], ["seq"]
     new = _by_path(paths, lambda path, dtype: _text(_typed(F.col("value"), dtype), dtype))
     valid = F.col("path").isin(*paths) & (F.col("value").isNull() | F.col("new").isNotNull())
     typed = patches.select("patient_id", "path", "seq", "value", new.alias("new")).select(
-        "patient_id", "path", "seq", F.coalesce("new", "value").alias("asked"),
+        "patient_id",
+        "path",
+        "seq",
+        F.coalesce("new", "value").alias("asked"),
         F.when(valid, F.struct("new")).alias("write"),
     )
-    parted = with_parts(typed, key, F.floor(F.col("seq") / PATCHES_PER_PART), hot_share, hot_rows)
-    ends = part_ends(parted, key, order, F.col("write"))
+    parted = with_parts(typed, "patient_id", F.floor(F.col("seq") / PATCHES_PER_PART), hot_share, hot_rows)
     stored = profiles.select(
-        "patient_id", F.lit(True).alias("known"), *[_text(F.col(p), t).alias(p.replace(".", "__")) for p, t in paths.items()]
+        "patient_id", *[F.struct(_text(F.col(p), t).alias("new")).alias(_flat(p)) for p, t in paths.items()]
     )
-    at_path = _by_path(paths, lambda path, dtype: F.col(path.replace(".", "__")))
-    starts = value_before_part(ends, key).join(stored, "patient_id", "left").select(
-        "patient_id",
-        "path",
-        "part",
-        F.col("known").isNotNull().alias("found"),
-        F.coalesce("carried", F.struct(at_path.alias("new"))).alias("start"),
+    starts = values_before_parts(parted, stored, "patient_id", _writes(paths), ["seq"])
+    # The window's rows are laid out for the join, so that they are shuffled once.
+    laid_out = parted.repartition("patient_id", "part")
+    rows = value_before_row(laid_out, ["patient_id", "path"], ["seq"], F.col("write"), "in_part").join(
+        starts.withColumn("found", F.lit(True)), ["patient_id", "part"], "left"
     )
-    rows = value_before_row(parted, key, order, F.col("write"), "in_part").join(starts, ["patient_id", "path", "part"], "left")
-    rows = rows.withColumn("found", F.coalesce("found", F.lit(False)))
-    old = F.when(F.col("found"), F.coalesce("in_part", "start")["new"])
-    audit = rows.withColumn("old", old).select(
+    start = _by_path(paths, lambda path, dtype: F.col(_flat(path))["new"])
+    old = F.when(F.col("in_part").isNotNull(), F.col("in_part.new")).otherwise(start)
+    found = F.col("found").isNotNull()
+    audit = rows.withColumn("old", F.when(found, old)).select(
         "patient_id",
         "path",
         "seq",
         "old",
         F.col("asked").alias("new"),
-        F.when(~F.col("found"), "not_found")
+        F.when(~found, "not_found")
         .when(F.col("write").isNull(), "invalid")
         .when(F.col("old").eqNullSafe(F.col("asked")), "unchanged")
         .otherwise("updated")
         .alias("status"),
     )
-    return Updated(_patched(profiles, ends, paths), audit)
+    return Updated(_patched(profiles, typed, paths), audit)
+
+
+def _flat(path: str) -> str:
+    return path.replace(".", "__")
+
 
+def _writes(paths: dict[str, T.DataType]) -> dict[str, Column]:
+    """Per field, the write of a patch row that is for it."""
+    return {_flat(p): F.when(F.col("path") == p, F.col("write")) for p in paths}
 
-def _patched(profiles: DataFrame, ends: DataFrame, paths: dict[str, T.DataType]) -> DataFrame:
-    def last_write(path):
-        mine = F.when((F.col("path") == path) & F.col("end_value").isNotNull(), F.col("part"))
-        return F.max_by("end_value", mine).alias(path.replace(".", "__"))
 
-    writes = ends.groupBy("patient_id").agg(F.struct(*[last_write(p) for p in paths]).alias("w"))
+def _patched(profiles: DataFrame, typed: DataFrame, paths: dict[str, T.DataType]) -> DataFrame:
+    last = [last_in_order(write, "seq").alias(name) for name, write in _writes(paths).items()]
+    writes = typed.groupBy("patient_id").agg(F.struct(*last).alias("w"))
     joined = profiles.join(writes, "patient_id", "left")
 
     def asked(path):
-        return F.col("w." + path.replace(".", "__"))
+        return F.col("w." + _flat(path))
 
     def patched(path, dtype):
         return F.when(asked(path).isNotNull(), _typed(asked(path)["new"], dtype)).otherwise(F.col(path))
