@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ..operators.readings import dedup_readings, flatten_readings
 from ..session import scratch_path
 from ..sources.files import stream_readings
-from ..sources.sinks import publish_profiles, read_current_profiles
+from ..sources.sinks import publish_profiles
 from ..sources.star import TABLES, reading_columns, risk_update_columns
-from ..streaming import feeds, sinks
+from ..streaming import feeds, risk, sinks
 from .reading_queries import FLAT, NEWEST, _cycles, _dedup, _latest, conditions_text, known_profiles
 from .registry import CONDITIONS_TEXT, query, with_both, with_readings
 from .update_queries import UPDATES, _new_profiles
@@ -31,25 +31,35 @@ def _paths(spark, name):
     return f"{root}/out", f"{root}/checkpoint"
 
 
-def _run(query):
-    query.awaitTermination()
-
-
 @contextmanager
-def _conf(spark, key, value):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _streaming_conf(spark):
+    """RocksDB state in one partition per core. A query keeps its number of state
+    partitions for life, and adaptive execution does not merge them."""
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _run(spark, start, *args, **options):
+    """Start a streaming query and wait until it has used up its input."""
+    with _streaming_conf(spark):
+        start(*args, **options).awaitTermination()
 
 
 @query("stream_ingest", _dedup("patient_id || '_' || CAST(floor(epoch(\"timestamp\") / 3600) AS BIGINT)"))
 def _(spark, sf):
     """Continuous ingest; the last write of an hour-wide key wins when the table is read."""
     out, checkpoint = _paths(spark, "ingest")
-    _run(sinks.start_ingest(reading_columns(_events(spark, sf)), out, checkpoint))
+    _run(spark, sinks.start_ingest, reading_columns(_events(spark, sf)), out, checkpoint)
     landed = dedup_readings(spark.read.parquet(out), "hour")
     return flatten_readings(landed.drop("ingested_at", "event_date"))
 
@@ -60,7 +70,7 @@ def _(spark, sf):
     out, checkpoint = _paths(spark, "dedup")
     events = reading_columns(_events(spark, sf))
     doubled = events.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
-    _run(sinks.append_stream(feeds.stream_dedup(doubled, unit="millisecond"), out, checkpoint))
+    _run(spark, sinks.append_stream, feeds.stream_dedup(doubled, unit="millisecond"), out, checkpoint)
     return flatten_readings(spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).drop("key"))
 
 
@@ -73,7 +83,7 @@ WHERE status = 'ABNORMAL'"""))
 def _(spark, sf):
     out, checkpoint = _paths(spark, "alerts")
     alerts = feeds.stream_alerts(reading_columns(_events(spark, sf)), known_profiles(spark, sf))
-    _run(sinks.append_stream(alerts, out, checkpoint))
+    _run(spark, sinks.append_stream, alerts, out, checkpoint)
     return conditions_text(spark.read.parquet(out))
 
 
@@ -81,7 +91,7 @@ def _(spark, sf):
 def _(spark, sf):
     out, checkpoint = _paths(spark, "cycles")
     counts = feeds.stream_cycle_counts(reading_columns(_events(spark, sf)), "1 hour", lateness="1 day")
-    _run(sinks.write_changes(counts, out, checkpoint))
+    _run(spark, sinks.write_changes, counts, out, checkpoint)
     latest = sinks.latest_changes(spark, out, ["window_start"])
     return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
@@ -89,7 +99,7 @@ def _(spark, sf):
 @query("stream_latest", _latest(1))
 def _(spark, sf):
     out, checkpoint = _paths(spark, "latest")
-    _run(sinks.write_changes(feeds.stream_latest(reading_columns(_events(spark, sf))), out, checkpoint))
+    _run(spark, sinks.write_changes, feeds.stream_latest(reading_columns(_events(spark, sf))), out, checkpoint)
     latest = sinks.latest_changes(spark, out, ["patient_id"])
     return flatten_readings(latest).withColumn("rn", F.lit(1))
 
@@ -100,9 +110,7 @@ SELECT patient_id, event_id, "timestamp", heart_rate, status, CAST(rn AS INTEGER
 ) WHERE rn <= 20"""))
 def _(spark, sf):
     out, checkpoint = _paths(spark, "latest-n")
-    with _conf(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
-        newest = feeds.stream_latest_n(reading_columns(_events(spark, sf)))
-        _run(sinks.write_changes(newest, out, checkpoint))
+    _run(spark, sinks.write_changes, feeds.stream_latest_n(reading_columns(_events(spark, sf))), out, checkpoint)
     return sinks.latest_changes(spark, out, ["patient_id"]).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
@@ -110,17 +118,18 @@ def _stream_risk(spark, sf):
     root = scratch_path(spark, "risk")
     publish_profiles(known_profiles(spark, sf), f"{root}/profiles")
     updates = risk_update_columns(_events(spark, sf))
-    _run(sinks.start_risk_updates(updates, f"{root}/profiles", f"{root}/history", f"{root}/checkpoint"))
+    _run(spark, risk.start_risk_updates, updates, f"{root}/profiles", f"{root}/history", f"{root}/checkpoint")
     return root
 
 
 @query("stream_risk_updates", _new_profiles("true"))
 def _(spark, sf):
-    profiles = read_current_profiles(spark, f"{_stream_risk(spark, sf)}/profiles")
+    root = _stream_risk(spark, sf)
+    profiles = risk.read_live_profiles(spark, f"{root}/profiles", f"{root}/history")
     return profiles.select("patient_id", "risk_score", "risk_score_updated")
 
 
 @query("stream_risk_history", UPDATES + """
 SELECT patient_id, seq, ts AS "timestamp", previous_score, score FROM chained WHERE found""")
 def _(spark, sf):
-    return sinks.read_risk_history(spark, f"{_stream_risk(spark, sf)}/history")
+    return risk.read_risk_history(spark, f"{_stream_risk(spark, sf)}/history")

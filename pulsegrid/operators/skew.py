@@ -65,22 +65,28 @@ def last_in_order(value: Column, *order: str) -> Column:
     return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
 
 
+def last_per_field(df: DataFrame, keys: list[str], field: Column, value: Column, order: list[str], names: list[str]) -> DataFrame:
+    """One row per ``keys`` with a column for each of ``names``: the last non-null ``value``
+    in ``order`` among the rows whose ``field`` is that name."""
+    ends = df.groupBy(*keys, field.alias("_field")).agg(last_in_order(value, *order).alias("_end"))
+    wide = [F.first(F.when(F.col("_field") == n, F.col("_end")), ignorenulls=True).alias(n) for n in names]
+    return ends.groupBy(*keys).agg(*wide)
+
+
 def values_before_parts(
-    parted: DataFrame, stored: DataFrame, key: str, writes: dict[str, Column], order: list[str]
+    parted: DataFrame, stored: DataFrame, key: str, field: Column, value: Column, order: list[str]
 ) -> DataFrame:
-    """Per (key, part): the values in force when the part begins, one column for each of ``writes``.
+    """Per (key, part): the values in force when the part begins, a column per field.
 
-    They are the ``stored`` ones (a row per key, columns named like the writes) for keys
-    that are not split, and for later parts of hot keys the last non-null writes of the
-    earlier parts. Keys that are not stored have no row.
+    ``stored`` has a row per key and a column per field; its values hold for keys that
+    are not split. For the later parts of hot keys the last non-null ``value`` of the
+    earlier parts' rows holds, of those whose ``field`` names the column. Keys that are
+    not stored have no row.
     """
-    names = list(writes)
+    names = [c for c in stored.columns if c != key]
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (
-        parted.filter(F.col("part") != NOT_SPLIT)
-        .groupBy(key, "part")
-        .agg(*[last_in_order(write, *order).alias(name) for name, write in writes.items()])
-    )
+    hot = parted.filter(F.col("part") != NOT_SPLIT)
+    ends = last_per_field(hot, [key, "part"], field, value, order, names)
     carried = ends.select(key, "part", *[F.last(n, ignorenulls=True).over(earlier).alias(f"_{n}") for n in names])
     split = carried.join(stored, key).select(key, "part", *[F.coalesce(f"_{n}", n).alias(n) for n in names])
     return stored.select(key, F.lit(NOT_SPLIT).alias("part"), *names).unionByName(split)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.bands import risk_band
 from ..params import DEFAULTS, Params
 from .cards import split_history
-from .skew import HOT_ROWS, HOT_SHARE, last_in_order, value_before_row, values_before_parts, with_parts
+from .skew import HOT_ROWS, HOT_SHARE, last_per_field, value_before_row, values_before_parts, with_parts
 
 NOT_IN_PROFILE = ("patient_id", "risk_score_history")
 PATCHES_PER_PART = 100_000
@@ -52,7 +52,7 @@ def apply_risk_updates(
     minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
     parted = with_parts(asked, "patient_id", minute, hot_share, hot_rows)
     stored = profiles.select("patient_id", F.struct(F.coalesce("risk_score", F.lit(0)).alias("score")).alias("start"))
-    starts = values_before_parts(parted, stored, "patient_id", {"start": write}, order)
+    starts = values_before_parts(parted, stored, "patient_id", F.lit("start"), write, order)
     rows = value_before_row(parted, ["patient_id"], order, write, "in_part").join(starts, ["patient_id", "part"], "left")
     found = F.col("start").isNotNull()
     delta = F.col("score") - F.col("previous_score")
@@ -149,6 +149,7 @@ def apply_profile_patches(
         "patient_id",
         "path",
         "seq",
+        F.replace("path", F.lit("."), F.lit("__")).alias("field"),
         F.coalesce("new", "value").alias("asked"),
         F.when(valid, F.struct("new")).alias("write"),
     )
@@ -156,7 +157,7 @@ def apply_profile_patches(
     stored = profiles.select(
         "patient_id", *[F.struct(_text(F.col(p), t).alias("new")).alias(_flat(p)) for p, t in paths.items()]
     )
-    starts = values_before_parts(parted, stored, "patient_id", _writes(paths), ["seq"])
+    starts = values_before_parts(parted, stored, "patient_id", F.col("field"), F.col("write"), ["seq"])
     # The window's rows are laid out for the join, so that they are shuffled once.
     laid_out = parted.repartition("patient_id", "part")
     rows = value_before_row(laid_out, ["patient_id", "path"], ["seq"], F.col("write"), "in_part").join(
@@ -184,15 +185,10 @@ def _flat(path: str) -> str:
     return path.replace(".", "__")
 
 
-def _writes(paths: dict[str, T.DataType]) -> dict[str, Column]:
-    """Per field, the write of a patch row that is for it."""
-    return {_flat(p): F.when(F.col("path") == p, F.col("write")) for p in paths}
-
-
 def _patched(profiles: DataFrame, typed: DataFrame, paths: dict[str, T.DataType]) -> DataFrame:
-    last = [last_in_order(write, "seq").alias(name) for name, write in _writes(paths).items()]
-    writes = typed.groupBy("patient_id").agg(F.struct(*last).alias("w"))
-    joined = profiles.join(writes, "patient_id", "left")
+    names = [_flat(p) for p in paths]
+    last = last_per_field(typed, ["patient_id"], F.col("field"), F.col("write"), ["seq"], names)
+    joined = profiles.join(last.select("patient_id", F.struct(*names).alias("w")), "patient_id", "left")
 
     def asked(path):
         return F.col("w." + _flat(path))

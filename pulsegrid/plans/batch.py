@@ -127,8 +127,10 @@ def run_batch(
     return analyses_of(cube, top_conditions(profiles, k, params), as_of)
 
 
-def save_batch(profiles: DataFrame, path: str, as_of=None, k: int = 10, params: Params = DEFAULTS) -> dict[str, str]:
-    """Write every analysis below ``path``. The cube is written first and the analyses
+def save_batch(
+    profiles: DataFrame, path: str, as_of=None, k: int = 10, params: Params = DEFAULTS, fmt: str = "parquet"
+) -> dict[str, str]:
+    """Write every analysis below ``path``; returns where. The cube is written first and the analyses
     read it back, so the profiles are scanned once for all of them; the small writes
     run side by side."""
     spark = profiles.sparkSession
@@ -136,7 +138,7 @@ def save_batch(profiles: DataFrame, path: str, as_of=None, k: int = 10, params:
     results = analyses_of(cube, top_conditions(profiles, k, params), as_of)
     with ThreadPoolExecutor(max_workers=4) as pool:
         writes = {
-            name: pool.submit(inheritable_thread_target(spark)(write_result), df, path, name)
+            name: pool.submit(inheritable_thread_target(spark)(write_result), df, path, name, fmt)
             for name, df in results.items()
         }
         return {name: write.result() for name, write in writes.items()}

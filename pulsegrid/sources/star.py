@@ -104,8 +104,8 @@ def star_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``view`` sends ages as text that is not a number for k below 5, and ``purchase`` a
     null note for even k.
     """
-    k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
-    kind = F.col("event_type")
+    events = table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", r"(\d+)", 1).cast("int"))
+    k, kind = F.col("k"), F.col("event_type")
     path = (
         F.when(kind == "view", "age")
         .when(kind == "click", "contact.phone")
@@ -119,7 +119,7 @@ def star_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "view", (20 + F.floor(k / 25)).cast("string"))
         .otherwise((k % 4).cast("string"))
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("user_id").alias("patient_id"),
         path.alias("path"),
         value.alias("value"),

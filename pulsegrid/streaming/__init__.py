@@ -5,12 +5,11 @@ from .feeds import (  # noqa: F401
     stream_latest,
     stream_latest_n,
 )
+from .risk import read_live_profiles, read_risk_history, start_risk_updates  # noqa: F401
 from .sinks import (  # noqa: F401
     append_stream,
     batch_durations,
     latest_changes,
-    read_risk_history,
     start_ingest,
-    start_risk_updates,
     write_changes,
 )

@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from ..operators.updates import apply_risk_updates
-from ..sources.sinks import current_version, publish_profiles, read_current_profiles
 
-
-def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
+def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -23,7 +20,7 @@ def append_stream(
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    return _start(writer, checkpoint, every)
+    return start(writer, checkpoint, every)
 
 
 def start_ingest(readings: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -43,7 +40,7 @@ def write_changes(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _start(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every)
+    return start(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every)
 
 
 def latest_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -53,35 +50,6 @@ def latest_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     return changes.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "batch_id")
 
 
-def start_risk_updates(
-    updates: DataFrame,
-    profiles_root: str,
-    history_path: str,
-    checkpoint: str,
-    skip_unchanged: bool = False,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Apply each micro-batch of risk updates to the current profile version and publish
-    the next; the new history rows go to ``history_path``."""
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # A streaming session plans without it; the join and windows here are batch work.
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        if current_version(spark, profiles_root)[1] >= batch_id:
-            return
-        result = apply_risk_updates(read_current_profiles(spark, profiles_root), batch, skip_unchanged)
-        result.history.write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
-        publish_profiles(result.profiles, profiles_root, batch_id)
-
-    return _start(updates.writeStream.outputMode("append").foreachBatch(apply), checkpoint, every)
-
-
-def read_risk_history(spark: SparkSession, history_path: str) -> DataFrame:
-    """All history rows that ``start_risk_updates`` has written."""
-    return spark.read.parquet(history_path).drop("batch_id")
-
-
 def batch_durations(query: StreamingQuery) -> list[dict]:
     """Batch id, rows and milliseconds of the query's last micro-batches: the ingest latency."""
     return [

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from conftest import profile, tuples
 from pulsegrid import operators as ops
+from pulsegrid.__main__ import main
 from pulsegrid.functions import age_band, band, gender_label, heart_rate_severity, risk_band
 from pulsegrid.params import Params
 from pulsegrid.plans import daily_report, profile_cube, run_batch, save_batch
 from pulsegrid.schemas import PROFILE_SCHEMA
-from pulsegrid.sources import read_result
+from pulsegrid.sources import export_profiles, read_result
 
 NOW = datetime(2025, 6, 30, 12)
 
@@ -155,3 +156,13 @@ def test_band_counts_add_up(profiles_of, people):
     assert sum(n for _, n in tuples(ops.distribution(table, "age_band", all_bands=True))) == len(people)
     _, high, medium, low = tuples(ops.risk_summary(table))[0]
     assert high + medium + low == sum(risk is not None for _, risk in people)
+
+
+def test_batch_job_from_the_command_line(spark, ward, tmp_path):
+    export_profiles(ward, str(tmp_path / "in"))
+    main(["batch", "--profiles", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--output-format", "json",
+          "--as-of", NOW.isoformat()])
+    risk = spark.read.json(str(tmp_path / "out" / "analysis=risk_summary")).first()
+    assert risk.asDict() == {"avg_risk": 5.75, "high": 2, "medium": 1, "low": 1}
+    main(["report", "--profiles", str(tmp_path / "in"), "--out", str(tmp_path / "out")])
+    assert read_result(spark, str(tmp_path / "out" / "analysis=daily_report")).filter("section = 'risk'").count() == 4

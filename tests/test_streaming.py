@@ -9,7 +9,7 @@ from conftest import profile
 from pulsegrid import operators as ops
 from pulsegrid import streaming as st
 from pulsegrid.schemas import RISK_UPDATE_SCHEMA
-from pulsegrid.sources import publish_profiles, read_current_profiles, stream_readings
+from pulsegrid.sources import current_version, publish_profiles, read_current_profiles, stream_readings
 
 T0 = datetime(2025, 1, 1, 10)
 EVENT = "patient_id string, event_id long, timestamp timestamp, heart_rate double, blood_pressure struct<systolic:int,diastolic:int>, status string"
@@ -137,7 +137,8 @@ def test_latest_n_equals_batch_over_a_restart(feed, paths, spark):
     assert got == rows(ops.latest_readings(feed.batch(), 2), *columns)
 
 
-def test_risk_updates_chain_over_batches_and_restarts(spark, tmp_path, profiles_of):
+@pytest.mark.parametrize("publish_every", [1, 2, 100])
+def test_risk_updates_chain_over_batches_and_restarts(publish_every, spark, tmp_path, profiles_of):
     root, history, checkpoint = (str(tmp_path / d) for d in ("profiles", "history", "checkpoint"))
     publish_profiles(profiles_of(profile("A", risk=5), profile("B", risk=1)), root)
     incoming = tmp_path / "in"
@@ -151,15 +152,16 @@ def test_risk_updates_chain_over_batches_and_restarts(spark, tmp_path, profiles_
 
     def go():
         stream = stream_readings(spark, str(incoming), max_files=1, schema=RISK_UPDATE_SCHEMA)
-        run(st.start_risk_updates(stream, root, history, checkpoint))
+        run(st.start_risk_updates(stream, root, history, checkpoint, publish_every=publish_every))
 
     send(1, ("A", 7), ("A", 9), ("Z", 4))
     send(2, ("B", 2))
     go()
     send(3, ("A", 3))
     go()
-    after = {r.patient_id: r.risk_score for r in read_current_profiles(spark, root).collect()}
-    assert after == {"A": 3, "B": 2}
+    after = {r.patient_id: (r.risk_score, r.risk_score_updated) for r in st.read_live_profiles(spark, root, history).collect()}
+    assert after == {"A": (3, T0 + timedelta(minutes=3)), "B": (2, T0 + timedelta(minutes=2))}
+    assert current_version(spark, root)[0] == 1 + 3 // publish_every
     chain = st.read_risk_history(spark, history).filter("patient_id = 'A'").orderBy("seq").collect()
     assert [(r.previous_score, r.score) for r in chain] == [(5, 7), (7, 9), (9, 3)]
 
