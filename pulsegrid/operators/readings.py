@@ -23,9 +23,15 @@ def abnormal_only(readings: DataFrame) -> DataFrame:
 
 
 def within_minutes(readings: DataFrame, minutes: int, as_of=None) -> DataFrame:
-    """Readings of the last ``minutes`` before ``as_of`` (default: now)."""
+    """Readings of the last ``minutes`` before ``as_of`` (default: now).
+
+    On a table with an ``event_date`` only the dates of that time are read.
+    """
     moment = F.localtimestamp() if as_of is None else F.lit(as_of)
-    return readings.filter(F.col("timestamp") >= moment - F.make_dt_interval(mins=F.lit(minutes)))
+    since = moment - F.make_dt_interval(mins=F.lit(minutes))
+    if "event_date" in readings.columns:
+        readings = readings.filter(F.col("event_date") >= F.to_date(since))
+    return readings.filter(F.col("timestamp") >= since)
 
 
 def _pressure(name: str) -> Column:

@@ -43,6 +43,12 @@ READING_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
 ])
 
+LANDED_READING_SCHEMA = T.StructType([
+    *READING_SCHEMA.fields,
+    T.StructField("ingested_at", T.TimestampType()),
+    T.StructField("event_date", T.DateType()),
+])
+
 # One row per score change; the whole history of a patient is the set of its rows.
 RISK_HISTORY_SCHEMA = T.StructType([
     T.StructField("patient_id", T.StringType()),

@@ -2,6 +2,7 @@ from .files import (  # noqa: F401
     corrupt_lines,
     import_key_values,
     land_parquet,
+    read_landed_readings,
     read_profiles,
     read_readings,
     read_result,

@@ -8,24 +8,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import key_patient_id
-from ..schemas import PROFILE_SCHEMA, READING_SCHEMA
+from ..schemas import LANDED_READING_SCHEMA, PROFILE_SCHEMA, READING_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    return spark.read.schema(schema).format(fmt).load(path)
+    """Rows of ``path``. A JSON line that does not parse gives no row; one with a field
+    that does not fit keeps its other fields."""
+    if fmt != "json":
+        return spark.read.schema(schema).format(fmt).load(path)
+    marked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    rows = spark.read.schema(marked).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return rows.filter(F.col(CORRUPT).isNull() | F.col("patient_id").isNotNull()).drop(CORRUPT)
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Patient profiles. Lines that do not parse give a row without patient_id and are left out;
-    ``corrupt_lines`` returns them."""
-    return _read(spark, path, PROFILE_SCHEMA, fmt).filter(F.col("patient_id").isNotNull())
+    """Patient profiles; ``corrupt_lines`` returns the JSON lines that gave none."""
+    return _read(spark, path, PROFILE_SCHEMA, fmt)
 
 
 def read_readings(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """All monitoring readings in one scan."""
-    return _read(spark, path, READING_SCHEMA, fmt).filter(F.col("patient_id").isNotNull())
+    return _read(spark, path, READING_SCHEMA, fmt)
+
+
+def read_landed_readings(spark: SparkSession, path: str) -> DataFrame:
+    """Readings landed by ``append_readings`` or ``start_ingest``, with their load time and date.
+
+    ``dedup_readings`` over them lets the last load of a key win.
+    """
+    return spark.read.schema(LANDED_READING_SCHEMA).parquet(path)
 
 
 def corrupt_lines(spark: SparkSession, path: str, schema: T.StructType = PROFILE_SCHEMA) -> DataFrame:

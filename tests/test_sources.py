@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import profile, reading, tuples
 from pulsegrid import sources as src
-from pulsegrid.operators import dedup_readings
+from pulsegrid.operators import dedup_readings, within_minutes
 from pulsegrid.schemas import PROFILE_SCHEMA
 from pulsegrid.session import scratch_path
 from pulsegrid.sources.sinks import version_path
@@ -16,13 +16,17 @@ def test_profiles_from_json_lines(spark, tmp_path):
     good = {"patient_id": "P1", "age": 30, "contact": {"city": "Oran"}, "medical_history": {"conditions": []},
             "admission_date": "2025-09-28T17:46:13.496700", "extra": 1}
     no_fraction = {"patient_id": "P2", "admission_date": "2025-09-28T17:46:13"}
-    (tmp_path / "p.json").write_text("\n".join([json.dumps(good), json.dumps(no_fraction), "{broken", ""]))
+    no_id, bad_age = {"age": 70}, {"patient_id": "P3", "age": "old", "gender": "M"}
+    lines = [json.dumps(d) for d in (good, no_fraction, no_id, bad_age)]
+    (tmp_path / "p.json").write_text("\n".join([*lines, "{broken", ""]))
     profiles = src.read_profiles(spark, str(tmp_path))
     assert profiles.schema == PROFILE_SCHEMA
     rows = {r.patient_id: r for r in profiles.collect()}
     assert rows["P1"].admission_date == datetime(2025, 9, 28, 17, 46, 13, 496700) and rows["P1"].contact.city == "Oran"
     assert rows["P1"].risk_score is None and rows["P2"].admission_date == datetime(2025, 9, 28, 17, 46, 13)
-    assert [r.line for r in src.corrupt_lines(spark, str(tmp_path)).collect()] == ["{broken"]
+    assert profiles.count() == 4 and rows[None].age == 70
+    assert rows["P3"].age is None and rows["P3"].gender == "M"
+    assert [r.line for r in src.corrupt_lines(spark, str(tmp_path)).collect()] == [lines[3], "{broken"]
 
 
 def test_export_drops_the_store_id_and_keeps_microseconds(spark, profiles_of, tmp_path):
@@ -47,9 +51,11 @@ def test_appended_readings(spark, readings_of, tmp_path):
     path = str(tmp_path / "readings")
     src.append_readings(readings_of(reading("P1", datetime(2025, 1, 1), 61), reading("P1", datetime(2025, 1, 2), 62)), path)
     src.append_readings(readings_of(reading("P1", datetime(2025, 1, 1), 99)), path)
-    table = spark.read.parquet(path)
+    table = src.read_landed_readings(spark, path)
     assert sorted(r.heart_rate for r in dedup_readings(table).collect()) == [62, 99]
-    plan = table.filter("event_date = DATE'2025-01-02'")._jdf.queryExecution().executedPlan().toString()
+    recent = within_minutes(table, 60, datetime(2025, 1, 2, 0, 30))
+    assert [r.heart_rate for r in recent.collect()] == [62]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
