@@ -43,8 +43,8 @@ def _(spark, sf):
     """JSON landed as Parquet, then replaced as a published version."""
     raw, root = scratch_path(spark, "profiles-raw"), scratch_path(spark, "profiles")
     sinks.export_profiles(star_profiles(spark, sf).withColumn("patient_id", text_id()), raw)
-    sinks.publish_profiles(files.read_profiles(spark, raw), root)
-    return _card(sinks.read_current_profiles(spark, root))
+    sinks.publish_version(files.read_profiles(spark, raw), root)
+    return _card(sinks.read_published(spark, root))
 
 
 @query("batch_saved", BATCH)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.readings import dedup_readings, flatten_readings
 from ..session import scratch_path
 from ..sources.files import stream_readings
-from ..sources.sinks import publish_profiles
+from ..sources.sinks import publish_version
 from ..sources.star import TABLES, reading_columns, risk_update_columns
 from ..streaming import feeds, risk, sinks
 from .reading_queries import FLAT, NEWEST, _cycles, _dedup, _latest, conditions_text, known_profiles
@@ -91,7 +91,7 @@ def _(spark, sf):
 def _(spark, sf):
     out, checkpoint = _paths(spark, "cycles")
     counts = feeds.stream_cycle_counts(reading_columns(_events(spark, sf)), "1 hour", lateness="1 day")
-    _run(spark, sinks.write_changes, counts, out, checkpoint)
+    _run(spark, sinks.write_changes, counts, out, checkpoint, ["window_start"])
     latest = sinks.latest_changes(spark, out, ["window_start"])
     return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
@@ -99,7 +99,7 @@ def _(spark, sf):
 @query("stream_latest", _latest(1))
 def _(spark, sf):
     out, checkpoint = _paths(spark, "latest")
-    _run(spark, sinks.write_changes, feeds.stream_latest(reading_columns(_events(spark, sf))), out, checkpoint)
+    _run(spark, sinks.write_changes, feeds.stream_latest(reading_columns(_events(spark, sf))), out, checkpoint, ["patient_id"])
     latest = sinks.latest_changes(spark, out, ["patient_id"])
     return flatten_readings(latest).withColumn("rn", F.lit(1))
 
@@ -110,13 +110,14 @@ SELECT patient_id, event_id, "timestamp", heart_rate, status, CAST(rn AS INTEGER
 ) WHERE rn <= 20"""))
 def _(spark, sf):
     out, checkpoint = _paths(spark, "latest-n")
-    _run(spark, sinks.write_changes, feeds.stream_latest_n(reading_columns(_events(spark, sf))), out, checkpoint)
+    newest = feeds.stream_latest_n(reading_columns(_events(spark, sf)))
+    _run(spark, sinks.write_changes, newest, out, checkpoint, ["patient_id"])
     return sinks.latest_changes(spark, out, ["patient_id"]).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def _stream_risk(spark, sf):
     root = scratch_path(spark, "risk")
-    publish_profiles(known_profiles(spark, sf), f"{root}/profiles")
+    publish_version(known_profiles(spark, sf), f"{root}/profiles")
     updates = risk_update_columns(_events(spark, sf))
     _run(spark, risk.start_risk_updates, updates, f"{root}/profiles", f"{root}/history", f"{root}/checkpoint")
     return root

@@ -12,8 +12,8 @@ from .sinks import (  # noqa: F401
     append_readings,
     current_version,
     export_profiles,
-    publish_profiles,
-    read_current_profiles,
+    publish_version,
+    read_published,
     replace_profiles,
     write_result,
 )

@@ -1,4 +1,4 @@
-"""Writers, and profile tables as numbered versions (Parquet has no row-level update)."""
+"""Writers, and tables as numbered versions (Parquet has no row-level update)."""
 
 from __future__ import annotations
 
@@ -61,19 +61,20 @@ def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v={version:08d}"
 
 
-def publish_profiles(profiles: DataFrame, root: str, batch_id: int = -1) -> int:
-    """Write a new version, then log it. Readers see it only once it is whole, and a
-    writer that dies in between leaves a directory that the next try overwrites."""
-    spark = profiles.sparkSession
+def publish_version(df: DataFrame, root: str, batch_id: int = -1) -> int:
+    """Write a new version of the table at ``root``, then log it. Readers see it only once
+    it is whole, and a writer that dies in between leaves a directory that the next try
+    overwrites. ``batch_id`` is the last micro-batch that it contains."""
+    spark = df.sparkSession
     version = current_version(spark, root)[0] + 1
-    profiles.write.mode("overwrite").parquet(version_path(root, version))
+    df.write.mode("overwrite").parquet(version_path(root, version))
     log = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(batch_id).cast("long").alias("batch_id"))
     log.coalesce(1).write.mode("append").json(_log_path(root))
     return version
 
 
-def read_current_profiles(spark: SparkSession, root: str) -> DataFrame:
+def read_published(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)[0]
     if version == 0:
-        raise ValueError(f"no published profiles in {root}")
+        raise ValueError(f"nothing is published in {root}")
     return spark.read.parquet(version_path(root, version))

@@ -67,27 +67,6 @@ READING_STATE = T.StructType([
 ])
 
 
-class _LatestN(StatefulProcessor):
-    """Keeps a patient's newest n readings, and forgets a patient after ``ttl_ms`` without any."""
-
-    def __init__(self, n: int, ttl_ms: int | None) -> None:
-        self.n = n
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getListState("newest", READING_STATE, self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        arrived = ((r.micros, r.event_id, r.heart_rate, r.status) for r in rows)
-        kept = nlargest(self.n, chain(self.newest.get(), arrived), key=lambda r: (r[0], r[1]))
-        self.newest.put([tuple(r) for r in kept])
-        for rn, r in enumerate(kept, 1):
-            yield Row(patient_id=key[0], rn=rn, micros=r[0], event_id=r[1], heart_rate=r[2], status=r[3])
-
-    def close(self) -> None:
-        pass
-
-
 def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None) -> DataFrame:
     """The newest n readings of every patient that changed, numbered ``rn`` from 1 (update mode).
 
@@ -110,6 +89,23 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
             newest = batch.sort_values(["micros", "event_id"], ascending=False)
             yield newest.groupby("patient_id", sort=False, dropna=False).head(n)
 
+    # Local, so that it is sent to the workers by value.
+    class LatestN(StatefulProcessor):
+        """Keeps a patient's newest n readings, and forgets a patient after ``ttl_ms`` without any."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.newest = handle.getListState("newest", READING_STATE, ttl_ms)
+
+        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+            arrived = ((r.micros, r.event_id, r.heart_rate, r.status) for r in rows)
+            kept = nlargest(n, chain(self.newest.get(), arrived), key=lambda r: (r[0], r[1]))
+            self.newest.put([tuple(r) for r in kept])
+            for rn, r in enumerate(kept, 1):
+                yield Row(patient_id=key[0], rn=rn, micros=r[0], event_id=r[1], heart_rate=r[2], status=r[3])
+
+        def close(self) -> None:
+            pass
+
     out = T.StructType([
         T.StructField("patient_id", readings.schema["patient_id"].dataType),
         T.StructField("rn", T.IntegerType()),
@@ -118,6 +114,6 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
     return (
         rows.mapInPandas(newest_of_batch, rows.schema)
         .groupBy("patient_id")
-        .transformWithState(_LatestN(n, ttl_ms), out, "Update", "ProcessingTime" if ttl_ms else "None")
+        .transformWithState(LatestN(), out, "Update", "ProcessingTime" if ttl_ms else "None")
         .select("patient_id", "rn", F.timestamp_micros("micros").alias("timestamp"), "event_id", "heart_rate", "status")
     )

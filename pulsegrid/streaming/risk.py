@@ -7,7 +7,6 @@ table is rewritten only every ``publish_every`` micro-batches, not with each.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,20 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.profiles import lookup
 from ..operators.skew import top_n_per_key
 from ..operators.updates import apply_risk_updates
-from ..sources.sinks import current_version, publish_profiles, read_current_profiles
-from .sinks import start
-
-
-def _history(spark: SparkSession, path: str, after: int, until: int | None = None) -> DataFrame | None:
-    """History rows of the micro-batches after ``after`` up to ``until``; None before the first."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    rows = rows.filter(F.col("batch_id") > after)
-    return rows if until is None else rows.filter(F.col("batch_id") <= until)
+from ..sources.sinks import current_version, publish_version, read_published
+from .sinks import read_batches, start
 
 
 def _in_force(profiles: DataFrame, history: DataFrame | None) -> DataFrame:
@@ -72,16 +59,16 @@ def start_risk_updates(
         if published >= batch_id:
             return
         batch = batch.persist()  # it is used several times
-        profiles = read_current_profiles(spark, profiles_root)
-        earlier = _history(spark, history_path, published, batch_id - 1)
+        profiles = read_published(spark, profiles_root)
+        earlier = read_batches(spark, history_path, published, batch_id - 1)
         touched = lookup(profiles.select("patient_id", "risk_score"), batch)
         if earlier is not None:
             earlier = lookup(earlier, batch)
         result = apply_risk_updates(_in_force(touched, earlier), batch, skip_unchanged)
         result.history.write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
         if (batch_id + 1) % publish_every == 0:
-            applied = _history(spark, history_path, published, batch_id)
-            publish_profiles(_in_force(profiles, applied), profiles_root, batch_id)
+            applied = read_batches(spark, history_path, published, batch_id)
+            publish_version(_in_force(profiles, applied), profiles_root, batch_id)
         batch.unpersist()
 
     return start(updates.writeStream.outputMode("append").foreachBatch(apply), checkpoint, every)
@@ -90,7 +77,7 @@ def start_risk_updates(
 def read_live_profiles(spark: SparkSession, profiles_root: str, history_path: str) -> DataFrame:
     """The published profiles with all risk updates since applied."""
     published = current_version(spark, profiles_root)[1]
-    return _in_force(read_current_profiles(spark, profiles_root), _history(spark, history_path, published))
+    return _in_force(read_published(spark, profiles_root), read_batches(spark, history_path, published))
 
 
 def read_risk_history(spark: SparkSession, history_path: str) -> DataFrame:

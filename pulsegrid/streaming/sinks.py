@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from ..sources.sinks import current_version, publish_version, read_published
+
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
@@ -32,22 +35,49 @@ def start_ingest(readings: DataFrame, path: str, checkpoint: str, every: str | N
     return append_stream(landed, path, checkpoint, "event_date", every)
 
 
+def read_batches(spark: SparkSession, path: str, after: int, until: int | None = None) -> DataFrame | None:
+    """Rows below ``path/batch_id=N`` of the micro-batches after ``after`` up to ``until``,
+    with their ``batch_id``; None before the first one."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    rows = rows.filter(F.col("batch_id") > after)
+    return rows if until is None else rows.filter(F.col("batch_id") <= until)
+
+
 def write_changes(
-    df: DataFrame, path: str, checkpoint: str, mode: str = "update", every: str | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: list[str],
+    mode: str = "update",
+    publish_every: int = 100,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Write each micro-batch's changed rows to ``path/batch_id=N``; see ``latest_changes``."""
+    """Write each micro-batch's changed rows to ``path/changes/batch_id=N``. Every
+    ``publish_every`` micro-batches the current rows of all ``keys`` are published as a
+    version, so that ``latest_changes`` has only the changes since then to read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        spark = batch.sparkSession
+        if (batch_id + 1) % publish_every == 0 and current_version(spark, path)[1] < batch_id:
+            publish_version(latest_changes(spark, path, keys), path, batch_id)
 
     return start(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every)
 
 
 def latest_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The rows of every key from the last micro-batch that changed it."""
+    version, published = current_version(spark, path)
+    rows = read_batches(spark, f"{path}/changes", published)
+    if version:
+        rows = rows.unionByName(read_published(spark, path).withColumn("batch_id", F.lit(published)))
     newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    changes = spark.read.option("basePath", path).parquet(path)
-    return changes.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "batch_id")
+    return rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "batch_id")
 
 
 def batch_durations(query: StreamingQuery) -> list[dict]:

@@ -63,13 +63,13 @@ def test_versions(spark, profiles_of, tmp_path):
     root = str(tmp_path / "profiles")
     assert src.current_version(spark, root) == (0, -1)
     with pytest.raises(ValueError):
-        src.read_current_profiles(spark, root)
-    src.publish_profiles(profiles_of(profile("P1")), root)
+        src.read_published(spark, root)
+    src.publish_version(profiles_of(profile("P1")), root)
     # A writer that died before logging its version leaves a directory that nobody reads.
     profiles_of(profile("P8")).write.parquet(version_path(root, 2))
-    assert [r.patient_id for r in src.read_current_profiles(spark, root).collect()] == ["P1"]
-    assert src.publish_profiles(profiles_of(profile("P2")), root, batch_id=4) == 2
-    assert [r.patient_id for r in src.read_current_profiles(spark, root).collect()] == ["P2"]
+    assert [r.patient_id for r in src.read_published(spark, root).collect()] == ["P1"]
+    assert src.publish_version(profiles_of(profile("P2")), root, batch_id=4) == 2
+    assert [r.patient_id for r in src.read_published(spark, root).collect()] == ["P2"]
     assert src.current_version(spark, root) == (2, 4)
 
 

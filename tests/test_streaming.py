@@ -9,7 +9,7 @@ from conftest import profile
 from pulsegrid import operators as ops
 from pulsegrid import streaming as st
 from pulsegrid.schemas import RISK_UPDATE_SCHEMA
-from pulsegrid.sources import current_version, publish_profiles, read_current_profiles, stream_readings
+from pulsegrid.sources import current_version, publish_version, read_published, stream_readings
 
 T0 = datetime(2025, 1, 1, 10)
 EVENT = "patient_id string, event_id long, timestamp timestamp, heart_rate double, blood_pressure struct<systolic:int,diastolic:int>, status string"
@@ -99,7 +99,7 @@ def test_alerts_equal_batch(feed, paths, spark, profiles_of):
 
 def test_cycle_counts_equal_batch(feed, paths, spark):
     three_batches(feed)
-    run(st.write_changes(st.stream_cycle_counts(feed.stream()), *paths))
+    run(st.write_changes(st.stream_cycle_counts(feed.stream()), *paths, ["window_start"], publish_every=2))
     columns = ("window_start", "events", "abnormal")
     assert rows(st.latest_changes(spark, paths[0], ["window_start"]), *columns) == rows(ops.cycle_counts(feed.batch()), *columns)
 
@@ -118,7 +118,7 @@ def test_append_mode_drops_late_rows(feed, paths, spark):
 
 def test_latest_equals_batch(feed, paths, spark):
     three_batches(feed)
-    run(st.write_changes(st.stream_latest(feed.stream()), *paths))
+    run(st.write_changes(st.stream_latest(feed.stream()), *paths, ["patient_id"]))
     columns = ("patient_id", "event_id", "heart_rate", "status")
     assert rows(st.latest_changes(spark, paths[0], ["patient_id"]), *columns) == rows(ops.latest_readings(feed.batch(), 1), *columns)
 
@@ -128,9 +128,9 @@ def test_latest_n_equals_batch_over_a_restart(feed, paths, spark):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     try:
         three_batches(feed)
-        run(st.write_changes(st.stream_latest_n(feed.stream(), 2), *paths))
+        run(st.write_changes(st.stream_latest_n(feed.stream(), 2), *paths, ["patient_id"], publish_every=2))
         feed.send(("A", 11, 73, "NORMAL"), ("D", 0, 60, "NORMAL"), ("B", 1, 81, "NORMAL"))
-        run(st.write_changes(st.stream_latest_n(feed.stream(), 2), *paths))
+        run(st.write_changes(st.stream_latest_n(feed.stream(), 2), *paths, ["patient_id"], publish_every=2))
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     got = rows(st.latest_changes(spark, paths[0], ["patient_id"]), *columns)
@@ -140,7 +140,7 @@ def test_latest_n_equals_batch_over_a_restart(feed, paths, spark):
 @pytest.mark.parametrize("publish_every", [1, 2, 100])
 def test_risk_updates_chain_over_batches_and_restarts(publish_every, spark, tmp_path, profiles_of):
     root, history, checkpoint = (str(tmp_path / d) for d in ("profiles", "history", "checkpoint"))
-    publish_profiles(profiles_of(profile("A", risk=5), profile("B", risk=1)), root)
+    publish_version(profiles_of(profile("A", risk=5), profile("B", risk=1)), root)
     incoming = tmp_path / "in"
     incoming.mkdir()
 
@@ -169,10 +169,10 @@ def test_risk_updates_chain_over_batches_and_restarts(publish_every, spark, tmp_
 def test_a_replayed_batch_is_applied_once(spark, tmp_path, profiles_of):
     """The version log says that batch 0 is done, so a new checkpoint's batch 0 is skipped."""
     root, history = str(tmp_path / "profiles"), str(tmp_path / "history")
-    publish_profiles(profiles_of(profile("A", risk=5)), root, batch_id=0)
+    publish_version(profiles_of(profile("A", risk=5)), root, batch_id=0)
     incoming = tmp_path / "in"
     incoming.mkdir()
     (incoming / "0.json").write_text('{"patient_id": "A", "score": 9, "ts": "2025-01-01T00:00:00", "seq": 1}')
     stream = stream_readings(spark, str(incoming), schema=RISK_UPDATE_SCHEMA)
     run(st.start_risk_updates(stream, root, history, str(tmp_path / "checkpoint")))
-    assert read_current_profiles(spark, root).first().risk_score == 5
+    assert read_published(spark, root).first().risk_score == 5
