@@ -40,14 +40,14 @@ def top_n_per_key(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
-def with_parts(
-    df: DataFrame, key: str, part: Column, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_parts(df: DataFrame, key: str, part: Column, min_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``part``: NOT_SPLIT for ordinary keys, the long ``part`` expression for hot ones.
 
-    Key sizes come from a pre-aggregated count over the key column alone.
+    ``part`` must rise with the order of a key's rows; where it is null, the row is one
+    of the first. Rows without key belong to nobody and are only spread. Key sizes come
+    from a pre-aggregated count over the key column alone.
     """
-    limit = F.greatest(df.select(F.count("*") * share).scalar(), F.lit(float(min_rows)))
+    limit = F.greatest(df.select(F.count("*") * HOT_SHARE).scalar(), F.lit(float(min_rows)))
     hot = (
         df.groupBy(key).agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > limit)
@@ -55,7 +55,12 @@ def with_parts(
     )
     return (
         df.join(F.broadcast(hot), key, "left")
-        .withColumn("part", F.when(F.col("_hot"), part).otherwise(F.lit(NOT_SPLIT)).cast("long"))
+        .withColumn(
+            "part",
+            F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
+            .when(F.col("_hot"), F.coalesce(part.cast("long"), F.lit(NOT_SPLIT + 1)))
+            .otherwise(F.lit(NOT_SPLIT)),
+        )
         .drop("_hot")
     )
 
@@ -85,7 +90,7 @@ def values_before_parts(
     """
     names = [c for c in stored.columns if c != key]
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    hot = parted.filter(F.col("part") != NOT_SPLIT)
+    hot = parted.filter((F.col("part") != NOT_SPLIT) & F.col(key).isNotNull())
     ends = last_per_field(hot, [key, "part"], field, value, order, names)
     carried = ends.select(key, "part", *[F.last(n, ignorenulls=True).over(earlier).alias(f"_{n}") for n in names])
     split = carried.join(stored, key).select(key, "part", *[F.coalesce(f"_{n}", n).alias(n) for n in names])

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.bands import risk_band
 from ..params import DEFAULTS, Params
 from .cards import split_history
-from .skew import HOT_ROWS, HOT_SHARE, last_per_field, value_before_row, values_before_parts, with_parts
+from .skew import HOT_ROWS, last_per_field, value_before_row, values_before_parts, with_parts
 
 NOT_IN_PROFILE = ("patient_id", "risk_score_history")
 PATCHES_PER_PART = 100_000
@@ -37,7 +37,6 @@ def apply_risk_updates(
     updates: DataFrame,
     skip_unchanged: bool = False,
     params: Params = DEFAULTS,
-    hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> Updated:
     """Set risk scores from ``updates (patient_id, score, ts, seq)`` in (ts, seq) order.
@@ -50,7 +49,7 @@ def apply_risk_updates(
     asked = updates.select("patient_id", "score", "ts", "seq")
     write = F.when(F.col("score").isNotNull(), F.struct("score"))
     minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
-    parted = with_parts(asked, "patient_id", minute, hot_share, hot_rows)
+    parted = with_parts(asked, "patient_id", minute, hot_rows)
     stored = profiles.select("patient_id", F.struct(F.coalesce("risk_score", F.lit(0)).alias("score")).alias("start"))
     starts = values_before_parts(parted, stored, "patient_id", F.lit("start"), write, order)
     rows = value_before_row(parted, ["patient_id"], order, write, "in_part").join(starts, ["patient_id", "part"], "left")
@@ -132,7 +131,6 @@ def _by_path(paths: dict[str, T.DataType], of_path) -> Column:
 def apply_profile_patches(
     profiles: DataFrame,
     patches: DataFrame,
-    hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> Updated:
     """Set profile fields from ``patches (patient_id, path, value, seq)`` in seq order.
@@ -153,7 +151,7 @@ def apply_profile_patches(
         F.coalesce("new", "value").alias("asked"),
         F.when(valid, F.struct("new")).alias("write"),
     )
-    parted = with_parts(typed, "patient_id", F.floor(F.col("seq") / PATCHES_PER_PART), hot_share, hot_rows)
+    parted = with_parts(typed, "patient_id", F.floor(F.col("seq") / PATCHES_PER_PART), hot_rows)
     stored = profiles.select(
         "patient_id", *[F.struct(_text(F.col(p), t).alias("new")).alias(_flat(p)) for p, t in paths.items()]
     )

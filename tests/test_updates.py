@@ -65,8 +65,17 @@ def test_updates_apply_in_time_order_not_arrival_order(profiles_of, updates_of):
 
 
 def test_an_update_without_patient_is_not_found(profiles_of, updates_of):
-    result = apply_risk_updates(profiles_of(profile("P1")), updates_of((None, 3, 1)))
-    assert [r[-1] for r in audit_of(result)] == ["not_found"]
+    result = apply_risk_updates(profiles_of(profile("P1")), updates_of((None, 3, 1), (None, 4, 2)), hot_rows=0)
+    assert [r[-1] for r in audit_of(result)] == ["not_found", "not_found"]
+
+
+@pytest.mark.parametrize("hot_rows", [0, 100])
+def test_an_update_without_time_comes_first(profiles_of, updates_of, hot_rows):
+    updates = updates_of(("P1", 3, 1), ("P1", 9, 2)).selectExpr(
+        "patient_id", "score", "IF(score = 9, NULL, ts) AS ts", "seq")
+    result = apply_risk_updates(profiles_of(profile("P1", risk=5)), updates, hot_rows=hot_rows)
+    assert [(r[1], r[2]) for r in audit_of(result)] == [(9, 3), (5, 9)]
+    assert result.profiles.first().risk_score == 3
 
 
 def test_embedded_history_moves_to_the_table(profiles_of, updates_of):
@@ -95,7 +104,7 @@ def chained(rows, start):
 @given(st.lists(st.tuples(st.integers(1, 10), st.integers(0, 12)), min_size=1, max_size=25), st.booleans())
 def test_previous_scores_against_brute_force(profiles_of, updates_of, rows, hot):
     """Both for an ordinary patient and for a hot one, which is cut into minutes."""
-    options = {"hot_rows": 1, "hot_share": 1e-9} if hot else {}
+    options = {"hot_rows": 0} if hot else {}
     result = apply_risk_updates(profiles_of(profile("P1", risk=5)), updates_of(*[("P1", s, m) for s, m in rows]), **options)
     got = sorted((r.seq, r.previous_score, r.score) for r in result.audit.collect())
     assert got == chained(rows, 5)
@@ -152,7 +161,7 @@ def test_old_values_of_a_hot_patient(monkeypatch, profiles_of, patches_of, value
     monkeypatch.setattr("pulsegrid.operators.updates.PATCHES_PER_PART", 2)
     result = apply_profile_patches(
         profiles_of(profile("P1", notes="start")), patches_of(*[("P1", "notes", v) for v in values]),
-        hot_rows=0, hot_share=1e-9)
+        hot_rows=0)
     before = ["start", *values[:-1]]
     assert statuses(result) == [
         ("notes", old, new, "unchanged" if old == new else "updated") for old, new in zip(before, values)]
