@@ -51,41 +51,41 @@ def _(spark, sf):
     return keyed.withColumn("key_patient", key_patient_id(F.col("key")))
 
 
-def _dedup(key: str) -> str:
+def dedup_sql(key: str) -> str:
     return with_readings(f"""
 SELECT {FLAT}, key FROM (
   SELECT *, {key} AS key, row_number() OVER (PARTITION BY {key} ORDER BY event_id DESC) AS r FROM readings
 ) WHERE r = 1""")
 
 
-@query("dedup_readings", _dedup("patient_id || '_' || CAST(floor(epoch(\"timestamp\")) AS BIGINT)"))
+@query("dedup_readings", dedup_sql("patient_id || '_' || CAST(floor(epoch(\"timestamp\")) AS BIGINT)"))
 def _(spark, sf):
     return ops.flatten_readings(ops.dedup_readings(star_readings(spark, sf)))
 
 
-@query("dedup_hourly", _dedup("patient_id || '_' || CAST(floor(epoch(\"timestamp\") / 3600) AS BIGINT)"))
+@query("dedup_hourly", dedup_sql("patient_id || '_' || CAST(floor(epoch(\"timestamp\") / 3600) AS BIGINT)"))
 def _(spark, sf):
     return ops.flatten_readings(ops.dedup_readings(star_readings(spark, sf), "hour"))
 
 
-def _latest(n: int) -> str:
+def latest_sql(n: int) -> str:
     return with_readings(f"""
 SELECT {FLAT}, CAST(rn AS INTEGER) AS rn FROM (
   SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY {NEWEST}) AS rn FROM readings
 ) WHERE rn <= {n}""")
 
 
-@query("latest_readings", _latest(20))
+@query("latest_readings", latest_sql(20))
 def _(spark, sf):
     return ops.flatten_readings(ops.latest_readings(star_readings(spark, sf), 20))
 
 
-@query("latest_reading", _latest(1))
+@query("latest_reading", latest_sql(1))
 def _(spark, sf):
     return ops.flatten_readings(ops.latest_readings(star_readings(spark, sf), 1))
 
 
-@query("latest_readings_50", _latest(50))
+@query("latest_readings_50", latest_sql(50))
 def _(spark, sf):
     return ops.flatten_readings(ops.latest_readings(star_readings(spark, sf), 50))
 
@@ -146,7 +146,7 @@ def _(spark, sf):
     return ops.patients_monitored(star_readings(spark, sf))
 
 
-def _cycles(width: str) -> str:
+def cycles_sql(width: str) -> str:
     return f"""
 cycles AS (
   SELECT time_bucket(INTERVAL '{width}', "timestamp") AS window_start, count(*) AS events,
@@ -155,18 +155,18 @@ cycles AS (
 )"""
 
 
-@query("cycle_counts", with_readings("").rstrip() + "," + _cycles("5 seconds") + " SELECT * FROM cycles")
+@query("cycle_counts", with_readings("").rstrip() + "," + cycles_sql("5 seconds") + " SELECT * FROM cycles")
 def _(spark, sf):
     return ops.cycle_counts(star_readings(spark, sf))
 
 
-@query("hourly_counts", with_readings("").rstrip() + "," + _cycles("1 hour") + " SELECT * FROM cycles")
+@query("hourly_counts", with_readings("").rstrip() + "," + cycles_sql("1 hour") + " SELECT * FROM cycles")
 def _(spark, sf):
     return ops.cycle_counts(star_readings(spark, sf), "1 hour")
 
 
 def _running(width: str) -> str:
-    return with_readings("").rstrip() + "," + _cycles(width) + f""",
+    return with_readings("").rstrip() + "," + cycles_sql(width) + f""",
 sums AS (
   SELECT *, CAST(sum(events) OVER w AS BIGINT) AS total, CAST(sum(abnormal) OVER w AS BIGINT) AS total_abnormal
   FROM cycles WINDOW w AS (ORDER BY window_start)

@@ -15,9 +15,9 @@ from ..sources.files import stream_readings
 from ..sources.sinks import publish_version
 from ..sources.star import TABLES, reading_columns, risk_update_columns
 from ..streaming import feeds, risk, sinks
-from .reading_queries import FLAT, NEWEST, _cycles, _dedup, _latest, conditions_text, known_profiles
+from .reading_queries import FLAT, NEWEST, cycles_sql, dedup_sql, latest_sql, conditions_text, known_profiles
 from .registry import CONDITIONS_TEXT, query, with_both, with_readings
-from .update_queries import UPDATES, _new_profiles
+from .update_queries import UPDATES, new_profiles_sql
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -55,7 +55,7 @@ def _run(spark, start, *args, **options):
         start(*args, **options).awaitTermination()
 
 
-@query("stream_ingest", _dedup("patient_id || '_' || CAST(floor(epoch(\"timestamp\") / 3600) AS BIGINT)"))
+@query("stream_ingest", dedup_sql("patient_id || '_' || CAST(floor(epoch(\"timestamp\") / 3600) AS BIGINT)"))
 def _(spark, sf):
     """Continuous ingest; the last write of an hour-wide key wins when the table is read."""
     out, checkpoint = _paths(spark, "ingest")
@@ -87,7 +87,7 @@ def _(spark, sf):
     return conditions_text(spark.read.parquet(out))
 
 
-@query("stream_cycle_counts", with_readings("").rstrip() + "," + _cycles("1 hour") + " SELECT * FROM cycles")
+@query("stream_cycle_counts", with_readings("").rstrip() + "," + cycles_sql("1 hour") + " SELECT * FROM cycles")
 def _(spark, sf):
     out, checkpoint = _paths(spark, "cycles")
     counts = feeds.stream_cycle_counts(reading_columns(_events(spark, sf)), "1 hour", lateness="1 day")
@@ -96,7 +96,7 @@ def _(spark, sf):
     return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("stream_latest", _latest(1))
+@query("stream_latest", latest_sql(1))
 def _(spark, sf):
     out, checkpoint = _paths(spark, "latest")
     _run(spark, sinks.write_changes, feeds.stream_latest(reading_columns(_events(spark, sf))), out, checkpoint, ["patient_id"])
@@ -123,7 +123,7 @@ def _stream_risk(spark, sf):
     return root
 
 
-@query("stream_risk_updates", _new_profiles("true"))
+@query("stream_risk_updates", new_profiles_sql("true"))
 def _(spark, sf):
     root = _stream_risk(spark, sf)
     profiles = risk.read_live_profiles(spark, f"{root}/profiles", f"{root}/history")

@@ -57,7 +57,7 @@ def _(spark, sf):
     return _risk(spark, sf).history
 
 
-def _new_profiles(only: str) -> str:
+def new_profiles_sql(only: str) -> str:
     return UPDATES + f"""
 SELECT k.patient_id, coalesce(n.score, k.risk_score) AS risk_score, n.ts AS risk_score_updated
 FROM known k LEFT JOIN (
@@ -66,12 +66,12 @@ FROM known k LEFT JOIN (
 ) n ON n.patient_id = k.patient_id"""
 
 
-@query("risk_profiles", _new_profiles("true"))
+@query("risk_profiles", new_profiles_sql("true"))
 def _(spark, sf):
     return _risk(spark, sf).profiles.select("patient_id", "risk_score", "risk_score_updated")
 
 
-@query("risk_profiles_skip_unchanged", _new_profiles("score <> previous_score"))
+@query("risk_profiles_skip_unchanged", new_profiles_sql("score <> previous_score"))
 def _(spark, sf):
     return _risk(spark, sf, skip_unchanged=True).profiles.select("patient_id", "risk_score", "risk_score_updated")
 

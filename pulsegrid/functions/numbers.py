@@ -4,8 +4,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def rounded_mean(col: Column, digits: int) -> Column:
-    return F.round(F.avg(col), digits)
+def rounded_mean(col: Column, digits: int | None) -> Column:
+    """Mean of a column, rounded unless ``digits`` is None."""
+    return F.avg(col) if digits is None else F.round(F.avg(col), digits)
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

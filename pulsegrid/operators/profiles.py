@@ -84,7 +84,8 @@ def admitted_within(profiles: DataFrame, as_of=None, days: int = RECENT_ADMISSIO
     return profiles.filter(_recently(as_of, days))
 
 
-def age_stats(profiles: DataFrame, digits: int = 1) -> DataFrame:
+def age_stats(profiles: DataFrame, digits: int | None = 1) -> DataFrame:
+    """Mean, least and greatest age; ``digits=None`` leaves the mean unrounded."""
     return profiles.agg(
         rounded_mean(F.col("age"), digits).alias("avg_age"),
         F.min("age").alias("min_age"),

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.readwriter import DataFrameReader
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from ..functions.keys import key_patient_id
 from ..schemas import LANDED_READING_SCHEMA, PROFILE_SCHEMA, READING_SCHEMA
@@ -13,24 +15,24 @@ from ..schemas import LANDED_READING_SCHEMA, PROFILE_SCHEMA, READING_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+def _read(reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType, fmt: str) -> DataFrame:
     """Rows of ``path``. A JSON line that does not parse gives no row; one with a field
     that does not fit keeps its other fields."""
     if fmt != "json":
-        return spark.read.schema(schema).format(fmt).load(path)
+        return reader.schema(schema).format(fmt).load(path)
     marked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(marked).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    rows = reader.schema(marked).option("columnNameOfCorruptRecord", CORRUPT).format("json").load(path)
     return rows.filter(F.col(CORRUPT).isNull() | F.col("patient_id").isNotNull()).drop(CORRUPT)
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Patient profiles; ``corrupt_lines`` returns the JSON lines that gave none."""
-    return _read(spark, path, PROFILE_SCHEMA, fmt)
+    return _read(spark.read, path, PROFILE_SCHEMA, fmt)
 
 
 def read_readings(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """All monitoring readings in one scan."""
-    return _read(spark, path, READING_SCHEMA, fmt)
+    return _read(spark.read, path, READING_SCHEMA, fmt)
 
 
 def read_landed_readings(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +61,9 @@ def stream_readings(
     schema: T.StructType | str = READING_SCHEMA,
 ) -> DataFrame:
     """Live readings: files that arrive in ``path``, at most ``max_files`` per micro-batch."""
-    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(path)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return _read(spark.readStream.option("maxFilesPerTrigger", max_files), path, schema, fmt)
 
 
 def import_key_values(dump: DataFrame, schema: T.StructType = READING_SCHEMA) -> DataFrame:

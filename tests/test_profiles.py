@@ -54,6 +54,7 @@ def ward(profiles_of):
 
 def test_aggregates_with_nulls(ward):
     assert tuples(ops.age_stats(ward)) == [(50.0, 25, 66)]
+    assert tuples(ops.age_stats(ward.filter("age IN (25, 45, 64)"), None)) == [(134 / 3, 25, 64)]
     assert tuples(ops.risk_summary(ward)) == [(5.75, 2, 1, 1)]
     assert tuples(ops.risk_summary(ward, Params(null_risk_as_low=True))) == [(5.75, 2, 1, 2)]
     assert tuples(ops.risk_shares(ward)) == [("HIGH", 2, 40.0), ("MEDIUM", 1, 20.0), ("LOW", 1, 20.0)]

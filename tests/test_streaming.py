@@ -32,7 +32,7 @@ class Feed:
         self.sent += data
         df = self.spark.createDataFrame(data, EVENT)
         lines = [r.value for r in df.select(F.to_json(F.struct(*df.columns)).alias("value")).collect()]
-        (self.path / f"{self.files:04d}.json").write_text("\n".join(lines))
+        (self.path / f"{self.files:04d}.json").write_text("\n".join([*lines, "{broken"]))
         self.files += 1
 
     def stream(self):
@@ -71,7 +71,7 @@ def test_ingest_restarts_and_last_write_wins(feed, paths, spark):
     three_batches(feed)
     query = run(st.start_ingest(feed.stream(), *paths))
     durations = st.batch_durations(query)
-    assert sum(d["rows"] for d in durations) == 7 and all(d["ms"] > 0 for d in durations)
+    assert sum(d["rows"] for d in durations) == 7 + 3 and all(d["ms"] > 0 for d in durations)
     feed.send(("A", 0, 99, "NORMAL"))  # the key of the first reading again
     run(st.start_ingest(feed.stream(), *paths))
     landed = spark.read.parquet(paths[0])
