@@ -115,6 +115,13 @@ def _(spark, sf):
     return sinks.latest_changes(spark, out, ["patient_id"]).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+@query("stream_latest_n_table", latest_sql(20))
+def _(spark, sf):
+    out, checkpoint = _paths(spark, "latest-n-table")
+    _run(spark, sinks.start_latest_n, reading_columns(_events(spark, sf)), out, checkpoint)
+    return flatten_readings(sinks.latest_changes(spark, out, ["patient_id"]))
+
+
 def _stream_risk(spark, sf):
     root = scratch_path(spark, "risk")
     publish_version(known_profiles(spark, sf), f"{root}/profiles")

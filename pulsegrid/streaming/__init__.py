@@ -11,5 +11,6 @@ from .sinks import (  # noqa: F401
     batch_durations,
     latest_changes,
     start_ingest,
+    start_latest_n,
     write_changes,
 )

@@ -58,6 +58,8 @@ def stream_latest(readings: DataFrame) -> DataFrame:
     return readings.groupBy("patient_id").agg(newest.alias("r")).select("patient_id", "r.*")
 
 
+# Readings that a task holds at a time, some 100 MB.
+BUFFER_ROWS = 1_000_000
 # Times are kept as microseconds: Python gets the same number from rows and from state.
 READING_STATE = T.StructType([
     T.StructField("micros", T.LongType()),
@@ -70,9 +72,11 @@ READING_STATE = T.StructType([
 def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None) -> DataFrame:
     """The newest n readings of every patient that changed, numbered ``rn`` from 1 (update mode).
 
-    Every Arrow batch first drops what is not among its own newest n of a patient, so
-    a hot patient reaches its state as at most n rows per batch. Readings without a
-    time have no place in the order and are left out. Needs the RocksDB state store.
+    Made for short micro-batches, whose patients are looked up in the RocksDB state
+    store; ``start_latest_n`` is the form for large ones. Every task first drops what is not
+    among a patient's newest n of up to BUFFER_ROWS rows, so a hot patient reaches its
+    state as n rows per buffer. Readings without a time have no place in the order and
+    are left out.
     """
     if "event_id" not in readings.columns:
         readings = readings.withColumn("event_id", F.xxhash64(*readings.columns))
@@ -84,10 +88,23 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
         "status",
     )
 
-    def newest_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def newest_of(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        newest = pd.concat(parts).sort_values(["micros", "event_id"], ascending=False)
+        return newest.groupby("patient_id", sort=False, dropna=False).head(n)
+
+    def limit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        buffer, size = [], 0
         for batch in batches:
-            newest = batch.sort_values(["micros", "event_id"], ascending=False)
-            yield newest.groupby("patient_id", sort=False, dropna=False).head(n)
+            buffer.append(batch)
+            size += len(batch)
+            if size >= BUFFER_ROWS:
+                buffer = [newest_of(buffer)]
+                size = len(buffer[0])
+                if size >= BUFFER_ROWS // 2:  # hardly fewer: pass them on
+                    yield buffer.pop()
+                    size = 0
+        if buffer:
+            yield newest_of(buffer)
 
     # Local, so that it is sent to the workers by value.
     class LatestN(StatefulProcessor):
@@ -112,7 +129,7 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
         *READING_STATE.fields,
     ])
     return (
-        rows.mapInPandas(newest_of_batch, rows.schema)
+        rows.mapInPandas(limit, rows.schema)
         .groupBy("patient_id")
         .transformWithState(LatestN(), out, "Update", "ProcessingTime" if ttl_ms else "None")
         .select("patient_id", "rn", F.timestamp_micros("micros").alias("timestamp"), "event_id", "heart_rate", "status")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from ..operators.profiles import lookup
+from ..operators.readings import latest_readings
 from ..sources.sinks import current_version, publish_version, read_published
 
 
@@ -62,24 +64,57 @@ def write_changes(
     version, so that ``latest_changes`` has only the changes since then to read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
-        spark = batch.sparkSession
-        if (batch_id + 1) % publish_every == 0 and current_version(spark, path)[1] < batch_id:
-            publish_version(latest_changes(spark, path, keys), path, batch_id)
+        write_batch(batch, path, batch_id, keys, publish_every)
 
     return start(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every)
 
 
-def latest_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The rows of every key from the last micro-batch that changed it."""
+def write_batch(batch: DataFrame, path: str, batch_id: int, keys: list[str], publish_every: int) -> None:
+    """One micro-batch of ``write_changes``."""
+    batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+    spark = batch.sparkSession
+    if (batch_id + 1) % publish_every == 0 and current_version(spark, path)[1] < batch_id:
+        publish_version(latest_changes(spark, path, keys), path, batch_id)
+
+
+def latest_changes(spark: SparkSession, path: str, keys: list[str], until: int | None = None) -> DataFrame | None:
+    """The rows of every key from the last micro-batch that changed it, up to micro-batch
+    ``until`` if given; None before the first one."""
     version, published = current_version(spark, path)
-    rows = read_batches(spark, f"{path}/changes", published)
+    rows = read_batches(spark, f"{path}/changes", published, until)
+    if rows is None:
+        return None
     if version:
         rows = rows.unionByName(read_published(spark, path).withColumn("batch_id", F.lit(published)))
     newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
     return rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "batch_id")
 
 
+def start_latest_n(
+    readings: DataFrame, path: str, checkpoint: str, n: int = 20, publish_every: int = 100, every: str | None = None
+) -> StreamingQuery:
+    """Keep the newest n readings of every patient as a table; ``latest_changes(spark, path, ["patient_id"])`` reads it.
+
+    Each micro-batch is cut to its own newest n per patient by the batch operator and
+    merged with the stored rows of the patients in it.
+    """
+    keys = ["patient_id"]
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # A streaming session plans without it; the joins and windows here are batch work.
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        if current_version(spark, path)[1] >= batch_id:
+            return
+        newest = latest_readings(batch, n).drop("rn").persist()  # at most n rows a patient
+        stored = latest_changes(spark, path, keys, batch_id - 1)
+        merged = newest if stored is None else newest.unionByName(lookup(stored.drop("rn"), newest))
+        write_batch(latest_readings(merged, n), path, batch_id, keys, publish_every)
+        newest.unpersist()
+
+    return start(readings.writeStream.outputMode("append").foreachBatch(merge), checkpoint, every)
+
+
 def batch_durations(query: StreamingQuery) -> list[dict]:
     """Batch id, rows and milliseconds of the query's last micro-batches: the ingest latency."""
     return [

@@ -123,7 +123,9 @@ def test_latest_equals_batch(feed, paths, spark):
     assert rows(st.latest_changes(spark, paths[0], ["patient_id"]), *columns) == rows(ops.latest_readings(feed.batch(), 1), *columns)
 
 
-def test_latest_n_equals_batch_over_a_restart(feed, paths, spark):
+@pytest.mark.parametrize("buffer_rows", [1, 1000])
+def test_latest_n_equals_batch_over_a_restart(buffer_rows, feed, paths, spark, monkeypatch):
+    monkeypatch.setattr("pulsegrid.streaming.feeds.BUFFER_ROWS", buffer_rows)
     columns = ("patient_id", "rn", "event_id", "heart_rate", "status")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     try:
@@ -137,6 +139,17 @@ def test_latest_n_equals_batch_over_a_restart(feed, paths, spark):
     assert got == rows(ops.latest_readings(feed.batch(), 2), *columns)
 
 
+@pytest.mark.parametrize("publish_every", [1, 2, 100])
+def test_latest_n_table_equals_batch_over_a_restart(publish_every, feed, paths, spark):
+    three_batches(feed)
+    run(st.start_latest_n(feed.stream(), *paths, n=2, publish_every=publish_every))
+    feed.send(("A", 11, 73, "NORMAL"), ("D", 0, 60, "NORMAL"), ("B", 1, 81, "NORMAL"))
+    run(st.start_latest_n(feed.stream(), *paths, n=2, publish_every=publish_every))
+    columns = ("patient_id", "rn", "event_id", "heart_rate", "status")
+    got = rows(st.latest_changes(spark, paths[0], ["patient_id"]), *columns)
+    assert got == rows(ops.latest_readings(feed.batch(), 2), *columns)
+
+
 @pytest.mark.parametrize("publish_every", [1, 2, 100])
 def test_risk_updates_chain_over_batches_and_restarts(publish_every, spark, tmp_path, profiles_of):
     root, history, checkpoint = (str(tmp_path / d) for d in ("profiles", "history", "checkpoint"))
