@@ -21,7 +21,7 @@ HEADLINE = (
     "dedup_readings", "latest_readings", "abnormal_patients", "alerts", "patients_monitored", "cycle_counts",
     "running_totals", "hourly_trend", "classify_vitals", "enriched_readings",
     "risk_change", "risk_profiles", "profile_patch_audit", "patched_profiles",
-    "stream_ingest", "stream_alerts", "stream_cycle_counts", "stream_latest", "stream_latest_n", "stream_risk_updates",
+    "stream_ingest", "stream_alerts", "stream_cycle_counts", "stream_latest", "stream_latest_n", "stream_latest_n_table", "stream_risk_updates",
 )
 
 

@@ -76,7 +76,8 @@ def _(spark, sf):
 
 
 @query("append_last_wins", with_readings("""
-SELECT patient_id, event_id, "timestamp", heart_rate + 1 AS heart_rate, status FROM readings"""))
+SELECT patient_id, event_id, "timestamp", heart_rate + 1 AS heart_rate, status FROM readings
+QUALIFY row_number() OVER (PARTITION BY patient_id, floor(epoch("timestamp")) ORDER BY event_id DESC) = 1"""))
 def _(spark, sf):
     """The readings appended twice, the second time corrected: the last write of a key wins."""
     path = scratch_path(spark, "readings")
