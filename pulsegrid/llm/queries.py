@@ -7,10 +7,59 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.llm import language, licenses, packing, secrets
 from pulsegrid.llm.graph import read
 from pulsegrid.llm.simhash import simhash_groups
 
 
+def tokenizer_path(name: str) -> str:
+    """The file of a public tokenizer that is installed with the Python environment of every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    scan = licenses.scan(read(spark, sf_dir, "documents"))
+    base, found = F.col("licenses.base"), F.col("licenses.found")
+    words = F.transform(base, lambda b: b["word"])
+    base_labels = F.array_sort(F.array_distinct(F.transform(base, lambda b: b["label"])))
+    labels = F.array_sort(F.array_distinct(F.concat(base_labels, F.transform(found, lambda d: d["label"]))))
+    sure = F.array_max(F.concat(
+        F.array(F.lit(0.0)), F.transform(found, lambda d: d["confidence"]), F.transform(base, lambda _: F.lit(0.9))))
+    return scan.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("licenses.n_words").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"), F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        F.array_join(base_labels, ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), sure.alias("score"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    scan = secrets.scan(read(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*[secrets.KINDS.index(k) for k in kinds]))
+    return scan.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.listed(of("assign", "access", "hex")), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from those whose crc32(doc_id) mod 4 is not 2."""
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs, modulus=4, remainder=2)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "lang_pred",
+        F.col("lang_score").alias("score"), F.col("lang_ambiguous").alias("ambiguous"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: shingles of 4 words, links at 4 bits or fewer."""
     groups = simhash_groups(read(spark, sf_dir, "documents"), words=4, distance=4)
@@ -19,6 +68,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licenses": op2_licenses,
+    "op4_packing": op4_packing,
+    "op7_secrets": op7_secrets,
+    "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {}
