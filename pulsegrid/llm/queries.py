@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import language, licenses, packing, secrets
+from pulsegrid.llm import decontamination, embeddings, extraction, language, licenses, packing, scoring, secrets, token_counts
 from pulsegrid.llm.graph import read
 from pulsegrid.llm.simhash import simhash_groups
 
@@ -19,6 +19,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, at a cosine of 0.95 or more."""
+    found = embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of every document."""
     scan = licenses.scan(read(spark, sf_dir, "documents"))
@@ -34,11 +40,27 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(base_labels, ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), sure.alias("score"))
 
 
+def op3_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learned from those whose crc32(doc_id) mod 7 is not 2."""
+    return scoring.score(read(spark, sf_dir, "documents"), modulus=7, remainder=2, depth=scoring.DEPTH)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of 2048 tokens."""
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = extraction.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, as it is or with other names, numbers and units."""
+    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     scan = secrets.scan(read(spark, sf_dir, "documents"))
@@ -50,6 +72,13 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("secrets")).alias("spans"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document, with the pieces and scores of a public vocabulary."""
+    vocabulary = token_counts.Vocabulary.from_sentencepiece(tokenizer_path("piece_bpe_32k.model"))
+    counts = token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary)
+    return counts.select(F.col("id").alias("doc_id"), "n_tokens", "token_score", "n_unknown")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from those whose crc32(doc_id) mod 4 is not 2."""
     docs = read(spark, sf_dir, "documents")
@@ -68,9 +97,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
     "op2_licenses": op2_licenses,
+    "op3_scoring": op3_scoring,
     "op4_packing": op4_packing,
+    "op5_extraction": op5_extraction,
+    "op6_decontamination": op6_decontamination,
     "op7_secrets": op7_secrets,
+    "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
