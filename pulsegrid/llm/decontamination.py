@@ -185,5 +185,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_t
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents (columns as they are) that match no benchmark item."""
-    found = matches(docs, benchmark).select(F.col("doc_id").alias("__doc")).distinct()
+    found = landed(matches(docs, benchmark).select(F.col("doc_id").alias("__doc")).distinct(), "contaminated")
     return docs.join(found, docs["doc_id"].eqNullSafe(found["__doc"]), "left_anti").select(docs.columns)

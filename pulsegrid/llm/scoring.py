@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.graph import landed
 
-DEPTH = 4
+DEPTH = 5
 BLOCK_BYTES, CHUNK_BYTES = 32 << 20, 4 << 20
 GRAMS_AT_ONCE = 200_000
 TEXTS, WORDS, GRAMS = range(3)

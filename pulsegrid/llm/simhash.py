@@ -134,39 +134,47 @@ def near_edges(prints: DataFrame, distance: int = 4, n_blocks: int | None = None
             .mapInArrow(linked, "a long, b long"))
 
 
+def _grouped(prints: DataFrame, distance: int, n_blocks: int | None) -> DataFrame:
+    """``prints(id, fp)`` with root, the least print of the component, and component_id, its least id."""
+    first = landed(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    roots = components(near_edges(first.select("fp"), distance, n_blocks))
+    rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    of = rooted.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(of, "fp").select("id", "fp", "root", "component_id")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                    distance: int = 4, n_blocks: int | None = None) -> DataFrame:
-    """``(id, fp, component_id)`` of every row of ``docs``.
+    """``(id, fp, root, component_id)`` of every row of ``docs``.
 
     Rows link if their fingerprints differ in at most ``distance`` bits; component_id is the smallest id reachable,
-    itself included (ids that are null do not count; null where a component has no other). Texts without words, null
-    ones among them, share fingerprint 0. Repeated rows give repeated results; an empty table gives none. The work
-    is done on distinct fingerprints: copies, however many, are one.
+    itself included (ids that are null do not count; null where a component has no other), root the component's least
+    fingerprint. Texts without words, null ones among them, share fingerprint 0. Repeated rows give repeated results; an
+    empty table gives none. The work is done on distinct fingerprints: copies, however many, are one.
     """
     prints = landed(fingerprints(docs, id_col, text_col, words), "simhash")
-    first = landed(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    roots = components(near_edges(first.select("fp"), distance, n_blocks))
-    rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select("id", "fp", "component_id")
+    return _grouped(prints, distance, n_blocks)
 
 
 def keep_first(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """The documents (columns as they are) whose doc_id is the smallest of its group; of repeated rows one stays.
+    """The documents (columns as they are) whose doc_id is the smallest of its group: one of each group.
 
-    Documents without doc_id stay only if their group has no doc_id at all.
+    Of rows that share this doc_id, the one with the least fingerprint stays; of a group without any doc_id likewise.
     """
-    groups = simhash_groups(docs, words=words, distance=distance)
-    keep = groups.where(F.col("component_id").isNull() | (F.col("id") == F.col("component_id")))
-    keep = keep.groupBy("fp").agg(F.min("id").alias("__keep"))
-    nameless = keep.where(F.col("__keep").isNull())
-    named = docs.join(keep.where(F.col("__keep").isNotNull()).select(F.col("__keep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    kept = named.select(docs.columns).dropDuplicates(["doc_id"])
-    if nameless.take(1):
-        unnamed = docs.where(F.col("doc_id").isNull())
-        prints = fingerprints(unnamed.withColumn("doc_id", F.xxhash64("text")))
-        one = prints.join(nameless, "fp", "left_semi").groupBy("fp").agg(F.min("id").alias("__text"))
-        some = unnamed.withColumn("__text", F.xxhash64("text")).join(one, "__text", "left_semi")
-        kept = kept.union(some.dropDuplicates(["__text"]).select(docs.columns))
-    return kept
+    groups = landed(simhash_groups(docs, words=words, distance=distance), "simhash-groups")
+    losers = landed(groups.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id")).distinct(), "losers")
+    odd = landed(groups.groupBy("id").agg(F.count("*").alias("n")).where(F.col("id").isNull() | (F.col("n") > 1))
+                 .select(F.col("id").alias("__id")), "odd-ids")
+    if not odd.take(1):
+        return docs.join(losers, "doc_id", "left_anti").select(docs.columns)
+    named = docs.join(odd, docs["doc_id"].eqNullSafe(odd["__id"]), "left_anti").join(losers, "doc_id", "left_anti").select(docs.columns)
+    rows = docs.join(odd, docs["doc_id"].eqNullSafe(odd["__id"]), "left_semi").withColumn(
+        "__row", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
+    prints = fingerprints(rows, "__row", "text", words).distinct().select(F.col("id").alias("__row"), F.col("fp").alias("__fp"))
+    chosen = (groups.where(F.col("id") == F.col("component_id")).groupBy("root").agg(F.min("id").alias("__id"), F.min("fp").alias("__fp"))
+              .union(groups.where(F.col("component_id").isNull()).groupBy("root").agg(F.first("id"), F.min("fp"))))
+    chosen = chosen.select("__id", F.col("__fp").alias("__chosen"))
+    kept = rows.join(prints, "__row")
+    kept = kept.join(chosen, (kept["__fp"] == chosen["__chosen"]) & kept["doc_id"].eqNullSafe(chosen["__id"]), "left_semi")
+    return named.union(kept.dropDuplicates(["doc_id", "__fp"]).select(docs.columns))
