@@ -2,31 +2,33 @@
 
 Each byte is eight binary decisions; each decision has a tree of contexts, the bytes before. The Krichevsky-Trofimov
 estimates of all depths are mixed by their weights in the tree (Willems, Shtarkov, Tjalkens, 1995), learned on the training
-texts and then fixed. Blocks of texts carry their own dictionary: what a block needs of the corpus's counts is joined to it,
-so no task holds the counts of the corpus.
+texts and then fixed. Texts are packed into blocks; each block sends its words and codes, dealt into buckets that grow in
+number with the corpus, and gets back the corpus's values for just these, so no task holds the counts of the corpus.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.graph import landed
 
 DEPTH = 5
-BLOCK_BYTES, CHUNK_BYTES = 32 << 20, 4 << 20
+#: Texts of so many bytes make a block; as many bytes of the corpus make a bucket of words and codes.
+BLOCK_BYTES = 16 << 20
+CHUNK_BYTES = 1 << 20
 GRAMS_AT_ONCE = 200_000
 TEXTS, WORDS, GRAMS = range(3)
 LOG2 = float(np.log(2))
-LANDED = "block long, kind int, word binary, code long, n long, payload binary"
+LANDED = "block long, kind int, bucket int, data binary, counts binary"
 
 
 def in_training(doc_id: int | None, modulus: int = 7, remainder: int = 2) -> bool:
@@ -70,22 +72,29 @@ def _count_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray
     return codes, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
 
 
-def _batch(block: int, kind: int, rows: int, **columns: pa.Array) -> pa.RecordBatch:
-    kinds = {"word": pa.binary(), "code": pa.int64(), "n": pa.int64(), "payload": pa.binary()}
+def _code_bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
+
+
+def _row(block: int, kind: int, bucket: int, data: bytes, counts: bytes = b"") -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(rows, block)), pa.array(np.full(rows, kind, np.int32)),
-         *(columns.get(c, pa.nulls(rows, k)) for c, k in kinds.items())], ["block", "kind", *kinds])
+        [pa.array([block]), pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([data]), pa.array([counts])],
+        ["block", "kind", "bucket", "data", "counts"])
 
 
-def _blocks(docs: DataFrame, depth: int, modulus: int, remainder: int) -> DataFrame:
-    """Blocks of whole texts, packed, with the words and grams in each and their counts in its training texts."""
+def _blocks(docs: DataFrame, buckets: int, depth: int, modulus: int, remainder: int) -> DataFrame:
+    """Blocks of whole texts, packed; by bucket, the words and codes in each and their counts in its training texts.
+
+    A row holds a bucket's words, parted by line ends, or codes, and their counts, as arrays: Spark moves the arrays.
+    """
 
     def flush(block: int, ids: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         table = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_table(table)
-        yield _batch(block, TEXTS, 1, payload=pa.array([sink.getvalue().to_pybytes()], pa.binary()))
+        yield _row(block, TEXTS, 0, sink.getvalue().to_pybytes())
+        del table, sink
         sides: tuple[list[bytes], list[bytes]] = ([], [])
         for i, t in zip(ids, texts):
             sides[in_training(i, modulus, remainder)].append(t)
@@ -94,19 +103,27 @@ def _blocks(docs: DataFrame, depth: int, modulus: int, remainder: int) -> DataFr
             words.update(t.split())
         for t in sides[0]:
             words.update(dict.fromkeys(t.split(), 0))
-        yield _batch(block, WORDS, len(words), word=pa.array(words.keys(), pa.binary()), n=pa.array(words.values(), pa.int64()))
-        words.clear()
+        dealt: dict[int, list[bytes]] = defaultdict(list)
+        for w in words:
+            dealt[zlib.crc32(w) % buckets].append(w)
+        for bucket, own in dealt.items():
+            yield _row(block, WORDS, bucket, b"\n".join(own), np.fromiter(map(words.__getitem__, own), "<i8", len(own)).tobytes())
+        del words, dealt
         (seen, _), (codes, n) = (_count_grams(side, depth) for side in sides)
         new = np.setdiff1d(seen, codes, assume_unique=True)
         codes, n = np.concatenate((codes, new)), np.concatenate((n, np.zeros(len(new), np.int64)))
-        yield _batch(block, GRAMS, len(codes), code=pa.array(codes), n=pa.array(n))
+        bucket = _code_bucket(codes, buckets)
+        order = np.argsort(bucket, kind="stable")
+        some, lows = np.unique(bucket[order], return_index=True)
+        for i, lo, hi in zip(some.tolist(), lows.tolist(), [*lows[1:].tolist(), len(codes)]):
+            yield _row(block, GRAMS, i, codes[order[lo:hi]].astype("<i8").tobytes(), n[order[lo:hi]].astype("<i8").tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
                 ids.append(doc_id)
-                texts.append((text or b"").lower())
+                texts.append((text.as_py() or b"").lower())
                 size += len(texts[-1])
                 if size >= BLOCK_BYTES:
                     yield from flush(block, ids, texts)
@@ -117,6 +134,53 @@ def _blocks(docs: DataFrame, depth: int, modulus: int, remainder: int) -> DataFr
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, LANDED)
 
 
+def _arrays(table: pa.Table, column: str, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(v, kind) for v in table.column(column).to_pylist()]
+
+
+VALUED = "block long, kind int, data binary, vals binary, train_tokens long, train_words long"
+VALUED_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+
+
+def _valued(rows: list[tuple]) -> pa.Table:
+    names = [c.split()[0] for c in VALUED.split(", ")]
+    return pa.table({n: pa.array(c, k) for n, k, c in zip(names, VALUED_KINDS, list(zip(*rows)) or [[]] * len(names))})
+
+
+def _word_values(rows: pa.Table) -> pa.Table:
+    """For each row of a bucket log10(c + 1) of its words; the bucket's tokens and trained words on the first."""
+    blocks, counts = rows.column("block").to_pylist(), _arrays(rows, "counts", "<i8")
+    data = rows.column("data").to_pylist()
+    total: dict[bytes, int] = {}
+    for words, n in zip(data, counts):
+        for w, k in zip(words.split(b"\n"), n.tolist()):
+            total[w] = total.get(w, 0) + k
+    out = []
+    for block, words in zip(blocks, data):
+        own = words.split(b"\n")
+        value = np.log10(np.fromiter(map(total.__getitem__, own), np.float64, len(own)) + 1)
+        out.append((block, WORDS, words, value.tobytes(), 0, 0))
+    if out:
+        out[0] = (*out[0][:4], sum(total.values()), sum(map(bool, total.values())))
+    return _valued(out)
+
+
+def _code_counts(rows: pa.Table) -> pa.Table:
+    codes, inverse = np.unique(np.concatenate(_arrays(rows, "data", "<i8")), return_inverse=True)
+    n = np.bincount(inverse, np.concatenate(_arrays(rows, "counts", "<i8")), len(codes))
+    return pa.table({"code": pa.array(codes), "n": pa.array(n.astype(np.int64))})
+
+
+def _code_values(rows: pa.Table, scores: pa.Table) -> pa.Table:
+    """For each row of a bucket the values of its codes."""
+    codes, values = scores.column("code").to_numpy(), scores.column("value").to_numpy()
+    order = np.argsort(codes)
+    codes, values = codes[order], values[order]
+    return _valued([
+        (block, GRAMS, data, values[np.searchsorted(codes, np.frombuffer(data, "<i8"))].tobytes(), 0, 0)
+        for block, data in zip(rows.column("block").to_pylist(), rows.column("data").to_pylist())])
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln of the gamma function for x > 0: eight steps of the recurrence, then Stirling's series."""
     down = sum(np.log(x + i) for i in range(8))
@@ -174,8 +238,8 @@ def _by_context(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
         yield codes, n
 
 
-def _code_scores(grams: DataFrame, depth: int) -> DataFrame:
-    """``(code, log10p)``: the mixed log10 probability of each code's last byte after the bytes before.
+def _code_scores(grams: DataFrame, buckets: int, depth: int) -> DataFrame:
+    """``(of, code, value)``: a code's bucket and the mixed log10 probability of each code's last byte after the bytes before.
 
     Contexts that share their last two bytes are weighted in one place; what is above them, 65,536 nodes at most
     whatever the corpus, is put together on the driver and sent to the tasks.
@@ -218,9 +282,10 @@ def _code_scores(grams: DataFrame, depth: int) -> DataFrame:
                     place = (((codes >> 8) & 255)[:, None] << 8 | node) if d else node
                 own = (np.where(bit, ones[place], zeros[place]) + 0.5) / (zeros[place] + ones[place] + 1)
                 mixed = own if mixed is None else stop[place] * own + (1 - stop[place]) * mixed
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(np.log10(mixed).sum(axis=1))], ["code", "value"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_code_bucket(codes, buckets), pa.int32()), pa.array(codes), pa.array(np.log10(mixed).sum(axis=1))], ["of", "code", "value"])
 
-    return placed.mapInArrow(scores, "code long, value double")
+    return placed.mapInArrow(scores, "of int, code long, value double")
 
 
 SCORED = "doc_id long, held_out boolean, n_words long, n_known long, words double, score double, train_docs long, train_tokens long, train_words long"
@@ -228,26 +293,29 @@ SCORED = "doc_id long, held_out boolean, n_words long, n_known long, words doubl
 
 def _score_block(modulus: int, remainder: int, depth: int):
     def run(packed: pa.Table, known: pa.Table) -> pa.Table:
-        kinds = known.column("kind").to_numpy()
-        of_words = known.filter(pa.array(kinds == WORDS))
-        counts = of_words.column("value").to_numpy()
-        gains = dict(zip(of_words.column("word").to_pylist(), np.log10(counts + 1).tolist()))
-        first = of_words.column("first").to_numpy(zero_copy_only=False)
-        of_codes = known.filter(pa.array(kinds == GRAMS))
-        index, values = pd.Index(of_codes.column("code").to_numpy()), of_codes.column("value").to_numpy()
+        gains: dict[bytes, float] = {}
+        codes, values = [], []
+        for kind, data, vals in zip(*(known.column(c).to_pylist() for c in ("kind", "data", "vals"))):
+            if kind == WORDS:
+                gains.update(zip(data.split(b"\n"), np.frombuffer(vals).tolist()))
+            else:
+                codes.append(np.frombuffer(data, "<i8"))
+                values.append(np.frombuffer(vals))
+        index, values = pd.Index(np.concatenate(codes)), np.concatenate(values)
         out = []
-        for payload in packed.column("payload").to_pylist():
+        for payload in packed.column("data").to_pylist():
             table = pa.ipc.open_stream(payload).read_all()
             ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
             scores = []
             for lo, hi in _chunks(texts):
-                codes, starts = gram_codes(texts[lo:hi], depth)
-                scores.extend(np.add.reduceat(values[index.get_indexer(codes)], starts).tolist())
+                at, starts = gram_codes(texts[lo:hi], depth)
+                scores.extend(np.add.reduceat(values[index.get_indexer(at)], starts).tolist())
             for doc_id, text, score in zip(ids, texts, scores):
                 gain = np.array([gains[w] for w in text.split()])
                 out.append((doc_id, not in_training(doc_id, modulus, remainder), len(gain), int(np.count_nonzero(gain)), float(gain.sum()), score, 0, 0, 0))
         held = sum(r[1] for r in out)
-        out.append((None, None, None, None, None, None, len(out) - held, int(counts[first].sum()), int((counts[first] > 0).sum())))
+        out.append((None, None, None, None, None, None, len(out) - held,
+                    sum(known.column("train_tokens").to_pylist()), sum(known.column("train_words").to_pylist())))
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
         names = [c.split()[0] for c in SCORED.split(", ")]
         return pa.table({name: pa.array(c, kind) for name, kind, c in zip(names, kinds, zip(*out))})
@@ -263,18 +331,17 @@ def score(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DE
     tree of contexts up to ``depth`` bytes (2 to 6). Null and empty texts have the end alone. Repeated rows repeat, and
     count as often in training; without training texts every bit has probability 1/2; an empty table gives no rows.
     """
-    blocks = landed(_blocks(docs, depth, modulus, remainder), "blocks")
-    by_word = Window.partitionBy("word")
-    words = (blocks.where(F.col("kind") == WORDS).select("block", "kind", "word", "n")
-             .withColumn("value", F.sum("n").over(by_word).cast("double"))
-             .withColumn("first", F.col("block") == F.min("block").over(by_word))
-             .select("block", "kind", "word", F.lit(None).cast("long").alias("code"), "value", "first"))
-    in_blocks = blocks.where(F.col("kind") == GRAMS).select("block", "kind", "code", "n")
-    grams = landed(in_blocks.groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    codes = in_blocks.join(_code_scores(grams, depth), "code").select(
-        "block", "kind", F.lit(None).cast("binary").alias("word"), "code", "value", F.lit(False).alias("first"))
-    known = words.union(codes).select(F.col("block").alias("of"), "kind", "word", "code", "value", "first")
-    packed = blocks.where(F.col("kind") == TEXTS).select("block", "payload")
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first()["bytes"] or 0
+    buckets = 1 + size // BLOCK_BYTES
+    blocks = landed(_blocks(docs, buckets, depth, modulus, remainder), "blocks")
+    of_words = blocks.where(F.col("kind") == WORDS).select("block", "bucket", "data", "counts")
+    of_codes = blocks.where(F.col("kind") == GRAMS).select("block", "bucket", "data", "counts")
+    words = of_words.groupBy("bucket").applyInArrow(_word_values, VALUED)
+    grams = landed(of_codes.groupBy("bucket").applyInArrow(_code_counts, "code long, n long"), "grams")
+    codes = of_codes.select("block", "bucket", "data").groupBy("bucket").cogroup(
+        _code_scores(grams, buckets, depth).groupBy("of")).applyInArrow(_code_values, VALUED)
+    known = words.union(codes).withColumnRenamed("block", "of")
+    packed = blocks.where(F.col("kind") == TEXTS).select("block", "data")
     rows = landed(packed.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
         _score_block(modulus, remainder, depth), SCORED), "scores")
     sums = rows.agg(F.sum("train_docs").alias("docs"), F.sum("train_tokens").alias("tokens"), F.sum("train_words").alias("words")).first()
