@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ DEPTH = 5
 #: Texts of so many bytes make a block; as many bytes of the corpus make a bucket of words and codes.
 BLOCK_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 20
-GRAMS_AT_ONCE = 200_000
+GRAMS_AT_ONCE = 40_000
 TEXTS, WORDS, GRAMS = range(3)
 LOG2 = float(np.log(2))
 LANDED = "block long, kind int, bucket int, data binary, counts binary"
@@ -72,6 +73,32 @@ def _count_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray
     return codes, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """An array as compressed bytes; ``_unpacked`` gives it back."""
+    return zstandard.compress(values.tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
+
+
+def _packed_codes(codes: np.ndarray) -> bytes:
+    """Ascending codes by their differences."""
+    return _packed(np.diff(codes, prepend=0).astype("<i8"))
+
+
+def _unpacked_codes(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, "<i8"))
+
+
+def _packed_words(words: list[bytes]) -> bytes:
+    return zstandard.compress(b"\n".join(words), 1)
+
+
+def _unpacked_words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b"\n")
+
+
 def _code_bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
     return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
 
@@ -107,16 +134,18 @@ def _blocks(docs: DataFrame, buckets: int, depth: int, modulus: int, remainder:
         for w in words:
             dealt[zlib.crc32(w) % buckets].append(w)
         for bucket, own in dealt.items():
-            yield _row(block, WORDS, bucket, b"\n".join(own), np.fromiter(map(words.__getitem__, own), "<i8", len(own)).tobytes())
+            yield _row(block, WORDS, bucket, _packed_words(own), _packed(np.fromiter(map(words.__getitem__, own), "<i8", len(own))))
         del words, dealt
         (seen, _), (codes, n) = (_count_grams(side, depth) for side in sides)
         new = np.setdiff1d(seen, codes, assume_unique=True)
         codes, n = np.concatenate((codes, new)), np.concatenate((n, np.zeros(len(new), np.int64)))
+        order = np.argsort(codes)
+        codes, n = codes[order], n[order]
         bucket = _code_bucket(codes, buckets)
         order = np.argsort(bucket, kind="stable")
         some, lows = np.unique(bucket[order], return_index=True)
         for i, lo, hi in zip(some.tolist(), lows.tolist(), [*lows[1:].tolist(), len(codes)]):
-            yield _row(block, GRAMS, i, codes[order[lo:hi]].astype("<i8").tobytes(), n[order[lo:hi]].astype("<i8").tobytes())
+            yield _row(block, GRAMS, i, _packed_codes(codes[order[lo:hi]]), _packed(n[order[lo:hi]].astype("<i8")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
@@ -134,10 +163,6 @@ def _blocks(docs: DataFrame, buckets: int, depth: int, modulus: int, remainder:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, LANDED)
 
 
-def _arrays(table: pa.Table, column: str, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(v, kind) for v in table.column(column).to_pylist()]
-
-
 VALUED = "block long, kind int, data binary, vals binary, train_tokens long, train_words long"
 VALUED_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
@@ -148,26 +173,24 @@ def _valued(rows: list[tuple]) -> pa.Table:
 
 
 def _word_values(rows: pa.Table) -> pa.Table:
-    """For each row of a bucket log10(c + 1) of its words; the bucket's tokens and trained words on the first."""
-    blocks, counts = rows.column("block").to_pylist(), _arrays(rows, "counts", "<i8")
-    data = rows.column("data").to_pylist()
+    """For each row of a bucket the corpus's counts of its words; the bucket's tokens and trained words on the first."""
+    blocks, data, counts = (rows.column(c).to_pylist() for c in ("block", "data", "counts"))
     total: dict[bytes, int] = {}
     for words, n in zip(data, counts):
-        for w, k in zip(words.split(b"\n"), n.tolist()):
+        for w, k in zip(_unpacked_words(words), _unpacked(n, "<i8").tolist()):
             total[w] = total.get(w, 0) + k
     out = []
     for block, words in zip(blocks, data):
-        own = words.split(b"\n")
-        value = np.log10(np.fromiter(map(total.__getitem__, own), np.float64, len(own)) + 1)
-        out.append((block, WORDS, words, value.tobytes(), 0, 0))
+        own = _unpacked_words(words)
+        out.append((block, WORDS, words, _packed(np.fromiter(map(total.__getitem__, own), "<i8", len(own))), 0, 0))
     if out:
         out[0] = (*out[0][:4], sum(total.values()), sum(map(bool, total.values())))
     return _valued(out)
 
 
 def _code_counts(rows: pa.Table) -> pa.Table:
-    codes, inverse = np.unique(np.concatenate(_arrays(rows, "data", "<i8")), return_inverse=True)
-    n = np.bincount(inverse, np.concatenate(_arrays(rows, "counts", "<i8")), len(codes))
+    codes, inverse = np.unique(np.concatenate([_unpacked_codes(d) for d in rows.column("data").to_pylist()]), return_inverse=True)
+    n = np.bincount(inverse, np.concatenate([_unpacked(d, "<i8") for d in rows.column("counts").to_pylist()]), len(codes))
     return pa.table({"code": pa.array(codes), "n": pa.array(n.astype(np.int64))})
 
 
@@ -175,9 +198,9 @@ def _code_values(rows: pa.Table, scores: pa.Table) -> pa.Table:
     """For each row of a bucket the values of its codes."""
     codes, values = scores.column("code").to_numpy(), scores.column("value").to_numpy()
     order = np.argsort(codes)
-    codes, values = codes[order], values[order]
+    codes, values = codes[order], values[order].astype("<f4")
     return _valued([
-        (block, GRAMS, data, values[np.searchsorted(codes, np.frombuffer(data, "<i8"))].tobytes(), 0, 0)
+        (block, GRAMS, data, _packed(values[np.searchsorted(codes, _unpacked_codes(data))]), 0, 0)
         for block, data in zip(rows.column("block").to_pylist(), rows.column("data").to_pylist())])
 
 
@@ -297,11 +320,11 @@ def _score_block(modulus: int, remainder: int, depth: int):
         codes, values = [], []
         for kind, data, vals in zip(*(known.column(c).to_pylist() for c in ("kind", "data", "vals"))):
             if kind == WORDS:
-                gains.update(zip(data.split(b"\n"), np.frombuffer(vals).tolist()))
+                gains.update(zip(_unpacked_words(data), np.log10(_unpacked(vals, "<i8") + 1.0).tolist()))
             else:
-                codes.append(np.frombuffer(data, "<i8"))
-                values.append(np.frombuffer(vals))
-        index, values = pd.Index(np.concatenate(codes)), np.concatenate(values)
+                codes.append(_unpacked_codes(data))
+                values.append(_unpacked(vals, "<f4"))
+        index, values = pd.Index(np.concatenate(codes)), np.concatenate(values).astype(np.float64)
         out = []
         for payload in packed.column("data").to_pylist():
             table = pa.ipc.open_stream(payload).read_all()
