@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.graph import landed
 
 WINDOW = 2048
-CACHED_WORDS, CACHED_LENGTH = 400_000, 64
+CACHED_WORDS, CACHED_LENGTH = 600_000, 64
 PIECES_PER_BUCKET = 50_000
 
 
@@ -96,28 +100,80 @@ class WordEncoder:
     """Token ids of texts by a tokenizer that drops white space, one word at a time and with a bounded memory of words.
 
     White space of ASCII never lies inside a token or changes its neighbours, so a text's ids are those of its words in turn.
+    For the tokenizer's own pre-tokens the same holds; words up to U+00FF, whose normal form is lower case alone, are put
+    together from these, since words differ far more than their parts do.
     """
 
+    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+    PLAIN = re.compile("[\x21-\x7e\xa1-\xff]+")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+        self.known_parts: dict[str, bytes] = {}
+        kept = json.loads(self.tokenizer.to_str())
+        steps = [n.get("type") for n in (kept["normalizer"] or {}).get("normalizers", [])]
+        splits = [t.get("pattern", {}).get("Regex") for t in (kept["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.special = tuple(t["content"].encode() for t in kept["added_tokens"])
+        suffix = kept["model"].get("end_of_word_suffix")
+        vocabulary = kept["model"]["vocab"]
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.in_parts = bool(suffix) and steps == ["NFC", "Replace", "Lowercase"] and splits == [self.SPLIT, None]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each pre-token: encoded in a row, and cut after each id that ends a pre-token."""
+        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(parts):
+            return self._encode(parts)
+        data = ids.tobytes()
+        return [data[4 * a:4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+
+    def _learn(self, words: list[bytes]) -> None:
+        whole, parted, parts = [], {}, self.known_parts
+        for w in words:
+            text = w.decode()
+            if self.in_parts and self.PLAIN.fullmatch(text) and not (b"<|" in w and any(t in w for t in self.special)):
+                parted[w] = self.PARTS.findall(text.lower())
+            else:
+                whole.append(w)
+        missing = list({p for found in parted.values() for p in found if p not in parts})
+        if len(parts) + len(missing) > CACHED_WORDS:
+            parts.clear()
+            missing = list({p for found in parted.values() for p in found})
+        if missing:
+            parts.update(zip(missing, self._encode_parts(missing)))
+        self.known.update((w, b"".join([parts[p] for p in found])) for w, found in parted.items())
+        self.known.update(zip(whole, self._encode([w.decode() for w in whole])))
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
         words, known = text.split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = list({w for w in words if w not in known})
+        new = {w for w in words if w not in known}
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
-            new = list(set(words))
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        now = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
-        known.update((w, i) for w, i in now.items() if len(w) <= CACHED_LENGTH)
-        return b"".join([now.get(w) or known.get(w, b"") for w in words])
+            new = set(words)
+        if new:
+            self._learn(list(new))
+        found = b"".join([known[w] for w in words])
+        for w in new:
+            if len(w) > CACHED_LENGTH:
+                del known[w]
+        return found
+
+
+@cache
+def encoder(path: str) -> WordEncoder:
+    """A process's encoder: what a worker has learned in one task serves the next."""
+    return WordEncoder(path)
 
 
 def cut_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:
@@ -128,11 +184,11 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        words = encoder(tokenizer)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = encoder.ids(text or b"") + end
+                ids = words.ids(text or b"") + end
                 for at in range(0, len(ids), 4 * window):
                     piece = ids[at:at + 4 * window]
                     rows.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
