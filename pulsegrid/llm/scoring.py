@@ -25,8 +25,8 @@ from pulsegrid.llm.graph import landed
 DEPTH = 5
 #: Texts of so many bytes make a block; as many bytes of the corpus make a bucket of words and codes.
 BLOCK_BYTES = 16 << 20
-CHUNK_BYTES = 1 << 20
-GRAMS_AT_ONCE = 40_000
+CHUNK_BYTES = 1 << 18
+GRAMS_AT_ONCE = 100_000
 TEXTS, WORDS, GRAMS = range(3)
 LOG2 = float(np.log(2))
 LANDED = "block long, kind int, bucket int, data binary, counts binary"
@@ -36,41 +36,50 @@ def in_training(doc_id: int | None, modulus: int = 7, remainder: int = 2) -> boo
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % modulus != remainder
 
 
-def gram_codes(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, first): a code of each byte and the ``depth`` bytes before it, text after text, and where each text begins.
-
-    Texts begin after ``depth`` zero bytes and end with one more, which is scored.
-    """
-    pad = b"\0" * depth
-    data = np.frombuffer(b"".join(x for t in texts for x in (pad, t, b"\0")), np.uint8).astype(np.int64)
+def _chunks(texts: list[bytes], depth: int) -> Iterator[list[tuple[int, bytes, bytes]]]:
+    """The texts with their ends, as chunks of (text number, the ``depth`` bytes before, bytes); long texts are cut."""
+    chunk, size = [], 0
+    for i, text in enumerate(texts):
+        whole = b"\0" * depth + text + b"\0"
+        for at in range(depth, len(whole), CHUNK_BYTES):
+            chunk.append((i, whole[at - depth:at], whole[at:at + CHUNK_BYTES]))
+            size += len(chunk[-1][2])
+            if size >= CHUNK_BYTES:
+                yield chunk
+                chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def gram_codes(chunk: list[tuple[int, bytes, bytes]], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, first): a code of each byte of a chunk and the ``depth`` bytes before it, and where each part begins."""
+    data = np.frombuffer(b"".join(x for _, before, body in chunk for x in (before, body)), np.uint8).astype(np.int64)
     codes = np.zeros(max(0, len(data) - depth), np.int64)
     for j in range(depth + 1):
         codes = (codes << 8) | data[j:len(data) - depth + j]
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    sizes = np.array([len(body) for _, _, body in chunk], np.int64)
     first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     scored = np.ones(len(codes), bool)
-    gaps = (first + depth * np.arange(len(texts)))[1:] - depth  # the next text's zero bytes, in places of ``codes``
+    gaps = (first + depth * np.arange(len(chunk)))[1:] - depth  # the next part's bytes before, in places of ``codes``
     scored[(gaps[:, None] + np.arange(depth)).ravel()] = False
     return codes[scored], first
 
 
-def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    lo = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= CHUNK_BYTES:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    codes, inverse = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
 
 
 def _count_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.unique(gram_codes(texts[lo:hi], depth)[0], return_counts=True) for lo, hi in _chunks(texts)]
-    if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    codes, inverse = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    return codes, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+    parts, size = [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
+    for chunk in _chunks(texts, depth):
+        parts.append(np.unique(gram_codes(chunk, depth)[0], return_counts=True))
+        size += len(parts[-1][0])
+        if size > 200_000 + len(parts[0][0]) // 2:
+            parts, size = [_summed(parts)], 0
+    return _summed(parts)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -157,6 +166,7 @@ def _blocks(docs: DataFrame, buckets: int, depth: int, modulus: int, remainder:
                 if size >= BLOCK_BYTES:
                     yield from flush(block, ids, texts)
                     block, ids, texts, size = block + 1, [], [], 0
+                    pa.default_memory_pool().release_unused()
         if ids:
             yield from flush(block, ids, texts)
 
@@ -216,24 +226,21 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
 
 
-def _decisions(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes x 8): the node of each binary decision on the last byte, 1 to 255, and the bit taken there."""
-    symbol = codes[:, None] & 255
-    k = np.arange(8)
+def _decision(codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the k-th binary decision on each code's last byte its node, 1 to 255, and the bit taken there."""
+    symbol = codes & 255
     return (1 << k) | (symbol >> (8 - k)), (symbol >> (7 - k)) & 1
 
 
-def _tree(codes: np.ndarray, n: np.ndarray, depth: int, top: int):
-    """Nodes of depth ``depth`` to ``top`` of all codes: per depth (keys, place of each decision, zeros, ones, ln KT, ln weighted)."""
-    node, bit = _decisions(codes)
+def _tree(codes: np.ndarray, n: np.ndarray, k: int, depth: int, top: int):
+    """Nodes of depth ``depth`` to ``top`` for the k-th decision: by depth (keys, each code's place there, zeros, ones, ln KT, ln weighted)."""
+    node, bit = _decision(codes, k)
     levels, below = {}, None
     for d in range(depth, top - 1, -1):
         context = (codes >> 8) & ((1 << 8 * d) - 1)
-        keys, place = np.unique((context[:, None] << 8) | node, return_inverse=True)
-        place = place.reshape(node.shape)
-        times = np.broadcast_to(n[:, None], node.shape).ravel()
-        ones = np.bincount(place.ravel(), times * bit.ravel(), len(keys))
-        zeros = np.bincount(place.ravel(), times, len(keys)) - ones
+        keys, place = np.unique((context << 8) | node, return_inverse=True)
+        ones = np.bincount(place, n * bit, len(keys))
+        zeros = np.bincount(place, n, len(keys)) - ones
         kt = log_kt(zeros, ones)
         if below is None:
             weighted = kt
@@ -271,8 +278,8 @@ def _code_scores(grams: DataFrame, buckets: int, depth: int) -> DataFrame:
     placed = placed.repartition("pair").sortWithinPartitions("pair").select("code", "n")
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for codes, n in _by_context(batches):
-            keys, _, zeros, ones, _, weighted = _tree(codes, n, depth, 2)[2]
+        for codes, n, k in ((*part, k) for part in _by_context(batches) for k in range(8)):
+            keys, _, zeros, ones, _, weighted = _tree(codes, n, k, depth, 2)[2]
             upper, at = np.unique(keys & 0xFFFF, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(upper), *(pa.array(np.bincount(at, v, len(upper))) for v in (zeros, ones, weighted))], ["key", "zeros", "ones", "below"])
@@ -293,20 +300,23 @@ def _code_scores(grams: DataFrame, buckets: int, depth: int) -> DataFrame:
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for codes, n in _by_context(batches):
-            levels = _tree(codes, n, depth, 2)
-            node, bit = _decisions(codes)
-            mixed = None
-            for d in range(depth, -1, -1):
-                if d >= 2:
-                    _, place, zeros, ones, kt, weighted = levels[d]
-                    stop = np.exp(kt - LOG2 - weighted)
-                else:
-                    zeros, ones, stop = top.value[1 - d]
-                    place = (((codes >> 8) & 255)[:, None] << 8 | node) if d else node
-                own = (np.where(bit, ones[place], zeros[place]) + 0.5) / (zeros[place] + ones[place] + 1)
-                mixed = own if mixed is None else stop[place] * own + (1 - stop[place]) * mixed
+            total = np.zeros(len(codes))
+            for k in range(8):
+                levels = _tree(codes, n, k, depth, 2)
+                node, bit = _decision(codes, k)
+                mixed = None
+                for d in range(depth, -1, -1):
+                    if d >= 2:
+                        _, place, zeros, ones, kt, weighted = levels[d]
+                        stop = np.exp(kt - LOG2 - weighted)
+                    else:
+                        zeros, ones, stop = top.value[1 - d]
+                        place = (((codes >> 8) & 255) << 8 | node) if d else node
+                    own = (np.where(bit, ones[place], zeros[place]) + 0.5) / (zeros[place] + ones[place] + 1)
+                    mixed = own if mixed is None else stop[place] * own + (1 - stop[place]) * mixed
+                total += np.log10(mixed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_code_bucket(codes, buckets), pa.int32()), pa.array(codes), pa.array(np.log10(mixed).sum(axis=1))], ["of", "code", "value"])
+                [pa.array(_code_bucket(codes, buckets), pa.int32()), pa.array(codes), pa.array(total)], ["of", "code", "value"])
 
     return placed.mapInArrow(scores, "of int, code long, value double")
 
@@ -329,11 +339,11 @@ def _score_block(modulus: int, remainder: int, depth: int):
         for payload in packed.column("data").to_pylist():
             table = pa.ipc.open_stream(payload).read_all()
             ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
-            scores = []
-            for lo, hi in _chunks(texts):
-                at, starts = gram_codes(texts[lo:hi], depth)
-                scores.extend(np.add.reduceat(values[index.get_indexer(at)], starts).tolist())
-            for doc_id, text, score in zip(ids, texts, scores):
+            scores = np.zeros(len(texts))
+            for chunk in _chunks(texts, depth):
+                at, starts = gram_codes(chunk, depth)
+                np.add.at(scores, [i for i, _, _ in chunk], np.add.reduceat(values[index.get_indexer(at)], starts))
+            for doc_id, text, score in zip(ids, texts, scores.tolist()):
                 gain = np.array([gains[w] for w in text.split()])
                 out.append((doc_id, not in_training(doc_id, modulus, remainder), len(gain), int(np.count_nonzero(gain)), float(gain.sum()), score, 0, 0, 0))
         held = sum(r[1] for r in out)
