@@ -7,13 +7,15 @@ from ..operators import readings as ops
 from ..sources.star import star_profiles, star_readings
 from .registry import CONDITIONS_TEXT, query, share, with_both, with_readings
 
+REFILED = "(SELECT * REPLACE (CASE WHEN risk_score < 4 THEN -patient_id ELSE patient_id END AS patient_id) FROM profiles)"
 NEWEST = '"timestamp" DESC NULLS LAST, event_id DESC NULLS LAST'
 FLAT = 'patient_id, event_id, "timestamp", heart_rate, bp_systolic, bp_diastolic, status'
 
 
-def known_profiles(spark, sf):
-    """Profiles of the patients at medium or high risk: readings of the others are of unknown patients."""
-    return star_profiles(spark, sf).filter(F.col("risk_score") >= 4)
+def refiled_profiles(spark, sf):
+    """All profiles, those at low risk under the negative of their id: these patients' readings and updates are of unknown ones."""
+    refiled = F.when(F.col("risk_score") < 4, -F.col("patient_id")).otherwise(F.col("patient_id"))
+    return star_profiles(spark, sf).withColumn("patient_id", refiled)
 
 
 def conditions_text(df):
@@ -85,6 +87,24 @@ def _(spark, sf):
     return ops.flatten_readings(ops.latest_readings(star_readings(spark, sf), 1))
 
 
+@query("patient_latest_readings", with_readings(f"""
+SELECT {FLAT}, CAST(row_number() OVER (ORDER BY {NEWEST}) AS INTEGER) AS rn FROM readings
+WHERE patient_id = (SELECT min(patient_id) FROM readings) ORDER BY {NEWEST} LIMIT 20"""))
+def _(spark, sf):
+    """The newest readings of one patient."""
+    readings = star_readings(spark, sf)
+    return ops.flatten_readings(ops.latest_readings(readings, 20, readings.select(F.min("patient_id")).scalar()))
+
+
+@query("cycle_counts_timeless", with_readings("").rstrip() + """
+SELECT CASE WHEN event_id % 50 <> 0 THEN time_bucket(INTERVAL 1 HOUR, "timestamp") END AS window_start,
+       count(*) AS events, count(*) FILTER (status = 'ABNORMAL') AS abnormal FROM readings GROUP BY 1""")
+def _(spark, sf):
+    """Hourly counters over readings of which every fiftieth has lost its time."""
+    readings = star_readings(spark, sf)
+    return ops.cycle_counts(readings.withColumn("timestamp", F.when(F.col("event_id") % 50 != 0, F.col("timestamp"))), "1 hour")
+
+
 @query("latest_readings_50", latest_sql(50))
 def _(spark, sf):
     return ops.flatten_readings(ops.latest_readings(star_readings(spark, sf), 50))
@@ -100,13 +120,13 @@ found AS (
       SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY {NEWEST}) AS rn FROM {source}
     ) WHERE rn <= 5 AND status = 'ABNORMAL'
     QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY rn) = 1
-  ) a LEFT JOIN (SELECT * FROM profiles WHERE risk_score >= 4) p USING (patient_id)
+  ) a LEFT JOIN {REFILED} p USING (patient_id)
 )"""
 
 
 @query("abnormal_patients", with_both("").rstrip() + "," + _abnormal() + " SELECT * FROM found")
 def _(spark, sf):
-    return conditions_text(ops.abnormal_patients(star_readings(spark, sf), known_profiles(spark, sf)))
+    return conditions_text(ops.abnormal_patients(star_readings(spark, sf), refiled_profiles(spark, sf)))
 
 
 @query("abnormal_patients_last_day", with_both("").rstrip() + "," + _abnormal(
@@ -115,7 +135,7 @@ def _(spark, sf):
 def _(spark, sf):
     readings = star_readings(spark, sf)
     return conditions_text(ops.abnormal_patients(
-        readings, known_profiles(spark, sf), window_minutes=1440, as_of=last_reading(readings)))
+        readings, refiled_profiles(spark, sf), window_minutes=1440, as_of=last_reading(readings)))
 
 
 @query("abnormal_summary", with_both("").rstrip() + "," + _abnormal() + """
@@ -123,7 +143,7 @@ SELECT patient_id, name, age, conditions, heart_rate, systolic, diastolic, tempe
        (SELECT count(*) FROM found) AS found, greatest((SELECT count(*) FROM found) - 10, 0) AS more
 FROM found ORDER BY patient_id LIMIT 10""")
 def _(spark, sf):
-    return conditions_text(ops.abnormal_summary(star_readings(spark, sf), known_profiles(spark, sf)))
+    return conditions_text(ops.abnormal_summary(star_readings(spark, sf), refiled_profiles(spark, sf)))
 
 
 @query("alerts", with_readings(f"""
@@ -134,11 +154,11 @@ def _(spark, sf):
     return ops.alerts(star_readings(spark, sf))
 
 
-@query("enriched_readings", with_both("""
+@query("enriched_readings", with_both(f"""
 SELECT patient_id, event_id, coalesce(p.name, 'Unknown') AS name, p.age
-FROM readings LEFT JOIN (SELECT * FROM profiles WHERE risk_score >= 4) p USING (patient_id)"""))
+FROM readings LEFT JOIN {REFILED} p USING (patient_id)"""))
 def _(spark, sf):
-    return ops.enrich(star_readings(spark, sf), known_profiles(spark, sf)).select("patient_id", "event_id", "name", "age")
+    return ops.enrich(star_readings(spark, sf), refiled_profiles(spark, sf)).select("patient_id", "event_id", "name", "age")
 
 
 @query("patients_monitored", with_readings("SELECT count(DISTINCT patient_id) AS patients FROM readings"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import reading_key
-from ..operators.readings import dedup_readings
+from ..operators.readings import dedup_readings, within_minutes
 from ..plans.batch import save_batch
 from ..session import scratch_path
 from ..sources import files, sinks
@@ -47,6 +47,16 @@ def _(spark, sf):
     return _card(sinks.read_published(spark, root))
 
 
+@query("profiles_replaced", PROFILE_ROWS)
+def _(spark, sf):
+    """A table loaded with wrong scores, then replaced as a whole."""
+    path = scratch_path(spark, "profiles-replaced")
+    profiles = star_profiles(spark, sf).withColumn("patient_id", text_id())
+    sinks.replace_profiles(profiles.withColumn("risk_score", F.lit(0)), path)
+    sinks.replace_profiles(profiles, path)
+    return _card(spark.read.parquet(path))
+
+
 @query("batch_saved", BATCH)
 def _(spark, sf):
     """Every analysis written by the batch run and read back."""
@@ -75,6 +85,25 @@ def _(spark, sf):
     return files.import_key_values(dump, STAR_READING).drop("key")
 
 
+@query("recent_landed_readings", with_readings("""
+SELECT patient_id, event_id, "timestamp", heart_rate, status FROM readings
+WHERE "timestamp" >= (SELECT max("timestamp") FROM readings) - INTERVAL 1440 MINUTES"""))
+def _(spark, sf):
+    """The last day of readings landed by date under one time zone and read under another."""
+    path, zone = scratch_path(spark, "landed"), spark.conf.get("spark.sql.session.timeZone")
+    readings = star_readings(spark, sf).drop("blood_pressure")
+    instants = readings.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+    try:
+        sinks.append_readings(instants, path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    landed = spark.read.parquet(path)
+    newest = readings.select(F.max("timestamp")).scalar().cast("timestamp")
+    recent = within_minutes(landed, 1440, newest)
+    return recent.select("patient_id", "event_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "heart_rate", "status")
+
+
 @query("append_last_wins", with_readings("""
 SELECT patient_id, event_id, "timestamp", heart_rate + 1 AS heart_rate, status FROM readings
 QUALIFY row_number() OVER (PARTITION BY patient_id, floor(epoch("timestamp")) ORDER BY event_id DESC) = 1"""))

@@ -15,7 +15,7 @@ from ..sources.files import stream_readings
 from ..sources.sinks import publish_version
 from ..sources.star import TABLES, reading_columns, risk_update_columns
 from ..streaming import feeds, risk, sinks
-from .reading_queries import FLAT, NEWEST, cycles_sql, dedup_sql, latest_sql, conditions_text, known_profiles
+from .reading_queries import FLAT, NEWEST, REFILED, cycles_sql, dedup_sql, latest_sql, conditions_text, refiled_profiles
 from .registry import CONDITIONS_TEXT, query, with_both, with_readings
 from .update_queries import UPDATES, new_profiles_sql
 
@@ -78,11 +78,11 @@ def _(spark, sf):
 SELECT patient_id, event_id, heart_rate, bp_systolic, bp_diastolic, "timestamp",
        CASE WHEN heart_rate > 120 THEN 'High' ELSE 'Medium' END AS severity,
        coalesce(p.name, 'Unknown') AS name, p.age, {CONDITIONS_TEXT} AS conditions
-FROM readings LEFT JOIN (SELECT * FROM profiles WHERE risk_score >= 4) p USING (patient_id)
+FROM readings LEFT JOIN {REFILED} p USING (patient_id)
 WHERE status = 'ABNORMAL'"""))
 def _(spark, sf):
     out, checkpoint = _paths(spark, "alerts")
-    alerts = feeds.stream_alerts(reading_columns(_events(spark, sf)), known_profiles(spark, sf))
+    alerts = feeds.stream_alerts(reading_columns(_events(spark, sf)), refiled_profiles(spark, sf))
     _run(spark, sinks.append_stream, alerts, out, checkpoint)
     return conditions_text(spark.read.parquet(out))
 
@@ -124,7 +124,7 @@ def _(spark, sf):
 
 def _stream_risk(spark, sf):
     root = scratch_path(spark, "risk")
-    publish_version(known_profiles(spark, sf), f"{root}/profiles")
+    publish_version(refiled_profiles(spark, sf), f"{root}/profiles")
     updates = risk_update_columns(_events(spark, sf))
     _run(spark, risk.start_risk_updates, updates, f"{root}/profiles", f"{root}/history", f"{root}/checkpoint")
     return root

@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 from ..operators.cards import patient_card
 from ..operators.updates import apply_profile_patches, apply_risk_updates
 from ..sources.star import star_patches, star_risk_updates
-from .reading_queries import known_profiles
+from .reading_queries import REFILED, refiled_profiles
 from .registry import CONDITIONS_TEXT, PROFILES, RISK_LEVEL, query
 
 UPDATES = f"""WITH {PROFILES},
-known AS (SELECT * FROM profiles WHERE risk_score >= 4),
+known AS {REFILED},
 updates AS (
   SELECT user_id AS patient_id, 1 + CAST(floor(value) AS INTEGER) % 10 AS score, ts, event_id AS seq FROM events
 ),
@@ -32,7 +32,7 @@ FROM chained"""
 
 
 def _risk(spark, sf, **options):
-    return apply_risk_updates(known_profiles(spark, sf), star_risk_updates(spark, sf), **options)
+    return apply_risk_updates(refiled_profiles(spark, sf), star_risk_updates(spark, sf), **options)
 
 
 @query("risk_change", _audit())
@@ -95,7 +95,7 @@ def _(spark, sf):
 
 
 PATCHES = rf"""WITH {PROFILES},
-known AS (SELECT * FROM profiles WHERE risk_score >= 4),
+known AS {REFILED},
 raw AS (SELECT *, CAST(regexp_extract(props, '(\d+)', 1) AS INTEGER) AS k FROM events),
 patches AS (
   SELECT user_id AS patient_id, event_id AS seq,
@@ -124,7 +124,7 @@ audit AS (
 
 
 def _patches(spark, sf, **options):
-    return apply_profile_patches(known_profiles(spark, sf), star_patches(spark, sf), **options)
+    return apply_profile_patches(refiled_profiles(spark, sf), star_patches(spark, sf), **options)
 
 
 PATCH_AUDIT = PATCHES + """

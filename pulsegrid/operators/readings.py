@@ -25,12 +25,13 @@ def abnormal_only(readings: DataFrame) -> DataFrame:
 def within_minutes(readings: DataFrame, minutes: int, as_of=None) -> DataFrame:
     """Readings of the last ``minutes`` before ``as_of`` (default: now).
 
-    On a table with an ``event_date`` only the dates of that time are read.
+    On a table with an ``event_date`` only the dates of that time are read, and two days before:
+    whatever zones writer and reader have, their dates of one instant differ by less.
     """
     moment = F.localtimestamp() if as_of is None else F.lit(as_of)
     since = moment - F.make_dt_interval(mins=F.lit(minutes))
     if "event_date" in readings.columns:
-        readings = readings.filter(F.col("event_date") >= F.to_date(since))
+        readings = readings.filter(F.col("event_date") >= F.date_sub(F.to_date(since), 2))
     return readings.filter(F.col("timestamp") >= since)
 
 
@@ -181,19 +182,27 @@ def alerts(readings: DataFrame, scan: int = 100, k: int = 15) -> DataFrame:
 
 
 def cycle_counts(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
-    """Readings and ABNORMAL readings per tumbling window; batch or streaming."""
-    return (
-        readings.groupBy(F.window("timestamp", width).alias("w"))
-        .agg(F.count("*").alias("events"), F.count_if(F.expr(IS_ABNORMAL)).alias("abnormal"))
-        .select(F.col("w.start").alias("window_start"), "events", "abnormal")
-    )
+    """Readings and ABNORMAL readings per tumbling window; batch or streaming.
+
+    Readings without a time are counted in a row without ``window_start``; a stream has no such row, as its
+    watermark needs a time.
+    """
+
+    def counted(rows: DataFrame, start: Column) -> DataFrame:
+        return rows.groupBy(start.alias("w")).agg(F.count("*").alias("events"), F.count_if(F.expr(IS_ABNORMAL)).alias("abnormal"))
+
+    timed = counted(readings, F.window("timestamp", width)).select(F.col("w.start").alias("window_start"), "events", "abnormal")
+    if readings.isStreaming:
+        return timed
+    timeless = counted(readings.filter(F.col("timestamp").isNull()), F.col("timestamp")).withColumnRenamed("w", "window_start")
+    return timed.union(timeless)
 
 
 def running_totals(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
     """``cycle_counts`` with totals up to each window and the abnormal share so far.
 
     Windows are summed within their day; only the day totals, one row a day, are
-    summed in a single task.
+    summed in a single task. Readings without a time come first, as a window of their own.
     """
     windows = cycle_counts(readings, width).withColumn("day", F.to_date("window_start"))
     so_far = Window.partitionBy("day").orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
@@ -210,7 +219,7 @@ def running_totals(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
     return (
         windows.withColumn("e_day", F.sum("events").over(so_far))
         .withColumn("a_day", F.sum("abnormal").over(so_far))
-        .join(days, "day", "left")  # an inner join would filter one side's scan: no shared shuffle
+        .join(days.withColumnRenamed("day", "_day"), F.col("day").eqNullSafe(F.col("_day")), "left")  # an inner join would filter one side's scan: no shared shuffle
         .select(
             "window_start",
             "events",

@@ -96,5 +96,5 @@ def read_result(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
             raise
         return spark.range(1).select(
             F.lit("no_results").alias("status"),
-            F.lit("Batch analytics not yet run").alias("message"),
+            F.lit("no stored result at this path").alias("message"),
         )

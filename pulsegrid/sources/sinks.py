@@ -30,13 +30,18 @@ def replace_profiles(profiles: DataFrame, path: str) -> None:
     profiles.write.mode("overwrite").parquet(path)
 
 
+def with_event_date(readings: DataFrame) -> DataFrame:
+    """``readings`` with the date of their time in the session's zone, as a folder for pruning."""
+    return readings.withColumn("event_date", F.to_date("timestamp"))
+
+
 def append_readings(readings: DataFrame, path: str) -> None:
     """Append readings, stamped with the load time, partitioned by event date.
 
     Nothing is looked up or replaced on write: ``dedup_readings`` lets the last load
     of a key win when the table is read.
     """
-    stamped = readings.withColumn("ingested_at", F.current_timestamp()).withColumn("event_date", F.to_date("timestamp"))
+    stamped = with_event_date(readings.withColumn("ingested_at", F.current_timestamp()))
     # Files of even size per date, instead of one per task and date.
     stamped.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
 
@@ -46,14 +51,14 @@ def _log_path(root: str) -> str:
 
 
 def current_version(spark: SparkSession, root: str) -> tuple[int, int]:
-    """Latest published (version, batch_id); (0, -1) when nothing is published."""
+    """The newest published version and its own batch_id; (0, -1) when nothing is published."""
     try:
         log = spark.read.schema("version long, batch_id long").json(_log_path(root))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return 0, -1
-    row = log.agg(F.max("version").alias("v"), F.max("batch_id").alias("b")).first()
+    row = log.agg(F.max("version").alias("v"), F.max_by("batch_id", "version").alias("b")).first()
     return (row.v or 0, -1 if row.b is None else row.b)
 
 
@@ -64,7 +69,7 @@ def version_path(root: str, version: int) -> str:
 def publish_version(df: DataFrame, root: str, batch_id: int = -1) -> int:
     """Write a new version of the table at ``root``, then log it. Readers see it only once
     it is whole, and a writer that dies in between leaves a directory that the next try
-    overwrites. ``batch_id`` is the last micro-batch that it contains."""
+    overwrites. ``batch_id`` is the last commit of a stream that it contains."""
     spark = df.sparkSession
     version = current_version(spark, root)[0] + 1
     df.write.mode("overwrite").parquet(version_path(root, version))

@@ -15,7 +15,8 @@ from ..operators.profiles import lookup
 from ..operators.skew import top_n_per_key
 from ..operators.updates import apply_risk_updates
 from ..sources.sinks import current_version, publish_version, read_published
-from .sinks import read_batches, start
+from .commits import commit_path, log_commit, next_commit, read_commits
+from .sinks import start
 
 
 def _in_force(profiles: DataFrame, history: DataFrame | None) -> DataFrame:
@@ -24,7 +25,7 @@ def _in_force(profiles: DataFrame, history: DataFrame | None) -> DataFrame:
         profiles = profiles.withColumn("risk_score_updated", F.lit(None).cast("timestamp_ntz"))
     if history is None:
         return profiles
-    newest = [F.col(c).desc_nulls_last() for c in ("batch_id", "timestamp", "seq")]
+    newest = [F.col(c).desc_nulls_last() for c in ("commit", "timestamp", "seq")]
     last = top_n_per_key(history, ["patient_id"], newest, 1).select(
         "patient_id", F.col("score").alias("_score"), F.col("timestamp").alias("_at")
     )
@@ -47,29 +48,33 @@ def start_risk_updates(
 ) -> StreamingQuery:
     """Apply risk updates to the published profiles, micro-batch by micro-batch.
 
-    A replayed micro-batch overwrites its own history rows, or is skipped when a
-    published version already contains it.
+    Each micro-batch is one commit of the history, found there when it is replayed. A
+    stream with a new checkpoint adds its commits after those of the one before.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # A streaming session plans without it; the joins and windows here are batch work.
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        published = current_version(spark, profiles_root)[1]
-        if published >= batch_id:
+        commit = next_commit(batch, history_path, batch_id)
+        if commit is None:
             return
+        published = current_version(spark, profiles_root)[1]
         batch = batch.persist()  # it is used several times
-        profiles = read_published(spark, profiles_root)
-        earlier = read_batches(spark, history_path, published, batch_id - 1)
-        touched = lookup(profiles.select("patient_id", "risk_score"), batch)
-        if earlier is not None:
-            earlier = lookup(earlier, batch)
-        result = apply_risk_updates(_in_force(touched, earlier), batch, skip_unchanged)
-        result.history.write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
-        if (batch_id + 1) % publish_every == 0:
-            applied = read_batches(spark, history_path, published, batch_id)
-            publish_version(_in_force(profiles, applied), profiles_root, batch_id)
-        batch.unpersist()
+        try:
+            profiles = read_published(spark, profiles_root)
+            earlier = read_commits(spark, history_path, published, commit - 1)
+            touched = lookup(profiles.select("patient_id", "risk_score"), batch)
+            if earlier is not None:
+                earlier = lookup(earlier, batch)
+            result = apply_risk_updates(_in_force(touched, earlier), batch, skip_unchanged)
+            result.history.write.mode("overwrite").parquet(commit_path(history_path, commit))
+            log_commit(spark, history_path, commit, batch_id)
+            if commit - published >= publish_every:
+                applied = read_commits(spark, history_path, published, commit)
+                publish_version(_in_force(profiles, applied), profiles_root, commit)
+        finally:
+            batch.unpersist()
 
     return start(updates.writeStream.outputMode("append").foreachBatch(apply), checkpoint, every)
 
@@ -77,9 +82,9 @@ def start_risk_updates(
 def read_live_profiles(spark: SparkSession, profiles_root: str, history_path: str) -> DataFrame:
     """The published profiles with all risk updates since applied."""
     published = current_version(spark, profiles_root)[1]
-    return _in_force(read_published(spark, profiles_root), read_batches(spark, history_path, published))
+    return _in_force(read_published(spark, profiles_root), read_commits(spark, history_path, published))
 
 
 def read_risk_history(spark: SparkSession, history_path: str) -> DataFrame:
     """All history rows that ``start_risk_updates`` has written."""
-    return spark.read.parquet(history_path).drop("batch_id")
+    return read_commits(spark, history_path, -1).drop("commit")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +9,8 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..operators.profiles import lookup
 from ..operators.readings import latest_readings
-from ..sources.sinks import current_version, publish_version, read_published
+from ..sources.sinks import current_version, publish_version, read_published, with_event_date
+from .commits import commit_path, log_commit, next_commit, read_commits
 
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -33,23 +33,10 @@ def start_ingest(readings: DataFrame, path: str, checkpoint: str, every: str | N
 
     ``dedup_readings`` over the table lets the last write of a key win.
     """
-    landed = readings.withColumn("ingested_at", F.current_timestamp()).withColumn("event_date", F.to_date("timestamp"))
+    landed = with_event_date(readings.withColumn("ingested_at", F.current_timestamp()))
     return append_stream(landed, path, checkpoint, "event_date", every)
 
 
-def read_batches(spark: SparkSession, path: str, after: int, until: int | None = None) -> DataFrame | None:
-    """Rows below ``path/batch_id=N`` of the micro-batches after ``after`` up to ``until``,
-    with their ``batch_id``; None before the first one."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    rows = rows.filter(F.col("batch_id") > after)
-    return rows if until is None else rows.filter(F.col("batch_id") <= until)
-
-
 def write_changes(
     df: DataFrame,
     path: str,
@@ -59,9 +46,10 @@ def write_changes(
     publish_every: int = 100,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Write each micro-batch's changed rows to ``path/changes/batch_id=N``. Every
-    ``publish_every`` micro-batches the current rows of all ``keys`` are published as a
-    version, so that ``latest_changes`` has only the changes since then to read."""
+    """Write each micro-batch's changed rows as a commit below ``path/changes``. After
+    ``publish_every`` commits the current rows of all ``keys`` are published as a
+    version, so that ``latest_changes`` has only the changes since then to read.
+    A stream with a new checkpoint goes on after the commits of the one before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, batch_id, keys, publish_every)
@@ -71,23 +59,27 @@ def write_changes(
 
 def write_batch(batch: DataFrame, path: str, batch_id: int, keys: list[str], publish_every: int) -> None:
     """One micro-batch of ``write_changes``."""
-    batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
-    spark = batch.sparkSession
-    if (batch_id + 1) % publish_every == 0 and current_version(spark, path)[1] < batch_id:
-        publish_version(latest_changes(spark, path, keys), path, batch_id)
-
-
-def latest_changes(spark: SparkSession, path: str, keys: list[str], until: int | None = None) -> DataFrame | None:
-    """The rows of every key from the last micro-batch that changed it, up to micro-batch
-    ``until`` if given; None before the first one."""
+    spark, changes = batch.sparkSession, f"{path}/changes"
+    commit = next_commit(batch, changes, batch_id)
+    if commit is None:
+        return
+    batch.write.mode("overwrite").parquet(commit_path(changes, commit))
+    log_commit(spark, changes, commit, batch_id)
+    if commit - current_version(spark, path)[1] >= publish_every:
+        publish_version(latest_changes(spark, path, keys), path, commit)
+
+
+def latest_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
+    """The rows of every key from the last commit that changed it; None before the first one."""
     version, published = current_version(spark, path)
-    rows = read_batches(spark, f"{path}/changes", published, until)
+    rows = read_commits(spark, f"{path}/changes", published)
+    if version:
+        base = read_published(spark, path).withColumn("commit", F.lit(published))
+        rows = base if rows is None else rows.unionByName(base)
     if rows is None:
         return None
-    if version:
-        rows = rows.unionByName(read_published(spark, path).withColumn("batch_id", F.lit(published)))
-    newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "batch_id")
+    newest = Window.partitionBy(*keys).orderBy(F.col("commit").desc())
+    return rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "commit")
 
 
 def start_latest_n(
@@ -104,13 +96,15 @@ def start_latest_n(
         spark = batch.sparkSession
         # A streaming session plans without it; the joins and windows here are batch work.
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        if current_version(spark, path)[1] >= batch_id:
+        if next_commit(batch, f"{path}/changes", batch_id) is None:
             return
         newest = latest_readings(batch, n).drop("rn").persist()  # at most n rows a patient
-        stored = latest_changes(spark, path, keys, batch_id - 1)
-        merged = newest if stored is None else newest.unionByName(lookup(stored.drop("rn"), newest))
-        write_batch(latest_readings(merged, n), path, batch_id, keys, publish_every)
-        newest.unpersist()
+        try:
+            stored = latest_changes(spark, path, keys)
+            merged = newest if stored is None else newest.unionByName(lookup(stored.drop("rn"), newest))
+            write_batch(latest_readings(merged, n), path, batch_id, keys, publish_every)
+        finally:
+            newest.unpersist()
 
     return start(readings.writeStream.outputMode("append").foreachBatch(merge), checkpoint, every)
 

@@ -9,6 +9,7 @@ from conftest import profile, reading, tuples
 from pulsegrid import operators as ops
 from pulsegrid.functions import key_patient_id, reading_key
 from pulsegrid.operators.skew import top_n_per_key
+from pulsegrid.sources import sinks
 
 T0 = datetime(2025, 1, 1, 10)
 
@@ -138,3 +139,26 @@ def test_latest_n_against_brute_force(spark, rows, n):
         newest = sorted(((s, i) for i, (q, s) in enumerate(rows) if q == p), reverse=True)[:n]
         want |= {(p, i) for _, i in newest}
     assert {(r.patient_id, r.event_id) for r in ops.latest_readings(table, n).collect()} == want
+
+
+def test_landed_dates_in_any_zone(spark, tmp_path):
+    zone, now = spark.conf.get("spark.sql.session.timeZone"), "2025-01-02T00:10:00Z"
+    made = spark.sql("SELECT 'P' AS patient_id, timestamp'2025-01-01T23:50:00Z' AS timestamp, 1 AS heart_rate, 'NORMAL' AS status")
+    try:
+        for writer in ("UTC", "Asia/Tokyo", "Pacific/Kiritimati", "Pacific/Midway"):
+            spark.conf.set("spark.sql.session.timeZone", writer)
+            path = str(tmp_path / writer.replace("/", "-"))
+            sinks.append_readings(made, path)
+            for reader in ("UTC", "Asia/Tokyo", "Pacific/Kiritimati", "Pacific/Midway"):
+                spark.conf.set("spark.sql.session.timeZone", reader)
+                recent = ops.within_minutes(spark.read.parquet(path), 30, F.expr(f"timestamp'{now}'"))
+                assert recent.count() == 1, (writer, reader)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_readings_without_time_are_counted(readings_of):
+    counts = ops.cycle_counts(readings_of(reading("P", None), reading("P", None, status="ABNORMAL"), reading("P", datetime(2025, 1, 1))))
+    assert {(r.window_start is None, r.events, r.abnormal) for r in counts.collect()} == {(True, 2, 1), (False, 1, 0)}
+    totals = ops.running_totals(readings_of(reading("P", None), reading("P", datetime(2025, 1, 1))))
+    assert sorted(r.total for r in totals.collect()) == [1, 2]

@@ -1,5 +1,7 @@
 """Streams over files that arrive one after another: batch results, restarts and late rows."""
 
+import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -179,13 +181,42 @@ def test_risk_updates_chain_over_batches_and_restarts(publish_every, spark, tmp_
     assert [(r.previous_score, r.score) for r in chain] == [(5, 7), (7, 9), (9, 3)]
 
 
-def test_a_replayed_batch_is_applied_once(spark, tmp_path, profiles_of):
-    """The version log says that batch 0 is done, so a new checkpoint's batch 0 is skipped."""
+@pytest.mark.parametrize("publish_every", [1, 100])
+def test_a_new_checkpoint_goes_on_after_the_old_one(publish_every, spark, tmp_path, profiles_of):
     root, history = str(tmp_path / "profiles"), str(tmp_path / "history")
-    publish_version(profiles_of(profile("A", risk=5)), root, batch_id=0)
+    publish_version(profiles_of(profile("A", risk=5), profile("B", risk=1)), root)
+    for n, (patient, score) in enumerate([("A", 9), ("B", 4)]):
+        incoming = tmp_path / f"in{n}"
+        incoming.mkdir()
+        (incoming / "0.json").write_text(
+            json.dumps({"patient_id": patient, "score": score, "ts": f"2025-01-0{n + 1}T00:00:00", "seq": n}))
+        stream = stream_readings(spark, str(incoming), schema=RISK_UPDATE_SCHEMA)
+        for _ in range(2):  # the second run of a checkpoint has nothing to do
+            run(st.start_risk_updates(stream, root, history, str(tmp_path / f"checkpoint{n}"), publish_every=publish_every))
+    live = {r.patient_id: r.risk_score for r in st.read_live_profiles(spark, root, history).collect()}
+    assert live == {"A": 9, "B": 4}
+    assert st.read_risk_history(spark, history).count() == 2
+
+
+def test_changes_of_two_checkpoints(feed, paths, spark, tmp_path):
+    three_batches(feed)
+    for checkpoint in ("one", "two"):  # the second reads all files again: the same rows, as later commits
+        run(st.write_changes(st.stream_latest(feed.stream()), paths[0], str(tmp_path / checkpoint), ["patient_id"], publish_every=2))
+    columns = ("patient_id", "event_id", "heart_rate", "status")
+    assert rows(st.latest_changes(spark, paths[0], ["patient_id"]), *columns) == rows(ops.latest_readings(feed.batch(), 1), *columns)
+
+
+def test_a_replayed_batch_is_applied_once(spark, tmp_path, profiles_of):
+    """A micro-batch whose commit is in the log, but not in its checkpoint, is not applied again."""
+    root, history, checkpoint = (str(tmp_path / d) for d in ("profiles", "history", "checkpoint"))
+    publish_version(profiles_of(profile("A", risk=5)), root)
     incoming = tmp_path / "in"
     incoming.mkdir()
     (incoming / "0.json").write_text('{"patient_id": "A", "score": 9, "ts": "2025-01-01T00:00:00", "seq": 1}')
-    stream = stream_readings(spark, str(incoming), schema=RISK_UPDATE_SCHEMA)
-    run(st.start_risk_updates(stream, root, history, str(tmp_path / "checkpoint")))
-    assert read_published(spark, root).first().risk_score == 5
+    for _ in range(2):
+        stream = stream_readings(spark, str(incoming), schema=RISK_UPDATE_SCHEMA)
+        run(st.start_risk_updates(stream, root, history, checkpoint, publish_every=1))
+        for name in os.listdir(f"{checkpoint}/commits"):  # as if the stream had died before it noted the end
+            os.remove(f"{checkpoint}/commits/{name}")
+    assert read_published(spark, root).first().risk_score == 9 and current_version(spark, root) == (2, 0)
+    assert [(r.previous_score, r.score) for r in st.read_risk_history(spark, history).collect()] == [(5, 9)]
