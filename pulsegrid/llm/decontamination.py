@@ -50,7 +50,16 @@ class Reader:
     """Canonicalises texts, with a bounded memory of tokens."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}  # a token's place in the two arrays
+        self.kinds, self.hashes = np.zeros(1 << 12, np.int8), np.zeros(1 << 12, np.uint64)
+
+    def _learn(self, tokens: set[str]) -> None:
+        for t in tokens:
+            at = len(self.known)
+            if at == len(self.kinds):
+                self.kinds, self.hashes = np.resize(self.kinds, 2 * at), np.resize(self.hashes, 2 * at)
+            self.kinds[at], self.hashes[at] = self._classify(t)
+            self.known[t] = at
 
     def _classify(self, token: str) -> tuple[int, int]:
         low = token.lower()
@@ -73,11 +82,9 @@ class Reader:
         found, known = TOKEN.findall(text), self.known
         if len(known) > CACHED_TOKENS:
             known.clear()
-        for t in found:
-            if t not in known:
-                known[t] = self._classify(t)
-        kinds = np.fromiter((known[t][0] for t in found), np.int8, len(found))
-        hashes = np.fromiter((known[t][1] for t in found), np.uint64, len(found))
+        self._learn(set(found) - known.keys())
+        places = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
+        kinds, hashes = self.kinds[places], self.hashes[places]
         if not len(found):
             return Tokens(hashes, kinds, found)
         before = np.concatenate(([END], kinds[:-1]))
