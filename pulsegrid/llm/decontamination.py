@@ -82,7 +82,7 @@ class Reader:
         found, known = TOKEN.findall(text), self.known
         if len(known) > CACHED_TOKENS:
             known.clear()
-        self._learn(set(found) - known.keys())
+        self._learn({t for t in set(found) if t not in known})
         places = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
         kinds, hashes = self.kinds[places], self.hashes[places]
         if not len(found):
