@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ HEX = r"[0-9a-f]+"
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "entropy")
 
+#: Longer candidates are read in pieces that overlap by a window less one, as a place in a text is found by counting from its start.
+PIECE = 512
 #: Window of the entropy scan, and the least entropy in bits that a window of each character class must reach:
 #: random text of 20 characters has about 3.4 (16 symbols), 4.0 (36 symbols) and 4.2 (64 symbols).
 WINDOW = 20
@@ -35,7 +39,14 @@ def _weight(count: Column) -> Column:
 
 
 def window_entropy(value: Column, window: int = WINDOW) -> Column:
-    """The highest Shannon entropy, in bits a character, of any ``window`` characters in a row of ``value``; null if shorter.
+    """The highest Shannon entropy, in bits a character, of any ``window`` characters in a row of ``value``; null if shorter."""
+    firsts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(value) - (window - 1)), F.lit(PIECE))
+    return F.when(F.length(value) >= window, F.array_max(F.transform(
+        firsts, lambda first: _piece_entropy(F.substring(value, first, F.lit(PIECE + window - 1)), window))))
+
+
+def _piece_entropy(value: Column, window: int) -> Column:
+    """``window_entropy`` of a text that has ``window`` characters at least.
 
     One pass: each step adds a character, drops the one that leaves the window and corrects the sum of c log c for these two.
     """
@@ -61,12 +72,11 @@ def window_entropy(value: Column, window: int = WINDOW) -> Column:
         counts, total = bump(grown, gone, -1)
         counts = F.when(i > window, counts).otherwise(grown["counts"])
         total = F.when(i > window, total).otherwise(grown["total"])
-        entropy = F.when(i >= window, F.lit(float(window)).cast("double") * 0 + F.log2(F.lit(float(window))) - total / window).otherwise(F.lit(0.0))
+        entropy = F.when(i >= window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
         return F.struct(acc["value"].alias("value"), acc["signs"].alias("signs"), total.alias("total"),
                         counts.alias("counts"), F.greatest(acc["best"], entropy).alias("best"))
 
-    return F.when(F.length(value) >= window, F.aggregate(
-        F.sequence(F.lit(1), F.length(value)), start, slide, lambda acc: acc["best"]))
+    return F.aggregate(F.sequence(F.lit(1), F.length(value)), start, slide, lambda acc: acc["best"])
 
 
 def _tagged(spans: Column, kind: str) -> Column:

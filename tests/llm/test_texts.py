@@ -55,6 +55,15 @@ def test_secrets_equal_plain_search(spark):
         assert (r["base"], r["spans"]) == plain_secrets(texts[r["doc_id"]] or "")
 
 
+def test_entropy_of_long_runs_is_read_in_pieces(spark):
+    rng = random.Random(5)
+    for size in (19, 20, 511, 512, 513, 530, 531, 532, 3000):
+        value = "".join(rng.choices("ab1", k=size - 7)) + "Zx9+/Qw"
+        entropies = [-sum(c / 20 * math.log2(c / 20) for c in Counter(value[i:i + 20]).values()) for i in range(size - 19)]
+        got = spark.createDataFrame([(value,)], "v string").select(secrets.window_entropy(F.col("v"))).first()[0]
+        assert got is None if size < 20 else abs(got - max(entropies)) < 1e-9
+
+
 def test_redaction_takes_out_every_secret(spark):
     rows = [(1, 'a token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" b', 5), (2, "clean", 5), (3, None, 0)]
     got = secrets.redact(spark.createDataFrame(rows, SCHEMA + ", n_chars long")).collect()
