@@ -38,6 +38,17 @@ def _(spark, sf):
     return _card(files.read_profiles(spark, path))
 
 
+@query("profiles_rejects", with_profiles("SELECT CAST(patient_id AS VARCHAR) AS patient_id FROM profiles WHERE patient_id % 10 = 0"))
+def _(spark, sf):
+    """The lines that gave no profile, of a file in which every tenth line has lost its end."""
+    path = scratch_path(spark, "profiles-broken")
+    profiles = star_profiles(spark, sf)
+    line = F.to_json(F.struct(text_id().alias("patient_id"), "name", "age"))
+    broken = F.when(F.col("patient_id") % 10 == 0, F.left(line, F.length(line) - 1)).otherwise(line)
+    profiles.select(broken.alias("value")).write.text(path)
+    return files.corrupt_lines(spark, path).select(F.regexp_extract("line", r'"patient_id":"(\d+)"', 1).alias("patient_id"))
+
+
 @query("profiles_landed", PROFILE_ROWS)
 def _(spark, sf):
     """JSON landed as Parquet, then replaced as a published version."""

@@ -1,4 +1,4 @@
-"""Streaming operators over the event table as a file stream, run until the input is used up.
+"""Streaming operators over the event table as a feed of files with late rows and a restart.
 
 Results go through Parquet in the shared scratch folder, never through the driver.
 """
@@ -13,22 +13,40 @@ from ..operators.readings import dedup_readings, flatten_readings
 from ..session import scratch_path
 from ..sources.files import stream_readings
 from ..sources.sinks import publish_version
-from ..sources.star import TABLES, reading_columns, risk_update_columns
+from ..sources.star import TABLES, reading_columns, risk_update_columns, table
 from ..streaming import feeds, risk, sinks
-from .reading_queries import FLAT, NEWEST, REFILED, cycles_sql, dedup_sql, latest_sql, conditions_text, refiled_profiles
+from .reading_queries import FLAT, REFILED, cycles_sql, latest_sql, conditions_text, refiled_profiles
 from .registry import CONDITIONS_TEXT, query, with_both, with_readings
 from .update_queries import UPDATES, new_profiles_sql
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _events(spark, sf):
-    return stream_readings(spark, f"{sf}/events*.parquet", fmt="parquet", schema=TABLES["events"])
+#: A feed arrives as a file or more for each of so many parts of the days; lateness that no row of the tables exceeds.
+SLICES, LATENESS = 8, "3650 days"
+PHASES = ("event_id % 10 <> 0", "event_id % 10 = 0")
+
+
+def _land(events, folder):
+    events.withColumn("slice", F.pmod(F.dayofyear("ts"), F.lit(SLICES))).write.partitionBy("slice").parquet(folder)
+
+
+def _feed(spark, root, max_files):
+    return stream_readings(spark, f"{root}/in/*/slice=*", max_files, fmt="parquet", schema=TABLES["events"])
+
+
+def _run_feed(spark, sf, root, start, max_files=1):
+    """Run ``start(events)`` over all files but the late rows', a file a micro-batch in any order of time; land the
+    late rows and start again from the checkpoint."""
+    events = table(spark, sf, "events")
+    for phase, arrived in enumerate(PHASES):
+        _land(events.filter(arrived), f"{root}/in/phase={phase}")
+        _run(spark, start, _feed(spark, root, max_files))
 
 
 def _paths(spark, name):
     root = scratch_path(spark, name)
-    return f"{root}/out", f"{root}/checkpoint"
+    return root, f"{root}/out", f"{root}/checkpoint"
 
 
 @contextmanager
@@ -55,11 +73,18 @@ def _run(spark, start, *args, **options):
         start(*args, **options).awaitTermination()
 
 
-@query("stream_ingest", dedup_sql("patient_id || '_' || CAST(floor(epoch(\"timestamp\") / 3600) AS BIGINT)"))
+HOUR = "patient_id || '_' || CAST(floor(epoch(\"timestamp\") / 3600) AS BIGINT)"
+
+
+@query("stream_ingest", with_readings(f"""
+SELECT {FLAT}, key FROM (
+  SELECT *, {HOUR} AS key,
+         row_number() OVER (PARTITION BY {HOUR} ORDER BY event_id % 10 = 0 DESC, event_id DESC) AS r FROM readings
+) WHERE r = 1"""))
 def _(spark, sf):
-    """Continuous ingest; the last write of an hour-wide key wins when the table is read."""
-    out, checkpoint = _paths(spark, "ingest")
-    _run(spark, sinks.start_ingest, reading_columns(_events(spark, sf)), out, checkpoint)
+    """Continuous ingest; the last write of an hour-wide key, which may be a late row, wins when the table is read."""
+    root, out, checkpoint = _paths(spark, "ingest")
+    _run_feed(spark, sf, root, lambda events: sinks.start_ingest(reading_columns(events), out, checkpoint), max_files=1_000_000)
     landed = dedup_readings(spark.read.parquet(out), "hour")
     return flatten_readings(landed.drop("ingested_at", "event_date"))
 
@@ -67,10 +92,13 @@ def _(spark, sf):
 @query("stream_dedup", with_readings(f"SELECT {FLAT} FROM readings"))
 def _(spark, sf):
     """Every reading sent twice; the copies are dropped within the watermark."""
-    out, checkpoint = _paths(spark, "dedup")
-    events = reading_columns(_events(spark, sf))
-    doubled = events.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
-    _run(spark, sinks.append_stream, feeds.stream_dedup(doubled, unit="millisecond"), out, checkpoint)
+    root, out, checkpoint = _paths(spark, "dedup")
+
+    def start(events):
+        doubled = reading_columns(events).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
+        return sinks.append_stream(feeds.stream_dedup(doubled, LATENESS, "millisecond"), out, checkpoint)
+
+    _run_feed(spark, sf, root, start)
     return flatten_readings(spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).drop("key"))
 
 
@@ -81,62 +109,77 @@ SELECT patient_id, event_id, heart_rate, bp_systolic, bp_diastolic, "timestamp",
 FROM readings LEFT JOIN {REFILED} p USING (patient_id)
 WHERE status = 'ABNORMAL'"""))
 def _(spark, sf):
-    out, checkpoint = _paths(spark, "alerts")
-    alerts = feeds.stream_alerts(reading_columns(_events(spark, sf)), refiled_profiles(spark, sf))
-    _run(spark, sinks.append_stream, alerts, out, checkpoint)
+    root, out, checkpoint = _paths(spark, "alerts")
+    profiles = refiled_profiles(spark, sf)
+    _run_feed(spark, sf, root, lambda events: sinks.append_stream(
+        feeds.stream_alerts(reading_columns(events), profiles), out, checkpoint))
     return conditions_text(spark.read.parquet(out))
 
 
+def _changes(spark, sf, name, form, key):
+    """The rows in force after a feed whose changes are published every three micro-batches."""
+    root, out, checkpoint = _paths(spark, name)
+    _run_feed(spark, sf, root, lambda events: sinks.write_changes(
+        form(reading_columns(events)), out, checkpoint, [key], publish_every=3))
+    return sinks.latest_changes(spark, out, [key])
+
+
 @query("stream_cycle_counts", with_readings("").rstrip() + "," + cycles_sql("1 hour") + " SELECT * FROM cycles")
 def _(spark, sf):
-    out, checkpoint = _paths(spark, "cycles")
-    counts = feeds.stream_cycle_counts(reading_columns(_events(spark, sf)), "1 hour", lateness="1 day")
-    _run(spark, sinks.write_changes, counts, out, checkpoint, ["window_start"])
-    latest = sinks.latest_changes(spark, out, ["window_start"])
+    latest = _changes(spark, sf, "cycles", lambda r: feeds.stream_cycle_counts(r, "1 hour", LATENESS), "window_start")
     return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("stream_latest", latest_sql(1))
 def _(spark, sf):
-    out, checkpoint = _paths(spark, "latest")
-    _run(spark, sinks.write_changes, feeds.stream_latest(reading_columns(_events(spark, sf))), out, checkpoint, ["patient_id"])
-    latest = sinks.latest_changes(spark, out, ["patient_id"])
-    return flatten_readings(latest).withColumn("rn", F.lit(1))
+    return flatten_readings(_changes(spark, sf, "latest", feeds.stream_latest, "patient_id")).withColumn("rn", F.lit(1))
 
 
-@query("stream_latest_n", with_readings(f"""
-SELECT patient_id, event_id, "timestamp", heart_rate, status, CAST(rn AS INTEGER) AS rn FROM (
-  SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY {NEWEST}) AS rn FROM readings
-) WHERE rn <= 20"""))
+@query("stream_latest_n", latest_sql(20))
 def _(spark, sf):
-    out, checkpoint = _paths(spark, "latest-n")
-    newest = feeds.stream_latest_n(reading_columns(_events(spark, sf)))
-    _run(spark, sinks.write_changes, newest, out, checkpoint, ["patient_id"])
-    return sinks.latest_changes(spark, out, ["patient_id"]).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return flatten_readings(_changes(spark, sf, "latest-n", feeds.stream_latest_n, "patient_id"))
 
 
 @query("stream_latest_n_table", latest_sql(20))
 def _(spark, sf):
-    out, checkpoint = _paths(spark, "latest-n-table")
-    _run(spark, sinks.start_latest_n, reading_columns(_events(spark, sf)), out, checkpoint)
+    root, out, checkpoint = _paths(spark, "latest-n-table")
+    _run_feed(spark, sf, root, lambda events: sinks.start_latest_n(
+        reading_columns(events), out, checkpoint, publish_every=3))
     return flatten_readings(sinks.latest_changes(spark, out, ["patient_id"]))
 
 
-def _stream_risk(spark, sf):
+def _stream_risk(spark, sf, checkpoints=1):
+    """Updates in three parts of the time, the stream restarted for each; with two checkpoints, the last part comes to a
+    new stream, with folder and checkpoint of its own."""
     root = scratch_path(spark, "risk")
     publish_version(refiled_profiles(spark, sf), f"{root}/profiles")
-    updates = risk_update_columns(_events(spark, sf))
-    _run(spark, risk.start_risk_updates, updates, f"{root}/profiles", f"{root}/history", f"{root}/checkpoint")
+    events = table(spark, sf, "events")
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    cuts = [] if span["a"] is None else [span["a"] + (span["b"] - span["a"]) * n / 3 for n in (1, 2)]
+    part_of = sum((F.coalesce(F.col("ts") >= F.lit(cut), F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    for n in range(3):
+        stream = f"{root}/{'second' if checkpoints == 2 and n == 2 else 'first'}"
+        _land(events.filter(part_of == n), f"{stream}/in/phase={n}")
+        updates = risk_update_columns(_feed(spark, stream, 1_000_000))
+        _run(spark, risk.start_risk_updates, updates, f"{root}/profiles", f"{root}/history", f"{stream}/checkpoint", publish_every=2)
     return root
 
 
-@query("stream_risk_updates", new_profiles_sql("true"))
-def _(spark, sf):
-    root = _stream_risk(spark, sf)
+def _live_scores(spark, root):
     profiles = risk.read_live_profiles(spark, f"{root}/profiles", f"{root}/history")
     return profiles.select("patient_id", "risk_score", "risk_score_updated")
 
 
+@query("stream_risk_updates", new_profiles_sql("true"))
+def _(spark, sf):
+    return _live_scores(spark, _stream_risk(spark, sf))
+
+
+@query("stream_risk_two_checkpoints", new_profiles_sql("true"))
+def _(spark, sf):
+    return _live_scores(spark, _stream_risk(spark, sf, checkpoints=2))
+
+
 @query("stream_risk_history", UPDATES + """
 SELECT patient_id, seq, ts AS "timestamp", previous_score, score FROM chained WHERE found""")
 def _(spark, sf):

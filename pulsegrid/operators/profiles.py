@@ -189,11 +189,14 @@ def condition_counts(profiles: DataFrame, params: Params = DEFAULTS) -> DataFram
     return conditions.groupBy("condition").agg(F.count("*").alias("count"))
 
 
-def top_conditions(profiles: DataFrame, k: int | None = 10, params: Params = DEFAULTS) -> DataFrame:
+def top_conditions(
+    profiles: DataFrame, k: int | None = 10, params: Params = DEFAULTS, everyone: Column | None = None
+) -> DataFrame:
     """The k most frequent conditions with their share of patients and their rank;
-    all conditions, without rank, for ``k=None``."""
+    all conditions, without rank, for ``k=None``. ``everyone``: the number of patients,
+    where it is known without a scan."""
     order = [F.col("count").desc(), F.col("condition").asc_nulls_last()]
-    pct = percent(F.col("count"), total(profiles)).alias("pct")
+    pct = percent(F.col("count"), total(profiles) if everyone is None else everyone).alias("pct")
     counts = condition_counts(profiles, params).orderBy(*order)
     if k is None:
         return counts.select("condition", "count", pct)

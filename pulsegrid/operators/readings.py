@@ -13,7 +13,7 @@ from ..functions.bands import heart_rate_severity
 from ..functions.keys import epoch, newest_first, reading_key
 from ..functions.numbers import percent
 from ..params import VITAL_RANGES
-from .skew import top_n_per_key
+from .skew import SLICES, top_n_per_key
 
 IS_ABNORMAL = "status = 'ABNORMAL'"
 
@@ -52,7 +52,7 @@ def dedup_readings(readings: DataFrame, unit: str = "second", keep: str = "last"
     """One reading per key ``<patient_id>_<epoch unit>``, added as ``key``.
 
     The last write wins (``keep='first'`` keeps the first), by ``ingested_at`` if the
-    table has it, then by ``event_id``, or by time without one. Copies are cut to one
+    table has it, then by ``event_id``, or by time without one, then by a hash of the row. Copies are cut to one
     per map task before the shuffle.
     """
     if keep not in ("first", "last"):
@@ -62,7 +62,8 @@ def dedup_readings(readings: DataFrame, unit: str = "second", keep: str = "last"
     if "event_id" in readings.columns:
         written.append(F.col("event_id"))
     else:
-        written += [F.col("timestamp"), F.xxhash64(*readings.columns)]
+        written.append(F.col("timestamp"))
+    written.append(F.xxhash64(*readings.columns))
     order = [c.desc_nulls_last() if keep == "last" else c.asc_nulls_first() for c in written]
     # The number first: it tells most rows apart when they are sorted.
     one = top_n_per_key(readings.withColumn("_epoch", epoch(ts, unit)), ["_epoch", "patient_id"], order, 1)
@@ -153,14 +154,22 @@ def abnormal_summary(
 ) -> DataFrame:
     """The first k abnormal patients by id, with how many were ``found`` and how many ``more`` there are.
 
-    Only these k are joined with their profiles.
+    One pass over the readings: each slice of the patients gives its number and its own first k, and only these
+    few rows meet in one task. Only the k shown are joined with their profiles.
     """
-    found = newest_abnormal(readings, n, window_minutes, as_of)
-    total = found.select(F.count("*")).scalar()
-    shown = enrich(found.orderBy("patient_id").limit(k), profiles)
-    return shown.select(
-        *ABNORMAL_COLUMNS, total.alias("found"), F.greatest(total - k, F.lit(0)).alias("more")
+    sliced = Window.partitionBy(F.pmod(F.xxhash64("patient_id"), F.lit(SLICES)))
+    everywhere = Window.partitionBy(F.lit(0))
+    heads = (
+        newest_abnormal(readings, n, window_minutes, as_of)
+        .withColumns({"_n": F.count("*").over(sliced), "_rn": F.row_number().over(sliced.orderBy("patient_id"))})
+        .filter(F.col("_rn") <= k)
     )
+    shown = heads.withColumns({
+        "found": F.sum(F.when(F.col("_rn") == 1, F.col("_n"))).over(everywhere),
+        "_at": F.row_number().over(everywhere.orderBy("patient_id")),
+    }).filter(F.col("_at") <= k)
+    more = F.greatest(F.col("found") - k, F.lit(0)).alias("more")
+    return enrich(shown, profiles).select(*ABNORMAL_COLUMNS, "found", more)
 
 
 def alert_columns(readings: DataFrame, *extra: str) -> DataFrame:
@@ -177,6 +186,8 @@ def alert_columns(readings: DataFrame, *extra: str) -> DataFrame:
 
 def alerts(readings: DataFrame, scan: int = 100, k: int = 15) -> DataFrame:
     """The newest k ABNORMAL readings among the newest ``scan`` readings, with severity."""
+    used = ("patient_id", "event_id", "timestamp", "heart_rate", "blood_pressure", "status")
+    readings = readings.select(*[c for c in used if c in readings.columns])
     newest = newest_first(readings)
     return alert_columns(abnormal_only(readings.orderBy(*newest).limit(scan)).orderBy(*newest).limit(k))
 

@@ -39,13 +39,13 @@ def apply_risk_updates(
     params: Params = DEFAULTS,
     hot_rows: int = HOT_ROWS,
 ) -> Updated:
-    """Set risk scores from ``updates (patient_id, score, ts, seq)`` in (ts, seq) order.
+    """Set risk scores from ``updates (patient_id, score, ts, seq)`` in (ts, seq) order, equal ones by score.
 
     Audit status is ``updated``, ``unchanged`` (equal score under ``skip_unchanged``: no
     history row), ``not_found`` or ``invalid`` (null score). A missing stored score is 0.
     History is a table: rows embedded in the given profiles are moved to it.
     """
-    order = ["ts", "seq"]
+    order = ["ts", "seq", "score"]
     asked = updates.select("patient_id", "score", "ts", "seq")
     write = F.when(F.col("score").isNotNull(), F.struct("score"))
     minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
@@ -133,7 +133,7 @@ def apply_profile_patches(
     patches: DataFrame,
     hot_rows: int = HOT_ROWS,
 ) -> Updated:
-    """Set profile fields from ``patches (patient_id, path, value, seq)`` in seq order.
+    """Set profile fields from ``patches (patient_id, path, value, seq)`` in seq order, equal ones by value.
 
     ``path`` is dotted, ``value`` text that is cast to the field's type (JSON for
     arrays). Audit status is ``updated``, ``unchanged`` (equal to the value before it;
@@ -151,14 +151,15 @@ def apply_profile_patches(
         F.coalesce("new", "value").alias("asked"),
         F.when(valid, F.struct("new")).alias("write"),
     )
+    order = ["seq", "asked"]
     parted = with_parts(typed, "patient_id", F.floor(F.col("seq") / PATCHES_PER_PART), hot_rows)
     stored = profiles.select(
         "patient_id", *[F.struct(_text(F.col(p), t).alias("new")).alias(_flat(p)) for p, t in paths.items()]
     )
-    starts = values_before_parts(parted, stored, "patient_id", F.col("field"), F.col("write"), ["seq"])
+    starts = values_before_parts(parted, stored, "patient_id", F.col("field"), F.col("write"), order)
     # The window's rows are laid out for the join, so that they are shuffled once.
     laid_out = parted.repartition("patient_id", "part")
-    rows = value_before_row(laid_out, ["patient_id", "path"], ["seq"], F.col("write"), "in_part").join(
+    rows = value_before_row(laid_out, ["patient_id", "path"], order, F.col("write"), "in_part").join(
         starts.withColumn("found", F.lit(True)), ["patient_id", "part"], "left"
     )
     start = _by_path(paths, lambda path, dtype: F.col(_flat(path))["new"])
@@ -185,7 +186,7 @@ def _flat(path: str) -> str:
 
 def _patched(profiles: DataFrame, typed: DataFrame, paths: dict[str, T.DataType]) -> DataFrame:
     names = [_flat(p) for p in paths]
-    last = last_per_field(typed, ["patient_id"], F.col("field"), F.col("write"), ["seq"], names)
+    last = last_per_field(typed, ["patient_id"], F.col("field"), F.col("write"), ["seq", "asked"], names)
     joined = profiles.join(last.select("patient_id", F.struct(*names).alias("w")), "patient_id", "left")
 
     def asked(path):

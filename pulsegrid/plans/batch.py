@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import risk_band
@@ -61,6 +61,11 @@ def _slice(cube: DataFrame, name: str, key: str | None = None, dtype: str = "str
     return part.withColumn(key, F.col("label").cast(dtype)) if key else part
 
 
+def _everyone(cube: DataFrame) -> Column:
+    """Number of patients as a scalar subquery of the cube."""
+    return _slice(cube, ALL_PATIENTS).select("count").scalar()
+
+
 def _risk_columns(part: DataFrame, key: str) -> DataFrame:
     return part.select(key, mean_of(F.col("risk_sum"), F.col("risks"), 2).alias("avg_risk"), "count")
 
@@ -124,18 +129,18 @@ def run_batch(
     """
     if cube is None:
         cube = profile_cube(profiles, params).persist()
-    return analyses_of(cube, top_conditions(profiles, k, params), as_of)
+    return analyses_of(cube, top_conditions(profiles, k, params, _everyone(cube)), as_of)
 
 
 def save_batch(
     profiles: DataFrame, path: str, as_of=None, k: int = 10, params: Params = DEFAULTS, fmt: str = "parquet"
 ) -> dict[str, str]:
     """Write every analysis below ``path``; returns where. The cube is written first and the analyses
-    read it back, so the profiles are scanned once for all of them; the small writes
-    run side by side."""
+    read it back, so the profiles are scanned once for all of them and once for the
+    conditions; the small writes run side by side."""
     spark = profiles.sparkSession
     cube = spark.read.parquet(write_result(profile_cube(profiles, params), path, "cube"))
-    results = analyses_of(cube, top_conditions(profiles, k, params), as_of)
+    results = analyses_of(cube, top_conditions(profiles, k, params, _everyone(cube)), as_of)
     with ThreadPoolExecutor(max_workers=4) as pool:
         writes = {
             name: pool.submit(inheritable_thread_target(spark)(write_result), df, path, name, fmt)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import gender_label
 from ..functions.numbers import mean_of, percent
-from ..operators.profiles import condition_counts, total
+from ..operators.profiles import condition_counts
 from ..params import DEFAULTS, Params
 from .batch import ALL_PATIENTS, profile_cube
 
@@ -29,13 +29,14 @@ def daily_report(profiles: DataFrame, k: int = 7, params: Params = DEFAULTS) ->
     counted = F.col("section").isin(*REPORTED, "conditions")
     order = [F.col("count").desc(), F.col("label").asc_nulls_last()]
     rank = F.row_number().over(Window.partitionBy("section").orderBy(*order))
-    everyone = total(profiles)
+    # Over the report's rows, one a label: the total is the cube's, so no scan is spent on it.
+    everyone = F.max(F.when(F.col("section") == "patients", F.col("count"))).over(Window.partitionBy(F.lit(0)))
     conditions = (
         condition_counts(profiles, replace(params, sentinels=()))
         .orderBy(F.col("count").desc(), F.col("condition").asc_nulls_last())
         .limit(k)
     )
-    blocks = F.floor(F.col("count") * 50 / everyone).cast("int")
+    blocks = F.floor(F.col("count") * 50 / F.col("everyone")).cast("int")
     return (
         _cube_rows(profile_cube(profiles, params, REPORTED))
         .unionByName(
@@ -46,12 +47,13 @@ def daily_report(profiles: DataFrame, k: int = 7, params: Params = DEFAULTS) ->
                 F.lit(None).cast("double").alias("value"),
             )
         )
+        .withColumn("everyone", everyone)
         .select(
             "section",
             "label",
             "count",
             "value",
-            percent(F.col("count"), everyone).alias("pct"),
+            percent(F.col("count"), F.col("everyone")).alias("pct"),
             F.when(counted, rank).alias("rank"),
             F.when(F.col("section").isin(*BARRED), F.repeat(F.lit("█"), blocks)).alias("bar"),
         )

@@ -26,7 +26,7 @@ def _read(reader: DataFrameReader | DataStreamReader, path: str, schema: T.Struc
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Patient profiles; ``corrupt_lines`` returns the JSON lines that gave none."""
+    """Patient profiles; ``corrupt_lines`` returns the JSON lines that gave none, or not all of their fields."""
     return _read(spark.read, path, PROFILE_SCHEMA, fmt)
 
 
@@ -96,5 +96,5 @@ def read_result(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
             raise
         return spark.range(1).select(
             F.lit("no_results").alias("status"),
-            F.lit("no stored result at this path").alias("message"),
+            F.lit("nothing has been stored here").alias("message"),
         )

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.keys import reading_key
 from ..operators.readings import abnormal_only, alert_columns, cycle_counts, enrich
+from ..sources.sinks import JSON_TIMES
 
 
 def event_time(readings: DataFrame, lateness: str) -> DataFrame:
@@ -60,36 +61,33 @@ def stream_latest(readings: DataFrame) -> DataFrame:
 
 # Readings that a task holds at a time, some 100 MB.
 BUFFER_ROWS = 1_000_000
-# Times are kept as microseconds: Python gets the same number from rows and from state.
+# A reading in the state: its place in the order (time in microseconds, tie), and all of its columns as JSON.
 READING_STATE = T.StructType([
     T.StructField("micros", T.LongType()),
-    T.StructField("event_id", T.LongType()),
-    T.StructField("heart_rate", T.DoubleType()),
-    T.StructField("status", T.StringType()),
+    T.StructField("tie", T.LongType()),
+    T.StructField("reading", T.StringType()),
 ])
+LAST = -(2**63)
 
 
 def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None) -> DataFrame:
-    """The newest n readings of every patient that changed, numbered ``rn`` from 1 (update mode).
+    """The newest n readings of every patient that changed, whole, numbered ``rn`` from 1 (update mode).
 
     Made for short micro-batches, whose patients are looked up in the RocksDB state
     store; ``start_latest_n`` is the form for large ones. Every task first drops what is not
     among a patient's newest n of up to BUFFER_ROWS rows, so a hot patient reaches its
-    state as n rows per buffer. Readings without a time have no place in the order and
-    are left out.
+    state as n rows per buffer. Readings without a time come last, as in the batch form.
     """
-    if "event_id" not in readings.columns:
-        readings = readings.withColumn("event_id", F.xxhash64(*readings.columns))
-    rows = readings.filter("timestamp IS NOT NULL").select(
+    tie = F.col("event_id").cast("long") if "event_id" in readings.columns else F.xxhash64(*readings.columns)
+    rows = readings.select(
         "patient_id",
-        F.unix_micros(F.col("timestamp").cast("timestamp")).alias("micros"),
-        F.col("event_id").cast("long"),
-        F.col("heart_rate").cast("double"),
-        "status",
+        F.coalesce(F.unix_micros(F.col("timestamp").cast("timestamp")), F.lit(LAST)).alias("micros"),
+        F.coalesce(tie, F.lit(LAST)).alias("tie"),
+        F.to_json(F.struct(*readings.columns), JSON_TIMES).alias("reading"),
     )
 
     def newest_of(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        newest = pd.concat(parts).sort_values(["micros", "event_id"], ascending=False)
+        newest = pd.concat(parts).sort_values(["micros", "tie"], ascending=False)
         return newest.groupby("patient_id", sort=False, dropna=False).head(n)
 
     def limit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,11 +112,11 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
             self.newest = handle.getListState("newest", READING_STATE, ttl_ms)
 
         def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            arrived = ((r.micros, r.event_id, r.heart_rate, r.status) for r in rows)
+            arrived = ((r.micros, r.tie, r.reading) for r in rows)
             kept = nlargest(n, chain(self.newest.get(), arrived), key=lambda r: (r[0], r[1]))
             self.newest.put([tuple(r) for r in kept])
             for rn, r in enumerate(kept, 1):
-                yield Row(patient_id=key[0], rn=rn, micros=r[0], event_id=r[1], heart_rate=r[2], status=r[3])
+                yield Row(patient_id=key[0], rn=rn, micros=r[0], tie=r[1], reading=r[2])
 
         def close(self) -> None:
             pass
@@ -132,5 +130,6 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
         rows.mapInPandas(limit, rows.schema)
         .groupBy("patient_id")
         .transformWithState(LatestN(), out, "Update", "ProcessingTime" if ttl_ms else "None")
-        .select("patient_id", "rn", F.timestamp_micros("micros").alias("timestamp"), "event_id", "heart_rate", "status")
+        .select(F.from_json("reading", readings.schema).alias("r"), "rn")
+        .select("r.*", "rn")
     )

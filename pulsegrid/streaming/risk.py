@@ -25,7 +25,7 @@ def _in_force(profiles: DataFrame, history: DataFrame | None) -> DataFrame:
         profiles = profiles.withColumn("risk_score_updated", F.lit(None).cast("timestamp_ntz"))
     if history is None:
         return profiles
-    newest = [F.col(c).desc_nulls_last() for c in ("commit", "timestamp", "seq")]
+    newest = [F.col(c).desc_nulls_last() for c in ("commit", "timestamp", "seq", "score")]
     last = top_n_per_key(history, ["patient_id"], newest, 1).select(
         "patient_id", F.col("score").alias("_score"), F.col("timestamp").alias("_at")
     )

@@ -138,7 +138,7 @@ def test_saved_batch_keeps_names_and_types(ward, tmp_path, spark):
     saved = save_batch(ward, str(tmp_path), NOW)
     blood = read_result(spark, saved["blood_type_risk"])
     assert blood.dtypes == [("blood_type", "string"), ("avg_risk", "double"), ("count", "bigint")]
-    assert tuples(read_result(spark, str(tmp_path / "absent"))) == [("no_results", "no stored result at this path")]
+    assert tuples(read_result(spark, str(tmp_path / "absent"))) == [("no_results", "nothing has been stored here")]
 
 
 def test_daily_report(ward):
