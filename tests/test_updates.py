@@ -166,3 +166,14 @@ def test_old_values_of_a_hot_patient(monkeypatch, profiles_of, patches_of, value
     assert statuses(result) == [
         ("notes", old, new, "unchanged" if old == new else "updated") for old, new in zip(before, values)]
     assert result.profiles.first().notes == values[-1]
+
+
+def test_equal_times_and_numbers_end_alike(spark, profiles_of):
+    updates = spark.createDataFrame([("P1", score, T0, 7) for score in (3, 9, 6)], RISK_UPDATE_SCHEMA)
+    result = apply_risk_updates(profiles_of(profile("P1", risk=5)), updates)
+    assert sorted((r.previous_score, r.score) for r in result.audit.collect()) == [(3, 6), (5, 3), (6, 9)]
+    assert result.profiles.first().risk_score == 9
+    patches = spark.createDataFrame([("P1", "contact.city", v, 7) for v in ("Lima", "Oslo", "Bern")], PATCH_SCHEMA)
+    result = apply_profile_patches(profiles_of(profile("P1", city="Oran")), patches)
+    assert sorted((r.old, r.new) for r in result.audit.collect()) == [("Bern", "Lima"), ("Lima", "Oslo"), ("Oran", "Bern")]
+    assert result.profiles.first().contact.city == "Oslo"
