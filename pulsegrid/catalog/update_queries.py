@@ -47,8 +47,8 @@ def _(spark, sf):
 
 @query("risk_change_split_keys", _audit())
 def _(spark, sf):
-    """Patients count as hot by share alone, however few rows they have, and are cut into parts."""
-    return _risk(spark, sf, hot_rows=1).audit
+    """So many ranges that patients with few updates are cut into parts too."""
+    return _risk(spark, sf, parts=64).audit
 
 
 @query("risk_history", UPDATES + """
@@ -141,7 +141,7 @@ def _(spark, sf):
 
 @query("profile_patch_audit_split_keys", PATCH_AUDIT)
 def _(spark, sf):
-    return _patches(spark, sf, hot_rows=1).audit
+    return _patches(spark, sf, parts=64).audit
 
 
 @query("patched_profiles", PATCHES + """,

@@ -6,17 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
 
 # Up to this n, the rows of a hot key that are left after the map-side limit (n per map
 # task) fit one task; beyond it, a first round over slices of the key cuts them down.
 ONE_ROUND_LIMIT = 32
 SLICES = 4096
 
-# A key is hot above this share of all rows, so at most 1 / HOT_SHARE keys are hot:
-# that bound is what makes the broadcast of the hot keys safe at any data size.
-HOT_SHARE = 1e-4
-HOT_ROWS = 1_000_000
-NOT_SPLIT = -(2**63)
+NOT_SPLIT = -1
 
 
 def top_n_per_key(
@@ -28,8 +27,8 @@ def top_n_per_key(
 ) -> DataFrame:
     """The first ``n`` rows of every key in ``order``, numbered from 1 in column ``rank``.
 
-    Spark keeps only n rows per key in every map task before the shuffle. For a larger
-    n, a first round ranks within (key, slice of the row hash), so that no task ever
+    Spark keeps only n rows per key in every map task before the shuffle, for n up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. For a larger n, a first round ranks within (key, slice of the row hash), so that no task ever
     holds all rows of a hot key; the top n of the slices contain the top n of the key.
     """
     if n > ONE_ROUND_LIMIT:
@@ -40,42 +39,39 @@ def top_n_per_key(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
-def with_parts(df: DataFrame, key: str, part: Column, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``part``: NOT_SPLIT for ordinary keys, the long ``part`` expression for hot ones.
+def with_parts(df: DataFrame, key: str, order: Sequence[str], parts: int | None = None, path: str | None = None) -> DataFrame:
+    """``df`` with ``part``: NOT_SPLIT for keys whose rows lie in one range, else the number of the row's range.
 
-    ``part`` must rise with the order of a key's rows; where it is null, the row is one
-    of the first. Rows without key belong to nobody and are only spread. Key sizes come
-    from a pre-aggregated count over the key column alone.
+    The rows are cut into ranges of (key, order) of about equal size, as many as shuffle
+    partitions or ``parts``, so a part is a range's rows at most, whatever a key's share,
+    times or numbers; rows that are equal in all of ``order`` share a part. The ranges are
+    written to ``path`` (default: a new scratch folder), as their bounds come from a sample
+    and must not change. A key in several ranges is the last of all but one of them, so there
+    are fewer such keys than ranges. Rows without key belong to nobody and stay in their ranges.
     """
-    limit = F.greatest(df.select(F.count("*") * HOT_SHARE).scalar(), F.lit(float(min_rows)))
-    hot = (
-        df.groupBy(key).agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > limit)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn(
-            "part",
-            F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
-            .when(F.col("_hot"), F.coalesce(part.cast("long"), F.lit(NOT_SPLIT + 1)))
-            .otherwise(F.lit(NOT_SPLIT)),
-        )
-        .drop("_hot")
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "parts")
+    by = [key, *order]
+    ranges = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    ranges.withColumn("part", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    laid = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("part", T.IntegerType())])).parquet(path)
+    split = (
+        laid.groupBy(key).agg((F.min("part") < F.max("part")).alias("_split"))
+        .filter(F.col("_split") & F.col(key).isNotNull())
     )
-
-
-def last_in_order(value: Column, *order: str) -> Column:
-    """Aggregate: the last non-null ``value`` in ``order``."""
-    return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
+    whole = F.col(key).isNotNull() & F.col("_split").isNull()
+    return laid.join(split, key, "left").withColumn("part", F.when(whole, NOT_SPLIT).otherwise(F.col("part"))).drop("_split")
 
 
 def last_per_field(df: DataFrame, keys: list[str], field: Column, value: Column, order: list[str], names: list[str]) -> DataFrame:
     """One row per ``keys`` with a column for each of ``names``: the last non-null ``value``
     in ``order`` among the rows whose ``field`` is that name."""
-    ends = df.groupBy(*keys, field.alias("_field")).agg(last_in_order(value, *order).alias("_end"))
-    wide = [F.first(F.when(F.col("_field") == n, F.col("_end")), ignorenulls=True).alias(n) for n in names]
-    return ends.groupBy(*keys).agg(*wide)
+    rows = df.select(*keys, field.alias("_field"), value.alias("_value"), *order)
+    newest = [F.col("_value").isNull(), *[F.col(c).desc() for c in order]]
+    last = top_n_per_key(rows, [*keys, "_field"], newest, 1)
+    named = F.when(F.col("_field").isin(*names), F.struct("_field", "_value"))
+    fields = last.groupBy(*keys).agg(F.map_from_entries(F.collect_list(named)).alias("_fields"))
+    return fields.select(*keys, *[F.try_element_at("_fields", F.lit(n)).alias(n) for n in names])
 
 
 def values_before_parts(

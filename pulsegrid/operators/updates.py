@@ -1,9 +1,10 @@
 """Bulk profile patches and risk-score updates, each with an audit row per request.
 
 Requests of one patient apply in order, so each one's previous value is that of the
-request before it, or the stored one for the first. Hot patients are cut into parts
-(see ``skew``): previous values are found within a part, and the value carried into
-each part comes from the small table of the hot patients' last values per part.
+request before it, or the stored one for the first. Requests are cut into ranges of
+equal size, and so are patients with many of them (see ``skew``): previous values are
+found within a part, and the value carried into each part comes from the small table of
+the cut patients' last values per part.
 """
 
 from __future__ import annotations
@@ -17,10 +18,9 @@ from pyspark.sql import types as T
 from ..functions.bands import risk_band
 from ..params import DEFAULTS, Params
 from .cards import split_history
-from .skew import HOT_ROWS, last_per_field, value_before_row, values_before_parts, with_parts
+from .skew import last_per_field, top_n_per_key, value_before_row, values_before_parts, with_parts
 
 NOT_IN_PROFILE = ("patient_id", "risk_score_history")
-PATCHES_PER_PART = 100_000
 
 
 @dataclass(frozen=True)
@@ -37,19 +37,20 @@ def apply_risk_updates(
     updates: DataFrame,
     skip_unchanged: bool = False,
     params: Params = DEFAULTS,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
+    parts_path: str | None = None,
 ) -> Updated:
     """Set risk scores from ``updates (patient_id, score, ts, seq)`` in (ts, seq) order, equal ones by score.
 
     Audit status is ``updated``, ``unchanged`` (equal score under ``skip_unchanged``: no
     history row), ``not_found`` or ``invalid`` (null score). A missing stored score is 0.
+    The updates are written in ``parts`` ranges to ``parts_path`` at once (see ``with_parts``).
     History is a table: rows embedded in the given profiles are moved to it.
     """
     order = ["ts", "seq", "score"]
     asked = updates.select("patient_id", "score", "ts", "seq")
     write = F.when(F.col("score").isNotNull(), F.struct("score"))
-    minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
-    parted = with_parts(asked, "patient_id", minute, hot_rows)
+    parted = with_parts(asked, "patient_id", order, parts, parts_path)
     stored = profiles.select("patient_id", F.struct(F.coalesce("risk_score", F.lit(0)).alias("score")).alias("start"))
     starts = values_before_parts(parted, stored, "patient_id", F.lit("start"), write, order)
     rows = value_before_row(parted, ["patient_id"], order, write, "in_part").join(starts, ["patient_id", "part"], "left")
@@ -72,11 +73,10 @@ def apply_risk_updates(
         .alias("status"),
     )
     applied = audit.filter(F.col("status") == "updated")
-    newest = (
-        (applied if skip_unchanged else asked.filter(F.col("score").isNotNull()))
-        .groupBy("patient_id")
-        .agg(F.max_by(F.struct("score", "ts"), F.struct(*order)).alias("new"))
-    )
+    written = applied if skip_unchanged else parted.filter(F.col("score").isNotNull())
+    newest = top_n_per_key(
+        written.select("patient_id", *order), ["patient_id"], [F.col(c).desc() for c in order], 1
+    ).select("patient_id", F.struct("score", "ts").alias("new"))
     embedded = None
     if "risk_score_history" in profiles.columns:
         profiles, embedded = split_history(profiles)
@@ -131,14 +131,16 @@ def _by_path(paths: dict[str, T.DataType], of_path) -> Column:
 def apply_profile_patches(
     profiles: DataFrame,
     patches: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
+    parts_path: str | None = None,
 ) -> Updated:
     """Set profile fields from ``patches (patient_id, path, value, seq)`` in seq order, equal ones by value.
 
     ``path`` is dotted, ``value`` text that is cast to the field's type (JSON for
     arrays). Audit status is ``updated``, ``unchanged`` (equal to the value before it;
     a missing field reads as null), ``not_found`` (no such patient) or ``invalid`` (no
-    such field, or text that does not fit it). Replaying patches changes nothing.
+    such field, or text that does not fit it). Replaying patches changes nothing. The
+    patches are written in ``parts`` ranges to ``parts_path`` at once (see ``with_parts``).
     """
     paths = _leaf_paths(profiles.schema)
     new = _by_path(paths, lambda path, dtype: _text(_typed(F.col("value"), dtype), dtype))
@@ -152,7 +154,7 @@ def apply_profile_patches(
         F.when(valid, F.struct("new")).alias("write"),
     )
     order = ["seq", "asked"]
-    parted = with_parts(typed, "patient_id", F.floor(F.col("seq") / PATCHES_PER_PART), hot_rows)
+    parted = with_parts(typed, "patient_id", [*order, "path"], parts, parts_path)
     stored = profiles.select(
         "patient_id", *[F.struct(_text(F.col(p), t).alias("new")).alias(_flat(p)) for p, t in paths.items()]
     )
@@ -177,7 +179,7 @@ def apply_profile_patches(
         .otherwise("updated")
         .alias("status"),
     )
-    return Updated(_patched(profiles, typed, paths), audit)
+    return Updated(_patched(profiles, parted, paths), audit)
 
 
 def _flat(path: str) -> str:

@@ -67,7 +67,8 @@ def start_risk_updates(
             touched = lookup(profiles.select("patient_id", "risk_score"), batch)
             if earlier is not None:
                 earlier = lookup(earlier, batch)
-            result = apply_risk_updates(_in_force(touched, earlier), batch, skip_unchanged)
+            result = apply_risk_updates(
+                _in_force(touched, earlier), batch, skip_unchanged, parts_path=f"{history_path}/_parts")
             result.history.write.mode("overwrite").parquet(commit_path(history_path, commit))
             log_commit(spark, history_path, commit, batch_id)
             if commit - published >= publish_every:

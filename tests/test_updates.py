@@ -3,9 +3,11 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import profile, tuples
 from pulsegrid.operators import apply_profile_patches, apply_risk_updates, split_history, with_recent_history
+from pulsegrid.operators.skew import NOT_SPLIT, with_parts
 from pulsegrid.schemas import PATCH_SCHEMA, RISK_UPDATE_SCHEMA
 
 T0 = datetime(2025, 1, 1)
@@ -65,15 +67,15 @@ def test_updates_apply_in_time_order_not_arrival_order(profiles_of, updates_of):
 
 
 def test_an_update_without_patient_is_not_found(profiles_of, updates_of):
-    result = apply_risk_updates(profiles_of(profile("P1")), updates_of((None, 3, 1), (None, 4, 2)), hot_rows=0)
+    result = apply_risk_updates(profiles_of(profile("P1")), updates_of((None, 3, 1), (None, 4, 2)), parts=2)
     assert [r[-1] for r in audit_of(result)] == ["not_found", "not_found"]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100])
-def test_an_update_without_time_comes_first(profiles_of, updates_of, hot_rows):
+@pytest.mark.parametrize("parts", [1, 2])
+def test_an_update_without_time_comes_first(profiles_of, updates_of, parts):
     updates = updates_of(("P1", 3, 1), ("P1", 9, 2)).selectExpr(
         "patient_id", "score", "IF(score = 9, NULL, ts) AS ts", "seq")
-    result = apply_risk_updates(profiles_of(profile("P1", risk=5)), updates, hot_rows=hot_rows)
+    result = apply_risk_updates(profiles_of(profile("P1", risk=5)), updates, parts=parts)
     assert [(r[1], r[2]) for r in audit_of(result)] == [(9, 3), (5, 9)]
     assert result.profiles.first().risk_score == 3
 
@@ -103,8 +105,8 @@ def chained(rows, start):
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(1, 10), st.integers(0, 12)), min_size=1, max_size=25), st.booleans())
 def test_previous_scores_against_brute_force(profiles_of, updates_of, rows, hot):
-    """Both for an ordinary patient and for a hot one, which is cut into minutes."""
-    options = {"hot_rows": 0} if hot else {}
+    """Both for an ordinary patient and for a hot one, which is cut into ranges."""
+    options = {"parts": 6} if hot else {}
     result = apply_risk_updates(profiles_of(profile("P1", risk=5)), updates_of(*[("P1", s, m) for s, m in rows]), **options)
     got = sorted((r.seq, r.previous_score, r.score) for r in result.audit.collect())
     assert got == chained(rows, 5)
@@ -157,11 +159,10 @@ def test_no_patches_leave_profiles_alone(profiles_of, patches_of):
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.sampled_from(["a", "b", None]), min_size=1, max_size=12))
-def test_old_values_of_a_hot_patient(monkeypatch, profiles_of, patches_of, values):
-    monkeypatch.setattr("pulsegrid.operators.updates.PATCHES_PER_PART", 2)
+def test_old_values_of_a_hot_patient(profiles_of, patches_of, values):
     result = apply_profile_patches(
         profiles_of(profile("P1", notes="start")), patches_of(*[("P1", "notes", v) for v in values]),
-        hot_rows=0)
+        parts=4)
     before = ["start", *values[:-1]]
     assert statuses(result) == [
         ("notes", old, new, "unchanged" if old == new else "updated") for old, new in zip(before, values)]
@@ -177,3 +178,29 @@ def test_equal_times_and_numbers_end_alike(spark, profiles_of):
     result = apply_profile_patches(profiles_of(profile("P1", city="Oran")), patches)
     assert sorted((r.old, r.new) for r in result.audit.collect()) == [("Bern", "Lima"), ("Lima", "Oslo"), ("Oran", "Bern")]
     assert result.profiles.first().contact.city == "Oslo"
+
+
+def test_a_patient_with_all_updates_at_one_time_is_cut_evenly(spark, profiles_of):
+    updates = spark.range(4000).select(
+        F.lit("P1").alias("patient_id"), (F.col("id") % 10).cast("int").alias("score"), F.lit(T0).alias("ts"), F.col("id").alias("seq"))
+    parted = with_parts(updates, "patient_id", ["ts", "seq", "score"], 8)
+    sizes = [r["count"] for r in parted.groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+    result = apply_risk_updates(profiles_of(profile("P1", risk=5)), updates, parts=8)
+    rows = result.audit.orderBy("seq").collect()
+    assert [r.previous_score for r in rows] == [5, *[r.score for r in rows[:-1]]]
+    assert result.profiles.first().risk_score == 9
+
+
+def test_only_patients_in_several_ranges_are_cut(spark):
+    updates = spark.range(3000).select(
+        F.when(F.col("id") < 1000, F.lit("P0")).otherwise(F.concat(F.lit("P"), F.col("id"))).alias("patient_id"), "id")
+    cut = with_parts(updates, "patient_id", ["id"], 6).filter(F.col("part") != NOT_SPLIT)
+    assert [r[0] for r in cut.select("patient_id").distinct().collect()] == ["P0"] and cut.count() == 1000
+
+
+def test_updates_are_not_sorted_for_aggregates(spark, profiles_of, updates_of, patches_of):
+    people = profiles_of(profile("P1"))
+    for result in (apply_risk_updates(people, updates_of(("P1", 3, 1))), apply_profile_patches(people, patches_of(("P1", "notes", "x")))):
+        for df in (result.profiles, result.audit):
+            assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
