@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.keys import reading_key
+from ..functions.keys import key_patient_id, reading_key
 from ..operators.readings import dedup_readings, within_minutes
 from ..plans.batch import save_batch
 from ..session import scratch_path
@@ -96,6 +96,19 @@ def _(spark, sf):
     return files.import_key_values(dump, STAR_READING).drop("key")
 
 
+@query("key_value_rejects", with_readings("""
+SELECT CAST(patient_id AS VARCHAR) AS patient_id, event_id FROM readings WHERE event_id % 10 = 0"""))
+def _(spark, sf):
+    """The entries of a dump, every tenth of them broken, that give no reading."""
+    readings = star_readings(spark, sf)
+    broken = F.concat(F.lit("broken "), F.col("event_id").cast("string"))
+    value = F.when(F.col("event_id") % 10 == 0, broken).otherwise(F.to_json(F.struct("event_id", "heart_rate", "status")))
+    dump = readings.select(reading_key(F.col("patient_id"), F.col("timestamp")).alias("key"), value.alias("value"))
+    rejected = files.rejected_key_values(dump, STAR_READING)
+    return rejected.select(
+        key_patient_id(F.col("key")).alias("patient_id"), F.regexp_extract("value", r"(\d+)", 1).cast("long").alias("event_id"))
+
+
 @query("recent_landed_readings", with_readings("""
 SELECT patient_id, event_id, "timestamp", heart_rate, status FROM readings
 WHERE "timestamp" >= (SELECT max("timestamp") FROM readings) - INTERVAL 1440 MINUTES"""))

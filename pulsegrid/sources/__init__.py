@@ -6,6 +6,7 @@ from .files import (  # noqa: F401
     read_profiles,
     read_readings,
     read_result,
+    rejected_key_values,
     stream_readings,
 )
 from .sinks import (  # noqa: F401

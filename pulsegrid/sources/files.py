@@ -66,17 +66,26 @@ def stream_readings(
     return _read(spark.readStream.option("maxFilesPerTrigger", max_files), path, schema, fmt)
 
 
+def _parsed_values(dump: DataFrame, schema: T.StructType) -> DataFrame:
+    """``dump`` with ``row``, the value's fields, and ``fits``: whether it has any of them."""
+    parsed = dump.select("key", "value", F.from_json("value", schema).alias("row"))
+    return parsed.withColumn("fits", F.greatest(*[F.col(f"row.{name}").isNotNull() for name in schema.names], F.lit(False)))
+
+
 def import_key_values(dump: DataFrame, schema: T.StructType = READING_SCHEMA) -> DataFrame:
     """Readings from a key-value dump ``(key, value)`` with JSON values.
 
     The patient of a value without ``patient_id`` is taken from the key. Values that
-    are not JSON are left out.
+    have no field of the schema give no reading: ``rejected_key_values`` returns them.
     """
-    parsed = dump.select("key", F.from_json("value", schema).alias("row"))
-    any_field = F.greatest(*[F.col(f"row.{name}").isNotNull() for name in schema.names])
     patient = F.coalesce("row.patient_id", key_patient_id(F.col("key"))).alias("patient_id")
     others = [F.col(f"row.{name}") for name in schema.names if name != "patient_id"]
-    return parsed.filter(any_field).select("key", patient, *others)
+    return _parsed_values(dump, schema).filter("fits").select("key", patient, *others)
+
+
+def rejected_key_values(dump: DataFrame, schema: T.StructType = READING_SCHEMA) -> DataFrame:
+    """The entries ``(key, value)`` of a dump that ``import_key_values`` leaves out."""
+    return _parsed_values(dump, schema).filter(~F.col("fits")).select("key", "value")
 
 
 def land_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:

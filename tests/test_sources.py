@@ -43,6 +43,7 @@ def test_key_value_dump(spark):
         ("P0003_1", "not json"),
     ], "key string, value string")
     rows = {r.patient_id: r for r in src.import_key_values(dump).collect()}
+    assert tuples(src.rejected_key_values(dump)) == [("P0003_1", "not json")]
     assert set(rows) == {"P0001", "P0002"}
     assert rows["P0001"].blood_pressure.systolic == 100 and rows["P0002"].temperature == 36.5
 
