@@ -68,3 +68,16 @@ def test_pipeline(spark):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+def found(spark, docs, items):
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontamination.matches(rows, table).collect()}
+
+
+def test_one_edit_or_equal_numbers_lose_no_match(spark):
+    passage = ("there were 5 boats on the wide river when the old man woke up and went down to the water to look for his lost "
+               "dog and he saw that {} boats had already left the small harbour before the sun rose over the green hills")
+    sums = "if there are {} red marbles in the first bag and {} blue marbles in the other bag then how many marbles are there"
+    assert found(spark, [passage.format(6), sums.format(4, 4)], [passage.format(5), sums.format(3, 5)]) == {(0, 0), (1, 1)}
