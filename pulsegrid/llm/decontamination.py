@@ -118,7 +118,7 @@ class Reader:
         kept = kinds != END
         at = np.flatnonzero(kept)
         out = {LITERAL: Tokens(literal[at], np.zeros(len(at), slots.dtype), at, found, np.zeros(len(found), bool))}
-        for reading, name, row in ((WORDS, inner, inner), (NAMES, inner, inner), (ROWS, inner, inner)):
+        for reading, name, row in ((WORDS, inner, inner), (NAMES, title, inner), (ROWS, title, title)):
             own = np.where(name, TITLE, slots)
             hashes = np.where(own == 0, literal, SLOT_HASHES[own])
             if reading != NAMES:

@@ -81,3 +81,11 @@ def test_one_edit_or_equal_numbers_lose_no_match(spark):
                "dog and he saw that {} boats had already left the small harbour before the sun rose over the green hills")
     sums = "if there are {} red marbles in the first bag and {} blue marbles in the other bag then how many marbles are there"
     assert found(spark, [passage.format(6), sums.format(4, 4)], [passage.format(5), sums.format(3, 5)]) == {(0, 0), (1, 1)}
+
+
+def test_case_and_first_words_of_sentences_hide_nothing(spark):
+    names = "Tom met Ann and Bob told Sue that Max likes Eva and Jim"
+    first = "Alice has 12 apples and gives some of them to her best friend. How many are left?"
+    docs = [names.lower(), "so " + names.upper() + " ok", first.replace("Alice", "Bob").replace("12", "30"),
+            'He asked, "' + first.replace("Alice", "Bob").replace("12", "30"), "Well, Bob has 30 apples and gives some of them to her best friend, how many are left"]
+    assert found(spark, docs, [names, first]) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1)}
