@@ -228,7 +228,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_t
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     size_of = lambda n: window if n >= window else n if n >= least_tokens else 0
-    literal_size_of = lambda n: window if n >= window else 0
+    literal_size_of = lambda n: min(n, window)
     of_items = landed(_windows(items, "item", lambda read, _: _item_windows(read, size_of, literal_size_of)), "benchmark-windows")
     literal = F.col("item_reading") == LITERAL
     bounds = of_items.agg(F.countDistinct("hash").alias("n"), F.collect_set(F.when(~literal, F.col("size"))).alias("sizes"),

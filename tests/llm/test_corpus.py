@@ -89,3 +89,9 @@ def test_case_and_first_words_of_sentences_hide_nothing(spark):
     docs = [names.lower(), "so " + names.upper() + " ok", first.replace("Alice", "Bob").replace("12", "30"),
             'He asked, "' + first.replace("Alice", "Bob").replace("12", "30"), "Well, Bob has 30 apples and gives some of them to her best friend, how many are left"]
     assert found(spark, docs, [names, first]) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1)}
+
+
+def test_short_and_wordless_items_are_found(spark):
+    items = ["What is the sum of 12 and 35?", "Name it", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", "Gone With The Wind And The Sea And The Sun And The Moon Again"]
+    docs = ["x. " + items[0] + " y", "please name it now", "so " + items[2], "z " + items[3] + " w", "what is the sum of 12 and 36"]
+    assert found(spark, docs, items) == {(0, 0), (1, 1), (2, 2), (3, 3)}
