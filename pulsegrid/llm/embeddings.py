@@ -130,24 +130,24 @@ def _cell_links(ids, times, units, cells, group, split, plan, threshold):
     return n, least[root]
 
 
-def _keyed(vectors: DataFrame, plan: Plan) -> DataFrame:
-    """A row for each vector and group, with the group's cell and all cells of the vector."""
-    weights = np.random.default_rng(SEED + 1).integers(1, 1 << 62, (plan.groups, plan.per_group), np.int64) | 1
+def _keyed(vectors: DataFrame, plans: dict[int, Plan]) -> DataFrame:
+    """A row for each vector and group of the plan for its length, with the group's cell and all cells of the vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = np.zeros((batch.num_rows, plan.groups), np.int64)
             for rows, x in _units(batch.column("embedding")):
+                plan = plans[x.shape[1]]
+                weights = np.random.default_rng(SEED + 1).integers(1, 1 << 62, (plan.groups, plan.per_group), np.int64) | 1
                 a, offset = _directions(x.shape[1], plan)
                 at = np.floor((x @ a + offset) / plan.cell).astype(np.int64).reshape(len(x), plan.groups, plan.per_group)
                 with np.errstate(over="ignore"):
-                    cells[rows] = (at * weights).sum(axis=2) * 1_000_003 + x.shape[1]
-            n = batch.num_rows
-            all_cells = pa.FixedSizeListArray.from_arrays(pa.array(cells.ravel()), plan.groups).cast(pa.list_(pa.int64()))
-            for g in range(plan.groups):
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, all_cells, pa.array(np.full(n, g)), pa.array(cells[:, g])],
-                    ["id", "times", "embedding", "cells", "grp", "cell"])
+                    cells = (at * weights).sum(axis=2) * 1_000_003 + x.shape[1]
+                own = batch if len(rows) == batch.num_rows else batch.take(pa.array(rows))
+                all_cells = pa.FixedSizeListArray.from_arrays(pa.array(cells.ravel()), plan.groups).cast(pa.list_(pa.int64()))
+                for g in range(plan.groups):
+                    yield pa.RecordBatch.from_arrays(
+                        [*own.columns, all_cells, pa.array(np.full(len(rows), g)), pa.array(cells[:, g])],
+                        ["id", "times", "embedding", "cells", "grp", "cell"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     return vectors.mapInArrow(run, f"id long, times long, embedding {kind}, cells array<long>, grp long, cell long")
@@ -161,7 +161,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     null or non-finite components link with nothing, as do vectors of different lengths. Equal vectors, however many, are
     searched for once and link with each other; repeated rows count as rows. An empty table gives no rows.
 
-    Pairs are found by counting collisions (see ``calibrate``): the pairs of a cell are counted, verified and added up
+    Pairs are found by counting collisions (see ``calibrate``, by the number of vectors of each length): the pairs of a cell are counted, verified and added up
     inside its task, by the first group of projections that they share a cell of, and leave it as counts and one edge a row.
     """
     table = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("embedding"))
@@ -170,10 +170,10 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     distinct = landed(
         table.where(usable).groupBy("embedding").agg(F.min("id").alias("first"), F.count("*").alias("times"))
         .select(F.monotonically_increasing_id().alias("id"), "first", "times", "embedding"), "vectors")
-    bounds = distinct.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    plan = calibrate(max(1, bounds["n"]), bounds["dim"] or 1, threshold)
-    keyed = _keyed(distinct.select("id", "times", "embedding"), plan)
-    hot = (_keyed(distinct.select("id", "times", "embedding"), plan).groupBy("grp", "cell").agg(F.count("*").alias("__n"))
+    sizes = distinct.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).collect()
+    plans = {r["dim"]: calibrate(r["n"], r["dim"], threshold) for r in sizes}
+    keyed = _keyed(distinct.select("id", "times", "embedding"), plans)
+    hot = (_keyed(distinct.select("id", "times", "embedding"), plans).groupBy("grp", "cell").agg(F.count("*").alias("__n"))
            .where(F.col("__n") > PART).select("grp", "cell", F.ceil(F.col("__n") / PART).alias("parts")))
     hot = landed(hot, "hot-cells")
     none = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high")))
@@ -205,7 +205,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 split = None if keys[lo, 2] == keys[lo, 3] else part == keys[lo, 2]
                 all_cells = np.stack(cell.column("cells").to_numpy())
                 ((_, units),) = _units(cell.column("embedding").combine_chunks())
-                n, root = _cell_links(ids, times, units, all_cells, int(keys[lo, 0]), split, plan, threshold)
+                n, root = _cell_links(ids, times, units, all_cells, int(keys[lo, 0]), split, plans[units.shape[1]], threshold)
                 some = np.flatnonzero((n > 0) | (root != ids))
                 counts.append(np.column_stack([ids[some], n[some], root[some]]))
             if counts and sum(map(len, counts)):

@@ -125,3 +125,16 @@ def test_calibration_reaches_its_recall():
     met = cells.reshape(len(x), plan.groups, plan.per_group).all(axis=2).any(axis=1)
     counted = (np.abs(px - py)[:, :plan.counted] <= plan.half).sum(axis=1) >= plan.least
     assert (met & counted).mean() > 0.99
+
+
+def test_a_longer_vector_costs_no_links_of_others(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((150, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(1, keepdims=True) * x
+    y = 0.951 * x + math.sqrt(1 - 0.951**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    rows = [*x.tolist(), *y.tolist(), rng.standard_normal(1024).tolist()]
+    table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = {r["id"]: r["n_links"] for r in embeddings.near_duplicates(table).collect()}
+    assert sum(got.values()) >= 0.98 * 300 and got[300] == 0
