@@ -28,11 +28,13 @@ bsd | redistribution | redistribution and use in source and binary forms with or
 gpl-1.0 | general public | gnu general public licen[cs]e (?:version |v)1(?: 0)?
 gpl-2.0 | general public | gnu general public licen[cs]e (?:version |v)2(?: 0)?(?: only)? ; general public licen[cs]e as published by the free software foundation version 2
 gpl-2.0 | gpl | (?:gnu )?gpl ?(?:version )?v?2(?: 0)?(?: only)? ; gplv2
-gpl-2.0-or-later | general public | gnu general public licen[cs]e (?:version |v)2(?: 0)? or (?:at your option )?(?:any )?later ; either version 2 of the licen[cs]e or at your option any later version
+gpl-2.0-or-later | general public | gnu general public licen[cs]e (?:version |v)2(?: 0)? or (?:at your option )?(?:any )?later
+gpl-2.0-or-later | either version | either version 2 of the licen[cs]e or at your option any later version
 gpl-2.0-or-later | gpl | gpl ?(?:version )?v?2(?: 0)? or (?:any )?later ; gplv2 or later
 gpl-3.0 | general public | gnu general public licen[cs]e (?:version |v)3(?: 0)?(?: only)? ; general public licen[cs]e as published by the free software foundation version 3
 gpl-3.0 | gpl | (?:gnu )?gpl ?(?:version )?v?3(?: 0)?(?: only)? ; gplv3
-gpl-3.0-or-later | general public | gnu general public licen[cs]e (?:version |v)3(?: 0)? or (?:at your option )?(?:any )?later ; either version 3 of the licen[cs]e or at your option any later version
+gpl-3.0-or-later | general public | gnu general public licen[cs]e (?:version |v)3(?: 0)? or (?:at your option )?(?:any )?later
+gpl-3.0-or-later | either version | either version 3 of the licen[cs]e or at your option any later version
 gpl-3.0-or-later | gpl | gpl ?(?:version )?v?3(?: 0)? or (?:any )?later ; gplv3 or later
 gpl | general public | gnu general public licen[cs]e ; terms of the general public licen[cs]e
 gpl | gpl | (?:released|licensed|distributed|available) under (?:the )?(?:gnu )?gpl ; gnu gpl ; gpl licen[cs]ed?
@@ -115,13 +117,15 @@ zpl-2.1 | zope | zope public licen[cs]e(?: (?:version|v)? ?2 [01])?
 rpl-1.5 | reciprocal public | reciprocal public licen[cs]e(?: (?:version|v)? ?1 [15])?
 blueoak-1.0 | blue oak | blue oak model licen[cs]e(?: 1 0 0)?
 mulan-2 | mulan | mulan (?:permissive software|psl) licen[cs]e(?: (?:version|v)? ?2)? ; mulan psl v2
-odbl-1.0 | open database | open (?:data commons )?(?:open )?database licen[cs]e(?: (?:version|v)? ?1 0)?
+odbl-1.0 | database | open (?:data commons )?(?:open )?database licen[cs]e(?: (?:version|v)? ?1 0)?
 odc-by-1.0 | open data commons | open data commons attribution licen[cs]e(?: (?:version|v)? ?1 0)?
 pddl-1.0 | public domain dedication | (?:open data commons )?public domain dedication and licen[cs]e
 cc0-1.0 | cc0 | cc0(?: (?:version )?1 0)?(?: universal)? ; cc0 licen[cs]e
-cc0-1.0 | creative commons | creative commons (?:zero|cc0)(?: 1 0)?(?: universal)? ; creativecommons org publicdomain zero 1 0
+cc0-1.0 | creative commons | creative commons (?:zero|cc0)(?: 1 0)?(?: universal)?
+cc0-1.0 | creativecommons org | creativecommons org publicdomain zero 1 0
 cc-by-nc-nd | nc nd | cc by nc nd(?: [1234] [05])?
-cc-by-nc-nd | noncommercial | creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: (?:works )?[1234] [05])?(?: international)?(?: licen[cs]e)?
+cc-by-nc-nd | noncommercial | creative commons attribution noncommercial no ?deriv(?:ative)?s?(?: (?:works )?[1234] [05])?(?: international)?(?: licen[cs]e)?
+cc-by-nc-nd | non commercial | creative commons attribution non commercial no ?deriv(?:ative)?s?(?: (?:works )?[1234] [05])?(?: international)?(?: licen[cs]e)?
 cc-by-nc-sa | nc sa | cc by nc sa(?: [1234] [05])?
 cc-by-nc-sa | noncommercial | creative commons attribution noncommercial share ?alike(?: [1234] [05])?(?: international)?(?: licen[cs]e)?
 cc-by-nc | cc by nc | cc by nc(?: [1234] [05])?
@@ -136,9 +140,11 @@ cc-by | creative commons | creative commons attribution(?: [1234] [05])?(?: inte
 cc | creative commons | creative commons licen[cs]e ; creative commons org licenses
 public-domain | public domain | (?:released|dedicated|placed)(?: in)?(?: ?to)? the public domain ; this (?:work|file|software|page) is in the public domain ; public domain work
 proprietary | all rights reserved | (?:copyright .{0,60}? )?all rights reserved
-proprietary | proprietary | proprietary and confidential ; proprietary licen[cs]e ; unauthorized copying of this file
+proprietary | proprietary | proprietary and confidential ; proprietary licen[cs]e
+proprietary | unauthorized copying | unauthorized copying of this file
 proprietary | redistribution | redistribution (?:is )?(?:not permitted|prohibited) ; no redistribution without permission
-proprietary | personal use | for personal use only ; personal non commercial use only
+proprietary | personal use | for personal use only
+proprietary | personal non commercial | personal non commercial use only
 """
 
 #: Identifiers that may follow "SPDX-License-Identifier"; "-" and "." part words there.

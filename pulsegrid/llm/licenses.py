@@ -15,8 +15,8 @@ BASE = (("mit", "under the mit license"), ("apache-2", "apache license version 2
 #: Texts without any of these hold no keyword of a rule and no base phrase.
 GATE = (rf"(?i)licen[cs]e|spdx|copyright|apache|\bmit\b|bsd|gpl|general{BREAK}+public|documentation|mozilla|\bmpl|eclipse|common{BREAK}+|"
         rf"cddl|cecill|permission|redistribution|misrepresented|libpng|public{BREAK}+domain|wtfpl|want{BREAK}+to|eupl|python|ruby|perl|"
-        rf"postgresql|gfdl|mulan|cc0|cc{BREAK}+by|creative{BREAK}*commons|rights{BREAK}+reserved|proprietary|personal{BREAK}+use|endorse|"
-        rf"zlib|isc{BREAK}|x11|ofl|psf|jpeg|unauthorized")
+        rf"postgresql|gfdl|mulan|cc0|cc{BREAK}+by|creative{BREAK}*commons|rights{BREAK}+reserved|proprietary|personal{BREAK}+(?:use|non)|endorse|"
+        rf"zlib|isc(?:{BREAK}|$)|x11|ofl|psf|jpeg|unauthorized|unicode")
 FOUND = "array<struct<start:int,stop:int,label:string,priority:int,confidence:double>>"
 
 

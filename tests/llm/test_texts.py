@@ -273,3 +273,43 @@ def test_packing_round_trip(spark):
 
 def test_digest_of_no_secret():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def samples_of(pattern, rng):
+    """Texts that the pattern matches: a random choice at each branch, set and repetition."""
+    from re import _constants as c
+    from re import _parser
+
+    def some(nodes):
+        out = ""
+        for op, value in nodes:
+            if op is c.LITERAL:
+                out += chr(value)
+            elif op in (c.ANY, c.CATEGORY):
+                out += "x"
+            elif op is c.IN:
+                kind, pick = rng.choice(value)
+                out += chr(pick) if kind is c.LITERAL else "x"
+            elif op is c.SUBPATTERN:
+                out += some(value[3])
+            elif op is c.BRANCH:
+                out += some(rng.choice(value[1]))
+            elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+                out += "".join(some(value[2]) for _ in range(rng.randint(value[0], min(value[1], value[0] + 2))))
+        return out
+
+    return {some(_parser.parse(pattern)) for _ in range(30)}
+
+
+def test_every_match_of_a_rule_holds_its_keyword_and_passes_the_gate():
+    rng = random.Random(3)
+    for label, _, keyword, pattern, _ in rules():
+        for sample in samples_of(pattern, rng):
+            assert re.search(pattern, f" {sample} ") and keyword in sample and re.search(licenses.GATE, sample), (label, keyword, sample)
+
+
+def test_rules_behind_their_own_keywords(spark):
+    texts = ["Unauthorized copying of this file", "personal, non-commercial use only", "creativecommons.org/publicdomain/zero/1.0",
+             "Creative Commons Attribution-Non-Commercial-No-Derivatives", "See the Unicode Terms of Use"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).orderBy("doc_id").collect()
+    assert [[f["label"] for f in r["licenses"]["found"]] for r in got] == [["proprietary"], ["proprietary"], ["cc0-1.0"], ["cc-by-nc-nd"], ["unicode"]]
