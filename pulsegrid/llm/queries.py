@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, embeddings, extraction, language, licenses, packing, scoring, secrets, token_counts
+from pulsegrid.llm import decontamination, embeddings, exact_dedup, extraction, language, licenses, packing, scoring, secrets, token_counts
 from pulsegrid.llm.graph import read
 from pulsegrid.llm.simhash import simhash_groups
 
@@ -96,6 +96,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document and whether it stays."""
+    return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
+
+
+OP13_SQL = f"""
+WITH lowered AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{exact_dedup.UPPER}', '{exact_dedup.LOWER}')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, text_sha256
+FROM lowered WINDOW same AS (PARTITION BY text_sha256)"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_licenses": op2_licenses,
@@ -107,5 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
+    "op13_exact_dedup": op13_exact_dedup,
 }
-ORACLES: dict[str, str] = {}
+#: The SQL of the queries that SQL can express; the others are compared with plain versions in the tests.
+ORACLES: dict[str, str] = {"op13_exact_dedup": OP13_SQL}
