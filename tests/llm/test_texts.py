@@ -24,6 +24,13 @@ def texts_of(fragments, n, seed, length=25):
     return [None, ""] + ["".join(rng.choice(fragments) for _ in range(rng.randint(0, length))) for _ in range(n)]
 
 
+def plain_key(window):
+    entropy = -sum(c / 20 * math.log2(c / 20) for c in Counter(window).values())
+    least = next(t for p, t in secrets.CLASSES if re.match(p, window))
+    allowed = any(re.search(has, window) and not (lacks and re.search(lacks, window)) for has, lacks in secrets.ALLOWED)
+    return entropy >= least - 1e-9 and not allowed
+
+
 def plain_secrets(text):
     out = []
     for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A):
@@ -33,13 +40,11 @@ def plain_secrets(text):
     out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     base = sorted(out)
     for m in re.finditer(secrets.CANDIDATE, text):
-        value = m[0]
-        windows = [Counter(value[i:i + 20]) for i in range(len(value) - 19)]
-        entropy = max(-sum(c / 20 * math.log2(c / 20) for c in w.values()) for w in windows)
-        least = next(t for p, t in secrets.CLASSES if re.match(p, value))
-        if not any(re.search(p, value) for p in secrets.ALLOWED) and entropy >= least - 1e-12:
-            if not any(a <= m.start() and m.end() <= b for a, _, b in base):
-                out.append((m.start(), 3, m.end()))
+        value = re.sub(secrets.UUID, "-" * 36, m[0])
+        for part in secrets.BLANKED:
+            value = re.sub(part, "-" * len(part), value, flags=re.I)
+        if any(plain_key(value[i:i + 20]) for i in range(len(value) - 19)) and not any(a <= m.start() and m.end() <= b for a, _, b in base):
+            out.append((m.start(), 3, m.end()))
     show = lambda spans: ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
     return show(base), show(out)
 
@@ -64,6 +69,33 @@ def test_entropy_of_long_runs_is_read_in_pieces(spark):
         assert got is None if size < 20 else abs(got - max(entropies)) < 1e-9
 
 
+def spans_of(spark, texts):
+    scan = secrets.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA))
+    return [r[0] for r in scan.orderBy("doc_id").select(secrets.listed(F.col("secrets"))).collect()]
+
+
+@pytest.mark.parametrize("part", ["-ab-12", "-ab", "=1", "/x_", "Ab1-", "deadbeef", "token="])
+def test_secrets_of_a_hundred_thousand_parts(spark, part):
+    text = "ab-12" + part * 100_000
+    assert spans_of(spark, [text])[0].count(",") == plain_secrets(text)[1].count(",")
+
+
+def test_keys_beside_allowed_parts_are_found(spark):
+    key, letters, one = "Zx9Qw8Er7Ty6Ui5Op4As3Dk1", "QzXvKpWmBtRjHsNyLcGfDkVbMxTw", "QzXvKpWmBtRjHs7yLcGfDkVbMxTw"
+    texts = [key, f"/example/{key}", f"======{key}", f"------{key}", f"AAAAAA{key}", f"{key}abcdefgh", letters, one, letters.lower(),
+             f"https://host/sample/{letters}", "f47ac10b-58cc-4372-a567-0e02b2c3d479" + key]
+    wanted = [f"entropy:{t.rfind(':') + 1}:{len(t)}" for t in texts]
+    assert spans_of(spark, texts) == wanted
+
+
+def test_every_allow_rule(spark):
+    allowed = ["f47ac10b-58cc-4372-a567-0e02b2c3d479", "F47AC10B-58CC-4372-A567-0E02B2C3D479", "machine-learning-pipeline-2024-release-notes",
+               "docs/articles/2024/03/quarterly_report_numbers", "getUserAccountInformationFromDatabase", "20240115093045871263987",
+               "2024-01-15/09=30_45+871263987410", "abcdefghABCDEFGH0123456789", "qwertyQWERTYqwerty12345678", "your_api_key_here_placeholder",
+               "Donaudampfschifffahrtsgesellschaft", "x" * 40, "AB12" * 10, "A1B2C3D4E5F6000000A1B2C3D4"]
+    assert spans_of(spark, allowed) == [""] * len(allowed)
+
+
 def test_redaction_takes_out_every_secret(spark):
     rows = [(1, 'a token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" b', 5), (2, "clean", 5), (3, None, 0)]
     got = secrets.redact(spark.createDataFrame(rows, SCHEMA + ", n_chars long")).collect()
