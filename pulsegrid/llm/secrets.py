@@ -34,12 +34,13 @@ BLANKED = ("example", "sample", "dummy", "placeholder", "changeme", "redacted",
 UUID = r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])"
 #: Windows that are no keys, each rule a pair of patterns: the one holds and the other does not. Repeated characters;
 #: numbers; paths, slugs and identifiers of words, whose parts are all letters or all digits; words in one, which begin
-#: with a capital and go on in small letters.
+#: with a capital and go on in small letters; small letters of which a quarter are vowels, as in long words.
 ALLOWED = (
     (r"(.)\1{5}", None),
     (r"^[0-9/=_+-]+$", None),
     (r"[-_/=+]", r"[A-Za-z][0-9]|[0-9][A-Za-z]"),
     (r"^[A-Za-z]*[A-Z][A-Za-z]*$", r"[A-Z][a-z]?[A-Z]|[A-Z]$"),
+    ("^(?=[a-z]+$)" + "[^aeiouy]*[aeiouy]" * 5, None),
 )
 
 
