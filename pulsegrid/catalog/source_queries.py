@@ -65,7 +65,7 @@ def _(spark, sf):
     profiles = star_profiles(spark, sf).withColumn("patient_id", text_id())
     sinks.replace_profiles(profiles.withColumn("risk_score", F.lit(0)), path)
     sinks.replace_profiles(profiles, path)
-    return _card(spark.read.parquet(path))
+    return _card(sinks.read_published(spark, path))
 
 
 @query("batch_saved", BATCH)
@@ -74,7 +74,7 @@ def _(spark, sf):
     path = scratch_path(spark, "batch")
     profiles = star_profiles(spark, sf)
     saved = save_batch(profiles, path, last_admission(profiles), params=PARAMS)
-    return tidy_batch({name: files.read_result(spark, target) for name, target in saved.items()})
+    return tidy_batch({name: files.read_result(spark, path, name=name) for name in saved})
 
 
 STAR_READING = T.StructType([

@@ -13,7 +13,7 @@ from ..functions.bands import risk_band
 from ..functions.numbers import mean_of
 from ..operators.profiles import dimension, top_conditions
 from ..params import DEFAULTS, Params
-from ..sources.sinks import write_result
+from ..sources.sinks import ResultSet, write_result
 
 CUBE_DIMENSIONS = ("age_band", "gender", "city", "blood_type", "risk_score", "num_conditions")
 ALL_PATIENTS = "all"
@@ -135,15 +135,19 @@ def run_batch(
 def save_batch(
     profiles: DataFrame, path: str, as_of=None, k: int = 10, params: Params = DEFAULTS, fmt: str = "parquet"
 ) -> dict[str, str]:
-    """Write every analysis below ``path``; returns where. The cube is written first and the analyses
-    read it back, so the profiles are scanned once for all of them and once for the
-    conditions; the small writes run side by side."""
+    """Write every analysis as one set below ``path``; returns where. ``read_result(spark, path, name=…)`` gives the
+    analyses of the last whole set, so a run that dies changes nothing for readers.
+
+    The cube is written first and the analyses read it back, so the profiles are scanned once for all of them and once
+    for the conditions; the small writes run side by side."""
     spark = profiles.sparkSession
-    cube = spark.read.parquet(write_result(profile_cube(profiles, params), path, "cube"))
-    results = analyses_of(cube, top_conditions(profiles, k, params, _everyone(cube)), as_of)
+    results = ResultSet(spark, path)
+    cube = spark.read.parquet(write_result(profile_cube(profiles, params), results.folder, "cube"))
+    analyses = analyses_of(cube, top_conditions(profiles, k, params, _everyone(cube)), as_of)
     with ThreadPoolExecutor(max_workers=4) as pool:
-        writes = {
-            name: pool.submit(inheritable_thread_target(spark)(write_result), df, path, name, fmt)
-            for name, df in results.items()
-        }
-        return {name: write.result() for name, write in writes.items()}
+        writes = [
+            pool.submit(inheritable_thread_target(spark)(write_result), df, results.folder, name, fmt) for name, df in analyses.items()
+        ]
+        for write in writes:
+            write.result()
+    return results.publish(list(analyses), fmt)

@@ -9,10 +9,13 @@ from .files import (  # noqa: F401
     rejected_key_values,
     stream_readings,
 )
+from .log import NumberedLog  # noqa: F401
 from .sinks import (  # noqa: F401
+    ResultSet,
     append_readings,
     current_version,
     export_profiles,
+    follow_commits,
     publish_version,
     read_published,
     replace_profiles,

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from ..functions.keys import key_patient_id
 from ..schemas import LANDED_READING_SCHEMA, PROFILE_SCHEMA, READING_SCHEMA
+from .sinks import ResultSet
 
 CORRUPT = "_corrupt_record"
 
@@ -96,14 +97,26 @@ def land_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> N
     writer.parquet(path)
 
 
-def read_result(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A stored result, or one ``(status, message)`` row when there is none yet."""
+def read_result(spark: SparkSession, path: str, fmt: str = "parquet", name: str | None = None) -> DataFrame:
+    """A stored result, or one ``(status, message)`` row when there is none yet.
+
+    With ``name``, that analysis of the last whole set below ``path``.
+    """
+    if name is not None:
+        found = ResultSet(spark, path).current()
+        if name not in found.get("names", ()):
+            return _no_results(spark)
+        path, fmt = f"{found['folder']}/analysis={name}", found["format"]
     try:
         return spark.read.format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.range(1).select(
-            F.lit("no_results").alias("status"),
-            F.lit("nothing has been stored here").alias("message"),
-        )
+        return _no_results(spark)
+
+
+def _no_results(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(
+        F.lit("no_results").alias("status"),
+        F.lit("nothing has been stored here").alias("message"),
+    )

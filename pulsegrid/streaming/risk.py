@@ -7,6 +7,8 @@ table is rewritten only every ``publish_every`` micro-batches, not with each.
 
 from __future__ import annotations
 
+
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.profiles import lookup
 from ..operators.skew import top_n_per_key
 from ..operators.updates import apply_risk_updates
-from ..sources.sinks import current_version, publish_version, read_published
-from .commits import commit_path, log_commit, next_commit, read_commits
-from .sinks import start
+from ..sources.sinks import current_version, follow_commits, publish_version, read_published
+from .commits import commit, fold_commits, is_done, log_path, read_all, read_commits, stream_id
+from .sinks import BUCKETS, batch_session, start
 
 
 def _in_force(profiles: DataFrame, history: DataFrame | None) -> DataFrame:
@@ -53,27 +55,30 @@ def start_risk_updates(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # A streaming session plans without it; the joins and windows here are batch work.
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        commit = next_commit(batch, history_path, batch_id)
-        if commit is None:
+        spark = batch_session(batch)
+        if is_done(spark, history_path, batch_id):
             return
-        published = current_version(spark, profiles_root)[1]
+        follow_commits(spark, profiles_root, log_path(history_path))
         batch = batch.persist()  # it is used several times
-        try:
-            profiles = read_published(spark, profiles_root)
-            earlier = read_commits(spark, history_path, published, commit - 1)
+
+        def changes(last: int) -> DataFrame:
+            published = current_version(spark, profiles_root)[1]
+            profiles = read_published(spark, profiles_root, batch)
+            earlier = read_commits(spark, history_path, published, last)
             touched = lookup(profiles.select("patient_id", "risk_score"), batch)
             if earlier is not None:
                 earlier = lookup(earlier, batch)
-            result = apply_risk_updates(
-                _in_force(touched, earlier), batch, skip_unchanged, parts_path=f"{history_path}/_parts")
-            result.history.write.mode("overwrite").parquet(commit_path(history_path, commit))
-            log_commit(spark, history_path, commit, batch_id)
-            if commit - published >= publish_every:
-                applied = read_commits(spark, history_path, published, commit)
-                publish_version(_in_force(profiles, applied), profiles_root, commit)
+            return apply_risk_updates(
+                _in_force(touched, earlier), batch, skip_unchanged, parts_path=f"{history_path}/_parts/{stream_id(spark)}").history
+
+        try:
+            made = commit(spark, history_path, batch_id, changes)
+            published = current_version(spark, profiles_root)[1]
+            if made is not None and made - published >= publish_every:
+                applied = read_commits(spark, history_path, published, made)
+                current = _in_force(read_published(spark, profiles_root), applied)
+                publish_version(current, profiles_root, made, ("patient_id", BUCKETS), keep=2)
+                fold_commits(spark, history_path, made)
         finally:
             batch.unpersist()
 
@@ -88,4 +93,4 @@ def read_live_profiles(spark: SparkSession, profiles_root: str, history_path: st
 
 def read_risk_history(spark: SparkSession, history_path: str) -> DataFrame:
     """All history rows that ``start_risk_updates`` has written."""
-    return read_commits(spark, history_path, -1).drop("commit")
+    return read_all(spark, history_path).drop("commit")

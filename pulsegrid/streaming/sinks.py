@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +12,10 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from ..operators.profiles import lookup
 from ..operators.readings import latest_readings
 from ..sources.sinks import current_version, publish_version, read_published, with_event_date
-from .commits import commit_path, log_commit, next_commit, read_commits
+from .commits import commit, forget_commits, is_done, read_commits
+
+#: Folders that a published table is laid out in by its key, of which a micro-batch opens those of its own keys.
+BUCKETS = 16
 
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -52,34 +57,62 @@ def write_changes(
     A stream with a new checkpoint goes on after the commits of the one before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, keys, publish_every)
+        write_batch(batch.sparkSession, path, batch_id, lambda last: batch, keys, publish_every)
 
     return start(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every)
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int, keys: list[str], publish_every: int) -> None:
-    """One micro-batch of ``write_changes``."""
-    spark, changes = batch.sparkSession, f"{path}/changes"
-    commit = next_commit(batch, changes, batch_id)
-    if commit is None:
-        return
-    batch.write.mode("overwrite").parquet(commit_path(changes, commit))
-    log_commit(spark, changes, commit, batch_id)
-    if commit - current_version(spark, path)[1] >= publish_every:
-        publish_version(latest_changes(spark, path, keys), path, commit)
+def write_batch(
+    spark: SparkSession, path: str, batch_id: int, changes: Callable[[int], DataFrame], keys: list[str], publish_every: int
+) -> None:
+    """One micro-batch of ``write_changes``: ``changes(last)`` on top of commit ``last``.
+
+    Commits that the version before the new one contains are removed, so readers have the time of ``publish_every``
+    micro-batches to finish.
+    """
+    made = commit(spark, f"{path}/changes", batch_id, changes)
+    published = current_version(spark, path)[1]
+    if made is not None and made - published >= publish_every:
+        publish_version(latest_changes(spark, path, keys), path, made, (keys[0], BUCKETS), keep=2)
+        forget_commits(spark, f"{path}/changes", published)
 
 
-def latest_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
-    """The rows of every key from the last commit that changed it; None before the first one."""
+def latest_changes(spark: SparkSession, path: str, keys: list[str], only: DataFrame | None = None, until: int | None = None) -> DataFrame | None:
+    """The rows of every key from the last commit that changed it; None before the first one.
+
+    A key whose last rows are ``deleted``, if the table has that column, has none. With ``only``, the rows of at least the
+    keys in it, and no more of the published version is opened than the buckets that hold them. ``until`` is the last
+    commit that counts.
+    """
     version, published = current_version(spark, path)
-    rows = read_commits(spark, f"{path}/changes", published)
+    rows = read_commits(spark, f"{path}/changes", published, until)
     if version:
-        base = read_published(spark, path).withColumn("commit", F.lit(published))
+        base = read_published(spark, path, only, keys[0]).withColumn("commit", F.lit(published))
         rows = base if rows is None else rows.unionByName(base)
     if rows is None:
         return None
     newest = Window.partitionBy(*keys).orderBy(F.col("commit").desc())
-    return rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "commit")
+    rows = rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "commit")
+    return rows.filter("NOT deleted").drop("deleted") if "deleted" in rows.columns else rows
+
+
+def merged_latest(spark: SparkSession, path: str, batch_id: int, newest: DataFrame, n: int, publish_every: int) -> None:
+    """Commit the newest n readings of the patients in ``newest``, of it and of what is stored."""
+    keys = ["patient_id"]
+
+    def merge(last: int) -> DataFrame:
+        stored = latest_changes(spark, path, keys, newest, last)
+        merged = newest if stored is None else newest.unionByName(lookup(stored.drop("rn"), newest))
+        return latest_readings(merged, n)
+
+    write_batch(spark, path, batch_id, merge, keys, publish_every)
+
+
+def batch_session(batch: DataFrame) -> SparkSession:
+    """The micro-batch's session, with adaptive execution: what is joined and sorted there is batch work."""
+    spark = batch.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return spark
 
 
 def start_latest_n(
@@ -87,22 +120,17 @@ def start_latest_n(
 ) -> StreamingQuery:
     """Keep the newest n readings of every patient as a table; ``latest_changes(spark, path, ["patient_id"])`` reads it.
 
-    Each micro-batch is cut to its own newest n per patient by the batch operator and
-    merged with the stored rows of the patients in it.
+    Each micro-batch is cut to its own newest n per patient by the batch operator and merged with the stored rows of the
+    patients in it, which are read from their buckets.
     """
-    keys = ["patient_id"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # A streaming session plans without it; the joins and windows here are batch work.
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        if next_commit(batch, f"{path}/changes", batch_id) is None:
+        spark = batch_session(batch)
+        if is_done(spark, f"{path}/changes", batch_id):
             return
         newest = latest_readings(batch, n).drop("rn").persist()  # at most n rows a patient
         try:
-            stored = latest_changes(spark, path, keys)
-            merged = newest if stored is None else newest.unionByName(lookup(stored.drop("rn"), newest))
-            write_batch(latest_readings(merged, n), path, batch_id, keys, publish_every)
+            merged_latest(spark, path, batch_id, newest, n, publish_every)
         finally:
             newest.unpersist()
 

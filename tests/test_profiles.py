@@ -163,7 +163,7 @@ def test_batch_job_from_the_command_line(spark, ward, tmp_path):
     export_profiles(ward, str(tmp_path / "in"))
     main(["batch", "--profiles", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--output-format", "json",
           "--as-of", NOW.isoformat()])
-    risk = spark.read.json(str(tmp_path / "out" / "analysis=risk_summary")).first()
+    risk = read_result(spark, str(tmp_path / "out"), name="risk_summary").first()
     assert risk.asDict() == {"avg_risk": 5.75, "high": 2, "medium": 1, "low": 1}
     main(["report", "--profiles", str(tmp_path / "in"), "--out", str(tmp_path / "out")])
     assert read_result(spark, str(tmp_path / "out" / "analysis=daily_report")).filter("section = 'risk'").count() == 4
