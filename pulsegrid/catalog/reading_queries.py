@@ -110,7 +110,7 @@ def _(spark, sf):
     return ops.flatten_readings(ops.latest_readings(star_readings(spark, sf), 50))
 
 
-def _abnormal(source: str = "readings") -> str:
+def abnormal_sql(source: str = "readings") -> str:
     return f"""
 found AS (
   SELECT a.patient_id, coalesce(p.name, 'Unknown') AS name, p.age, {CONDITIONS_TEXT} AS conditions,
@@ -124,12 +124,12 @@ found AS (
 )"""
 
 
-@query("abnormal_patients", with_both("").rstrip() + "," + _abnormal() + " SELECT * FROM found")
+@query("abnormal_patients", with_both("").rstrip() + "," + abnormal_sql() + " SELECT * FROM found")
 def _(spark, sf):
     return conditions_text(ops.abnormal_patients(star_readings(spark, sf), refiled_profiles(spark, sf)))
 
 
-@query("abnormal_patients_last_day", with_both("").rstrip() + "," + _abnormal(
+@query("abnormal_patients_last_day", with_both("").rstrip() + "," + abnormal_sql(
     '(SELECT * FROM readings WHERE "timestamp" >= (SELECT max("timestamp") FROM readings) - INTERVAL 1440 MINUTES)')
     + " SELECT * FROM found")
 def _(spark, sf):
@@ -138,7 +138,7 @@ def _(spark, sf):
         readings, refiled_profiles(spark, sf), window_minutes=1440, as_of=last_reading(readings)))
 
 
-@query("abnormal_summary", with_both("").rstrip() + "," + _abnormal() + """
+@query("abnormal_summary", with_both("").rstrip() + "," + abnormal_sql() + """
 SELECT patient_id, name, age, conditions, heart_rate, systolic, diastolic, temperature, "timestamp",
        (SELECT count(*) FROM found) AS found, greatest((SELECT count(*) FROM found) - 10, 0) AS more
 FROM found ORDER BY patient_id LIMIT 10""")
@@ -185,7 +185,7 @@ def _(spark, sf):
     return ops.cycle_counts(star_readings(spark, sf), "1 hour")
 
 
-def _running(width: str) -> str:
+def running_sql(width: str) -> str:
     return with_readings("").rstrip() + "," + cycles_sql(width) + f""",
 sums AS (
   SELECT *, CAST(sum(events) OVER w AS BIGINT) AS total, CAST(sum(abnormal) OVER w AS BIGINT) AS total_abnormal
@@ -194,12 +194,12 @@ sums AS (
 SELECT *, {share('total_abnormal', 'total')} AS abnormal_pct FROM sums"""
 
 
-@query("running_totals", _running("5 seconds"))
+@query("running_totals", running_sql("5 seconds"))
 def _(spark, sf):
     return ops.running_totals(star_readings(spark, sf))
 
 
-@query("running_totals_hourly", _running("1 hour"))
+@query("running_totals_hourly", running_sql("1 hour"))
 def _(spark, sf):
     return ops.running_totals(star_readings(spark, sf), "1 hour")
 

@@ -14,8 +14,8 @@ from ..session import scratch_path
 from ..sources.files import stream_readings
 from ..sources.sinks import publish_version
 from ..sources.star import TABLES, reading_columns, risk_update_columns, table
-from ..streaming import feeds, risk, sinks
-from .reading_queries import FLAT, REFILED, cycles_sql, latest_sql, conditions_text, refiled_profiles
+from ..streaming import feeds, live, risk, sinks
+from .reading_queries import FLAT, REFILED, abnormal_sql, conditions_text, cycles_sql, latest_sql, refiled_profiles, running_sql
 from .registry import CONDITIONS_TEXT, query, with_both, with_readings
 from .update_queries import UPDATES, new_profiles_sql
 
@@ -148,6 +148,51 @@ def _(spark, sf):
     return flatten_readings(sinks.latest_changes(spark, out, ["patient_id"]))
 
 
+@query("stream_patients_monitored", with_readings("""
+SELECT time_bucket(INTERVAL '1 hour', "timestamp") AS window_start, count(DISTINCT patient_id) AS patients FROM readings GROUP BY 1"""))
+def _(spark, sf):
+    """Patients per hour, from sketches of the micro-batches: exact for the few patients that an hour of these tables has."""
+    root, out, checkpoint = _paths(spark, "monitored")
+    _run_feed(spark, sf, root, lambda events: live.start_patients_monitored(
+        reading_columns(events), out, checkpoint, "1 hour", lg_k=16, publish_every=3), max_files=4)
+    return live.read_patients_monitored(spark, out)
+
+
+@query("stream_running_totals", running_sql("1 hour"))
+def _(spark, sf):
+    root, out, checkpoint = _paths(spark, "running")
+    _run_feed(spark, sf, root, lambda events: live.start_running_totals(
+        reading_columns(events), out, checkpoint, "1 hour", publish_every=3), max_files=4)
+    return live.read_running_totals(spark, out)
+
+
+@query("stream_abnormal_patients", with_both("").rstrip() + "," + abnormal_sql() + " SELECT * FROM found")
+def _(spark, sf):
+    root, out, checkpoint = _paths(spark, "abnormal")
+    _run_feed(spark, sf, root, lambda events: live.start_abnormal_patients(
+        reading_columns(events), out, checkpoint, publish_every=3), max_files=4)
+    return conditions_text(live.read_abnormal_patients(spark, out, refiled_profiles(spark, sf)))
+
+
+@query("stream_alerts_in_force", with_both(f"""
+SELECT patient_id, event_id, heart_rate, bp_systolic, bp_diastolic, "timestamp",
+       CASE WHEN heart_rate > 120 THEN 'High' ELSE 'Medium' END AS severity,
+       coalesce(CASE WHEN event_id % 10 = 0 THEN 'new ' ELSE '' END || p.name, 'Unknown') AS name, p.age, {CONDITIONS_TEXT} AS conditions
+FROM readings LEFT JOIN {REFILED} p USING (patient_id)
+WHERE status = 'ABNORMAL'"""))
+def _(spark, sf):
+    """Profiles are published under new names before the late readings arrive, which get these."""
+    root, out, checkpoint = _paths(spark, "alerts-in-force")
+    profiles = refiled_profiles(spark, sf)
+    events = table(spark, sf, "events")
+    for phase, arrived in enumerate(PHASES):
+        name = F.concat(F.lit("new "), "name") if phase else F.col("name")
+        publish_version(profiles.withColumn("name", name), f"{root}/profiles")
+        _land(events.filter(arrived), f"{root}/in/phase={phase}")
+        _run(spark, lambda feed: live.start_alerts(reading_columns(feed), f"{root}/profiles", out, checkpoint, fold_every=3), _feed(spark, root, 4))
+    return conditions_text(live.read_alerts(spark, out))
+
+
 def _stream_risk(spark, sf, checkpoints=1):
     """Updates in three parts of the time, the stream restarted for each; with two checkpoints, the last part comes to a
     new stream, with folder and checkpoint of its own."""

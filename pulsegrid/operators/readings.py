@@ -104,6 +104,10 @@ def enrich(readings: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
+#: What the detection of abnormal patients reads of a reading.
+NEWEST_COLUMNS = ("patient_id", "event_id", "timestamp", "heart_rate", "blood_pressure", "temperature", "status")
+
+
 def newest_abnormal(
     readings: DataFrame, n: int = 5, window_minutes: int | None = None, as_of=None
 ) -> DataFrame:
@@ -114,8 +118,7 @@ def newest_abnormal(
     """
     if window_minutes is not None:
         readings = within_minutes(readings, window_minutes, as_of)
-    used = ("patient_id", "event_id", "timestamp", "heart_rate", "blood_pressure", "temperature", "status")
-    newest = latest_readings(readings.select(*[c for c in used if c in readings.columns]), n)
+    newest = latest_readings(readings.select(*[c for c in NEWEST_COLUMNS if c in readings.columns]), n)
     first = top_n_per_key(abnormal_only(newest), ["patient_id"], [F.col("rn")], 1, rank="first")
     temperature = F.col("temperature") if "temperature" in readings.columns else F.lit(None).cast("double")
     return first.select(
@@ -192,31 +195,40 @@ def alerts(readings: DataFrame, scan: int = 100, k: int = 15) -> DataFrame:
     return alert_columns(abnormal_only(readings.orderBy(*newest).limit(scan)).orderBy(*newest).limit(k))
 
 
+#: Stands for a missing time while windows are computed, as these drop rows without one.
+NO_TIME = "1000-01-01"
+
+
+def windowed(readings: DataFrame, width: str) -> DataFrame:
+    """Batch readings with ``window_start``, the beginning of their tumbling window; null without a time."""
+    ts = readings.schema["timestamp"].dataType
+    timed = readings.withColumn("_time", F.coalesce("timestamp", F.lit(NO_TIME).cast(ts)))
+    start = F.when(F.col("timestamp").isNotNull(), F.col("_window.start")).alias("window_start")
+    return timed.withColumn("_window", F.window("_time", width)).select(*[F.col(c) for c in readings.columns if c != "window_start"], start)
+
+
 def cycle_counts(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
     """Readings and ABNORMAL readings per tumbling window; batch or streaming.
 
     Readings without a time are counted in a row without ``window_start``; a stream has no such row, as its
     watermark needs a time.
     """
-
-    def counted(rows: DataFrame, start: Column) -> DataFrame:
-        return rows.groupBy(start.alias("w")).agg(F.count("*").alias("events"), F.count_if(F.expr(IS_ABNORMAL)).alias("abnormal"))
-
-    timed = counted(readings, F.window("timestamp", width)).select(F.col("w.start").alias("window_start"), "events", "abnormal")
     if readings.isStreaming:
-        return timed
-    timeless = counted(readings.filter(F.col("timestamp").isNull()), F.col("timestamp")).withColumnRenamed("w", "window_start")
-    return timed.union(timeless)
-
+        rows, by = readings, F.window("timestamp", width).alias("w")
+    else:
+        rows, by = windowed(readings.select("timestamp", "status"), width), F.col("window_start")
+    counted = rows.groupBy(by).agg(F.count("*").alias("events"), F.count_if(F.expr(IS_ABNORMAL)).alias("abnormal"))
+    return counted.select(F.col("w.start").alias("window_start"), "events", "abnormal") if readings.isStreaming else counted
 
-def running_totals(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
-    """``cycle_counts`` with totals up to each window and the abnormal share so far.
 
-    Windows are summed within their day; only the day totals, one row a day, are
-    summed in a single task. Readings without a time come first, as a window of their own.
-    """
-    windows = cycle_counts(readings, width).withColumn("day", F.to_date("window_start"))
+def day_totals(windows: DataFrame) -> DataFrame:
+    """Windows ``(day, window_start, events, abnormal)`` with their totals since the day began."""
     so_far = Window.partitionBy("day").orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
+    return windows.withColumn("e_day", F.sum("events").over(so_far)).withColumn("a_day", F.sum("abnormal").over(so_far))
+
+
+def over_days(windows: DataFrame) -> DataFrame:
+    """Totals up to each window, and the abnormal share so far, of windows with the totals of their day."""
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     days = (
         windows.groupBy("day")
@@ -228,8 +240,7 @@ def running_totals(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
         )
     )
     return (
-        windows.withColumn("e_day", F.sum("events").over(so_far))
-        .withColumn("a_day", F.sum("abnormal").over(so_far))
+        windows
         .join(days.withColumnRenamed("day", "_day"), F.col("day").eqNullSafe(F.col("_day")), "left")  # an inner join would filter one side's scan: no shared shuffle
         .select(
             "window_start",
@@ -242,8 +253,18 @@ def running_totals(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
     )
 
 
+def running_totals(readings: DataFrame, width: str = "5 seconds") -> DataFrame:
+    """``cycle_counts`` with totals up to each window and the abnormal share so far.
+
+    Windows are summed within their day; only the day totals, one row a day, are
+    summed in a single task. Readings without a time come first, as a window of their own.
+    """
+    return over_days(day_totals(cycle_counts(readings, width).withColumn("day", F.to_date("window_start"))))
+
+
 def hourly_trend(readings: DataFrame) -> DataFrame:
-    """NORMAL and ABNORMAL readings for each of the 24 hours of the day."""
+    """NORMAL and ABNORMAL readings for each of the 24 hours of the day; readings without a time have no hour and are
+    left out."""
     counted = readings.groupBy(F.hour("timestamp").alias("hour")).agg(
         F.count_if(F.col("status") == "NORMAL").alias("normal"),
         F.count_if(F.expr(IS_ABNORMAL)).alias("abnormal"),

@@ -88,12 +88,12 @@ def latest_changes(spark: SparkSession, path: str, keys: list[str], only: DataFr
     rows = read_commits(spark, f"{path}/changes", published, until)
     if version:
         base = read_published(spark, path, only, keys[0]).withColumn("commit", F.lit(published))
-        rows = base if rows is None else rows.unionByName(base)
+        rows = base if rows is None else rows.unionByName(base, allowMissingColumns=True)
     if rows is None:
         return None
     newest = Window.partitionBy(*keys).orderBy(F.col("commit").desc())
     rows = rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "commit")
-    return rows.filter("NOT deleted").drop("deleted") if "deleted" in rows.columns else rows
+    return rows.filter("deleted IS NOT TRUE").drop("deleted") if "deleted" in rows.columns else rows
 
 
 def merged_latest(spark: SparkSession, path: str, batch_id: int, newest: DataFrame, n: int, publish_every: int) -> None:
