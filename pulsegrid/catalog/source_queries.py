@@ -38,15 +38,32 @@ def _(spark, sf):
     return _card(files.read_profiles(spark, path))
 
 
-@query("profiles_rejects", with_profiles("SELECT CAST(patient_id AS VARCHAR) AS patient_id FROM profiles WHERE patient_id % 10 = 0"))
-def _(spark, sf):
-    """The lines that gave no profile, of a file in which every tenth line has lost its end."""
+def _broken_lines(spark, sf):
+    """A file of profiles in which every tenth line has lost its end, landed by one parse."""
     path = scratch_path(spark, "profiles-broken")
-    profiles = star_profiles(spark, sf)
     line = F.to_json(F.struct(text_id().alias("patient_id"), "name", "age"))
     broken = F.when(F.col("patient_id") % 10 == 0, F.left(line, F.length(line) - 1)).otherwise(line)
-    profiles.select(broken.alias("value")).write.text(path)
-    return files.corrupt_lines(spark, path).select(F.regexp_extract("line", r'"patient_id":"(\d+)"', 1).alias("patient_id"))
+    star_profiles(spark, sf).select(broken.alias("value")).write.text(path)
+    target = scratch_path(spark, "profiles-parsed")
+    return target, files.land_lines(spark, path, target)
+
+
+@query("profiles_rejects", with_profiles("SELECT CAST(patient_id AS VARCHAR) AS patient_id FROM profiles WHERE patient_id % 10 = 0"))
+def _(spark, sf):
+    """The lines that gave no profile."""
+    target, _ = _broken_lines(spark, sf)
+    return files.landed_rejects(spark, target).select(F.regexp_extract("line", r'"patient_id":"(\d+)"', 1).alias("patient_id"))
+
+
+@query("profiles_parsed", with_profiles("""
+SELECT CAST(patient_id AS VARCHAR) AS patient_id, name, age, (SELECT count(*) FROM profiles) AS lines,
+       (SELECT count(*) FROM profiles WHERE patient_id % 10 = 0) AS rejects
+FROM profiles WHERE patient_id % 10 <> 0"""))
+def _(spark, sf):
+    """The profiles beside them, and how many lines and rejects the parse counted."""
+    target, seen = _broken_lines(spark, sf)
+    rows = files.landed_rows(spark, target).select("patient_id", "name", "age")
+    return rows.withColumns({name: F.lit(n).cast("long") for name, n in seen.items()})
 
 
 @query("profiles_landed", PROFILE_ROWS)

@@ -13,10 +13,11 @@ from ..operators.readings import dedup_readings, flatten_readings
 from ..session import scratch_path
 from ..sources.files import stream_readings
 from ..sources.sinks import publish_version
-from ..sources.star import TABLES, reading_columns, risk_update_columns, table
-from ..streaming import feeds, live, risk, sinks
+from ..sources.star import TABLES, reading_columns, risk_update_columns, star_profiles, table
+from ..streaming import feeds, ingest, live, risk, sinks
 from .reading_queries import FLAT, REFILED, abnormal_sql, conditions_text, cycles_sql, latest_sql, refiled_profiles, running_sql
-from .registry import CONDITIONS_TEXT, query, with_both, with_readings
+from .profile_queries import last_admission
+from .registry import CONDITIONS_TEXT, query, ratio, with_both, with_readings
 from .update_queries import UPDATES, new_profiles_sql
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -84,8 +85,13 @@ SELECT {FLAT}, key FROM (
 def _(spark, sf):
     """Continuous ingest; the last write of an hour-wide key, which may be a late row, wins when the table is read."""
     root, out, checkpoint = _paths(spark, "ingest")
-    _run_feed(spark, sf, root, lambda events: sinks.start_ingest(reading_columns(events), out, checkpoint), max_files=1_000_000)
-    landed = dedup_readings(spark.read.parquet(out), "hour")
+
+    def start(events):
+        ingest.compact_ingested(spark, out, "hour")  # what was landed before the restart
+        return ingest.start_ingest(reading_columns(events), out, checkpoint)
+
+    _run_feed(spark, sf, root, start, max_files=4)
+    landed = dedup_readings(ingest.read_ingested(spark, out), "hour")
     return flatten_readings(landed.drop("ingested_at", "event_date"))
 
 
@@ -225,6 +231,20 @@ def _(spark, sf):
     return _live_scores(spark, _stream_risk(spark, sf, checkpoints=2))
 
 
+@query("stream_overview", UPDATES + f""",
+live AS (
+  SELECT k.age, k.admission_date, coalesce(n.score, k.risk_score) AS risk_score FROM known k LEFT JOIN (
+    SELECT patient_id, score FROM chained WHERE found
+    QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY ts DESC, seq DESC) = 1
+  ) n ON n.patient_id = k.patient_id)
+SELECT count(*) AS total, count(*) FILTER (risk_score >= 7) AS high_risk, {ratio('sum(age)', 'count(*)', 1)} AS avg_age,
+       count(*) FILTER (admission_date >= (SELECT max(admission_date) FROM live) - INTERVAL 30 DAYS) AS active FROM live""")
+def _(spark, sf):
+    """The overview from the cube of the published version and the updates since, without a scan of the profiles."""
+    root = _stream_risk(spark, sf)
+    return risk.read_live_overview(spark, f"{root}/profiles", f"{root}/history", last_admission(star_profiles(spark, sf)))
+
+
 @query("stream_risk_history", UPDATES + """
 SELECT patient_id, seq, ts AS "timestamp", previous_score, score FROM chained WHERE found""")
 def _(spark, sf):

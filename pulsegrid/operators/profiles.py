@@ -74,14 +74,14 @@ def high_risk(profiles: DataFrame, min_score: int = HIGH_RISK_SCORE) -> DataFram
     return profiles.filter(F.col("risk_score") >= min_score)
 
 
-def _recently(as_of: Column | None, days: int) -> Column:
+def admitted_recently(as_of: Column | None, days: int) -> Column:
     moment = F.localtimestamp() if as_of is None else F.lit(as_of)
     return F.col("admission_date") >= moment - F.make_dt_interval(F.lit(days))
 
 
 def admitted_within(profiles: DataFrame, as_of=None, days: int = RECENT_ADMISSION_DAYS) -> DataFrame:
     """Patients admitted at ``as_of - days`` or later. ``as_of`` defaults to now."""
-    return profiles.filter(_recently(as_of, days))
+    return profiles.filter(admitted_recently(as_of, days))
 
 
 def age_stats(profiles: DataFrame, digits: int | None = 1) -> DataFrame:
@@ -177,7 +177,7 @@ def overview(profiles: DataFrame, as_of=None, days: int = RECENT_ADMISSION_DAYS)
         F.count("*").alias("total"),
         F.count_if(F.col("risk_score") >= HIGH_RISK_SCORE).alias("high_risk"),
         F.coalesce(rounded_mean(F.col("age"), 1), F.lit(0.0)).alias("avg_age"),
-        F.count_if(_recently(as_of, days)).alias("active"),
+        F.count_if(admitted_recently(as_of, days)).alias("active"),
     )
 
 

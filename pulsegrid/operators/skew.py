@@ -10,10 +10,14 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-# Up to this n, the rows of a hot key that are left after the map-side limit (n per map
-# task) fit one task; beyond it, a first round over slices of the key cuts them down.
+# Up to this n, the map-side limit leaves n rows of a hot key per map task, which rounds over groups of tasks cut
+# down; beyond it, a first round over slices of the key does.
 ONE_ROUND_LIMIT = 32
 SLICES = 4096
+# Rows of a hot key that may meet in one task, map tasks whose rows meet in one round, and bytes that a map task reads.
+MEETING_ROWS, FAN_IN, TASK_BYTES = 1_000_000, 1024, 128 << 20
+# The optimizer's size of what it does not know is larger.
+UNKNOWN_BYTES = 1 << 52
 
 NOT_SPLIT = -1
 
@@ -28,17 +32,35 @@ def top_n_per_key(
     """The first ``n`` rows of every key in ``order``, numbered from 1 in column ``rank``.
 
     Spark keeps only n rows per key in every map task before the shuffle, for n up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold``. For a larger n, a first round ranks within (key, slice of the row hash), so that no task ever
-    holds all rows of a hot key; the top n of the slices contain the top n of the key.
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. Where so many tasks would still bring more than MEETING_ROWS rows of
+    one key together, groups of FAN_IN tasks are ranked first, then groups of groups, a tree of rounds. For a larger n, a
+    first round ranks within (key, slice of the row hash), so that no task ever holds all rows of a hot key. The top n of
+    the slices or groups contain the top n of the key.
     """
     if n > ONE_ROUND_LIMIT:
         sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
         first = Window.partitionBy(*keys, "_slice").orderBy(*order)
         df = sliced.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= n).drop("_rn", "_slice")
+    else:
+        tasks = _map_tasks(df) if not df.isStreaming else 1
+        group = F.spark_partition_id()
+        while n * tasks > MEETING_ROWS and tasks > FAN_IN:
+            of_group = Window.partitionBy(*keys, "_group").orderBy(*order)
+            grouped = df.withColumn("_group", F.floor(group / FAN_IN))
+            df = grouped.withColumn("_rn", F.row_number().over(of_group)).filter(F.col("_rn") <= n).drop("_rn")
+            tasks, group = -(-tasks // FAN_IN), F.col("_group")
+        df = df.drop("_group")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
+def _map_tasks(df: DataFrame) -> int:
+    """About how many tasks bring the rows of ``df``, by the size that the optimizer expects; 1 if it knows none, as of
+    rows that are no table's, such as a micro-batch's."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size // TASK_BYTES + 1 if size < UNKNOWN_BYTES else 1
+
+
 def with_parts(df: DataFrame, key: str, order: Sequence[str], parts: int | None = None, path: str | None = None) -> DataFrame:
     """``df`` with ``part``: NOT_SPLIT for keys whose rows lie in one range, else the number of the row's range.
 

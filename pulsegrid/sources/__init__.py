@@ -1,7 +1,11 @@
 from .files import (  # noqa: F401
     corrupt_lines,
     import_key_values,
+    land_lines,
     land_parquet,
+    landed_rejects,
+    landed_rows,
+    parse_counts,
     read_landed_readings,
     read_profiles,
     read_readings,

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameReader
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from ..functions.keys import key_patient_id
@@ -16,14 +17,48 @@ from .sinks import ResultSet
 CORRUPT = "_corrupt_record"
 
 
-def _read(reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    """Rows of ``path``. A JSON line that does not parse gives no row; one with a field
-    that does not fit keeps its other fields."""
-    if fmt != "json":
-        return reader.schema(schema).format(fmt).load(path)
+def _marked(reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    """Rows of ``path`` with the text of their line, where it does not fit ``schema``, in column CORRUPT."""
     marked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    rows = reader.schema(marked).option("columnNameOfCorruptRecord", CORRUPT).format("json").load(path)
-    return rows.filter(F.col(CORRUPT).isNull() | F.col("patient_id").isNotNull()).drop(CORRUPT)
+    if fmt == "json":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.schema(marked if fmt == "json" else schema).format(fmt).load(path)
+    return rows if fmt == "json" else rows.withColumn(CORRUPT, F.lit(None).cast("string"))
+
+
+def whole_rows(marked: DataFrame) -> DataFrame:
+    """The rows of marked lines. A line that does not parse gives no row; one with a field that does not fit keeps its
+    other fields."""
+    return marked.filter(F.col(CORRUPT).isNull() | F.col("patient_id").isNotNull()).drop(CORRUPT)
+
+
+def _parse_counts() -> list[Column]:
+    """Counted as lines are parsed, by an ``Observation`` in batch and in a stream's progress under the name ``parse``."""
+    return [F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("rejects")]
+
+
+def _read(reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    return whole_rows(_marked(reader, path, schema, fmt)) if fmt == "json" else reader.schema(schema).format(fmt).load(path)
+
+
+def land_lines(spark: SparkSession, path: str, target: str, schema: T.StructType = PROFILE_SCHEMA) -> dict[str, int]:
+    """Parse the JSON lines of ``path`` once into a table at ``target``; how many ``lines`` and ``rejects`` it met.
+
+    ``landed_rows`` reads the rows and ``landed_rejects`` the lines that do not fit, from a folder of their own.
+    """
+    seen = Observation("parse")
+    marked = _marked(spark.read, path, schema, "json").observe(seen, *_parse_counts())
+    marked.withColumn("rejected", F.col(CORRUPT).isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(target)
+    return dict(seen.get)
+
+
+def landed_rows(spark: SparkSession, target: str) -> DataFrame:
+    return whole_rows(spark.read.parquet(target).drop("rejected"))
+
+
+def landed_rejects(spark: SparkSession, target: str) -> DataFrame:
+    """``(line)`` of every line that does not fit; the folder of the others is not opened."""
+    return spark.read.parquet(target).filter("rejected = 'true'").select(F.col(CORRUPT).alias("line"))
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -60,11 +95,23 @@ def stream_readings(
     max_files: int = 64,
     fmt: str = "json",
     schema: T.StructType | str = READING_SCHEMA,
+    with_rejects: bool = False,
 ) -> DataFrame:
-    """Live readings: files that arrive in ``path``, at most ``max_files`` per micro-batch."""
+    """Live readings: files that arrive in ``path``, at most ``max_files`` per micro-batch.
+
+    ``with_rejects`` keeps the lines that do not fit, in column CORRUPT, for a sink that lands them beside the rows
+    (``start_ingest``), and observes their number: see ``parse_counts``.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    return _read(spark.readStream.option("maxFilesPerTrigger", max_files), path, schema, fmt)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return _marked(reader, path, schema, fmt).observe("parse", *_parse_counts()) if with_rejects else _read(reader, path, schema, fmt)
+
+
+def parse_counts(query: StreamingQuery) -> list[dict[str, int]]:
+    """``lines`` and ``rejects`` of the last micro-batches of a query over ``stream_readings(…, with_rejects=True)``."""
+    seen = [p["observedMetrics"].get("parse") for p in query.recentProgress]
+    return [{"lines": row["lines"], "rejects": row["rejects"]} for row in seen if row is not None]
 
 
 def _parsed_values(dump: DataFrame, schema: T.StructType) -> DataFrame:

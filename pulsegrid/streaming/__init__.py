@@ -5,6 +5,7 @@ from .feeds import (  # noqa: F401
     stream_latest,
     stream_latest_n,
 )
+from .ingest import compact_ingested, read_ingested, read_rejected, start_ingest  # noqa: F401
 from .live import (  # noqa: F401
     read_abnormal_patients,
     read_alerts,
@@ -15,12 +16,11 @@ from .live import (  # noqa: F401
     start_patients_monitored,
     start_running_totals,
 )
-from .risk import read_live_profiles, read_risk_history, start_risk_updates  # noqa: F401
+from .risk import read_live_overview, read_live_profiles, read_risk_history, start_risk_updates  # noqa: F401
 from .sinks import (  # noqa: F401
     append_stream,
     batch_durations,
     latest_changes,
-    start_ingest,
     start_latest_n,
     write_changes,
 )

@@ -7,15 +7,15 @@ table is rewritten only every ``publish_every`` micro-batches, not with each.
 
 from __future__ import annotations
 
-
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.profiles import lookup
+from ..functions.numbers import mean_of
+from ..operators.profiles import admitted_recently, lookup
 from ..operators.skew import top_n_per_key
 from ..operators.updates import apply_risk_updates
+from ..params import HIGH_RISK_SCORE, RECENT_ADMISSION_DAYS
 from ..sources.sinks import current_version, follow_commits, publish_version, read_published
 from .commits import commit, fold_commits, is_done, log_path, read_all, read_commits, stream_id
 from .sinks import BUCKETS, batch_session, start
@@ -79,6 +79,7 @@ def start_risk_updates(
                 current = _in_force(read_published(spark, profiles_root), applied)
                 publish_version(current, profiles_root, made, ("patient_id", BUCKETS), keep=2)
                 fold_commits(spark, history_path, made)
+                _overview_cube(spark, profiles_root)
         finally:
             batch.unpersist()
 
@@ -94,3 +95,36 @@ def read_live_profiles(spark: SparkSession, profiles_root: str, history_path: st
 def read_risk_history(spark: SparkSession, history_path: str) -> DataFrame:
     """All history rows that ``start_risk_updates`` has written."""
     return read_all(spark, history_path).drop("commit")
+
+
+def _overview_cube(spark: SparkSession, profiles_root: str) -> DataFrame:
+    """Additive counts of the published profiles by admission, made once for each version."""
+    cube, version = f"{profiles_root}/_cube", current_version(spark, profiles_root)[0]
+    if current_version(spark, cube)[1] != version:
+        counts = read_published(spark, profiles_root).groupBy("admission_date").agg(
+            F.count("*").alias("total"), F.count_if(F.col("risk_score") >= HIGH_RISK_SCORE).alias("high_risk"),
+            F.sum("age").alias("age_sum"), F.count("age").alias("ages"))
+        publish_version(counts, cube, version, keep=2)
+    return read_published(spark, cube)
+
+
+def read_live_overview(
+    spark: SparkSession, profiles_root: str, history_path: str, as_of=None, days: int = RECENT_ADMISSION_DAYS
+) -> DataFrame:
+    """``overview`` of the live profiles, from counts of the published version and the updates since.
+
+    An update takes its patient's earlier score out of the counts and puts the new one in; over a patient's updates these
+    changes add up to the last one's. Neither a micro-batch nor this reader scans the profiles.
+    """
+    published = current_version(spark, profiles_root)[1]
+    counts, history = _overview_cube(spark, profiles_root), read_commits(spark, history_path, published)
+    changed = F.lit(0).cast("long")
+    if history is not None:
+        is_high = lambda score: F.coalesce((F.col(score) >= HIGH_RISK_SCORE).cast("long"), F.lit(0))
+        changed = F.coalesce(history.select(F.sum(is_high("score") - is_high("previous_score"))).scalar(), F.lit(0))
+    active = F.sum(F.when(admitted_recently(as_of, days), F.col("total")).otherwise(0))
+    ages = counts.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.sum("high_risk").alias("high"),
+                      F.sum("age_sum").alias("age_sum"), F.sum("ages").alias("ages"), F.coalesce(active, F.lit(0)).alias("active"))
+    return ages.select(
+        "total", (F.coalesce("high", F.lit(0)) + changed).alias("high_risk"),
+        F.coalesce(mean_of(F.col("age_sum"), F.col("ages"), 1), F.lit(0.0)).alias("avg_age"), "active")

@@ -17,7 +17,7 @@ def spark():
     session.stop()
 
 
-def profile(patient_id, age=40, gender="F", city="Oran", conditions=(), risk=5, admitted=None, blood="A+", **more):
+def profile(patient_id, age=40, gender="F", city="Oslen", conditions=(), risk=5, admitted=None, blood="A+", **more):
     contact = more.pop("contact", {"phone": "05", "email": None, "city": city})
     history = more.pop("history", {
         "conditions": None if conditions is None else list(conditions), "allergies": [], "blood_type": blood})

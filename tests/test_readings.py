@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import profile, reading, tuples
 from pulsegrid import operators as ops
 from pulsegrid.functions import key_patient_id, reading_key
+from pulsegrid.operators import skew
 from pulsegrid.operators.skew import top_n_per_key
 from pulsegrid.sources import sinks
 
@@ -54,7 +55,7 @@ def abnormal_rows(position):
 
 
 def test_only_the_newest_five_are_looked_at(readings_of, profiles_of):
-    people = profiles_of(profile("P1", conditions=["Asthma"]))
+    people = profiles_of(profile("P1", conditions=["Ague"]))
     assert [r.heart_rate for r in ops.abnormal_patients(readings_of(*abnormal_rows(5)), people).collect()] == [65]
     assert ops.abnormal_patients(readings_of(*abnormal_rows(6)), people).count() == 0
 
@@ -162,3 +163,30 @@ def test_readings_without_time_are_counted(readings_of):
     assert {(r.window_start is None, r.events, r.abnormal) for r in counts.collect()} == {(True, 2, 1), (False, 1, 0)}
     totals = ops.running_totals(readings_of(reading("P", None), reading("P", datetime(2025, 1, 1))))
     assert sorted(r.total for r in totals.collect()) == [1, 2]
+
+
+def test_rounds_over_groups_of_tasks(spark, monkeypatch):
+    """All rows are one patient's, in 300 parts of which 16 meet at a time: no group ranks more than 16 times n rows."""
+    monkeypatch.setattr(skew, "MEETING_ROWS", 50)
+    monkeypatch.setattr(skew, "FAN_IN", 16)
+    monkeypatch.setattr(skew, "_map_tasks", lambda df: 300)
+    rows = spark.range(6000).repartition(300).selectExpr("'hot' || id DIV 10000 AS patient_id", "hash(id) AS v", "id")
+    top = skew.top_n_per_key(rows, ["patient_id"], [F.col("v").desc(), F.col("id")], 5)
+    want = sorted((r.v, -r.id) for r in rows.collect())[::-1][:5]
+    assert [(r.v, -r.id) for r in top.orderBy("rn").collect()] == want
+    assert top.columns == ["patient_id", "v", "id", "rn"]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SPARK_PARTITION_ID") >= 1 and plan.count("WindowGroupLimit") >= 6  # 300 parts: 19 groups, 2 groups, the key
+
+
+def test_small_tables_take_one_round(spark):
+    plan = skew.top_n_per_key(spark.range(10).selectExpr("id", "id AS k"), ["k"], [F.col("id")], 5)
+    assert "SPARK_PARTITION_ID" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cycle_counts_scan_once(spark, tmp_path):
+    spark.createDataFrame([("A", None, "NORMAL")], "patient_id string, timestamp timestamp_ntz, status string").write.parquet(str(tmp_path / "r"))
+    readings = spark.read.parquet(str(tmp_path / "r"))
+    for df in (ops.cycle_counts(readings), ops.running_totals(readings)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parquet") <= (1 if df.columns[-1] == "abnormal" else 2)

@@ -12,7 +12,7 @@ from pulsegrid.session import scratch_path
 
 
 def test_profiles_from_json_lines(spark, tmp_path):
-    good = {"patient_id": "P1", "age": 30, "contact": {"city": "Oran"}, "medical_history": {"conditions": []},
+    good = {"patient_id": "P1", "age": 30, "contact": {"city": "Oslen"}, "medical_history": {"conditions": []},
             "admission_date": "2025-03-09T08:15:27.250300", "extra": 1}
     no_fraction = {"patient_id": "P2", "admission_date": "2025-03-09T08:15:27"}
     no_id, bad_age = {"age": 70}, {"patient_id": "P3", "age": "old", "gender": "M"}
@@ -21,7 +21,7 @@ def test_profiles_from_json_lines(spark, tmp_path):
     profiles = src.read_profiles(spark, str(tmp_path))
     assert profiles.schema == PROFILE_SCHEMA
     rows = {r.patient_id: r for r in profiles.collect()}
-    assert rows["P1"].admission_date == datetime(2025, 3, 9, 8, 15, 27, 250300) and rows["P1"].contact.city == "Oran"
+    assert rows["P1"].admission_date == datetime(2025, 3, 9, 8, 15, 27, 250300) and rows["P1"].contact.city == "Oslen"
     assert rows["P1"].risk_score is None and rows["P2"].admission_date == datetime(2025, 3, 9, 8, 15, 27)
     assert profiles.count() == 4 and rows[None].age == 70
     assert rows["P3"].age is None and rows["P3"].gender == "M"
@@ -29,7 +29,7 @@ def test_profiles_from_json_lines(spark, tmp_path):
 
 
 def test_export_drops_the_store_id_and_keeps_microseconds(spark, profiles_of, tmp_path):
-    people = profiles_of(profile("P1", admitted=datetime(2025, 1, 2, 3, 4, 5, 678901), conditions=["Asthma"]))
+    people = profiles_of(profile("P1", admitted=datetime(2025, 1, 2, 3, 4, 5, 678901), conditions=["Ague"]))
     src.export_profiles(people.withColumn("_id", F.lit("x")), str(tmp_path / "out"))
     assert "_id" not in spark.read.json(str(tmp_path / "out")).columns
     assert tuples(src.read_profiles(spark, str(tmp_path / "out"))) == tuples(people)
