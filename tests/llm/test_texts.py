@@ -345,3 +345,80 @@ def test_rules_behind_their_own_keywords(spark):
              "Creative Commons Attribution-Non-Commercial-No-Derivatives", "See the Unicode Terms of Use"]
     got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).orderBy("doc_id").collect()
     assert [[f["label"] for f in r["licenses"]["found"]] for r in got] == [["proprietary"], ["proprietary"], ["cc0-1.0"], ["cc-by-nc-nd"], ["unicode"]]
+
+
+def samples(pattern):
+    """Matches of a rule's pattern: every alternative once, optional parts left out and put in."""
+    from re import _constants as c, _parser as parser
+
+    def expand(tree):
+        out = [""]
+        for op, value in tree:
+            if op is c.LITERAL:
+                parts = [chr(value)]
+            elif op is c.IN:
+                parts = [chr(value[0][1])] if value[0][0] is c.LITERAL else ["1"]
+            elif op is c.ANY:
+                parts = ["a"]
+            elif op is c.BRANCH:
+                parts = [x for branch in value[1] for x in expand(branch)]
+            elif op is c.SUBPATTERN:
+                parts = expand(value[3])
+            elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+                inner = expand(value[2])
+                parts = ([""] if value[0] == 0 else []) + [x * max(1, value[0]) for x in inner]
+            elif op is c.ASSERT:
+                parts = [""]
+            else:
+                raise AssertionError(op)
+            out = [a + b for a in out for b in parts][:64]
+        return out
+
+    return [f" {s.strip()} " for s in expand(parser.parse(pattern))]
+
+
+def test_every_match_of_a_license_rule_passes_keyword_and_gate():
+    for label, _, keyword, pattern, _ in rules():
+        for sample in samples(pattern):
+            assert re.search(pattern, sample), (pattern, sample)
+            assert keyword in sample, (keyword, sample)
+            assert any(literal in sample and (not more or re.search(more, sample)) for literal, more in licenses.GATE), (label, sample)
+
+
+def plain_resolved(found):
+    def beats(e, d):
+        (es, et, el, ep), (ds, dt, dl, dp) = e, d
+        better = ep < dp or (ep == dp and (et - es > dt - ds or (et - es == dt - ds and (es < ds or (es == ds and el < dl)))))
+        if es <= ds and et >= dt:
+            return et - es > dt - ds or better
+        if ds <= es and dt >= et:
+            return False
+        return es < dt and ds < et and better
+
+    return sorted({d for d in found if not any(beats(e, d) for e in found)})
+
+
+@pytest.mark.parametrize("stretch", [4, 512])
+def test_licenses_equal_a_plain_scan(spark, monkeypatch, stretch):
+    monkeypatch.setattr(licenses, "STRETCH", stretch)
+    parts = ["the mit license", "gpl v2 or later", "SPDX-License-Identifier: MIT", "cc by nc", "é", "x", "under", "Apache License, Version 2.0", "\n", "bsd",
+             "2 clause", "all rights reserved", "copyright 2020", "GNU General Public License version 3", "license", ",", "public domain work", "zlib license"]
+    texts = texts_of([f"{p} " for p in parts], 150, 9) + ["gpl v2 or later " * 1500, "bsd-2-clause license;" * 300 + "é " * 20_000, "a" * 100_000]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(1, texts[1])], SCHEMA).withColumns({c: F.lit(7) for c in ("flat", "all", "base", "licenses")})
+    got = licenses.scan(docs)
+    assert got.columns == docs.columns and got.filter("flat <> 7 OR all <> 7 OR base <> 7").count() == 0
+    breaks = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    for r in got.select("doc_id", "licenses.*").collect():
+        words = [w for w in breaks.split((texts[r["doc_id"]] or "").translate({c: c + 32 for c in range(65, 91)})) if w]
+        flat = f" {' '.join(words)} "
+        assert r["n_words"] == len(words)
+        base = sorted((label, flat[:m.start()].count(" ") - 1) for label, phrase in licenses.BASE for m in re.finditer(rf"(?<= ){phrase}(?= )", flat))
+        assert sorted((b["label"], b["word"]) for b in r["base"]) == base
+        found = {(m.start(), m.end(), label, priority) for label, priority, _, pattern, _ in rules() for m in re.finditer(pattern, flat)}
+        if len(found) < 2000:
+            want = sorted((label, flat[:s].count(" ") - 1, flat[:t].count(" ")) for s, t, label, _ in plain_resolved(found))
+            assert sorted((f["label"], f["first_word"], f["end_word"]) for f in r["found"]) == want
+        else:
+            assert len(r["found"]) == 1500
+    empty = licenses.scan(spark.createDataFrame([], SCHEMA))
+    assert empty.count() == 0 and empty.columns == ["doc_id", "text", "licenses"]
