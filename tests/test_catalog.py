@@ -55,3 +55,13 @@ def test_latest_readings_are_limited_before_the_shuffle(spark):
 def test_unused_orders_are_not_read(spark):
     plan = entry.queries()["risk_by_age"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "orders.parquet" not in plan
+
+
+def test_the_other_queries_stay_without_the_corpus_packages(monkeypatch):
+    import importlib
+
+    def missing(name, *_):
+        raise ModuleNotFoundError(f"No module named {name!r}")
+
+    monkeypatch.setattr(importlib, "import_module", missing)
+    assert set(entry.queries()) == set(catalog.QUERIES) and set(entry.oracle_sql()) == set(catalog.ORACLES)
