@@ -83,6 +83,8 @@ def _units(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
         v = flat[starts[rows][:, None] + np.arange(size)]
+        if size:  # by a power of two, which is exact, so that squares neither overflow nor vanish
+            v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
         out.append((rows, v / np.linalg.norm(v, axis=1, keepdims=True)))
     return out
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +25,25 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes noscrip
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small
 span strike strong sub sup time tt u var wbr""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements and words of class, id and role that set page furniture apart.
-FURNITURE = frozenset("nav header footer aside form button dialog menu head fieldset".split())
-FURNITURE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments consent
-cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo
-promoted promotion promos related reply replies respond search share sharing sidebar signup skip skyscraper social sponsor sponsored
-subscribe subscription tags toolbar topbar widget widgets alert disclaimer copyright contentinfo complementary hidden""".split())
+#: Elements that set page furniture apart; those that may also wrap a whole page or head an article; words of class, id and
+#: role that name furniture, and those of them that name what readers have added.
+FURNITURE = frozenset("nav footer aside dialog menu head".split())
+WRAPPERS = frozenset("header form button fieldset".split())
+READERS = frozenset("comment comments disqus reply replies respond".split())
+FURNITURE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs consent
+cookie cookies footer gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo
+promoted promotion promos related search share sharing sidebar signup skip skyscraper social sponsor sponsored
+subscribe subscription tags toolbar topbar widget widgets alert disclaimer copyright contentinfo complementary""".split())
 MAIN = frozenset("article main".split())
 MAIN_NAMES = frozenset("article articlebody content entry main post story body".split())
 OPENS_IN_ARTICLE = frozenset("header".split())
+#: Shares of a page's words without links from which on an element is no furniture, whatever its class or, if it is one of
+#: WRAPPERS, its tag says: then it wraps the page.
+NAMED_WRAPS, TAG_WRAPS = 0.5, 0.9
+#: How notices, invitations and the lines around an article begin.
+NOTICE = re.compile(r"""(?:copyright\b|©|\(c\) ?\d{4}|all rights reserved|subscribe\b|sign (?:up|in)\b|log ?in\b|register (?:now|here|to)\b|newsletter\b|
+we use cookies|this (?:site|website) uses|cookies?\b|privacy policy|terms (?:of|and)\b|follow us|share (?:this|on)\b|advertisement\b|sponsored\b|
+read more\b|related (?:articles|posts|stories)|leave a (?:comment|reply)|skip to\b|back to top)""".replace("\n", ""), re.I)
 
 
 @dataclass
@@ -41,11 +53,26 @@ class Block:
     linked: int
     main: bool
     furniture: bool
+    named: bool
+    notice: bool
+
+
+class Element(NamedTuple):
+    """What an open element hands down to the blocks in it: the numbers of the wrappers and of the named elements around them."""
+
+    name: str
+    furniture: bool
+    main: bool
+    wrappers: tuple[int, ...]
+    named: tuple[int, ...]
+
+
+PAGE = Element("", False, False, (), ())
 
 
 @cache
 def _names(attributes: str) -> tuple[bool, bool, bool]:
-    """(furniture, main, hidden) by the class, id and role of a tag."""
+    """(furniture, main, hidden) by the class, id and role of a tag; what readers have added counts as hidden."""
     found: set[str] = set()
     hidden = False
     for m in NAMES.finditer(attributes):
@@ -56,22 +83,24 @@ def _names(attributes: str) -> tuple[bool, bool, bool]:
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
         elif key == "hidden" or value == "true":
             hidden = True
-    return bool(found & FURNITURE_NAMES), bool(found & MAIN_NAMES), hidden
+    return bool(found & FURNITURE_NAMES), bool(found & MAIN_NAMES), hidden or bool(found & READERS)
 
 
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order: text between the tags of block elements, white space as one space."""
     out: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, furniture, main: of this element or one around it
+    around: list[Element] = []  # for each block, what it is in
+    open_tags: list[Element] = [PAGE]
     parts: list[str] = []
-    links = linked = 0
+    links = linked = elements = 0
 
     def flush() -> None:
         nonlocal linked
         text = SPACE.sub(" ", "".join(parts)).strip()
         if text:
-            _, furniture, main = open_tags[-1] if open_tags else ("", False, False)
-            out.append(Block(text, len(text.split()), min(linked, len(text.split())), main, furniture))
+            words, inside = len(text.split()), open_tags[-1]
+            out.append(Block(text, words, min(linked, words), inside.main, inside.furniture, False, bool(NOTICE.match(text))))
+            around.append(inside)
         parts.clear()
         linked = 0
 
@@ -110,11 +139,15 @@ def blocks(html: str) -> list[Block]:
                 at = close.end() if close else end
             continue
         if name in INLINE:
-            if not closing and name not in VOID and (m[4] and any(_names(m[4])[::2])):
-                flush()
-                _, furniture, main = open_tags[-1] if open_tags else ("", False, False)
-                open_tags.append((name, True, main))
-            elif closing and open_tags and open_tags[-1][0] == name:
+            if not closing and name not in VOID and m[4]:
+                named, _, hidden = _names(m[4])
+                if named or hidden:
+                    flush()
+                    elements += 1
+                    inside = open_tags[-1]
+                    open_tags.append(inside._replace(
+                        name=name, furniture=inside.furniture or hidden, named=inside.named + (elements,) if named else inside.named))
+            elif closing and open_tags[-1].name == name:
                 flush()
                 open_tags.pop()
             continue
@@ -122,63 +155,103 @@ def blocks(html: str) -> list[Block]:
         if name in VOID:
             continue
         if closing:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == name:
+            for i in range(len(open_tags) - 1, 0, -1):
+                if open_tags[i].name == name:
                     del open_tags[i:]
                     break
             continue
-        if name == "p" and open_tags and open_tags[-1][0] == "p" or name == "li" and open_tags and open_tags[-1][0] == "li":
+        if name in ("p", "li") and open_tags[-1].name == name:
             open_tags.pop()
-        _, furniture, main = open_tags[-1] if open_tags else ("", False, False)
+        inside = open_tags[-1]
         named, named_main, hidden = _names(m[4]) if m[4] else (False, False, False)
-        own = name in FURNITURE and not (name in OPENS_IN_ARTICLE and main)
-        open_tags.append((name, furniture or own or hidden or (named and name not in ("html", "body", "article", "main")),
-                          main or name in MAIN or (named_main and name != "body" and not named)))
+        furniture, wrappers, names = inside.furniture or hidden or name in FURNITURE, inside.wrappers, inside.named
+        if name in MAIN:  # what is around an article says nothing about it, but for furniture's own elements
+            wrappers, names = (), ()
+        elif name not in ("html", "body"):
+            elements += 1
+            if name in WRAPPERS and not (name in OPENS_IN_ARTICLE and inside.main):
+                wrappers += (elements,)
+            if named:
+                names += (elements,)
+        open_tags.append(Element(name, furniture, inside.main or name in MAIN or (named_main and name != "body" and not named), wrappers, names))
     flush()
-    return out
+    return _judged(out, around)
+
+
+def _judged(page: list[Block], around: list[Element]) -> list[Block]:
+    """The blocks of a page, those in wrappers as furniture and those in named elements as named, but for such elements that
+    hold most of the page's words."""
+    total, held = 0, Counter()
+    for block, inside in zip(page, around):
+        if not block.furniture:
+            free = block.words - block.linked
+            total += free
+            for element in {*inside.wrappers, *inside.named}:
+                held[element] += free
+    for block, inside in zip(page, around):
+        block.furniture |= any(held[e] <= TAG_WRAPS * total for e in inside.wrappers)
+        block.named = any(held[e] <= NAMED_WRAPS * total for e in inside.named)
+    return page
 
 
-FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "main", "outside", "furniture")
+FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "main", "outside",
+            "furniture", "named", "notice")
 
 
 def features(page: list[Block]) -> np.ndarray:
     """A row of FEATURES for each block; beyond either end of the page a block of no words is assumed.
 
-    ``main``: inside a marked main part; ``outside``: outside of it on a page that has one; ``furniture``: in page furniture.
+    ``main``: inside a marked main part; ``outside``: outside of it on a page that has one; ``furniture``: in an element that
+    is page furniture; ``named``: in one whose class, id or role says so; ``notice``: begins as notices do.
     """
     n = np.array([0, *(b.words for b in page), 0], float)
     d = np.array([0, *(b.linked / max(1, b.words) for b in page), 0], float)
-    main, furniture = np.array([b.main for b in page]), np.array([b.furniture for b in page])
-    return np.column_stack([n[1:-1], d[1:-1], n[:-2], d[:-2], n[2:], d[2:], main, main.any() & ~main, furniture]).astype(float)
-
-
-#: The labelled table: blocks of invented pages, in the order of FEATURES, and 1 for those of the main text.
-LABELLED = np.array([
-    # inside a marked article: headings, paragraphs of any length, first and last, short and linked ones
-    [8, 0.0, 0, 0.0, 60, 0.0, 1, 0, 0, 1], [60, 0.0, 8, 0.0, 45, 0.0, 1, 0, 0, 1], [45, 0.1, 60, 0.0, 3, 0.0, 1, 0, 0, 1],
-    [3, 0.0, 45, 0.1, 1, 0.0, 1, 0, 0, 1], [1, 0.0, 3, 0.0, 120, 0.0, 1, 0, 0, 1], [120, 0.0, 1, 0.0, 14, 0.0, 1, 0, 0, 1],
-    [2, 1.0, 30, 0.0, 30, 0.0, 1, 0, 0, 1], [12, 0.5, 80, 0.0, 2, 0.0, 1, 0, 0, 1], [5, 0.0, 6, 1.0, 12, 0.0, 1, 0, 0, 1],
-    [200, 0.0, 7, 0.0, 9, 0.3, 1, 0, 0, 1], [10, 0.0, 5, 1.0, 0, 0.0, 1, 0, 0, 1], [25, 0.0, 11, 0.0, 10, 0.2, 1, 0, 0, 1],
-    [4, 1.0, 4, 1.0, 4, 1.0, 1, 0, 0, 1], [7, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1],
-    # furniture around and inside a marked article
-    [1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 1, 0], [1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 1, 0], [7, 0.0, 1, 1.0, 9, 0.0, 0, 1, 1, 0],
-    [12, 0.0, 40, 0.0, 0, 0.0, 0, 1, 1, 0], [40, 0.0, 60, 0.0, 12, 0.0, 0, 1, 1, 0], [25, 0.2, 40, 0.0, 30, 0.0, 0, 1, 1, 0],
-    [9, 0.4, 50, 0.0, 45, 0.0, 1, 0, 1, 0], [30, 0.0, 45, 0.0, 50, 0.0, 1, 0, 1, 0], [3, 0.0, 45, 0.0, 2, 0.0, 1, 0, 1, 0],
-    [60, 0.0, 20, 0.0, 22, 0.0, 1, 0, 1, 0], [80, 0.1, 5, 0.0, 70, 0.0, 0, 1, 1, 0], [5, 0.0, 80, 0.0, 0, 0.0, 0, 1, 1, 0],
-    # neither, beside a marked article: site names, notices, loose links, text under the article
-    [3, 0.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0], [10, 0.0, 1, 1.0, 8, 0.0, 0, 1, 0, 0], [40, 0.0, 5, 0.0, 8, 0.0, 0, 1, 0, 0],
-    [20, 0.9, 60, 0.0, 5, 0.0, 0, 1, 0, 0], [6, 0.0, 70, 0.0, 12, 0.0, 0, 1, 0, 0], [70, 0.0, 90, 0.0, 10, 0.0, 0, 1, 0, 0],
-    # pages without a marked article: headings, paragraphs
-    [9, 0.0, 1, 1.0, 55, 0.0, 0, 0, 0, 1], [7, 0.0, 0, 0.0, 40, 0.0, 0, 0, 0, 1], [55, 0.0, 9, 0.0, 48, 0.05, 0, 0, 0, 1],
-    [48, 0.05, 55, 0.0, 6, 0.0, 0, 0, 0, 1], [6, 0.0, 48, 0.0, 70, 0.0, 0, 0, 0, 1], [22, 0.1, 30, 0.0, 35, 0.0, 0, 0, 0, 1],
-    [70, 0.0, 6, 0.0, 5, 1.0, 0, 0, 0, 1], [15, 0.0, 40, 0.0, 50, 0.0, 0, 0, 0, 1], [4, 0.0, 25, 0.0, 3, 0.0, 0, 0, 0, 1],
-    [12, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1], [90, 0.2, 60, 0.0, 0, 0.0, 0, 0, 0, 1], [3, 0.0, 4, 0.0, 25, 0.0, 0, 0, 0, 1],
-    # pages without a marked article: link lists and furniture
-    [1, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0], [2, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0], [5, 1.0, 50, 0.0, 5, 1.0, 0, 0, 0, 0],
-    [14, 0.9, 6, 0.8, 10, 1.0, 0, 0, 0, 0], [30, 0.8, 70, 0.0, 8, 0.9, 0, 0, 0, 0], [3, 0.7, 2, 1.0, 60, 0.0, 0, 0, 0, 0],
-    [1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 1, 0], [8, 0.0, 1, 1.0, 55, 0.0, 0, 0, 1, 0], [35, 0.0, 60, 0.0, 9, 0.0, 0, 0, 1, 0],
-    [12, 0.1, 70, 0.0, 0, 0.0, 0, 0, 1, 0], [50, 0.0, 48, 0.0, 40, 0.0, 0, 0, 1, 0], [4, 0.0, 3, 0.0, 5, 0.0, 0, 0, 1, 0],
-])
+    flags = np.array([(b.main, b.furniture, b.named, b.notice) for b in page], bool).reshape(-1, 4)
+    main = flags[:, 0]
+    return np.column_stack([n[1:-1], d[1:-1], n[:-2], d[:-2], n[2:], d[2:], main, main.any() & ~main, flags[:, 1:]]).astype(float)
+
+
+#: The labelled table: blocks of invented pages, a page a line. A block is its number of words, after "/" those in links, then
+#: "m" in a marked main part, "f" in furniture, "c" named so by class, "n" if it begins as a notice, and "+" if it is main text.
+LABELLED_PAGES = """
+1/1- 1/1- 1/1- 9+ 55+ 48/2+ 6+ 70+ 5n- 3n-
+3- 2/2- 2/2- 7+ 40+ 22/2+ 35+ 12+ 5/5- 5/5- 5/5- 8n-
+10+ 60+ 2+ 80+ 15+
+12+
+4+
+1+
+9+ 30+ 14/12- 10/10- 30/25- 6/6-
+7+ 25+ 3+ 28+ 4+ 22+ 9n- 25/1n-
+1/1c- 1/1c- 3+ 17+ 2+ 1c-
+2/2- 3+ 16+ 3+ 14+
+20c- 8+ 60+ 45+ 6c- 30c-
+2/2- 2/2- 8+ 60+ 15c- 50+ 3+ 70+ 2/2c- 3/3c- 20n-
+1/1- 8c+ 60c+ 50c+ 3c+ 70c+ 2/2c- 3/3c- 4n-
+6+ 50+ 2/2- 2/2- 2/2- 2/2- 40+ 3/3-
+4- 1/1- 1/1- 6+ 90/18+ 60+ 3/2- 2/2-
+5- 3/3- 11+ 120+ 25n- 7n- 40n-
+4- 2/2- 9- 3/3- 2/2-
+3/3- 3/3- 20/18- 12/12-
+2c- 5c- 40f- 3f- 7+ 45+ 38+ 12f- 8cn-
+1/1f- 1/1f- 1/1f- 10c- 8m+ 60m+ 45/4m+ 3m+ 1m+ 120m+ 14m+ 2/2m+ 30f-
+1/1f- 2/2f- 40c- 7m+ 1m+ 2m+ 1m+ 12f-
+1/1f- 25c- 12m+ 12f-
+3- 1/1- 8- 5m+ 6/6m+ 12m+ 4/4m+ 4/4m+ 12/12m+ 30/30m+ 4/4m+ 200m+ 9/3m+ 70- 20/18- 6-
+7- 12- 40- 9m+ 45m+ 30fm- 50m+ 25cm- 70m+ 5fm- 12cm- 3m+ 60m+ 8/8cm- 80- 5n-
+60- 90- 10m+ 100m+ 55cm+ 80cm+ 100m+ 5nm+ 40f- 60f- 9f-
+2/2- 60c- 6m+ 1m+ 20m+ 80c- 5c- 6-
+"""
+BLOCK = re.compile(r"(\d+)(?:/(\d+))?([mfcn]*)([+-])")
+
+
+def labelled() -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of LABELLED_PAGES."""
+    x, y = [], []
+    for line in LABELLED_PAGES.strip().splitlines():
+        found = [BLOCK.fullmatch(b) for b in line.split()]
+        x.append(features([Block("", int(m[1]), int(m[2] or 0), *(flag in m[3] for flag in "mfcn")) for m in found]))
+        y += [m[4] == "+" for m in found]
+    return np.concatenate(x), np.array(y)
 
 
 @dataclass(frozen=True)
@@ -200,7 +273,7 @@ class Tree:
         return out
 
 
-def fit_tree(x: np.ndarray, y: np.ndarray, depth: int = 5) -> Tree:
+def fit_tree(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Tree:
     """CART: the split of least Gini impurity, first feature and least threshold on ties, until pure or ``depth``."""
     if depth == 0 or y.all() or not y.any():
         return Tree(label=bool(2 * y.sum() >= len(y)))
@@ -220,7 +293,7 @@ def fit_tree(x: np.ndarray, y: np.ndarray, depth: int = 5) -> Tree:
 
 
 def default_tree() -> Tree:
-    return fit_tree(LABELLED[:, :-1], LABELLED[:, -1] == 1)
+    return fit_tree(*labelled())
 
 
 def main_text(html: str | None, tree: Tree) -> str:

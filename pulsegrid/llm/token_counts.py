@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 META = "▁"
 UNKNOWN_PENALTY = 10.0
+#: White space of the library; Python's also has these separators.
+SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+SEPARATORS = re.compile("[\x1c-\x1f]")
 CACHED_WORDS, CACHED_LENGTH = 400_000, 64
 
 
@@ -89,7 +93,7 @@ class Counter:
 
     def text(self, text: str) -> tuple[int, float, int]:
         known, total, score, unknown = self.known, 0, 0.0, 0
-        for raw in text.split():
+        for raw in filter(None, SPACE.split(text)) if SEPARATORS.search(text) else text.split():
             got = known.get(raw)
             if got is None:
                 got = self.word(raw if raw.startswith(META) else META + raw)

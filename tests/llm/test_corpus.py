@@ -42,6 +42,9 @@ tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not h
 def test_queries_give_a_row_a_document(spark, name):
     df = QUERIES[name](spark, SF)
     n = df.count()
+    if name in ("op11_source_divergence", "op12_prefix_trie"):  # rows of groups and nodes: tested in files of their own
+        assert n > 0
+        return
     table, key = {"op1_embeddings": ("embeddings", "vec_id"), "op5_extraction": ("pages", "page_id")}.get(name, ("documents", "doc_id"))
     rows = spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name == "op6_decontamination":

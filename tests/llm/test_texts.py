@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -236,9 +237,125 @@ def test_extraction(spark):
     assert got[6] == "\n".join(["para graph"] * 20_000)
 
 
-def test_tree_fits_its_table():
+def test_tree_fits_its_table_and_reads_words_and_neighbours():
     tree = extraction.default_tree()
-    assert (tree.predict(extraction.LABELLED[:, :-1]) == (extraction.LABELLED[:, -1] == 1)).all()
+    x, y = extraction.labelled()
+    assert (tree.predict(x) == y).all()
+
+    def used(node):
+        return set() if node.low is None else {extraction.FEATURES[node.feature], *used(node.low), *used(node.high)}
+
+    assert {"words", "link density", "named"} <= used(tree)
+    assert used(tree) & {"words before", "words after"} and used(tree) & {"link density before", "link density after"}
+
+
+LONG = " ".join(["one two three four five six seven eight nine ten"] * 4) + "."
+STORY = f"<h1>A headline here</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+STORY_TEXT = f"A headline here\n{LONG}\nShort.\n{LONG}"
+MENU = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(5)) + "</ul>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="layout has-sidebar"><article>{STORY}</article></div>',
+    f'<div class="elementor-widget-container">{STORY}</div>',
+    f'<div class="page with-header"><main>{STORY}</main></div>',
+    f"{MENU}{STORY}<p>Subscribe to our letter today</p><p>Copyright 2020 Foo</p>",
+    f'<body class="no-sidebar widget"><div id="header">{MENU}</div>{STORY}<div class="sidebar"><p>Recent posts</p>{MENU}</div></body>',
+    f'<form id="aspnetForm">{MENU}<main>{STORY}</main><footer>{LONG}</footer></form>',
+    f'<form>{MENU}{STORY}</form>',
+    f'<article>{STORY}<div class="comments"><p>{LONG}</p></div><aside>{LONG}</aside></article><div>{LONG}</div>',
+    f'<div class="cookie-notice">We use cookies on this site.</div>{STORY}<div class="comments"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>',
+    f'<nav>{MENU}</nav><div class="ad">{LONG}</div><article>{STORY}</article><div class="newsletter">Get our news</div>',
+])
+def test_main_text_of_pages(page):
+    assert extraction.main_text(page, extraction.default_tree()) == STORY_TEXT
+
+
+class PlainBlocks(HTMLParser):
+    """Text blocks of well-formed pages by the standard library's parser, word by word."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.now, self.linked, self.stack, self.skip = [], "", 0, [], 0
+
+    def cut(self):
+        words = self.now.split()
+        if words:
+            inside = [t for t, _ in self.stack]
+            main = [i for i, t in enumerate(inside) if t in ("article", "main")]
+            self.out.append((" ".join(words), min(self.linked, len(words)), bool(main), any(t in ("nav", "aside", "footer") for t in inside)))
+        self.now, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title"):
+            self.skip += 1
+        elif tag == "br":
+            self.now += " "
+        elif tag not in extraction.INLINE:
+            self.cut()
+            if tag not in extraction.VOID:
+                self.stack.append((tag, attrs))
+        elif tag == "a":
+            self.stack.append((tag, attrs))
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style", "title"):
+            self.skip -= 1
+        elif tag == "a":
+            self.stack.pop()
+        elif tag not in extraction.INLINE and tag not in extraction.VOID:
+            self.cut()
+            self.stack.pop()
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.now += data
+            if any(t == "a" for t, _ in self.stack):
+                self.linked += len(data.split())
+
+
+def test_blocks_equal_the_standard_parser():
+    rng = random.Random(11)
+
+    def element(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return rng.choice(["word &amp; more", "x<br>y", "<a href='u>v'>a link</a>", "é &eacute; &#233;", " ", "<b>bold</b> text", "<script>var a='</p>';</script>",
+                               "<img src=x>", "1 < 2", "<!-- no <p> -->"]) + " "
+        tag = rng.choice(["div", "p", "section", "article", "main", "nav", "footer", "ul", "h2"])
+        inner = "".join(element(0 if tag == "p" else depth - 1) for _ in range(rng.randint(0, 4)))
+        return f"<{tag} title='a>b'>{inner}</{tag}>"
+
+    for _ in range(300):
+        page = "".join(element(4) for _ in range(3))
+        plain = PlainBlocks()
+        plain.feed(page)
+        plain.close()
+        plain.cut()
+        found = extraction.blocks(page)
+        assert [(b.text, b.linked, b.main, b.furniture) for b in found] == plain.out
+        x = extraction.features(found)
+        for i, (text, linked, main, _) in enumerate(plain.out):
+            near = [(0, 0.0) if not 0 <= j < len(plain.out) else (len(plain.out[j][0].split()), plain.out[j][1] / len(plain.out[j][0].split()))
+                    for j in (i, i - 1, i + 1)]
+            assert x[i, :8].tolist() == [*near[0], *near[1], *near[2], main, not main and any(b[2] for b in plain.out)]
+
+
+def test_pages_give_their_articles(spark):
+    """The given pages mark their articles: the rest of each page is furniture."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    got = {r["page_id"]: r["text"] for r in extraction.extract(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()}
+    for p in pages:
+        plain = PlainBlocks()
+        plain.feed(re.search("<article>(.*)</article>", p["html"], re.S)[1])
+        plain.cut()
+        assert got[p["page_id"]] == "\n".join(b[0] for b in plain.out)
+
+
+def test_extraction_of_no_and_repeated_pages(spark):
+    schema = "page_id long, url string, html string"
+    assert extraction.extract(spark.createDataFrame([], schema)).count() == 0
+    rows = spark.createDataFrame([(1, "u", "<p>a b</p>")] * 3, schema)
+    assert [r["text"] for r in extraction.extract(rows).collect()] == ["a b"] * 3
 
 
 @pytest.mark.parametrize("byte_fallback", [True, False])
@@ -248,7 +365,7 @@ def test_token_counts_equal_the_library(spark, byte_fallback):
     library = Tokenizer(models.Unigram(full, unk_id=0, byte_fallback=byte_fallback))
     library.pre_tokenizer = pre_tokenizers.Sequence([
         pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)])
-    texts = [t or "" for t in texts_of("a b t h e th the ing é ß 가 中 日 😀 0 1 < > ▁ x \n".split(" ") + [" ", "\t"], 400, 8, 40)] + ["word " * 20_000]
+    texts = [t or "" for t in texts_of("a b t h e th the ing é ß 가 中 日 😀 0 1 < > ▁ x \n \x1c \x1f \x85 \u2003".split(" ") + [" ", "\t"], 400, 8, 40)] + ["word " * 20_000]
     own = token_counts.Vocabulary(vocabulary.pieces, byte_fallback)
     got = {r["id"]: r["n_tokens"] for r in token_counts.count_tokens(spark.createDataFrame([*enumerate(texts), (9999, None)], SCHEMA), own).collect()}
     assert got == {**{i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}, 9999: 0}
