@@ -11,7 +11,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +18,8 @@ from pulsegrid.llm.graph import landed
 
 WINDOW = 2048
 CACHED_WORDS, CACHED_LENGTH = 600_000, 64
+#: Bytes of text whose words are learned together, and pre-tokens encoded in a row.
+LEARNED_BYTES, PARTS_A_ROW = 1 << 20, 500
 PIECES_PER_BUCKET = 50_000
 
 
@@ -104,9 +105,13 @@ class WordEncoder:
     together from these, since words differ far more than their parts do.
     """
 
-    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+    #: The tokenizer's pre-tokens of words up to U+00FF in small letters, and the space between words.
+    LETTERS, DIGITS = "a-zª\xb5ºß-öø-ÿ", "0-9²³¹¼-¾"
+    PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+| ")
     PLAIN = re.compile("[\x21-\x7e\xa1-\xff]+")
+    #: Between the ids of words: no id is as large.
+    END_OF_WORD = b"\xff" * 4
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -118,7 +123,7 @@ class WordEncoder:
         kept = json.loads(self.tokenizer.to_str())
         steps = [n.get("type") for n in (kept["normalizer"] or {}).get("normalizers", [])]
         splits = [t.get("pattern", {}).get("Regex") for t in (kept["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        self.special = tuple(t["content"].encode() for t in kept["added_tokens"])
+        self.special = tuple(t["content"] for t in kept["added_tokens"])
         suffix = kept["model"].get("end_of_word_suffix")
         vocabulary = kept["model"]["vocab"]
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -126,48 +131,71 @@ class WordEncoder:
         self.in_parts = bool(suffix) and steps == ["NFC", "Replace", "Lowercase"] and splits == [self.SPLIT, None]
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        """The ids of each pre-token: encoded in a row, and cut after each id that ends a pre-token."""
-        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        """The ids of each pre-token: encoded in rows, and cut after each id that ends a pre-token."""
+        rows = [" ".join(parts[i:i + PARTS_A_ROW]) for i in range(0, len(parts), PARTS_A_ROW)]
+        ids = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
+        ids = np.concatenate(ids)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(parts):
             return self._encode(parts)
         data = ids.tobytes()
         return [data[4 * a:4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
 
+    def _plain(self, words: list[str], text: str) -> list[bool]:
+        """Which words of a text, all of its words in a row, are put together from their pre-tokens."""
+        if not self.in_parts:
+            return [False] * len(words)
+        plain = [match is not None for match in map(self.PLAIN.fullmatch, words)]
+        special = [t for t in self.special if t in text]
+        return [p and not any(t in w for t in special) for w, p in zip(words, plain)] if special else plain
+
     def _learn(self, words: list[bytes]) -> None:
-        whole, parted, parts = [], {}, self.known_parts
-        for w in words:
-            text = w.decode()
-            if self.in_parts and self.PLAIN.fullmatch(text) and not (b"<|" in w and any(t in w for t in self.special)):
-                parted[w] = self.PARTS.findall(text.lower())
-            else:
-                whole.append(w)
-        missing = list({p for found in parted.values() for p in found if p not in parts})
+        text = b" ".join(words).decode()
+        texts = text.split(" ")
+        plain = self._plain(texts, text)
+        whole = [i for i, p in enumerate(plain) if not p]
+        self.known.update(zip([words[i] for i in whole], self._encode([texts[i] for i in whole])))
+        if len(whole) == len(words):
+            return
+        if whole:
+            words, texts = ([x for x, p in zip(xs, plain) if p] for xs in (words, texts))
+        found, parts = self.PARTS.findall(" ".join(texts).lower()), self.known_parts
+        needed = set(found)
+        missing = needed.difference(parts, " ")
         if len(parts) + len(missing) > CACHED_WORDS:
             parts.clear()
-            missing = list({p for found in parted.values() for p in found})
+            missing = needed.difference(" ")
         if missing:
+            missing = list(missing)
             parts.update(zip(missing, self._encode_parts(missing)))
-        self.known.update((w, b"".join([parts[p] for p in found])) for w, found in parted.items())
-        self.known.update(zip(whole, self._encode([w.decode() for w in whole])))
-
-    def ids(self, text: bytes) -> bytes:
-        """The ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
-        words, known = text.split(), self.known
-        new = {w for w in words if w not in known}
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = set(words)
-        if new:
-            self._learn(list(new))
-        found = b"".join([known[w] for w in words])
-        for w in new:
-            if len(w) > CACHED_LENGTH:
-                del known[w]
-        return found
+        parts[" "] = self.END_OF_WORD
+        self.known.update(zip(words, b"".join(map(parts.__getitem__, found)).split(self.END_OF_WORD)))
+
+    def ids_of(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of UTF-8 texts as little-endian unsigned 32-bit numbers; what is new in a run of texts is learned at once."""
+        run: list[list[bytes]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            run.append(text.split())
+            size += len(text)
+            if size < LEARNED_BYTES and i + 1 < len(texts):
+                continue
+            known = self.known
+            new = set().union(*run).difference(known)
+            if len(known) + len(new) > CACHED_WORDS:
+                known.clear()
+                new = set().union(*run)
+            if new:
+                self._learn(list(new))
+            for words in run:
+                yield b"".join(map(known.__getitem__, words))
+            for w in new:
+                if len(w) > CACHED_LENGTH:
+                    del known[w]
+            run, size = [], 0
 
 
 @cache
@@ -187,8 +215,9 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int
         words = encoder(tokenizer)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = words.ids(text or b"") + end
+            texts = batch.column(1).fill_null("").cast(pa.binary()).to_pylist()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), words.ids_of(texts)):
+                ids += end
                 for at in range(0, len(ids), 4 * window):
                     piece = ids[at:at + 4 * window]
                     rows.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
