@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -24,9 +24,12 @@ LEAST_TOKENS = 8
 #: Above this many different benchmark windows their hashes are not sent to every task (8 bytes each).
 SHARED_HASHES = 4_000_000
 CACHED_TOKENS = 400_000
+#: Characters of text read in a row.
+RUN_CHARS = 1 << 20
 
-#: Sentence ends, numbers, words and the signs of units.
-TOKEN = re.compile(r"[.!?:;\n]+|\d[\d.,]*\d|\d|[^\W\d_]+(?:['’][^\W\d_]+)*|[%°€$£¥]")
+#: Ends of texts that are read in a row, sentence ends, numbers, words and the signs of units.
+END_OF_TEXT = "\x00"
+TOKEN = re.compile(r"\x00|[.!?:;\n]+|\d[\d.,]*\d|\d|[^\W\d_]+(?:['’][^\W\d_]+)*|[%°€$£¥]")
 NUMBERS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen
 eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
 UNITS = frozenset("""mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ton tons tonne tonnes
@@ -35,6 +38,7 @@ days week weeks month months year years cent cents dollar dollars usd euro euros
 meters metre metres centimeter centimeters kilometer kilometers mph kmh watt watts volt volts joule joules % ° € $ £ ¥""".split())
 
 WORD, TITLE, NUMBER, UNIT, END = range(5)
+SMALL = {**{w: UNIT for w in UNITS if w.isalpha()}, **{w: NUMBER for w in NUMBERS}}
 PLACEHOLDERS = {TITLE: "<name>", NUMBER: "<number>", UNIT: "<unit>"}
 SLOT_HASH = {k: xxhash.xxh64_intdigest(v, 1) for k, v in PLACEHOLDERS.items()}
 SLOT_HASHES = np.array([SLOT_HASH.get(k, 0) for k in range(END + 1)], np.uint64)
@@ -50,11 +54,12 @@ LITERAL, WORDS, NAMES, ROWS = range(4)
 
 
 class Tokens(NamedTuple):
-    """One reading of a text: hashes of its tokens, which of them are slots (0, or the kind), and their places among what was
-    found; where ``again``, a found token belongs to the one before it."""
+    """One reading of texts in a row: hashes of their tokens, which of them are slots (0, or the kind), the number of the
+    text that each is of, and their places among what was found; where ``again``, a found token belongs to the one before it."""
 
     hashes: np.ndarray
     slots: np.ndarray
+    texts: np.ndarray
     places: np.ndarray
     found: list[str]
     again: np.ndarray
@@ -74,41 +79,44 @@ class Reader:
         self.kinds, self.hashes = np.zeros(1 << 12, np.int8), np.zeros(1 << 12, np.uint64)
 
     def _learn(self, tokens: set[str]) -> None:
-        for t in tokens:
-            at = len(self.known)
-            if at == len(self.kinds):
-                self.kinds, self.hashes = np.resize(self.kinds, 2 * at), np.resize(self.hashes, 2 * at)
-            self.kinds[at], self.hashes[at] = self._classify(t)
-            self.known[t] = at
-
-    def _classify(self, token: str) -> tuple[int, int]:
+        at, end = len(self.known), len(self.known) + len(tokens)
+        if end > len(self.kinds):
+            room = max(end, 2 * len(self.kinds))
+            self.kinds, self.hashes = np.resize(self.kinds, room), np.resize(self.hashes, room)
+        kinds = [SMALL.get(t, WORD) if t.islower() and t.isalpha() else self._kind(t) for t in tokens]
+        self.kinds[at:end] = kinds
+        self.hashes[at:end] = [xxhash.xxh64_intdigest(t.lower(), 0) for t in tokens]
+        self.known.update(zip(tokens, range(at, end)))
+
+    def _kind(self, token: str) -> int:
         low = token.lower()
         first = token[0]
         if not (first.isalnum() or token in UNITS):
-            kind = END
-        elif first.isdigit() or low in NUMBERS:
-            kind = NUMBER
-        elif low in UNITS:
-            kind = UNIT
-        else:
-            kind = TITLE if len(token) > 1 and first.isupper() and token[1:].islower() else WORD
-        return kind, xxhash.xxh64_intdigest(low, 0)
-
-    def read(self, text: str) -> dict[int, Tokens]:
-        """The readings of a text. In templates numbers, units after numbers (or signs before them) and names become slots;
-        names in a row are one slot.
+            return END
+        if first.isdigit() or low in NUMBERS:
+            return NUMBER
+        if low in UNITS:
+            return UNIT
+        return TITLE if len(token) > 1 and first.isupper() and token[1:].islower() else WORD
+
+    def read(self, texts: list[str]) -> dict[int, Tokens]:
+        """The readings of texts in a row. In templates numbers, units after numbers (or signs before them) and names become
+        slots; names in a row are one slot.
 
         A name is a capitalised word; one that begins a sentence is a word in the first template and a name in the others.
         """
-        found, known = TOKEN.findall(text), self.known
+        found, known = TOKEN.findall(END_OF_TEXT.join([t.replace(END_OF_TEXT, " ") for t in texts])), self.known
         if len(known) > CACHED_TOKENS:
             known.clear()
-        self._learn({t for t in set(found) if t not in known})
+        new = set(found).difference(known)
+        if new:
+            self._learn(new)
         places = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
         kinds, literal = self.kinds[places], self.hashes[places]
         if not len(found):
             none = np.zeros(0, bool)
-            return {reading: Tokens(literal, kinds, places, found, none) for reading in range(4)}
+            return {reading: Tokens(literal, kinds, places, places, found, none) for reading in range(4)}
+        numbers = np.cumsum(places == known.get(END_OF_TEXT, -1))
         before = np.concatenate(([END], kinds[:-1]))
         after = np.concatenate((kinds[1:], [END]))
         slots = np.where(kinds == NUMBER, NUMBER, 0)
@@ -117,14 +125,14 @@ class Reader:
         inner = title & (before != END)
         kept = kinds != END
         at = np.flatnonzero(kept)
-        out = {LITERAL: Tokens(literal[at], np.zeros(len(at), slots.dtype), at, found, np.zeros(len(found), bool))}
+        out = {LITERAL: Tokens(literal[at], np.zeros(len(at), slots.dtype), numbers[at], at, found, np.zeros(len(found), bool))}
         for reading, name, row in ((WORDS, inner, inner), (NAMES, title, inner), (ROWS, title, title)):
             own = np.where(name, TITLE, slots)
             hashes = np.where(own == 0, literal, SLOT_HASHES[own])
             if reading != NAMES:
                 again = row & np.concatenate(([False], row[:-1]))
                 at = np.flatnonzero(kept & ~again)
-            out[reading] = Tokens(hashes[at], own[at], at, found, again)
+            out[reading] = Tokens(hashes[at], own[at], numbers[at], at, found, again)
         return out
 
 
@@ -153,15 +161,16 @@ def _mixed(value: np.ndarray, size: int, reading: int) -> np.ndarray:
 
 
 def window_hashes(tokens: Tokens, size: int, reading: int, least_plain: int = LEAST_PLAIN) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the windows of ``size`` tokens; of templates, of those that hold enough plain words."""
+    """(start, hash) of the windows of ``size`` tokens within a text; of templates, of those that hold enough plain words."""
     n = len(tokens.hashes) - size + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     value = _mixed(_polynomials(tokens.hashes, size), size, reading)
-    if reading == LITERAL:
-        return np.arange(n), value
-    plain = np.concatenate(([0], np.cumsum(tokens.slots == 0)))
-    at = np.flatnonzero(plain[size:] - plain[:-size] >= min(least_plain, size))
+    within = tokens.texts[:n] == tokens.texts[size - 1:]
+    if reading != LITERAL:
+        plain = np.concatenate(([0], np.cumsum(tokens.slots == 0)))
+        within &= plain[size:] - plain[:-size] >= min(least_plain, size)
+    at = np.flatnonzero(within)
     return at, value[at]
 
 
@@ -170,7 +179,7 @@ def _slots(tokens: Tokens, at: int, size: int) -> list[str]:
 
 
 def _item_windows(read: dict[int, Tokens], size_of, literal_size_of) -> Iterator[tuple[int, int, int, int, list[str]]]:
-    """(hash, size, reading, start, slots) of an item: its literal windows, its templates with every choice between word and
+    """(hash, size, reading, start, slots) of an item, read alone: its literal windows, its templates with every choice between word and
     name at the beginnings of sentences, and those in which such a name is one slot with the names after it."""
     literal, words, names, rows = (read[r] for r in range(4))
     if size := literal_size_of(len(literal.hashes)):
@@ -195,19 +204,30 @@ def _item_windows(read: dict[int, Tokens], size_of, literal_size_of) -> Iterator
 HIT = "hash long, size long, {0}_reading long, {0}_at long, {0}_slots array<string>, {0} long"
 
 
+def _runs(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """The texts in runs of about RUN_CHARS characters, each with the number of its first text."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= RUN_CHARS or i + 1 == len(texts):
+            yield first, texts[first:i + 1]
+            first, size = i + 1, 0
+
+
 def _windows(rows: DataFrame, prefix: str, windows_of, prepare=lambda: None) -> DataFrame:
-    """The windows, as ``windows_of(readings, prepare())`` gives them, of ``rows(id, text)``."""
+    """The windows of ``rows(id, text)``: (number of the text, window) as ``windows_of(reader, texts, prepare())`` gives them."""
     names = [c.split()[0] for c in HIT.format(prefix).split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, prepared = Reader(), prepare()
         for batch in batches:
-            out = [(h - (1 << 64) if h >> 63 else h, size, reading, at, slots, key)
-                   for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                   for h, size, reading, at, slots in windows_of(reader.read(text or ""), prepared)]
-            if out:
-                kinds = [pa.int64()] * 4 + [pa.list_(pa.string()), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+            keys = batch.column(0).to_pylist()
+            for first, texts in _runs([t or "" for t in batch.column(1).to_pylist()]):
+                out = [(h - (1 << 64) if h >> 63 else h, size, reading, at, slots, keys[first + i])
+                       for i, (h, size, reading, at, slots) in windows_of(reader, texts, prepared)]
+                if out:
+                    kinds = [pa.int64()] * 4 + [pa.list_(pa.string()), pa.int64()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     return rows.mapInArrow(run, HIT.format(prefix))
 
@@ -229,7 +249,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_t
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     size_of = lambda n: window if n >= window else n if n >= least_tokens else 0
     literal_size_of = lambda n: min(n, window)
-    of_items = landed(_windows(items, "item", lambda read, _: _item_windows(read, size_of, literal_size_of)), "benchmark-windows")
+    alone = lambda reader, texts, _: (
+        (i, found) for i, text in enumerate(texts) for found in _item_windows(reader.read([text]), size_of, literal_size_of))
+    of_items = landed(_windows(items, "item", alone), "benchmark-windows")
     literal = F.col("item_reading") == LITERAL
     bounds = of_items.agg(F.countDistinct("hash").alias("n"), F.collect_set(F.when(~literal, F.col("size"))).alias("sizes"),
                           F.collect_set(F.when(literal, F.col("size"))).alias("literal_sizes")).first()
@@ -248,9 +270,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_t
         bitmap[wanted & mask] = True
         return wanted, mask, bitmap
 
-    def of_document(read: dict[int, Tokens], prepared) -> Iterator[tuple[int, int, int, int, list[str]]]:
+    def of_documents(reader: Reader, texts: list[str], prepared) -> Iterator[tuple[int, tuple[int, int, int, int, list[str]]]]:
+        read = reader.read(texts)
         for size in sorted({s for r in lengths.values() for s in r}):
-            seen = []
+            seen: dict[int, list] = {}
             for reading, tokens in read.items():
                 if size not in lengths[reading] or size > len(tokens.hashes):
                     continue
@@ -260,14 +283,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_t
                     some = np.flatnonzero(bitmap[value & mask])
                     some = some[wanted[np.minimum(np.searchsorted(wanted, value[some]), len(wanted) - 1)] == value[some]]
                     at, value = at[some], value[some]
-                found = [(h, a, _slots(tokens, a, size)) for h, a in zip(value.tolist(), at.tolist())]
-                plain = [(h, slots) for h, _, slots in found]
-                if plain and plain not in seen:  # another reading may have the same windows
-                    seen.append(plain)
-                    yield from ((h, size, reading, a, slots) for h, a, slots in found)
+                numbers = tokens.texts[at]
+                begins = np.searchsorted(tokens.texts, numbers)  # a text's first token
+                hits = zip(numbers.tolist(), value.tolist(), at.tolist(), (at - begins).tolist())
+                for number, group in groupby(hits, lambda hit: hit[0]):
+                    if reading == LITERAL and size < window:  # a whole item: that it is there says all
+                        group = {h: hit for hit in reversed(list(group)) for h in hit[1:2]}.values()
+                    found = [(h, a, _slots(tokens, i, size)) for _, h, i, a in group]
+                    plain = [(h, slots) for h, _, slots in found]
+                    if plain not in seen.setdefault(number, []):  # another reading may have the same windows
+                        seen[number].append(plain)
+                        yield from ((number, (h, size, reading, a, slots)) for h, a, slots in found)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    hits = _windows(rows, "doc", of_document, prepare)
+    hits = _windows(rows, "doc", of_documents, prepare)
     met = (hits.join(of_items, ["hash", "size"]).where((F.col("doc_reading") == LITERAL) == literal)
            .withColumn("shift", F.col("doc_at") - F.col("item_at"))
            .dropDuplicates(["doc", "item", "doc_reading", "item_reading", "doc_at", "item_at", "size"]))
@@ -287,7 +316,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_t
                  F.max(F.size("pairs")).cast("long").alias("n_slots"), F.max(same).alias("exact")))
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents (columns as they are) that match no benchmark item."""
-    found = landed(matches(docs, benchmark).select(F.col("doc_id").alias("__doc")).distinct(), "contaminated")
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, least_shared: int = LEAST_TOKENS) -> DataFrame:
+    """The documents (columns as they are) that share no ``least_shared`` tokens in a row, or a template of as many, with a
+    benchmark item: a document is not dropped for saying the two words of a two-word item."""
+    found = matches(docs, benchmark).where(F.col("tokens") >= least_shared)
+    found = landed(found.select(F.col("doc_id").alias("__doc")).distinct(), "contaminated")
     return docs.join(found, docs["doc_id"].eqNullSafe(found["__doc"]), "left_anti").select(docs.columns)
