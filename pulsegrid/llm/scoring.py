@@ -3,14 +3,18 @@
 Each byte is eight binary decisions; each decision has a tree of contexts, the bytes before. The Krichevsky-Trofimov
 estimates of all depths are mixed by their weights in the tree (Willems, Shtarkov, Tjalkens, 1995), learned on the training
 texts and then fixed. Texts are packed into blocks; each block sends its words and codes, dealt into buckets that grow in
-number with the corpus, and gets back the corpus's values for just these, so no task holds the counts of the corpus.
+number with the corpus, and gets back the corpus's values for just these, so no task holds the counts of the corpus. From
+FAN buckets on they are dealt digit by digit: a block sends a row for each first digit, rows of as many blocks are merged and
+dealt by the next digit, and values come back the same way, so the rows grow with the blocks and not with their square.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,6 +29,8 @@ from pulsegrid.llm.graph import landed
 DEPTH = 5
 #: Texts of so many bytes make a block; as many bytes of the corpus make a bucket of words and codes.
 BLOCK_BYTES = 16 << 20
+#: Rows that a block, or what a group of blocks was merged to, sends at most.
+FAN = 256
 CHUNK_BYTES = 1 << 18
 GRAMS_AT_ONCE = 100_000
 TEXTS, WORDS, GRAMS = range(3)
@@ -112,14 +118,60 @@ def _code_bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
     return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
 
 
+class Radix(NamedTuple):
+    """Buckets as numbers of so many digits, each below ``fan``, and the blocks that send to them."""
+
+    fan: int
+    digits: int
+    blocks: int
+
+    @property
+    def buckets(self) -> int:
+        return self.fan**self.digits
+
+    def prefix(self, bucket, digits: int):
+        """The first digits of buckets."""
+        return bucket // self.fan ** (self.digits - digits)
+
+    def groups(self, digits: int) -> int:
+        """Groups of blocks whose rows are merged before they are dealt by the digit after so many."""
+        return -(-self.blocks // self.fan**digits)
+
+
+def radix(blocks: int) -> Radix:
+    """As many buckets as blocks, or some more."""
+    digits = 1
+    while FAN**digits < blocks:
+        digits += 1
+    fan = max(1, math.ceil(round(blocks ** (1 / digits), 9)))
+    return Radix(fan, digits, blocks)
+
+
 def _row(block: int, kind: int, bucket: int, data: bytes, counts: bytes = b"") -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([block]), pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([data]), pa.array([counts])],
         ["block", "kind", "bucket", "data", "counts"])
 
 
-def _blocks(docs: DataFrame, buckets: int, depth: int, modulus: int, remainder: int) -> DataFrame:
-    """Blocks of whole texts, packed; by bucket, the words and codes in each and their counts in its training texts.
+def _dealt_words(words: Iterable[bytes], plan: Radix, digits: int) -> dict[int, list[bytes]]:
+    dealt: dict[int, list[bytes]] = defaultdict(list)
+    for w in words:
+        dealt[plan.prefix(zlib.crc32(w) % plan.buckets, digits)].append(w)
+    return dealt
+
+
+def _dealt_codes(codes: np.ndarray, plan: Radix, digits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The first digits of buckets, with the places of their codes in ascending order."""
+    bucket = plan.prefix(_code_bucket(codes, plan.buckets), digits)
+    order = np.argsort(bucket, kind="stable")
+    some, lows = np.unique(bucket[order], return_index=True)
+    for i, lo, hi in zip(some.tolist(), lows.tolist(), [*lows[1:].tolist(), len(codes)]):
+        yield i, order[lo:hi]
+
+
+def _blocks(docs: DataFrame, plan: Radix, depth: int, modulus: int, remainder: int) -> DataFrame:
+    """Blocks of whole texts, packed; by their buckets' first digit, the words and codes in each and their counts in its
+    training texts.
 
     A row holds a bucket's words, parted by line ends, or codes, and their counts, as arrays: Spark moves the arrays.
     """
@@ -139,22 +191,16 @@ def _blocks(docs: DataFrame, buckets: int, depth: int, modulus: int, remainder:
             words.update(t.split())
         for t in sides[0]:
             words.update(dict.fromkeys(t.split(), 0))
-        dealt: dict[int, list[bytes]] = defaultdict(list)
-        for w in words:
-            dealt[zlib.crc32(w) % buckets].append(w)
-        for bucket, own in dealt.items():
+        for bucket, own in _dealt_words(words, plan, 1).items():
             yield _row(block, WORDS, bucket, _packed_words(own), _packed(np.fromiter(map(words.__getitem__, own), "<i8", len(own))))
-        del words, dealt
+        del words
         (seen, _), (codes, n) = (_count_grams(side, depth) for side in sides)
         new = np.setdiff1d(seen, codes, assume_unique=True)
         codes, n = np.concatenate((codes, new)), np.concatenate((n, np.zeros(len(new), np.int64)))
         order = np.argsort(codes)
         codes, n = codes[order], n[order]
-        bucket = _code_bucket(codes, buckets)
-        order = np.argsort(bucket, kind="stable")
-        some, lows = np.unique(bucket[order], return_index=True)
-        for i, lo, hi in zip(some.tolist(), lows.tolist(), [*lows[1:].tolist(), len(codes)]):
-            yield _row(block, GRAMS, i, _packed_codes(codes[order[lo:hi]]), _packed(n[order[lo:hi]].astype("<i8")))
+        for bucket, at in _dealt_codes(codes, plan, 1):
+            yield _row(block, GRAMS, bucket, _packed_codes(codes[at]), _packed(n[at].astype("<i8")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
@@ -184,11 +230,8 @@ def _valued(rows: list[tuple]) -> pa.Table:
 
 def _word_values(rows: pa.Table) -> pa.Table:
     """For each row of a bucket the corpus's counts of its words; the bucket's tokens and trained words on the first."""
-    blocks, data, counts = (rows.column(c).to_pylist() for c in ("block", "data", "counts"))
-    total: dict[bytes, int] = {}
-    for words, n in zip(data, counts):
-        for w, k in zip(_unpacked_words(words), _unpacked(n, "<i8").tolist()):
-            total[w] = total.get(w, 0) + k
+    blocks, data = (rows.column(c).to_pylist() for c in ("block", "data"))
+    total = _summed_words(rows)
     out = []
     for block, words in zip(blocks, data):
         own = _unpacked_words(words)
@@ -204,6 +247,81 @@ def _code_counts(rows: pa.Table) -> pa.Table:
     return pa.table({"code": pa.array(codes), "n": pa.array(n.astype(np.int64))})
 
 
+def _summed_words(rows: pa.Table) -> dict[bytes, int]:
+    total: dict[bytes, int] = {}
+    for words, n in zip(rows.column("data").to_pylist(), rows.column("counts").to_pylist()):
+        for w, k in zip(_unpacked_words(words), _unpacked(n, "<i8").tolist()):
+            total[w] = total.get(w, 0) + k
+    return total
+
+
+DEALT = "block long, bucket long, data binary, counts binary"
+
+
+def _merged(kind: int, plan: Radix, digits: int):
+    """The rows of a node, merged, and dealt by one digit more."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        node = rows.column("node")[0].as_py() if rows.num_rows else None
+        if kind == WORDS:
+            total = _summed_words(rows)
+            out = [(node, bucket, _packed_words(own), _packed(np.fromiter(map(total.__getitem__, own), "<i8", len(own))))
+                   for bucket, own in _dealt_words(total, plan, digits).items()]
+        else:
+            counts = _code_counts(rows)
+            codes, n = counts.column("code").to_numpy(), counts.column("n").to_numpy()
+            out = [(node, bucket, _packed_codes(codes[at]), _packed(n[at].astype("<i8"))) for bucket, at in _dealt_codes(codes, plan, digits)]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        names = [c.split()[0] for c in DEALT.split(", ")]
+        return pa.table({name: pa.array(c, k) for name, k, c in zip(names, kinds, list(zip(*out)) or [[]] * 4)})
+
+    return run
+
+
+def _returned(rows: pa.Table, known: pa.Table) -> pa.Table:
+    """For each row of a node the values of its words or codes, out of those that came back to the node."""
+    words, codes, values, kind = {}, [], [], WORDS
+    for kind, data, vals in zip(*(known.column(c).to_pylist() for c in ("kind", "data", "vals"))):
+        if kind == WORDS:
+            words.update(zip(_unpacked_words(data), _unpacked(vals, "<i8").tolist()))
+        else:
+            codes.append(_unpacked_codes(data))
+            values.append(_unpacked(vals, "<f4"))
+    if codes:
+        codes, values = np.concatenate(codes), np.concatenate(values)
+        order = np.argsort(codes)
+        codes, values = codes[order], values[order]
+    out = []
+    for block, data in zip(rows.column("block").to_pylist(), rows.column("data").to_pylist()):
+        if kind == WORDS:
+            own = _unpacked_words(data)
+            vals = np.fromiter(map(words.__getitem__, own), "<i8", len(own))
+        else:
+            vals = values[np.searchsorted(codes, _unpacked_codes(data))]
+        out.append((block, kind, data, _packed(vals), 0, 0))
+    if out:
+        out[0] = (*out[0][:4], *(sum(known.column(c).to_pylist()) for c in ("train_tokens", "train_words")))
+    return _valued(out)
+
+
+def _exchange(rows: DataFrame, kind: int, plan: Radix, finish: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Values for the words or codes of ``rows(block, bucket, data, counts)``, dealt by the first digit of their buckets;
+    ``finish`` gives them for rows dealt by all digits."""
+    levels = []
+    for digits in range(1, plan.digits):
+        groups = plan.groups(digits)
+        group = F.pmod(F.xxhash64("block"), F.lit(groups)) if digits == 1 else F.pmod(F.pmod(F.col("block"), F.lit(plan.groups(digits - 1))), F.lit(groups))
+        placed = rows.withColumn("node", F.col("bucket") * F.lit(groups) + group)
+        levels.append(placed)
+        rows = landed(placed.groupBy("node").applyInArrow(_merged(kind, plan, digits + 1), DEALT), "merged")
+    known = finish(rows)
+    for placed in reversed(levels):
+        back = known.withColumnRenamed("block", "of")
+        known = placed.groupBy("node").cogroup(back.groupBy("of")).applyInArrow(_returned, VALUED)
+    return known
+
+
 def _code_values(rows: pa.Table, scores: pa.Table) -> pa.Table:
     """For each row of a bucket the values of its codes."""
     codes, values = scores.column("code").to_numpy(), scores.column("value").to_numpy()
@@ -365,14 +483,18 @@ def score(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DE
     count as often in training; without training texts every bit has probability 1/2; an empty table gives no rows.
     """
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first()["bytes"] or 0
-    buckets = 1 + size // BLOCK_BYTES
-    blocks = landed(_blocks(docs, buckets, depth, modulus, remainder), "blocks")
+    plan = radix(1 + size // BLOCK_BYTES)
+    blocks = landed(_blocks(docs, plan, depth, modulus, remainder), "blocks")
     of_words = blocks.where(F.col("kind") == WORDS).select("block", "bucket", "data", "counts")
     of_codes = blocks.where(F.col("kind") == GRAMS).select("block", "bucket", "data", "counts")
-    words = of_words.groupBy("bucket").applyInArrow(_word_values, VALUED)
-    grams = landed(of_codes.groupBy("bucket").applyInArrow(_code_counts, "code long, n long"), "grams")
-    codes = of_codes.select("block", "bucket", "data").groupBy("bucket").cogroup(
-        _code_scores(grams, buckets, depth).groupBy("of")).applyInArrow(_code_values, VALUED)
+
+    def code_values(rows: DataFrame) -> DataFrame:
+        grams = landed(rows.groupBy("bucket").applyInArrow(_code_counts, "code long, n long"), "grams")
+        return rows.select("block", "bucket", "data").groupBy("bucket").cogroup(
+            _code_scores(grams, plan.buckets, depth).groupBy("of")).applyInArrow(_code_values, VALUED)
+
+    words = _exchange(of_words, WORDS, plan, lambda rows: rows.groupBy("bucket").applyInArrow(_word_values, VALUED))
+    codes = _exchange(of_codes, GRAMS, plan, code_values)
     known = words.union(codes).withColumnRenamed("block", "of")
     packed = blocks.where(F.col("kind") == TEXTS).select("block", "data")
     rows = landed(packed.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(

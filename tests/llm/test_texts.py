@@ -169,8 +169,11 @@ def plain_tree_score(train, text, depth):
     return total
 
 
-def test_scores_equal_plain_context_tree(spark, monkeypatch):
+@pytest.mark.parametrize("fan, block_bytes", [(256, 16 << 20), (256, 300), (3, 300)])
+def test_scores_equal_plain_context_tree(spark, monkeypatch, fan, block_bytes):
     monkeypatch.setattr(scoring, "CHUNK_BYTES", 50)
+    monkeypatch.setattr(scoring, "FAN", fan)
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", block_bytes)
     rng = random.Random(2)
     texts = [None, "", "É\t x"] + [" ".join(rng.choice(["the", "Cat", "sat", "on", "été", "mat"]) for _ in range(rng.randint(1, 40))) for _ in range(40)]
     got = {r["doc_id"]: r for r in scoring.score(spark.createDataFrame(list(enumerate(texts)), SCHEMA), depth=3).collect()}
@@ -188,6 +191,42 @@ def test_scores_equal_plain_context_tree(spark, monkeypatch):
     assert scoring.score(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_scores_without_training_texts_and_of_repeated_rows(spark):
+    held = [i for i in range(60) if not scoring.in_training(i)]
+    rows = spark.createDataFrame([(i, "Ab c") for i in held] + [(held[0], "Ab c")], SCHEMA)
+    got = scoring.score(rows).collect()
+    assert len(got) == len(held) + 1 and {(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got} == {(3, 0, 0, 0.0)}
+    assert all(r["score"] == pytest.approx(5 * 8 * math.log10(0.5)) for r in got)
+    both = spark.createDataFrame([(next(i for i in range(60) if i not in held), "Ab c")] * 3, SCHEMA)
+    assert [(r["n_known"], r["train_tokens"]) for r in scoring.score(both).collect()] == [(3, 9)] * 3
+
+
+def test_rows_grow_with_the_corpus_and_not_with_its_square(spark, monkeypatch):
+    """A block sends FAN rows a digit at most: four times the blocks send four times the rows, times the digits' growth."""
+    monkeypatch.setattr(scoring, "FAN", 4)
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 1000)
+    sent = []
+
+    def counted(df, name, write=scoring.landed):
+        out = write(df, name)
+        if name in ("blocks", "merged"):
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(scoring, "landed", counted)
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(4000)]
+    totals = []
+    for n, digits in ((64, 3), (256, 4)):
+        assert scoring.radix(n).digits == digits and scoring.radix(n).fan == 4
+        sent.clear()
+        docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=142))) for i in range(n)], SCHEMA).coalesce(1)
+        scoring.score(docs, depth=2).count()
+        totals.append(sum(sent))
+        assert totals[-1] <= n * (1 + 2 * 4 * digits)
+    assert totals[1] / totals[0] < 4 * 4 / 3 * 1.2
+
+
 def test_log_gamma():
     x = np.array([0.5, 1.0, 3.7, 50.5, 1e6])
     assert scoring.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], abs=1e-9)
