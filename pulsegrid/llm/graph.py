@@ -21,12 +21,29 @@ def _digest(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["h"] or 0
 
 
+#: A key that holds more than one in so many rows is heavy: there are fewer such keys than this.
+HEAVY = 2048
+
+
+def by_weight(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """Inner or left join of ``rows`` with ``keyed``, which has one row for each of the ``keys`` and the number of its rows in
+    column ``weight``; ``total`` is the number of all rows.
+
+    Heavy keys, fewer than HEAVY, are broadcast, so their rows stay where they are; a key of the shuffled rest has a
+    share of 1 / HEAVY at most, if keys that are not in ``keyed`` have no more.
+    """
+    heavy = F.col(weight) * HEAVY > total
+    marked = rows.join(F.broadcast(keyed.where(heavy).withColumn("__heavy", F.lit(True))), keys, "left")
+    light = marked.where(F.col("__heavy").isNull()).select(rows.columns).join(keyed.where(~heavy), keys, how)
+    return marked.where(F.col("__heavy").isNotNull()).drop("__heavy").unionByName(light)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` of every node of the undirected ``edges(a, b)``; root is the component's smallest node.
 
     Large-star and small-star rounds: every node sends its larger, then its smaller neighbours to the smallest
-    node it sees, until all edges point at the roots. Minima are pre-aggregated, so a hub of any degree is no
-    hot group, and each round is a written table. Edges with a null end or both ends equal say nothing; no edges,
+    node it sees, until all edges point at the roots. Minima are pre-aggregated, and the minima of hubs are broadcast to their
+    edges (``by_weight``), so a hub of any degree is no hot group; each round is a written table. Edges with a null end or both ends equal say nothing; no edges,
     no rows.
     """
     links = landed(
@@ -35,12 +52,12 @@ def components(edges: DataFrame) -> DataFrame:
     seen = _digest(links)
     while seen[0]:
         both = links.union(links.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
-        large = (both.join(low, "a").where(F.col("b") > F.col("a"))
+        low = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n")).withColumn("low", F.least("a", "low"))
+        large = (by_weight(both, low, ["a"], "n", 2 * seen[0]).where(F.col("b") > F.col("a"))
                  .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
         large = landed(large, "large-star")
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a")
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        small = by_weight(large, low, ["a"], "n", large.count())
         links = landed(
             small.where(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
             .union(small.select("a", F.col("low").alias("b"))).distinct(), "small-star")

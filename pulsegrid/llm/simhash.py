@@ -11,10 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.graph import components, landed
+from pulsegrid.llm.graph import by_weight, components, landed
 
 BITS = 64
 VOTES = 1 << 16
+#: Prints of one block key that are compared in one task; those of a key with more are cut into parts.
+PART = 2048
 
 
 def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
@@ -86,12 +88,12 @@ def _forest(prints: np.ndarray, distance: int) -> np.ndarray:
     return root
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of sorted batches as (choice, key, fp) arrays that end where a key ends."""
-    kept = [np.empty(0, np.int64)] * 3
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Rows of sorted batches as (choice, key, low, high, fp) arrays that end where a key ends."""
+    kept = [np.empty(0, np.int64)] * 5
     for batch in batches:
         now = [np.concatenate((k, batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64))) for i, k in enumerate(kept)]
-        change = np.flatnonzero((np.diff(now[0]) != 0) | (np.diff(now[1]) != 0)) + 1
+        change = np.flatnonzero(np.any([np.diff(k) != 0 for k in now[:4]], axis=0)) + 1
         cut = change[-1] if len(change) else 0
         if cut:
             yield tuple(c[:cut] for c in now)
@@ -100,8 +102,30 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
         yield tuple(kept)
 
 
-def near_edges(prints: DataFrame, distance: int = 4, n_blocks: int | None = None) -> DataFrame:
-    """``(a, b)``: a spanning forest of the links among the distinct ``prints(fp)`` within each block key.
+def _dealt(prints: DataFrame, masks: list[int], part: int) -> DataFrame:
+    """``(choice, key, low, high, fp)``: the prints under their block keys.
+
+    The prints of a key with more than ``part`` are cut into parts, and each part goes to the task of every pair of parts
+    that it is in: any two prints of a key meet, and no task has more than some ``2 * part`` of one key.
+    """
+    keyed = prints.select("fp", F.posexplode(F.array(*[
+        F.col("fp").bitwiseAND(F.lit(m - (1 << BITS) if m >> (BITS - 1) else m)) for m in masks])).alias("choice", "key"))
+    keyed = keyed.select(F.col("choice").cast("long"), "key", "fp")
+    whole = F.lit(0).cast("long")
+    keys = landed(keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where(F.col("n") > part), "simhash-hot")
+    if not keys.take(1):
+        return keyed.select("choice", "key", whole.alias("low"), whole.alias("high"), "fp")
+    marked = by_weight(keyed, keys.withColumn("parts", F.ceil(F.col("n") / part)), ["choice", "key"], "n", len(masks) * prints.count(), "left")
+    mine = F.pmod(F.xxhash64("fp"), F.col("parts"))
+    pairs = F.transform(F.sequence(whole, F.col("parts") - 1), lambda x: F.struct(F.least(mine, x).alias("low"), F.greatest(mine, x).alias("high")))
+    alone = F.array(F.struct(whole.alias("low"), whole.alias("high")))
+    pair = F.explode(F.when(F.col("parts").isNotNull(), pairs).otherwise(alone))
+    return marked.select("choice", "key", pair.alias("pair"), "fp").select("choice", "key", "pair.low", "pair.high", "fp")
+
+
+def near_edges(prints: DataFrame, distance: int = 4, n_blocks: int | None = None, part: int = PART) -> DataFrame:
+    """``(a, b)``: a spanning forest of the links among the distinct ``prints(fp)`` within each block key, or each pair of the
+    parts of a key that very many share.
 
     All links lie inside some key, so the components of these edges are those of all links, while no task emits
     more than one edge a row: never the pairs of a group.
@@ -109,9 +133,9 @@ def near_edges(prints: DataFrame, distance: int = 4, n_blocks: int | None = None
     masks = block_masks(n_blocks or blocks_for(prints.count(), distance), distance)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for choice, key, fp in _runs(batches):
+        for *keys, fp in _runs(batches):
             fp = fp.view(np.uint64)
-            bound = np.flatnonzero((np.diff(choice) != 0) | (np.diff(key) != 0)) + 1
+            bound = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
             starts, ends = np.concatenate(([0], bound)), np.concatenate((bound, [len(fp)]))
             size = ends - starts
             two = starts[size == 2]
@@ -127,11 +151,8 @@ def near_edges(prints: DataFrame, distance: int = 4, n_blocks: int | None = None
             if len(columns[0]):
                 yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
-    keyed = prints.select("fp", F.posexplode(F.array(*[
-        F.col("fp").bitwiseAND(F.lit(m - (1 << BITS) if m >> (BITS - 1) else m)) for m in masks])).alias("choice", "key"))
-    return (keyed.select(F.col("choice").cast("long"), "key", "fp")
-            .repartition("choice", "key").sortWithinPartitions("choice", "key")
-            .mapInArrow(linked, "a long, b long"))
+    keys = ["choice", "key", "low", "high"]
+    return _dealt(prints, masks, part).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(linked, "a long, b long")
 
 
 def _grouped(prints: DataFrame, distance: int, n_blocks: int | None) -> DataFrame:

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import embeddings, simhash
-from pulsegrid.llm.graph import components
+from pulsegrid.llm.graph import by_weight, components
 
 SCHEMA = "doc_id long, text string"
 
@@ -138,3 +138,68 @@ def test_a_longer_vector_costs_no_links_of_others(spark):
     table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
     got = {r["id"]: r["n_links"] for r in embeddings.near_duplicates(table).collect()}
     assert sum(got.values()) >= 0.98 * 300 and got[300] == 0
+
+
+def rows_a_task(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+@pytest.fixture
+def partitions_of_a_cluster(spark):
+    held = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_the_edges_of_a_hub_stay_spread(spark, partitions_of_a_cluster):
+    """A star of 100,000 edges beside 200,000 others."""
+    star = spark.range(100_000, numPartitions=211).selectExpr("0L AS a", "id + 1 AS b")
+    rest = spark.range(200_000, numPartitions=211).selectExpr("1000000 + id AS a", "2000000 + id AS b")
+    edges = star.union(rest)
+    low = edges.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+    joined = by_weight(edges, low, ["a"], "n", 300_000)
+    sizes = rows_a_task(joined)
+    assert sum(sizes) == 300_000 and sizes[-1] <= 4 * sizes[len(sizes) // 2]
+    assert joined.where("low > b").count() == 0
+
+
+def test_a_star_is_one_component(spark):
+    star = spark.range(100_000).selectExpr("7L AS a", "id + 8 AS b").union(spark.range(10).selectExpr("200000 + id AS a", "200001 + id AS b"))
+    found = components(star)
+    assert found.where("root = 7").count() == 100_001 and found.where("root = 200000").count() == 11
+
+
+def test_the_prints_of_a_hot_block_key_stay_spread(spark, partitions_of_a_cluster):
+    """100,000 prints that share a block among 100,000 others: no pair of parts is a large group, and any two prints meet."""
+    masks = simhash.block_masks(5, 4)
+    hot = spark.range(100_000, numPartitions=211).selectExpr("(xxhash64(id) & ~8191L) | 5 AS fp")
+    rest = spark.range(100_000, numPartitions=211).selectExpr("xxhash64(id + 1000000) AS fp")
+    dealt = simhash._dealt(hot.union(rest).distinct(), masks, simhash.PART)
+    keys = ["choice", "key", "low", "high"]
+    assert dealt.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 2 * simhash.PART * 1.1
+    sizes = rows_a_task(dealt.repartition(*keys))
+    assert sizes[-1] <= 4 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("part", [2, 7, 1000])
+def test_parts_of_block_keys_lose_no_link(spark, part):
+    rng = random.Random(part)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    prints = sorted({b ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, 5))) for b in base for _ in range(25)})
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    df = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    roots = dict(components(simhash.near_edges(df, 4, 5, part)).collect())
+    want = classes(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
+    got = [roots.get(signed(p), signed(p)) for p in prints]
+    assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(prints)) for j in range(i))
+
+
+def test_vectors_of_any_magnitude_link(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1.0, 0.0]), (3, [1e-200, 0.0]), (4, [2e-200, 1e-210]), (5, [0.0, 1e300]), (6, [0.0, 5e-324]), (7, [0.0, 0.0])]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted((r["id"], r["n_links"], r["component_id"]) for r in got.collect()) == [
+        (1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 1, 5), (6, 1, 5), (7, 0, 7)]
