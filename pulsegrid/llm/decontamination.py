@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.graph import landed
+from pulsegrid.llm.graph import landed, slices
 
 WINDOW = 13
 #: Template windows with fewer plain words than this say too little to be compared; literal ones need none.
@@ -23,7 +23,7 @@ LEAST_PLAIN = 7
 LEAST_TOKENS = 8
 #: Above this many different benchmark windows their hashes are not sent to every task (8 bytes each).
 SHARED_HASHES = 4_000_000
-CACHED_TOKENS = 400_000
+CACHED_TOKENS = 200_000
 #: Characters of text read in a row.
 RUN_CHARS = 1 << 20
 
@@ -220,7 +220,7 @@ def _windows(rows: DataFrame, prefix: str, windows_of, prepare=lambda: None) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, prepared = Reader(), prepare()
-        for batch in batches:
+        for batch in slices(batches):
             keys = batch.column(0).to_pylist()
             for first, texts in _runs([t or "" for t in batch.column(1).to_pylist()]):
                 out = [(h - (1 << 64) if h >> 63 else h, size, reading, at, slots, keys[first + i])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +72,13 @@ def components(edges: DataFrame) -> DataFrame:
             .union(links.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.graph import landed
+from pulsegrid.llm.graph import landed, slices
 
 WINDOW = 2048
 CACHED_WORDS, CACHED_LENGTH = 600_000, 64
@@ -213,7 +213,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             texts = batch.column(1).fill_null("").cast(pa.binary()).to_pylist()
             for doc_id, ids in zip(batch.column(0).to_pylist(), words.ids_of(texts)):
