@@ -33,6 +33,8 @@ BLOCK_BYTES = 16 << 20
 FAN = 256
 CHUNK_BYTES = 1 << 18
 GRAMS_AT_ONCE = 100_000
+#: Pairs of bytes that more than one in so many of the corpus's different codes follow are hot.
+HOT = 512
 TEXTS, WORDS, GRAMS = range(3)
 LOG2 = float(np.log(2))
 LANDED = "block long, kind int, bucket int, data binary, counts binary"
@@ -371,65 +373,98 @@ def _tree(codes: np.ndarray, n: np.ndarray, k: int, depth: int, top: int):
     return levels
 
 
-def _by_context(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(codes, n) of batches sorted by their context's last two bytes, cut where these change."""
+def _by_context(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(codes, n, top) of batches sorted by the last two bytes of their context, and by the last three where these two are
+    ``hot``; cut where they change. ``top`` is the depth from which on a part has whole trees: 2, of hot ones 3."""
     codes, n = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def parts(codes: np.ndarray, n: np.ndarray, is_hot: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        for top, own in ((2, ~is_hot), (3, is_hot)):
+            if own.any():
+                yield codes[own], n[own], top
+
+    def grouped(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pair = (codes >> 8) & 0xFFFF
+        is_hot = np.isin(pair, hot)
+        return is_hot, np.where(is_hot, (codes >> 8) & 0xFFFFFF, pair)
+
     for batch in batches:
         codes = np.concatenate((codes, batch.column("code").to_numpy()))
         n = np.concatenate((n, batch.column("n").to_numpy()))
         if len(codes) >= GRAMS_AT_ONCE:
-            change = np.flatnonzero(np.diff((codes >> 8) & 0xFFFF)) + 1
+            is_hot, group = grouped(codes)
+            change = np.flatnonzero(np.diff(group)) + 1
             if len(change):
-                yield codes[:change[-1]], n[:change[-1]]
-                codes, n = codes[change[-1]:], n[change[-1]:]
+                cut = change[-1]
+                yield from parts(codes[:cut], n[:cut], is_hot[:cut])
+                codes, n = codes[cut:], n[cut:]
     if len(codes):
-        yield codes, n
+        yield from parts(codes, n, grouped(codes)[0])
+
+
+def _placed(grams: DataFrame, depth: int) -> tuple[DataFrame, np.ndarray]:
+    """``(code, n)`` dealt and sorted by the last two bytes of the context, and the pairs of bytes that are hot: those that more
+    than one in HOT codes follow, fewer than HOT; their codes are dealt by the last three."""
+    pairs = grams.withColumn("pair", F.shiftright("code", 8).bitwiseAND(F.lit(0xFFFF)))
+    total = grams.count()
+    hot = [r["pair"] for r in pairs.groupBy("pair").count().where(F.col("count") * HOT > total).collect()] if depth > 2 else []
+    third = F.when(F.col("pair").isin(hot), F.shiftright("code", 24).bitwiseAND(F.lit(0xFF))).otherwise(0) if hot else F.lit(0)
+    dealt = pairs.withColumn("third", third).repartition("pair", "third").sortWithinPartitions("pair", "third")
+    return dealt.select("code", "n"), np.sort(np.array(hot, np.int64))
 
 
 def _code_scores(grams: DataFrame, buckets: int, depth: int) -> DataFrame:
     """``(of, code, value)``: a code's bucket and the mixed log10 probability of each code's last byte after the bytes before.
 
-    Contexts that share their last two bytes are weighted in one place; what is above them, 65,536 nodes at most
-    whatever the corpus, is put together on the driver and sent to the tasks.
+    Contexts that share their last two bytes, or three after hot pairs, are weighted in one place; what is above them,
+    65,536 nodes and 255 a hot pair at most whatever the corpus, is put together on the driver and sent to the tasks.
     """
-    placed = grams.withColumn("pair", F.shiftright("code", 8).bitwiseAND(F.lit(0xFFFF)))
-    placed = placed.repartition("pair").sortWithinPartitions("pair").select("code", "n")
+    placed, hot = _placed(grams, depth)
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for codes, n, k in ((*part, k) for part in _by_context(batches) for k in range(8)):
-            keys, _, zeros, ones, _, weighted = _tree(codes, n, k, depth, 2)[2]
-            upper, at = np.unique(keys & 0xFFFF, return_inverse=True)
+        for codes, n, top, k in ((*part, k) for part in _by_context(batches, hot) for k in range(8)):
+            keys, _, zeros, ones, _, weighted = _tree(codes, n, k, depth, top)[top]
+            upper, at = np.unique(keys & ((1 << 8 * top) - 1), return_inverse=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(upper), *(pa.array(np.bincount(at, v, len(upper))) for v in (zeros, ones, weighted))], ["key", "zeros", "ones", "below"])
-
-    rows = (placed.mapInArrow(roots, "key long, zeros double, ones double, below double").groupBy("key")
-            .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below")).toArrow())
+                [pa.array(np.full(len(upper), top - 1)), pa.array(upper), *(pa.array(np.bincount(at, v, len(upper))) for v in (zeros, ones, weighted))],
+                ["level", "key", "zeros", "ones", "below"])
+
+    rows = (placed.mapInArrow(roots, "level long, key long, zeros double, ones double, below double").groupBy("level", "key")
+            .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below")).orderBy("level", "key").toArrow())
+    level, keys, *sums = (rows.column(c).to_numpy() for c in ("level", "key", "zeros", "ones", "below"))
+    hot_keys, zeros2, ones2, below2 = (v[level == 2] for v in (keys, *sums))
+    kt2 = log_kt(zeros2, ones2)
+    weighted2 = np.logaddexp(kt2, below2) - LOG2
     zeros, ones, below = (np.zeros(1 << 16) for _ in range(3))
-    keys = rows.column("key").to_numpy()
-    for column, name in ((zeros, "zeros"), (ones, "ones"), (below, "below")):
-        column[keys] = rows.column(name).to_numpy()
+    for column, own, hot_own in zip((zeros, ones, below), sums, (zeros2, ones2, weighted2)):
+        column[keys[level == 1]] = own[level == 1]
+        np.add.at(column, hot_keys & 0xFFFF, hot_own)
     kt = log_kt(zeros, ones)
     weighted = np.logaddexp(kt, below) - LOG2
     zeros0, ones0, below0 = (v.reshape(256, 256).sum(axis=0) for v in (zeros, ones, weighted))
     kt0 = log_kt(zeros0, ones0)
     weighted0 = np.logaddexp(kt0, below0) - LOG2
-    top = grams.sparkSession.sparkContext.broadcast((
-        (zeros, ones, np.exp(kt - LOG2 - weighted)), (zeros0, ones0, np.exp(kt0 - LOG2 - weighted0))))
+    shared = grams.sparkSession.sparkContext.broadcast((
+        (zeros0, ones0, np.exp(kt0 - LOG2 - weighted0)), (zeros, ones, np.exp(kt - LOG2 - weighted)),
+        (zeros2, ones2, np.exp(kt2 - LOG2 - weighted2)), hot_keys))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for codes, n in _by_context(batches):
+        *upper, hot_keys = shared.value
+        for codes, n, top in _by_context(batches, hot):
             total = np.zeros(len(codes))
             for k in range(8):
-                levels = _tree(codes, n, k, depth, 2)
+                levels = _tree(codes, n, k, depth, top)
                 node, bit = _decision(codes, k)
                 mixed = None
                 for d in range(depth, -1, -1):
-                    if d >= 2:
+                    if d >= top:
                         _, place, zeros, ones, kt, weighted = levels[d]
                         stop = np.exp(kt - LOG2 - weighted)
                     else:
-                        zeros, ones, stop = top.value[1 - d]
-                        place = (((codes >> 8) & 255) << 8 | node) if d else node
+                        zeros, ones, stop = upper[d]
+                        place = (((codes >> 8) & ((1 << 8 * d) - 1)) << 8) | node
+                        if d == 2:
+                            place = np.searchsorted(hot_keys, place)
                     own = (np.where(bit, ones[place], zeros[place]) + 0.5) / (zeros[place] + ones[place] + 1)
                     mixed = own if mixed is None else stop[place] * own + (1 - stop[place]) * mixed
                 total += np.log10(mixed)

@@ -169,8 +169,10 @@ def plain_tree_score(train, text, depth):
     return total
 
 
-@pytest.mark.parametrize("fan, block_bytes", [(256, 16 << 20), (256, 300), (3, 300)])
-def test_scores_equal_plain_context_tree(spark, monkeypatch, fan, block_bytes):
+@pytest.mark.parametrize("fan, block_bytes, hot", [(256, 16 << 20, 1), (256, 300, 30), (3, 300, 100_000)])
+def test_scores_equal_plain_context_tree(spark, monkeypatch, fan, block_bytes, hot):
+    monkeypatch.setattr(scoring, "HOT", hot)
+    monkeypatch.setattr(scoring, "GRAMS_AT_ONCE", 100 if hot > 1 else 100_000)
     monkeypatch.setattr(scoring, "CHUNK_BYTES", 50)
     monkeypatch.setattr(scoring, "FAN", fan)
     monkeypatch.setattr(scoring, "BLOCK_BYTES", block_bytes)
@@ -227,6 +229,21 @@ def test_rows_grow_with_the_corpus_and_not_with_its_square(spark, monkeypatch):
     assert totals[1] / totals[0] < 4 * 4 / 3 * 1.2
 
 
+def test_codes_after_one_pair_of_bytes_are_split(spark):
+    """Half of all codes follow "e ": they are dealt by the byte before, too."""
+    codes = [(rng << 32) | (third << 24) | (101 << 16) | (32 << 8) | last for rng in range(25) for third in range(40) for last in range(20)]
+    codes += [(i * 2654435761) % (1 << 40) for i in range(20_000)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed, hot = scoring._placed(spark.createDataFrame([(c, 1) for c in codes], "code long, n long").repartition(8), 5)
+        assert hot.tolist() == [101 << 8 | 32]
+        groups = placed.repartition(1).selectExpr("code", "spark_partition_id() AS p").count()
+        parts = placed.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert groups == 40_000 and max(r["count"] for r in parts) < 2 * 40_000 / len(parts)
+
+
 def test_log_gamma():
     x = np.array([0.5, 1.0, 3.7, 50.5, 1e6])
     assert scoring.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], abs=1e-9)
