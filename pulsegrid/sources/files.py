@@ -72,7 +72,7 @@ def read_readings(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
 
 
 def read_landed_readings(spark: SparkSession, path: str) -> DataFrame:
-    """Readings landed by ``append_readings`` or ``start_ingest``, with their load time and date.
+    """Readings landed by ``append_readings``, with their load time and date; ``streaming.read_ingested`` reads those of a stream.
 
     ``dedup_readings`` over them lets the last load of a key win.
     """
