@@ -16,6 +16,8 @@ ONE_ROUND_LIMIT = 32
 SLICES = 4096
 # Rows of a hot key that may meet in one task, map tasks whose rows meet in one round, and bytes that a map task reads.
 MEETING_ROWS, FAN_IN, TASK_BYTES = 1_000_000, 1024, 128 << 20
+# A table of fewer bytes than this is read by one task at ease.
+SMALL_BYTES = 32 << 20
 # The optimizer's size of what it does not know is larger.
 UNKNOWN_BYTES = 1 << 52
 
@@ -54,14 +56,21 @@ def top_n_per_key(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
+def expected_bytes(df: DataFrame) -> int:
+    """The size of ``df`` as the optimizer expects it; UNKNOWN_BYTES or more if it knows none."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def _map_tasks(df: DataFrame) -> int:
     """About how many tasks bring the rows of ``df``, by the size that the optimizer expects; 1 if it knows none, as of
     rows that are no table's, such as a micro-batch's."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = expected_bytes(df)
     return size // TASK_BYTES + 1 if size < UNKNOWN_BYTES else 1
 
 
-def with_parts(df: DataFrame, key: str, order: Sequence[str], parts: int | None = None, path: str | None = None) -> DataFrame:
+def with_parts(
+    df: DataFrame, key: str, order: Sequence[str], parts: int | None = None, path: str | None = None, whole_below: int = 0
+) -> DataFrame:
     """``df`` with ``part``: NOT_SPLIT for keys whose rows lie in one range, else the number of the row's range.
 
     The rows are cut into ranges of (key, order) of about equal size, as many as shuffle
@@ -70,8 +79,13 @@ def with_parts(df: DataFrame, key: str, order: Sequence[str], parts: int | None
     written to ``path`` (default: a new scratch folder), as their bounds come from a sample
     and must not change. A key in several ranges is the last of all but one of them, so there
     are fewer such keys than ranges. Rows without key belong to nobody and stay in their ranges.
+
+    Without ``parts``, a table that the optimizer expects to be smaller than ``whole_below`` bytes is one range: one task
+    can hold any of its keys, and nothing is written.
     """
     spark = df.sparkSession
+    if not parts and expected_bytes(df) < whole_below:
+        return df.withColumn("part", F.when(F.col(key).isNotNull(), NOT_SPLIT).otherwise(0))
     path = path or scratch_path(spark, "parts")
     by = [key, *order]
     ranges = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.bands import risk_band
 from ..params import DEFAULTS, Params
 from .cards import split_history
-from .skew import last_per_field, top_n_per_key, value_before_row, values_before_parts, with_parts
+from .skew import SMALL_BYTES, last_per_field, top_n_per_key, value_before_row, values_before_parts, with_parts
 
 NOT_IN_PROFILE = ("patient_id", "risk_score_history")
 
@@ -44,13 +44,13 @@ def apply_risk_updates(
 
     Audit status is ``updated``, ``unchanged`` (equal score under ``skip_unchanged``: no
     history row), ``not_found`` or ``invalid`` (null score). A missing stored score is 0.
-    The updates are written in ``parts`` ranges to ``parts_path`` at once (see ``with_parts``).
+    The updates are written in ``parts`` ranges to ``parts_path`` at once, unless they are few (see ``with_parts``).
     History is a table: rows embedded in the given profiles are moved to it.
     """
     order = ["ts", "seq", "score"]
     asked = updates.select("patient_id", "score", "ts", "seq")
     write = F.when(F.col("score").isNotNull(), F.struct("score"))
-    parted = with_parts(asked, "patient_id", order, parts, parts_path)
+    parted = with_parts(asked, "patient_id", order, parts, parts_path, SMALL_BYTES)
     stored = profiles.select("patient_id", F.struct(F.coalesce("risk_score", F.lit(0)).alias("score")).alias("start"))
     starts = values_before_parts(parted, stored, "patient_id", F.lit("start"), write, order)
     rows = value_before_row(parted, ["patient_id"], order, write, "in_part").join(starts, ["patient_id", "part"], "left")
@@ -140,7 +140,7 @@ def apply_profile_patches(
     arrays). Audit status is ``updated``, ``unchanged`` (equal to the value before it;
     a missing field reads as null), ``not_found`` (no such patient) or ``invalid`` (no
     such field, or text that does not fit it). Replaying patches changes nothing. The
-    patches are written in ``parts`` ranges to ``parts_path`` at once (see ``with_parts``).
+    patches are written in ``parts`` ranges to ``parts_path`` at once, unless they are few (see ``with_parts``).
     """
     paths = _leaf_paths(profiles.schema)
     new = _by_path(paths, lambda path, dtype: _text(_typed(F.col("value"), dtype), dtype))
@@ -154,7 +154,7 @@ def apply_profile_patches(
         F.when(valid, F.struct("new")).alias("write"),
     )
     order = ["seq", "asked"]
-    parted = with_parts(typed, "patient_id", [*order, "path"], parts, parts_path)
+    parted = with_parts(typed, "patient_id", [*order, "path"], parts, parts_path, SMALL_BYTES)
     stored = profiles.select(
         "patient_id", *[F.struct(_text(F.col(p), t).alias("new")).alias(_flat(p)) for p, t in paths.items()]
     )

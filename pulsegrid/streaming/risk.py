@@ -60,6 +60,7 @@ def start_risk_updates(
             return
         follow_commits(spark, profiles_root, log_path(history_path))
         batch = batch.persist()  # it is used several times
+        batch.count()  # from here on its size is known
 
         def changes(last: int) -> DataFrame:
             published = current_version(spark, profiles_root)[1]

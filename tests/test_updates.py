@@ -204,3 +204,21 @@ def test_updates_are_not_sorted_for_aggregates(spark, profiles_of, updates_of, p
     for result in (apply_risk_updates(people, updates_of(("P1", 3, 1))), apply_profile_patches(people, patches_of(("P1", "notes", "x")))):
         for df in (result.profiles, result.audit):
             assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_tables_are_one_range_and_large_ones_are_cut(spark, tmp_path, profiles_of, monkeypatch):
+    """The same answers with the ranges written and without; only small tables do without."""
+    from pulsegrid.operators import updates as module
+
+    spark.range(300).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('P', id % 7)) AS patient_id", "CAST(id % 11 AS int) AS score",
+        f"timestamp_ntz'{datetime(2025, 1, 1)}' + make_interval(0, 0, 0, 0, 0, CAST(id DIV 4 AS int)) AS ts", "id AS seq").write.parquet(str(tmp_path / "u"))
+    asked = spark.read.parquet(str(tmp_path / "u")).repartition(4)
+    people = profiles_of(profile("hot", risk=1), *[profile(f"P{i}", risk=2) for i in range(5)])
+    seen = []
+    for small in (module.SMALL_BYTES, 0):
+        monkeypatch.setattr(module, "SMALL_BYTES", small)
+        result = module.apply_risk_updates(people, asked, parts_path=str(tmp_path / f"parts{small}"))
+        seen.append([sorted(map(str, df.collect())) for df in (result.audit, result.history, result.profiles)])
+        assert (tmp_path / f"parts{small}").exists() == (small == 0)
+    assert seen[0] == seen[1] and len(seen[0][0]) == 300
