@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.graph import landed, slices
+from pulsegrid.llm.graph import landed, slices, small_batches
 
 WINDOW = 13
 #: Template windows with fewer plain words than this say too little to be compared; literal ones need none.
@@ -217,6 +217,7 @@ def _runs(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 def _windows(rows: DataFrame, prefix: str, windows_of, prepare=lambda: None) -> DataFrame:
     """The windows of ``rows(id, text)``: (number of the text, window) as ``windows_of(reader, texts, prepare())`` gives them."""
     names = [c.split()[0] for c in HIT.format(prefix).split(", ")]
+    small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, prepared = Reader(), prepare()

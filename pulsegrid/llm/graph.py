@@ -72,7 +72,20 @@ def components(edges: DataFrame) -> DataFrame:
             .union(links.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+#: Rows of whole texts that are sent to a Python worker at a time.
+TEXTS_A_BATCH = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches have TEXTS_A_BATCH rows at most, a setting of the session, so that JVM and worker hold few whole
+    texts at a time; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > TEXTS_A_BATCH:
+        spark.conf.set(name, str(TEXTS_A_BATCH))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = TEXTS_A_BATCH) -> Iterator[pa.RecordBatch]:
     """The batches in slices of so many rows, so that a task holds few texts as Python objects at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.graph import small_batches
+
 UNKNOWN = "und"
 CHUNK = 1 << 20
 SPACES = re.compile(rb" +")
@@ -98,6 +100,7 @@ def fit(docs: DataFrame, features: int = 1 << 13, modulus: int = 4, remainder: i
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(at)), pa.array(at), pa.array(counts[at])], ["lang", "feature", "n"])
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     rows = (narrow.mapInArrow(counted, "lang string, feature long, n long")
             .groupBy("lang", "feature").agg(F.sum("n").alias("n")).groupBy("lang")
@@ -124,6 +127,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     Only the text is looked at. Null, empty and letterless texts are ``und`` with score 0 and ambiguous; a tie goes to the
     first language by name; repeated rows get the same answer; the model is bounded by languages x features.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, lang_score double, lang_ambiguous boolean")

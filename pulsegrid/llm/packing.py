@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.graph import landed, slices
+from pulsegrid.llm.graph import landed, slices, small_batches
 
 WINDOW = 2048
 CACHED_WORDS, CACHED_LENGTH = 600_000, 64
@@ -198,9 +198,14 @@ class WordEncoder:
             run, size = [], 0
 
 
+    def forget(self) -> None:
+        """Give back the memory of words."""
+        self.known, self.known_parts = {}, {}
+
+
 @cache
 def encoder(path: str) -> WordEncoder:
-    """A process's encoder: what a worker has learned in one task serves the next."""
+    """A process's encoder; what it learns is kept for a task, as the next stage's workers are the same processes."""
     return WordEncoder(path)
 
 
@@ -210,20 +215,24 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int
     A document's ids are its text's (null: empty) and ``end_id``, so every row has a piece.
     """
     end = np.array([end_id], "<u4").tobytes()
+    small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
-        for batch in slices(batches):
-            rows = []
-            texts = batch.column(1).fill_null("").cast(pa.binary()).to_pylist()
-            for doc_id, ids in zip(batch.column(0).to_pylist(), words.ids_of(texts)):
-                ids += end
-                for at in range(0, len(ids), 4 * window):
-                    piece = ids[at:at + 4 * window]
-                    rows.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
-            if rows:
-                columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        try:
+            for batch in slices(batches):
+                rows = []
+                texts = batch.column(1).fill_null("").cast(pa.binary()).to_pylist()
+                for doc_id, ids in zip(batch.column(0).to_pylist(), words.ids_of(texts)):
+                    ids += end
+                    for at in range(0, len(ids), 4 * window):
+                        piece = ids[at:at + 4 * window]
+                        rows.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
+                if rows:
+                    columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        finally:
+            words.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.graph import by_weight, components, landed
+from pulsegrid.llm.graph import by_weight, components, landed, small_batches
 
 BITS = 64
 VOTES = 1 << 16
@@ -48,6 +48,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = np.array([fingerprint(t.as_py() or b"", words, seed) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["id", "fp"])
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(hashed, "id long, fp long")
 
