@@ -16,6 +16,7 @@ from .commits import commit, forget_commits, is_done, read_commits
 
 #: Folders that a published table is laid out in by its key, of which a micro-batch opens those of its own keys.
 BUCKETS = 16
+BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -100,9 +101,16 @@ def merged_latest(spark: SparkSession, path: str, batch_id: int, newest: DataFra
 
 
 def batch_session(batch: DataFrame) -> SparkSession:
-    """The micro-batch's session, with adaptive execution: what is joined and sorted there is batch work."""
+    """The micro-batch's session, with adaptive execution: what is joined and sorted there is batch work.
+
+    A table is broadcast only if its rows, once read, are small; its files may be a small part of that.
+    """
     spark = batch.sparkSession
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    largest = spark.conf.get(BROADCAST)
+    if largest != "-1":
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", largest)
+        spark.conf.set(BROADCAST, "-1")
     return spark
 
 

@@ -11,8 +11,9 @@ from conftest import profile
 from pulsegrid import operators as ops
 from pulsegrid import streaming as st
 from pulsegrid.schemas import RISK_UPDATE_SCHEMA
-from pulsegrid.catalog import stream_queries
+from pulsegrid.catalog import QUERIES, stream_queries
 from pulsegrid.sources import current_version, publish_version, read_published, stream_readings
+from pulsegrid.streaming import sinks
 
 T0 = datetime(2025, 1, 1, 10)
 EVENT = "patient_id string, event_id long, timestamp timestamp, heart_rate double, blood_pressure struct<systolic:int,diastolic:int>, status string"
@@ -233,3 +234,15 @@ def test_the_feeds_micro_batches_do_not_grow_in_number_with_its_writers(spark, t
     stream_queries._run_feed(spark, str(tmp_path / "sf"), str(tmp_path / "feed"), lambda feed: st.append_stream(feed, out, checkpoint))
     assert spark.read.parquet(out).count() == 480
     assert sum(1 for f in (tmp_path / "checkpoint" / "commits").iterdir() if f.name.isdigit()) <= len(stream_queries.PHASES) * stream_queries.SLICES
+
+
+def test_a_micro_batch_broadcasts_by_the_size_of_rows_and_not_of_files(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "t"))
+    session = spark.newSession()
+    largest = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for _ in range(2):
+        sinks.batch_session(session.range(1))
+        table = session.read.parquet(str(tmp_path / "t"))
+        assert "Broadcast" not in table.join(table, "id", "left")._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert session.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == largest
