@@ -36,10 +36,11 @@ def stream_dedup(readings: DataFrame, lateness: str = "1 hour", unit: str = "sec
 def stream_alerts(readings: DataFrame, profiles: DataFrame) -> DataFrame:
     """ABNORMAL readings with severity and the patient's name, age and conditions.
 
-    The stored profiles are read again for every micro-batch. The query is stateless.
+    The stored profiles are read again for every micro-batch. The query is stateless. A stream's plan sees the size of
+    the files alone, which may be a small part of what the profiles take in memory, so it never sends them through the driver.
     """
     extra = [c for c in ("event_id",) if c in readings.columns]
-    return enrich(alert_columns(abnormal_only(readings), *extra), profiles)
+    return enrich(alert_columns(abnormal_only(readings), *extra), profiles.hint("merge") if readings.isStreaming else profiles)
 
 
 def stream_cycle_counts(readings: DataFrame, width: str = "5 seconds", lateness: str = "1 minute") -> DataFrame:

@@ -13,6 +13,7 @@ from pulsegrid import streaming as st
 from pulsegrid.schemas import RISK_UPDATE_SCHEMA
 from pulsegrid.catalog import QUERIES, stream_queries
 from pulsegrid.sources import current_version, publish_version, read_published, stream_readings
+from pulsegrid.sources.star import TABLES
 from pulsegrid.streaming import sinks
 
 T0 = datetime(2025, 1, 1, 10)
@@ -246,3 +247,25 @@ def test_a_micro_batch_broadcasts_by_the_size_of_rows_and_not_of_files(spark, tm
         assert "Broadcast" not in table.join(table, "id", "left")._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
         assert session.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == largest
+
+
+def test_a_stream_of_alerts_never_broadcasts_the_profiles(spark, tmp_path, feed, profiles_of):
+    feed.send(("a", 0, 130, "ABNORMAL"))
+    publish_version(profiles_of(profile("a"), profile("b")), str(tmp_path / "profiles"))
+    people = read_published(spark, str(tmp_path / "profiles"))
+    query = st.append_stream(st.stream_alerts(feed.stream(), people), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "Join" in plan and "Broadcast" not in plan
+    assert spark.read.parquet(str(tmp_path / "out")).first().name == "name a"
+
+
+def test_the_query_of_alerts_makes_the_profiles_once(spark, tmp_path, monkeypatch):
+    rows = {"customer": [(1, "a", 1, 9000.0, "x")], "nation": [(1, "n", 1)], "orders": [],
+            "events": [(n, T0, 1, "error", 130.0, '{"k": 5}') for n in range(20)]}
+    for name, data in rows.items():
+        spark.createDataFrame(data, TABLES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen, made = [], stream_queries.feeds.stream_alerts
+    monkeypatch.setattr(stream_queries.feeds, "stream_alerts", lambda r, profiles: seen.append(profiles.inputFiles()) or made(r, profiles))
+    assert QUERIES["stream_alerts"](spark, str(tmp_path)).filter("name = 'a'").count() == 20
+    assert seen and not any(str(tmp_path) in file for files in seen for file in files)
