@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from heapq import nlargest
-from itertools import chain
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -60,15 +61,32 @@ def stream_latest(readings: DataFrame) -> DataFrame:
     return readings.groupBy("patient_id").agg(newest.alias("r")).select("patient_id", "r.*")
 
 
-# Readings that a task holds at a time, some 100 MB.
-BUFFER_ROWS = 1_000_000
-# A reading in the state: its place in the order (time in microseconds, tie), and all of its columns as JSON.
-READING_STATE = T.StructType([
-    T.StructField("micros", T.LongType()),
-    T.StructField("tie", T.LongType()),
-    T.StructField("reading", T.StringType()),
-])
-LAST = -(2**63)
+# Readings that a task holds at a time, some 100 MB, and their bytes at most, where they are long.
+BUFFER_ROWS, BUFFER_BYTES = 1_000_000, 256 << 20
+# A patient's newest readings in the state, a line each: its place in the order (time in microseconds and tie, as
+# unsigned hexadecimal digits, so that lines sort by it), and all of its columns as JSON.
+READINGS_STATE = T.StructType([T.StructField("readings", T.StringType())])
+LAST, DIGITS = -(2**63), 16
+
+
+def _digits(number: Column) -> Column:
+    return F.lpad(F.hex(number.bitwiseXOR(F.lit(LAST))), DIGITS, "0")
+
+
+def _newest_of(parts: list[pa.RecordBatch], n: int) -> tuple[pa.Table, np.ndarray]:
+    """The n largest lines of every patient in ``(patient_id, line)``, patient by patient, and where each patient's begin."""
+    rows = pa.Table.from_batches(parts).sort_by([("patient_id", "ascending"), ("line", "descending")]).combine_chunks()
+    patient = rows["patient_id"].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+    starts = np.flatnonzero(np.diff(patient, prepend=-1))
+    sizes = np.diff(starts, append=len(patient))
+    kept = np.arange(len(patient)) - np.repeat(starts, sizes) < n
+    return rows.filter(pa.array(kept)).combine_chunks(), np.cumsum(np.minimum(sizes, n)) - np.minimum(sizes, n)
+
+
+def _row_a_patient(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+    lines = rows["line"].combine_chunks()
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array([*starts, len(rows)], pa.int32()), lines), "\n")
+    return pa.RecordBatch.from_arrays([rows["patient_id"].combine_chunks().take(pa.array(starts)), texts], ["patient_id", "readings"])
 
 
 def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None) -> DataFrame:
@@ -77,60 +95,58 @@ def stream_latest_n(readings: DataFrame, n: int = 20, ttl_ms: int | None = None)
     Made for short micro-batches, whose patients are looked up in the RocksDB state
     store; ``start_latest_n`` is the form for large ones. Every task first drops what is not
     among a patient's newest n of up to BUFFER_ROWS rows, so a hot patient reaches its
-    state as n rows per buffer. Readings without a time come last, as in the batch form.
+    state as n readings per buffer. They go there, lie there and come back as one text, since a patient
+    costs by the rows and calls between Spark and Python. Readings without a time come last, as in the batch form.
     """
     tie = F.col("event_id").cast("long") if "event_id" in readings.columns else F.xxhash64(*readings.columns)
     rows = readings.select(
         "patient_id",
-        F.coalesce(F.unix_micros(F.col("timestamp").cast("timestamp")), F.lit(LAST)).alias("micros"),
-        F.coalesce(tie, F.lit(LAST)).alias("tie"),
-        F.to_json(F.struct(*readings.columns), JSON_TIMES).alias("reading"),
+        F.concat(
+            _digits(F.coalesce(F.unix_micros(F.col("timestamp").cast("timestamp")), F.lit(LAST))),
+            _digits(F.coalesce(tie, F.lit(LAST))),
+            F.to_json(F.struct(*readings.columns), JSON_TIMES),
+        ).alias("line"),
     )
 
-    def newest_of(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        newest = pd.concat(parts).sort_values(["micros", "tie"], ascending=False)
-        return newest.groupby("patient_id", sort=False, dropna=False).head(n)
-
-    def limit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buffer, size = [], 0
+    def limit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buffer, size, used = [], 0, 0
         for batch in batches:
             buffer.append(batch)
-            size += len(batch)
-            if size >= BUFFER_ROWS:
-                buffer = [newest_of(buffer)]
-                size = len(buffer[0])
-                if size >= BUFFER_ROWS // 2:  # hardly fewer: pass them on
-                    yield buffer.pop()
-                    size = 0
-        if buffer:
-            yield newest_of(buffer)
+            size, used = size + len(batch), used + batch.nbytes
+            if size >= BUFFER_ROWS or used >= BUFFER_BYTES:
+                kept, starts = _newest_of(buffer, n)
+                buffer, size, used = kept.to_batches(), len(kept), kept.nbytes
+                if size >= BUFFER_ROWS // 2 or used >= BUFFER_BYTES // 2:  # hardly fewer: pass them on
+                    yield _row_a_patient(kept, starts)
+                    buffer, size, used = [], 0, 0
+        if size:
+            yield _row_a_patient(*_newest_of(buffer, n))
 
     # Local, so that it is sent to the workers by value.
     class LatestN(StatefulProcessor):
         """Keeps a patient's newest n readings, and forgets a patient after ``ttl_ms`` without any."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.newest = handle.getListState("newest", READING_STATE, ttl_ms)
+            self.newest = handle.getValueState("newest", READINGS_STATE, ttl_ms)
 
         def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            arrived = ((r.micros, r.tie, r.reading) for r in rows)
-            kept = nlargest(n, chain(self.newest.get(), arrived), key=lambda r: (r[0], r[1]))
-            self.newest.put([tuple(r) for r in kept])
-            for rn, r in enumerate(kept, 1):
-                yield Row(patient_id=key[0], rn=rn, micros=r[0], tie=r[1], reading=r[2])
+            lines = [line for r in rows for line in r.readings.split("\n")]
+            stored = self.newest.get()
+            if stored is not None:
+                lines += stored[0].split("\n")
+            kept = "\n".join(nlargest(n, lines))
+            self.newest.update((kept,))
+            yield Row(patient_id=key[0], readings=kept)
 
         def close(self) -> None:
             pass
 
-    out = T.StructType([
-        T.StructField("patient_id", readings.schema["patient_id"].dataType),
-        T.StructField("rn", T.IntegerType()),
-        *READING_STATE.fields,
-    ])
+    out = T.StructType([readings.schema["patient_id"], *READINGS_STATE.fields])
     return (
-        rows.mapInPandas(limit, rows.schema)
+        rows.mapInArrow(limit, out)
         .groupBy("patient_id")
         .transformWithState(LatestN(), out, "Update", "ProcessingTime" if ttl_ms else "None")
-        .select(F.from_json("reading", readings.schema).alias("r"), "rn")
+        .select(F.posexplode(F.split("readings", "\n")).alias("place", "line"))
+        .select(F.from_json(F.col("line").substr(F.lit(2 * DIGITS + 1), F.length("line")), readings.schema).alias("r"), (F.col("place") + 1).alias("rn"))
         .select("r.*", "rn")
     )

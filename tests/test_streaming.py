@@ -4,6 +4,7 @@ import json
 import os
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from pulsegrid.schemas import RISK_UPDATE_SCHEMA
 from pulsegrid.catalog import QUERIES, stream_queries
 from pulsegrid.sources import current_version, publish_version, read_published, stream_readings
 from pulsegrid.sources.star import TABLES
-from pulsegrid.streaming import sinks
+from pulsegrid.streaming import feeds, sinks
 
 T0 = datetime(2025, 1, 1, 10)
 EVENT = "patient_id string, event_id long, timestamp timestamp, heart_rate double, blood_pressure struct<systolic:int,diastolic:int>, status string"
@@ -269,3 +270,10 @@ def test_the_query_of_alerts_makes_the_profiles_once(spark, tmp_path, monkeypatc
     monkeypatch.setattr(stream_queries.feeds, "stream_alerts", lambda r, profiles: seen.append(profiles.inputFiles()) or made(r, profiles))
     assert QUERIES["stream_alerts"](spark, str(tmp_path)).filter("name = 'a'").count() == 20
     assert seen and not any(str(tmp_path) in file for files in seen for file in files)
+
+
+def test_latest_n_sends_a_patients_newest_readings_to_the_state_as_one_row():
+    parts = [pa.RecordBatch.from_pydict({"patient_id": pa.array(p, pa.int64()), "line": line})
+             for p, line in (([2, 1, None, 2], ["b", "d", "x", "c"]), ([2, None, 1, None], ["c", "z", "a", "y"]))]
+    got = feeds._row_a_patient(*feeds._newest_of(parts, 2)).to_pydict()
+    assert dict(zip(got["patient_id"], got["readings"])) == {1: "d\na", 2: "c\nc", None: "z\ny"}
