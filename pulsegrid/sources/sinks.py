@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .log import NumberedLog
 
+#: The column, and folder, of a row's bucket in a version that is laid out by a key.
+BUCKET = "_bucket"
 # Spark's default JSON formats cut timestamps to milliseconds.
 JSON_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -103,6 +105,11 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.hash(key), F.lit(buckets))
 
 
+def in_buckets(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` with its ``BUCKET``, a task for each."""
+    return df.withColumn(BUCKET, bucket_of(key, buckets)).repartitionById(buckets, BUCKET)
+
+
 def publish_version(
     df: DataFrame, root: str, batch_id: int | None = None, bucket_by: tuple[str, int] | None = None, keep: int | None = None
 ) -> int:
@@ -111,7 +118,8 @@ def publish_version(
 
     ``batch_id`` is the last commit of a stream that the version contains: by default, of the commits that change this
     table (``follow_commits``) the last one so far, as a load replaces what they made. ``bucket_by`` (column, number) lays
-    the rows out in that many folders, so that ``read_published`` can open some of them only. With ``keep``, versions
+    the rows out in that many folders, so that ``read_published`` can open some of them only; rows that have their ``BUCKET``
+    lie in it already (``in_buckets``). With ``keep``, versions
     before the last so many are removed.
     """
     spark = df.sparkSession
@@ -122,8 +130,8 @@ def publish_version(
     path = f"{root.rstrip('/')}/{folder}"
     if bucket_by:
         key, buckets = bucket_by
-        laid = df.withColumn("_bucket", bucket_of(key, buckets)).repartition("_bucket")
-        laid.write.partitionBy("_bucket").parquet(path)
+        laid = df if BUCKET in df.columns else in_buckets(df, key, buckets)
+        laid.write.partitionBy(BUCKET).parquet(path)
     else:
         df.write.parquet(path)
     version = log.append({"folder": folder, "batch_id": batch_id, "buckets": bucket_by and bucket_by[1]})
@@ -147,5 +155,5 @@ def read_published(spark: SparkSession, root: str, only: DataFrame | None = None
         return df
     if only is not None:
         touched = only.select(bucket_of(key, entry["buckets"]).alias("b")).distinct().collect()
-        df = df.filter(F.col("_bucket").isin([r["b"] for r in touched]))
-    return df.drop("_bucket")
+        df = df.filter(F.col(BUCKET).isin([r["b"] for r in touched]))
+    return df.drop(BUCKET)

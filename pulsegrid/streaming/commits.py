@@ -8,12 +8,16 @@ each stream committed last, so one look at the newest entry tells a replayed mic
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.log import NumberedLog
 
+NEWEST = "_newest"
+
 
 def log_path(path: str) -> str:
     return f"{path}/_commits"
@@ -39,9 +43,13 @@ def is_done(spark: SparkSession, path: str, batch_id: int) -> bool:
     return streams.get(stream_id(spark), -1) >= batch_id
 
 
-def commit(spark: SparkSession, path: str, batch_id: int, changes: Callable[[int], DataFrame]) -> int | None:
+def commit(
+    spark: SparkSession, path: str, batch_id: int, changes: Callable[[int], DataFrame], newest: int | None = None
+) -> int | None:
     """Make ``changes(last)`` the next commit, where ``last`` is the commit that they build on; its number.
 
+    With ``newest`` the rows of a key add to those of the commits before, and the newest so many of all are in force.
+
     If another stream commits first, the changes are made again on top of that. None, and nothing is done, if the
     micro-batch is a commit already. A try that ends before its log entry leaves data that no reader opens.
     """
@@ -53,7 +61,8 @@ def commit(spark: SparkSession, path: str, batch_id: int, changes: Callable[[int
             return None
         folder = commit_path(path, number, stream)
         changes(number - 1).write.mode("overwrite").parquet(folder)
-        if log.add(number + 1, {"stream": stream, "streams": {**streams, stream: batch_id}}):
+        added = {"newest": newest} if newest else {}
+        if log.add(number + 1, {"stream": stream, "streams": {**streams, stream: batch_id}, **added}):
             return number
         log.remove_folder(folder)
 
@@ -66,7 +75,8 @@ def stream_id(spark: SparkSession) -> str:
 def read_commits(spark: SparkSession, path: str, after: int, until: int | None = None) -> DataFrame | None:
     """The rows of the commits after ``after`` up to ``until`` (default: the last), with their ``commit``; None without any.
 
-    Only the log entries and folders of these commits are opened.
+    Only the log entries and folders of these commits are opened. If any adds to the rows before, ``NEWEST`` is how many
+    rows of a key it leaves in force, null in the others.
     """
     log = _log(spark, path)
     wanted = [n for n in log.numbers() if n - 1 > after and (until is None or n - 1 <= until)]
@@ -74,7 +84,14 @@ def read_commits(spark: SparkSession, path: str, after: int, until: int | None =
     folders = [commit_path(path, n, entry["stream"]) for n, entry in entries if entry]
     if not folders:
         return None
-    return spark.read.option("basePath", path).parquet(*folders).drop("stream")
+    rows = spark.read.option("basePath", path).parquet(*folders).drop("stream")
+    adding = defaultdict(list)
+    for number, entry in entries:
+        if entry and "newest" in entry:
+            adding[entry["newest"]].append(number)
+    if not adding:
+        return rows
+    return rows.withColumn(NEWEST, F.coalesce(*[F.when(F.col("commit").isin(of), n) for n, of in adding.items()]))
 
 
 def forget_commits(spark: SparkSession, path: str, until: int) -> None:

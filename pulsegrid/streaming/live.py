@@ -26,7 +26,7 @@ from ..sources.sinks import read_published
 from .commits import commit, fold_commits, is_done, read_all
 from .feeds import stream_alerts
 from .risk import read_live_profiles
-from .sinks import batch_session, latest_changes, merged_latest, start, write_batch
+from .sinks import batch_session, commit_latest, latest_changes, start, write_batch
 
 WINDOW, DAY, PATIENT = ["window_start"], ["day"], ["patient_id"]
 
@@ -140,7 +140,7 @@ def start_abnormal_patients(
             return new.unionByName(gone)
 
         try:
-            merged_latest(spark, newest_path, batch_id, newest, n, publish_every)
+            commit_latest(spark, newest_path, batch_id, newest, n, publish_every)
             write_batch(spark, answers_path, batch_id, changes, PATIENT, publish_every)
         finally:
             newest.unpersist()

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from ..operators.profiles import lookup
+from ..functions.keys import newest_first
 from ..operators.readings import latest_readings
-from ..sources.sinks import current_version, publish_version, read_published
-from .commits import commit, forget_commits, is_done, read_commits
+from ..sources.sinks import BUCKET, current_version, in_buckets, publish_version, read_published
+from .commits import NEWEST, commit, forget_commits, read_commits
 
 #: Folders that a published table is laid out in by its key, of which a micro-batch opens those of its own keys.
 BUCKETS = 16
@@ -55,26 +55,41 @@ def write_changes(
 
 
 def write_batch(
-    spark: SparkSession, path: str, batch_id: int, changes: Callable[[int], DataFrame], keys: list[str], publish_every: int
+    spark: SparkSession,
+    path: str,
+    batch_id: int,
+    changes: Callable[[int], DataFrame],
+    keys: list[str],
+    publish_every: int,
+    newest: int | None = None,
 ) -> None:
-    """One micro-batch of ``write_changes``: ``changes(last)`` on top of commit ``last``.
+    """One micro-batch of ``write_changes``: ``changes(last)`` on top of commit ``last``, or with ``newest`` beside it.
 
     Commits that the version before the new one contains are removed, so readers have the time of ``publish_every``
     micro-batches to finish.
     """
-    made = commit(spark, f"{path}/changes", batch_id, changes)
+    made = commit(spark, f"{path}/changes", batch_id, changes, newest)
     published = current_version(spark, path)[1]
     if made is not None and made - published >= publish_every:
-        publish_version(latest_changes(spark, path, keys), path, made, (keys[0], BUCKETS), keep=2)
+        publish_version(latest_changes(spark, path, keys, buckets=BUCKETS), path, made, (keys[0], BUCKETS), keep=2)
         forget_commits(spark, f"{path}/changes", published)
 
 
-def latest_changes(spark: SparkSession, path: str, keys: list[str], only: DataFrame | None = None, until: int | None = None) -> DataFrame | None:
-    """The rows of every key from the last commit that changed it; None before the first one.
+def latest_changes(
+    spark: SparkSession,
+    path: str,
+    keys: list[str],
+    only: DataFrame | None = None,
+    until: int | None = None,
+    buckets: int | None = None,
+) -> DataFrame | None:
+    """The rows of every key from the last commit that changed it; None before the first one. Of readings that commits
+    add (``commit_latest``), the newest of each key.
 
     A key whose last rows are ``deleted``, if the table has that column, has none. With ``only``, the rows of at least the
     keys in it, and no more of the published version is opened than the buckets that hold them. ``until`` is the last
-    commit that counts.
+    commit that counts. With ``buckets`` the rows meet in that many buckets of the first key, ``BUCKET``, as a version
+    is laid out, so that publishing them shuffles them once.
     """
     version, published = current_version(spark, path)
     rows = read_commits(spark, f"{path}/changes", published, until)
@@ -83,21 +98,34 @@ def latest_changes(spark: SparkSession, path: str, keys: list[str], only: DataFr
         rows = base if rows is None else rows.unionByName(base, allowMissingColumns=True)
     if rows is None:
         return None
+    if buckets:
+        rows, keys = in_buckets(rows, keys[0], buckets), [BUCKET, *keys]
+    if NEWEST in rows.columns:
+        return _newest_rows(rows, keys)
     newest = Window.partitionBy(*keys).orderBy(F.col("commit").desc())
     rows = rows.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r", "commit")
     return rows.filter("deleted IS NOT TRUE").drop("deleted") if "deleted" in rows.columns else rows
 
 
-def merged_latest(spark: SparkSession, path: str, batch_id: int, newest: DataFrame, n: int, publish_every: int) -> None:
-    """Commit the newest n readings of the patients in ``newest``, of it and of what is stored."""
-    keys = ["patient_id"]
+def _newest_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest readings of every key, as many as its last commit asks for, of the last rows that were written whole and
+    of all that were added since. Nothing is added to readings without key: the last commit's stay."""
+    readings = rows.drop("commit", NEWEST, "rn").columns
+    newest = Window.partitionBy(*keys).orderBy(*newest_first(rows.select(readings).drop(BUCKET)))
+    of_key = newest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # in the same order: sorted once
+    added = F.col(NEWEST).isNotNull()
+    nobody = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    since = F.max(F.when(nobody | ~added, F.col("commit"))).over(of_key)
+    last = F.max(F.when(added, F.struct("commit", NEWEST))).over(of_key)[NEWEST]
+    kept = rows.withColumns({"_since": since, "_last": last}).filter("_since IS NULL OR commit >= _since")
+    ranked = kept.withColumn("rn", F.row_number().over(newest)).filter("_last IS NULL OR rn <= _last")
+    return ranked.select(*readings, "rn")
 
-    def merge(last: int) -> DataFrame:
-        stored = latest_changes(spark, path, keys, newest, last)
-        merged = newest if stored is None else newest.unionByName(lookup(stored.drop("rn"), newest))
-        return latest_readings(merged, n)
 
-    write_batch(spark, path, batch_id, merge, keys, publish_every)
+def commit_latest(spark: SparkSession, path: str, batch_id: int, newest: DataFrame, n: int, publish_every: int) -> None:
+    """Commit the newest n readings of a micro-batch's patients. They are merged with those before when the table is read
+    or published, so a micro-batch costs by its own rows and not by the table's."""
+    write_batch(spark, path, batch_id, lambda last: newest, ["patient_id"], publish_every, newest=n)
 
 
 def batch_session(batch: DataFrame) -> SparkSession:
@@ -119,21 +147,15 @@ def start_latest_n(
 ) -> StreamingQuery:
     """Keep the newest n readings of every patient as a table; ``latest_changes(spark, path, ["patient_id"])`` reads it.
 
-    Each micro-batch is cut to its own newest n per patient by the batch operator and merged with the stored rows of the
-    patients in it, which are read from their buckets.
+    Each micro-batch is cut to its own newest n per patient by the batch operator, and these are its commit. Every
+    ``publish_every`` micro-batches they are merged with the published ones.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch_session(batch)
-        if is_done(spark, f"{path}/changes", batch_id):
-            return
-        newest = latest_readings(batch, n).drop("rn").persist()  # at most n rows a patient
-        try:
-            merged_latest(spark, path, batch_id, newest, n, publish_every)
-        finally:
-            newest.unpersist()
-
-    return start(readings.writeStream.outputMode("append").foreachBatch(merge), checkpoint, every)
+        commit_latest(spark, path, batch_id, latest_readings(batch, n).drop("rn"), n, publish_every)
+
+    return start(readings.writeStream.outputMode("append").foreachBatch(add), checkpoint, every)
 
 
 def batch_durations(query: StreamingQuery) -> list[dict]:

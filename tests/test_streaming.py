@@ -277,3 +277,58 @@ def test_latest_n_sends_a_patients_newest_readings_to_the_state_as_one_row():
              for p, line in (([2, 1, None, 2], ["b", "d", "x", "c"]), ([2, None, 1, None], ["c", "z", "a", "y"]))]
     got = feeds._row_a_patient(*feeds._newest_of(parts, 2)).to_pydict()
     assert dict(zip(got["patient_id"], got["readings"])) == {1: "d\na", 2: "c\nc", None: "z\ny"}
+
+
+def committed(spark, path):
+    """Rows by commit in the files of a table's changes."""
+    return {r["commit"]: r["count"] for r in spark.read.parquet(f"{path}/changes").groupBy("commit").count().collect()}
+
+
+def test_a_micro_batch_of_latest_n_commits_its_own_readings_only(feed, paths, spark):
+    feed.send(*[("A", i, 70 + i, "NORMAL") for i in range(4)], ("B", 0, 60, "NORMAL"))
+    feed.send(("A", 9, 90, "NORMAL"))
+    feed.send(("A", -5, 91, "NORMAL"), ("B", 1, 61, "NORMAL"))
+    run(st.start_latest_n(feed.stream(), *paths, n=3))
+    assert committed(spark, paths[0]) == {0: 4, 1: 1, 2: 2}
+    columns = ("patient_id", "rn", "event_id", "heart_rate")
+    got = st.latest_changes(spark, paths[0], ["patient_id"])
+    assert rows(got, *columns) == rows(ops.latest_readings(feed.batch(), 3), *columns)
+    assert got.columns == ops.latest_readings(feed.batch(), 3).columns
+    only = st.latest_changes(spark, paths[0], ["patient_id"], until=1).filter("patient_id = 'B'")
+    assert [r.event_id for r in only.collect()] == [4]
+
+
+@pytest.mark.parametrize("published", [False, True])
+def test_added_readings_are_merged_with_rows_that_were_written_whole(published, feed, paths, spark):
+    """Tables of commits that held all newest readings of their patients go on with commits that add to them."""
+    for sent in ((("A", 5, 70, "NORMAL"), ("B", 5, 71, "NORMAL"), ("A", 6, 72, "NORMAL")), (("A", 7, 73, "NORMAL"),)):
+        feed.send(*sent)
+        whole = ops.latest_readings(feed.batch(), 2).filter(F.col("patient_id").isin([r[0] for r in sent]))
+        run(sinks.start(feed.stream().writeStream.foreachBatch(lambda batch, n: sinks.write_batch(
+            batch.sparkSession, paths[0], n, lambda last: whole, ["patient_id"], 1 if published else 100)), paths[1], None))
+    assert bool(current_version(spark, paths[0])[0]) == published
+    feed.send(("A", 3, 74, "NORMAL"), ("B", 8, 75, "NORMAL"), ("C", 0, 76, "NORMAL"))
+    run(st.start_latest_n(feed.stream(), *paths, n=2))
+    columns = ("patient_id", "rn", "heart_rate")
+    got = rows(st.latest_changes(spark, paths[0], ["patient_id"]), *columns)
+    assert got == rows(ops.latest_readings(feed.batch(), 2), *columns)
+    assert got == [("A", 1, 73.0), ("A", 2, 72.0), ("B", 1, 75.0), ("B", 2, 71.0), ("C", 1, 76.0)]
+
+
+@pytest.mark.parametrize("publish_every", [1, 100])
+def test_readings_without_patient_are_those_of_the_last_commit(publish_every, feed, paths, spark):
+    for n in range(3):
+        feed.send((None, 10 - n, 70 + n, "NORMAL"), ("A", n, 80 + n, "NORMAL"))
+    run(st.start_latest_n(feed.stream(), *paths, n=2, publish_every=publish_every))
+    assert rows(st.latest_changes(spark, paths[0], ["patient_id"]), "patient_id", "rn", "heart_rate") == [
+        ("A", 1, 82.0), ("A", 2, 81.0), (None, 1, 72.0)]
+
+
+def test_a_version_is_laid_out_by_the_shuffle_that_merges_it(feed, paths, spark):
+    three_batches(feed)
+    run(st.start_latest_n(feed.stream(), *paths, n=2, publish_every=2))
+    merged = sinks.latest_changes(spark, paths[0], ["patient_id"], buckets=sinks.BUCKETS)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Window" in plan and "_bucket" in merged.columns
+    columns = ("patient_id", "rn", "event_id")
+    assert rows(merged, *columns) == rows(ops.latest_readings(feed.batch(), 2), *columns)
