@@ -20,18 +20,40 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.graph import landed
+from pulsegrid.llm.graph import landed, small_batches
 
 #: Everything between terms.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
 #: Bytes of text counted at a time, partial counts held by a task, rows of a shard's block, pairs compared at a time.
-CHUNK_BYTES, HELD_ROWS, BLOCK_ROWS, PAIRS = 8 << 20, 400_000, 250_000, 1_000_000
+CHUNK_BYTES, HELD_ROWS, BLOCK_ROWS, PAIRS = 4 << 20, 400_000, 250_000, 250_000
 
 COUNTED = pa.schema([("lang", pa.large_string()), ("source", pa.large_string()), ("term", pa.large_string()),
                      ("n", pa.int64()), ("docs", pa.int64())])
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with large strings, small ones joined up to CHUNK_BYTES of text."""
+    held, size = [], 0
+
+    def joined() -> list[pa.RecordBatch]:
+        return pa.Table.from_batches(held).combine_chunks().to_batches() if held else []
+
+    for batch in batches:
+        used = batch.column("text").nbytes
+        if size + used > CHUNK_BYTES:
+            yield from joined()
+            held, size = [], 0
+        held.append(pa.RecordBatch.from_arrays([c.cast(pa.large_string()) for c in batch.columns], batch.schema.names))
+        size += used
+    yield from joined()
+
+
+def _grouped(table: pa.Table, keys: list[str]) -> pa.TableGroupBy:
+    """Grouped by one thread: each of several would hold groups of its own, as many times over as the machine has cores."""
+    return table.group_by(keys, use_threads=False)
+
+
 def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of at most CHUNK_BYTES of text, or one row."""
     ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
@@ -46,7 +68,7 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def _counted(batch: pa.RecordBatch) -> pa.Table:
     """Occurrences and documents per (lang, source, term); each occurring (lang, source) also has a row of the term ''."""
     rows = pa.table({"lang": batch.column("lang"), "source": batch.column("source"), "row": np.arange(batch.num_rows)})
-    groups = rows.group_by(["lang", "source"]).aggregate([("row", "list")])
+    groups = _grouped(rows, ["lang", "source"]).aggregate([("row", "list")])
     group_of = np.empty(batch.num_rows, np.int64)
     group_of[groups["row_list"].combine_chunks().flatten()] = pc.list_parent_indices(groups["row_list"]).combine_chunks()
 
@@ -54,9 +76,9 @@ def _counted(batch: pa.RecordBatch) -> pa.Table:
     term, doc = words.flatten(), pc.list_parent_indices(words)
     some = pc.not_equal(term, "")
     coded = term.filter(some).dictionary_encode()
-    per_doc = pa.table({"doc": doc.filter(some), "term": coded.indices}).group_by(["doc", "term"]).aggregate([([], "count_all")])
-    grouped = (pa.table({"group": group_of[per_doc["doc"].to_numpy()], "term": per_doc["term"], "n": per_doc["count_all"]})
-               .group_by(["group", "term"]).aggregate([("n", "sum"), ("n", "count")]))
+    per_doc = _grouped(pa.table({"doc": doc.filter(some), "term": coded.indices}), ["doc", "term"]).aggregate([([], "count_all")])
+    of_group = pa.table({"group": group_of[per_doc["doc"].to_numpy()], "term": per_doc["term"], "n": per_doc["count_all"]})
+    grouped = _grouped(of_group, ["group", "term"]).aggregate([("n", "sum"), ("n", "count")])
     group, none = grouped["group"], pa.array(np.zeros(len(groups), np.int64))
     counts = pa.table([groups["lang"].take(group), groups["source"].take(group), coded.dictionary.take(grouped["term"]),
                        grouped["n_sum"], grouped["n_count"]], schema=COUNTED)
@@ -65,7 +87,7 @@ def _counted(batch: pa.RecordBatch) -> pa.Table:
 
 
 def _merged(tables: list[pa.Table]) -> pa.Table:
-    merged = pa.concat_tables(tables).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+    merged = _grouped(pa.concat_tables(tables), ["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
     return merged.rename_columns(COUNTED.names).cast(COUNTED)
 
 
@@ -75,9 +97,8 @@ def partial_counts(docs: DataFrame) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        for batch in batches:
-            large = pa.RecordBatch.from_arrays([c.cast(pa.large_string()) for c in batch.columns], batch.schema.names)
-            for chunk in _chunks(large):
+        for batch in _joined(batches):
+            for chunk in _chunks(batch):
                 held.append(_counted(chunk))
                 if sum(t.num_rows for t in held) > HELD_ROWS:
                     held = [_merged(held)]
@@ -229,6 +250,7 @@ def divergences(docs: DataFrame, least_docs: int = 3, top: int = 200) -> DataFra
     for terms of both the rest. The first parts come from counts of counts, the last from the shards, where a term's
     sources meet; its pairs are summed there and leave as one row for each pair of sources.
     """
+    small_batches(docs.sparkSession)
     kept = landed(kept_counts(docs, least_docs), "divergence-kept")
     groups = kept.groupBy("lang", "source").agg(F.sum("n").alias("group_total"), F.sum("leads").alias("leads"))
     langs = groups.groupBy("lang").agg(F.sum("leads").alias("v"), F.sum("group_total").alias("lang_total"))

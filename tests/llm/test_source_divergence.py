@@ -2,9 +2,12 @@
 
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from pulsegrid.llm import source_divergence as sd
@@ -94,3 +97,40 @@ def test_sql_equals_plain():
     con.execute("CREATE TABLE documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
     rows = con.execute("SELECT text, lang, source FROM documents").fetchall()
     assert sorted(con.execute(OP11_SQL).fetchall()) == plain(rows)
+
+
+COUNT = """
+import resource, sys
+import pyarrow as pa
+from pulsegrid.llm import source_divergence as sd
+pa.set_cpu_count(16)
+letters = lambda n: "".join(chr(97 + n // 26**k % 26) for k in range(5))
+texts = [" ".join(letters((i * 7919 + d * 104729) % 26**5) for i in range(1000)) for d in range(3000)]
+batch = pa.RecordBatch.from_pydict({c: pa.array(v, pa.large_string()) for c, v in
+                                    (("lang", ["en"] * 3000), ("source", [f"s{d % 20}" for d in range(3000)]), ("text", texts))})
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10
+before, held = peak(), []
+for chunk in sd._chunks(batch):
+    held.append(sd._counted(chunk))
+    if sum(t.num_rows for t in held) > sd.HELD_ROWS:
+        held = [sd._merged(held)]
+        if held[0].num_rows > sd.HELD_ROWS // 2:
+            held.clear()
+print(peak() - before)
+"""
+
+
+def test_counting_holds_its_groups_once_whatever_the_cores():
+    """MB that a worker's counts take beside its texts, where nearly all terms are distinct."""
+    done = subprocess.run([sys.executable, "-c", COUNT], capture_output=True, text=True, env={"PYTHONPATH": ":".join(sys.path)})
+    assert int(done.stdout or 10**6) < 500, done.stderr
+
+
+def test_small_batches_are_joined_and_all_rows_stay(monkeypatch):
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 200)
+    texts = ["a" * n for n in (10, 0, 30, 500, 1, 2, 3, 60)] * 3
+    batches = [pa.RecordBatch.from_pydict({"lang": [t], "source": ["s"], "text": [t]}) for t in texts]
+    got = list(sd._joined(iter([batches[0].slice(0, 0), *batches])))
+    assert [t for b in got for t in b.column("text").to_pylist()] == texts and len(got) < len(batches)
+    assert {f.type for b in got for f in b.schema} == {pa.large_string()}
+    assert list(sd._joined(iter([]))) == list(sd._joined(iter([batches[0].slice(0, 0)]))) == []
