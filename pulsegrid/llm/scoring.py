@@ -37,7 +37,7 @@ GRAMS_AT_ONCE = 100_000
 HOT = 512
 TEXTS, WORDS, GRAMS = range(3)
 LOG2 = float(np.log(2))
-LANDED = "block long, kind int, bucket int, data binary, counts binary"
+LANDED = "block long, kind int, bucket long, data binary, counts binary"
 
 
 def in_training(doc_id: int | None, modulus: int = 7, remainder: int = 2) -> bool:
@@ -151,7 +151,7 @@ def radix(blocks: int) -> Radix:
 
 def _row(block: int, kind: int, bucket: int, data: bytes, counts: bytes = b"") -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([data]), pa.array([counts])],
+        [pa.array([block]), pa.array([kind], pa.int32()), pa.array([bucket], pa.int64()), pa.array([data]), pa.array([counts])],
         ["block", "kind", "bucket", "data", "counts"])
 
 
@@ -469,9 +469,9 @@ def _code_scores(grams: DataFrame, buckets: int, depth: int) -> DataFrame:
                     mixed = own if mixed is None else stop[place] * own + (1 - stop[place]) * mixed
                 total += np.log10(mixed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_code_bucket(codes, buckets), pa.int32()), pa.array(codes), pa.array(total)], ["of", "code", "value"])
+                [pa.array(_code_bucket(codes, buckets)), pa.array(codes), pa.array(total)], ["of", "code", "value"])
 
-    return placed.mapInArrow(scores, "of int, code long, value double")
+    return placed.mapInArrow(scores, "of long, code long, value double")
 
 
 SCORED = "doc_id long, held_out boolean, n_words long, n_known long, words double, score double, train_docs long, train_tokens long, train_words long"

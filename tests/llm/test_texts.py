@@ -229,6 +229,27 @@ def test_rows_grow_with_the_corpus_and_not_with_its_square(spark, monkeypatch):
     assert totals[1] / totals[0] < 4 * 4 / 3 * 1.2
 
 
+@pytest.mark.parametrize("fan", [5, 3])
+def test_scores_of_buckets_of_more_digits_in_many_partitions(spark, monkeypatch, fan):
+    """Buckets of two digits and more, whose rows lie in several tasks: codes meet their values, and scores are as of one digit."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["the", "Cat", "sat", "on", "été", "mat"]) for _ in range(rng.randint(1, 40))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        one = {r["doc_id"]: r for r in scoring.score(docs, depth=3).collect()}
+        monkeypatch.setattr(scoring, "FAN", fan)
+        monkeypatch.setattr(scoring, "BLOCK_BYTES", 300)
+        got = {r["doc_id"]: r for r in scoring.score(docs, depth=3).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert scoring.radix(1 + sum(len(t.encode()) for t in texts) // 300).digits > 1
+    assert len(got) == len(one) == 60
+    for i, r in got.items():
+        assert r[:5] == one[i][:5]
+        assert r[5:] == (pytest.approx(one[i][5]), pytest.approx(one[i][6], rel=1e-5))
+
+
 def test_codes_after_one_pair_of_bytes_are_split(spark):
     """Half of all codes follow "e ": they are dealt by the byte before, too."""
     codes = [(rng << 32) | (third << 24) | (101 << 16) | (32 << 8) | last for rng in range(25) for third in range(40) for last in range(20)]
