@@ -29,6 +29,9 @@ from pulsegrid.llm.graph import landed
 DEPTH = 5
 #: Texts of so many bytes make a block; as many bytes of the corpus make a bucket of words and codes.
 BLOCK_BYTES = 16 << 20
+#: Compression of texts, which are written and shuffled, and of words, which move up and down by each digit: their bytes are most of the disk.
+TEXT_LEVEL = 5
+WORD_LEVEL = 3
 #: Rows that a block, or what a group of blocks was merged to, sends at most.
 FAN = 256
 CHUNK_BYTES = 1 << 18
@@ -91,12 +94,13 @@ def _count_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """An array as compressed bytes; ``_unpacked`` gives it back."""
-    return zstandard.compress(values.tobytes(), 1)
+    """An array as compressed bytes, the first byte of every value before their second; ``_unpacked`` gives it back."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
 
 
 def _unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), kind)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _packed_codes(codes: np.ndarray) -> bytes:
@@ -109,7 +113,7 @@ def _unpacked_codes(data: bytes) -> np.ndarray:
 
 
 def _packed_words(words: list[bytes]) -> bytes:
-    return zstandard.compress(b"\n".join(words), 1)
+    return zstandard.compress(b"\n".join(words), WORD_LEVEL)
 
 
 def _unpacked_words(data: bytes) -> list[bytes]:
@@ -117,7 +121,8 @@ def _unpacked_words(data: bytes) -> list[bytes]:
 
 
 def _code_bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
+    """Buckets of codes by their contexts: the 256 codes of a context at most are in one, and their differences are small."""
+    return (((codes >> 8).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
 
 
 class Radix(NamedTuple):
@@ -156,9 +161,12 @@ def _row(block: int, kind: int, bucket: int, data: bytes, counts: bytes = b"") -
 
 
 def _dealt_words(words: Iterable[bytes], plan: Radix, digits: int) -> dict[int, list[bytes]]:
+    """The first digits of buckets, with their words in order, in which they pack best."""
     dealt: dict[int, list[bytes]] = defaultdict(list)
     for w in words:
         dealt[plan.prefix(zlib.crc32(w) % plan.buckets, digits)].append(w)
+    for own in dealt.values():
+        own.sort()
     return dealt
 
 
@@ -181,7 +189,7 @@ def _blocks(docs: DataFrame, plan: Radix, depth: int, modulus: int, remainder: i
     def flush(block: int, ids: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         table = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())})
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TEXT_LEVEL))) as writer:
             writer.write_table(table)
         yield _row(block, TEXTS, 0, sink.getvalue().to_pybytes())
         del table, sink
@@ -320,7 +328,7 @@ def _exchange(rows: DataFrame, kind: int, plan: Radix, finish: Callable[[DataFra
     known = finish(rows)
     for placed in reversed(levels):
         back = known.withColumnRenamed("block", "of")
-        known = placed.groupBy("node").cogroup(back.groupBy("of")).applyInArrow(_returned, VALUED)
+        known = placed.select("block", "data", "node").groupBy("node").cogroup(back.groupBy("of")).applyInArrow(_returned, VALUED)
     return known
 
 

@@ -250,6 +250,28 @@ def test_scores_of_buckets_of_more_digits_in_many_partitions(spark, monkeypatch,
         assert r[5:] == (pytest.approx(one[i][5]), pytest.approx(one[i][6], rel=1e-5))
 
 
+def test_arrays_and_words_pack_and_unpack():
+    rng = np.random.default_rng(4)
+    codes = np.unique(np.concatenate(([0, (1 << 56) - 1], rng.integers(0, 1 << 48, 5000))))
+    assert (scoring._unpacked_codes(scoring._packed_codes(codes)) == codes).all()
+    for values in (codes, codes[::-1].copy(), np.empty(0, "<i8"), rng.random(999).astype("<f4"), np.empty(0, "<f4"), np.array([-1], "<i8")):
+        got = scoring._unpacked(scoring._packed(values), values.dtype.str)
+        assert got.dtype == values.dtype and (got == values).all()
+    words = [b"b", b"\xff", b"a", b"\xc3\xa9"]
+    dealt = scoring._dealt_words(words, scoring.radix(1), 1)
+    assert {k: scoring._unpacked_words(scoring._packed_words(own)) for k, own in dealt.items()} == {0: sorted(words)}
+
+
+def test_codes_of_a_context_are_in_one_bucket_and_buckets_are_even():
+    rng = np.random.default_rng(5)
+    contexts = np.unique(rng.integers(0, 1 << 40, 20_000))
+    codes = (contexts[:, None] << 8 | np.arange(97, 107)).ravel()
+    buckets = scoring._code_bucket(codes, 50).reshape(-1, 10)
+    assert (buckets == buckets[:, :1]).all()
+    sizes = np.bincount(buckets[:, 0], minlength=50)
+    assert sizes.max() < 1.3 * sizes.mean()
+
+
 def test_codes_after_one_pair_of_bytes_are_split(spark):
     """Half of all codes follow "e ": they are dealt by the byte before, too."""
     codes = [(rng << 32) | (third << 24) | (101 << 16) | (32 << 8) | last for rng in range(25) for third in range(40) for last in range(20)]
